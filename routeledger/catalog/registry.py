@@ -11,6 +11,7 @@ from routeledger.catalog import Registry
 from routeledger.lens_sql import with_lenses
 from routeledger.lenses import Lens
 from routeledger.operators import layout, ordered, registry
+from routeledger.plans import registry_text
 
 R = Registry()
 _WELFARE, _GAP = V.TRANSPORT_TYPES
@@ -443,3 +444,81 @@ def cell_split(spark, sf_dir):
     name = F.regexp_replace("s.name", "^Office ?", "Office ")
     return Lens(spark, sf_dir).table("customer").select("c_custkey", s.alias("s")).select(
         "c_custkey", name.alias("name"), F.col("s.location").alias("location"))
+
+
+# -- page texts to operators ------------------------------------------------------------------
+
+_PAGES = {"pg": """
+    SELECT c_custkey AS k, 'D' || (c_custkey // 8) AS doc_id, CAST(c_custkey % 8 AS INTEGER) AS page_no,
+           c_nationkey AS n, 'NATION_' || c_nationkey || '市' AS org,
+           'NATION_' || (c_custkey % 25) || '市' AS place,
+           CASE WHEN c_custkey % 8 = 7 AND c_custkey // 8 % 3 = 0 THEN 'appendix'
+                WHEN c_custkey % 8 IN (2, 5)
+                     OR (c_custkey % 8 = 0 AND c_custkey // 8 % 5 <> 4) THEN 'anchor' END AS kind
+    FROM customer""",
+    "st": """
+    SELECT *, CASE WHEN m.kind = 'anchor' THEN m.page_no END AS block_start
+    FROM (SELECT *, max(CASE WHEN kind IS NOT NULL THEN {'page_no': page_no, 'kind': kind} END)
+                    OVER (PARTITION BY doc_id ORDER BY page_no) AS m FROM pg)"""}
+
+
+def _registry_pages(lens: Lens):
+    """Page texts of a registry: eight pages per document, three of them forms."""
+    k = F.col("c_custkey")
+    s = lambda c: c.cast("string")
+    doc, page = F.call_function("div", k, F.lit(8)), k % 8
+    org = F.concat(F.lit("NATION_"), s(F.col("c_nationkey")), F.lit("市"))
+    place = F.concat(F.lit("NATION_"), s(k % 25), F.lit("市"))
+    area = F.concat(F.lit("\n本郷線 起点 "), place, F.lit("一丁目～終点 県道\n路線又は\n運送の区域"))
+    form = F.concat(
+        F.lit("自家用有償旅客運送者登録簿\n登 録 番 号 中山市交第 "), s(k), F.lit(" 号\n"
+              "登録年月日及び 登録年月日：H18.10.1\n更新登録年月日 更新登録年月日：R5.10."),
+        s(1 + k % 28), F.lit("～R8.9.30\n名 称 "), org, F.lit("\n代表者の氏名 市長 某\n住 所 "),
+        org, F.lit("１－"), s(k), F.lit("\n交 通 空 白 地 有 償 運 送\n運送の種別\n○"), area)
+    appendix = (page == 7) & (doc % 3 == 0)
+    anchor = page.isin(2, 5) | ((page == 0) & (doc % 5 != 4))
+    return lens.table("customer").select(
+        F.concat(F.lit("D"), s(doc)).alias("doc_id"), page.cast("int").alias("page_no"),
+        F.when(appendix, "輸送人員実績報告提出状況（R４年度～）").when(anchor, form)
+        .otherwise(F.concat(F.lit("続き"), area)).alias("text"))
+
+
+_MARKER = "輸送人員実績報告提出状況"
+
+
+@R.add("registry_from_text", with_lenses("""
+    SELECT a.doc_id AS source_pdf, a.page_no AS source_page, page_count,
+           '中山市交第' || a.k || '号' AS registration_no,
+           '中山市交第 ' || a.k || ' 号' AS registration_no_raw, '中山' AS authority_code,
+           '交' AS service_type_code, CAST(a.k AS VARCHAR) AS serial_no, 'T' AS operator_type,
+           '交通空白地有償運送' AS transport_type, a.org AS org_name,
+           a.org || '1-' || a.k AS org_address, a.org || '１－' || a.k AS org_address_raw,
+           CASE WHEN own THEN places ELSE a.org || ';' || places END
+               AS service_area_municipalities,
+           '2006-10-01' AS registered_date,
+           printf('2023-10-%02d', CAST(1 + a.k % 28 AS INTEGER)) AS renewed_date,
+           printf('2023-10-%02d', CAST(1 + a.k % 28 AS INTEGER)) AS valid_from,
+           '2026-09-30' AS valid_to, CAST(NULL AS VARCHAR) AS problem
+    FROM st a JOIN (
+        SELECT doc_id, block_start, count(*) AS page_count,
+               string_agg(place, ';' ORDER BY page_no) AS places
+        FROM st WHERE block_start IS NOT NULL GROUP BY doc_id, block_start) b
+      ON b.doc_id = a.doc_id AND b.block_start = a.page_no
+    JOIN LATERAL (SELECT bool_or(c.place = a.org) AS own FROM st c
+                  WHERE c.doc_id = a.doc_id AND c.block_start = a.page_no) ON true""", _PAGES))
+def registry_from_text(spark, sf_dir):
+    lens = Lens(spark, sf_dir)
+    pages = _registry_pages(lens)
+    states = registry_text.page_states(registry_text.page_fields(pages, _MARKER))
+    places = lens.table("nation").select(F.concat("n_name", F.lit("市")).alias("municipality"))
+    kinds = pages.select("doc_id").distinct().withColumn("operator_type", F.lit("T"))
+    return registry_text.registry_from_text(states, places, kinds)
+
+
+@R.add("registry_page_problems", with_lenses("""
+    SELECT doc_id, page_no, 'error_continuation_without_start' AS problem
+    FROM st WHERE block_start IS NULL AND kind IS NULL""", _PAGES))
+def registry_page_problems(spark, sf_dir):
+    pages = _registry_pages(Lens(spark, sf_dir))
+    return registry_text.page_problems(
+        registry_text.page_states(registry_text.page_fields(pages, _MARKER)))

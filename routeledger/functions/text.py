@@ -163,7 +163,10 @@ def clean_area_lines(c: Column) -> Column:
 
 
 def order_area_hits(hits: Column, area: Column, org_name: Column) -> Column:
-    """Roster hits (array of (pos, name)) completed by aliases and the body's own name, ordered."""
+    """Roster hits completed by aliases and the body's own name, ordered.
+
+    ``hits`` is an array of (pos, name) that holds at most one entry per roster place.
+    """
     def has(name: Column) -> Column:
         return F.exists(hits, lambda h: h["name"] == name)
 

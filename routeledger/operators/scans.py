@@ -69,33 +69,23 @@ def _needle_mapper(words: list[str], text_id: str):
 MAX_INLINE_ROSTER = 2000
 
 
-def area_roster(
-    areas: DataFrame, key: str, area: str, org_name: str, roster: DataFrame,
+def roster_hits(
+    areas: DataFrame, keys: list[str], area: str, roster: DataFrame,
     max_inline: int = MAX_INLINE_ROSTER,
 ) -> DataFrame:
-    """(key, municipalities): roster names found in a text, ';'-joined by first position.
+    """(keys, pos, name): roster names and their first position in each text.
 
     A roster of proven small size is searched in place, row by row. A larger one is matched by
     an equi join on the substrings that have the length of some roster name.
     """
-    names = [r[0] for r in roster.select("municipality").distinct().limit(max_inline + 1).collect()]
-    rows = areas.select(key, area, org_name)
-    if len(names) <= max_inline:
-        listed = F.array(*map(F.lit, sorted(names))) if names else F.array().cast("array<string>")
-        hits = F.filter(
-            F.transform(listed, lambda n: F.struct(
-                F.call_function("instr", F.col(area), n).alias("pos"), n.alias("name"))),
-            lambda h: h["pos"] > 0)
-        found = rows.withColumn("_hits", hits)
-    else:
-        found = rows.join(_roster_join(areas, key, area, roster), key, "left").withColumn(
-            "_hits", F.coalesce("_hits", F.array().cast("array<struct<pos:int,name:string>>")))
-    ordered = T.order_area_hits(F.col("_hits"), F.col(area), F.col(org_name))
-    return found.select(key, F.array_join(ordered, ";").alias("municipalities"))
-
-
-def _roster_join(areas: DataFrame, key: str, area: str, roster: DataFrame) -> DataFrame:
     names = roster.select(F.col("municipality").alias("name")).distinct()
+    head = [r[0] for r in names.limit(max_inline + 1).collect()]
+    where = F.call_function("instr", F.col(area), F.col("name"))
+    if len(head) <= max_inline:
+        listed = F.array(*map(F.lit, sorted(head))) if head else F.array().cast("array<string>")
+        found = F.filter(listed, lambda n: F.contains(F.col(area), n))
+        return areas.select(*keys, area, F.explode(found).alias("name")).select(
+            *keys, where.alias("pos"), "name")
     # names have few distinct lengths, however many names there are
     lengths = [r[0] for r in names.select(F.length("name")).distinct().collect()]
     pieces = F.flatten(F.array(*[
@@ -106,12 +96,21 @@ def _roster_join(areas: DataFrame, key: str, area: str, roster: DataFrame) -> Da
         ).otherwise(F.array().cast("array<string>"))
         for n in lengths
     ]))
-    candidates = areas.select(
-        key, area, F.explode(F.array_distinct(pieces)).alias("name")
-    ).join(names, "name")
-    return candidates.groupBy(key).agg(F.collect_set(F.struct(
-        F.call_function("instr", F.col(area), F.col("name")).alias("pos"), F.col("name")
-    )).alias("_hits"))
+    return areas.select(*keys, area, F.explode(F.array_distinct(pieces)).alias("name")).join(
+        names, "name").select(*keys, where.alias("pos"), "name")
+
+
+def area_roster(
+    areas: DataFrame, key: str, area: str, org_name: str, roster: DataFrame,
+    max_inline: int = MAX_INLINE_ROSTER,
+) -> DataFrame:
+    """(key, municipalities): roster names found in a text, ';'-joined by first position."""
+    per = roster_hits(areas, [key], area, roster, max_inline).groupBy(key).agg(
+        F.collect_set(F.struct("pos", "name")).alias("_hits"))
+    none = F.array().cast("array<struct<pos:int,name:string>>")
+    ordered = T.order_area_hits(F.coalesce("_hits", none), F.col(area), F.col(org_name))
+    return areas.select(key, area, org_name).join(per, key, "left").select(
+        key, F.array_join(ordered, ";").alias("municipalities"))
 
 
 # -- token coverage ---------------------------------------------------------------------------
