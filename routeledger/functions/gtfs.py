@@ -22,7 +22,8 @@ def strip(c: Column) -> Column:
 def gtfs_date(c: Column) -> Column:
     """Eight ASCII digits that name a real day, as DATE."""
     well_formed = c.rlike("^[0-9]{8}$") & ~c.startswith("0000")
-    return F.when(well_formed, F.try_to_date(c, "yyyyMMdd"))
+    iso = F.concat_ws("-", c.substr(1, 4), c.substr(5, 2), c.substr(7, 2))
+    return F.when(well_formed, iso.try_cast("date"))
 
 
 def gtfs_seconds(c: Column) -> Column:

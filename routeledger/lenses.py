@@ -81,12 +81,12 @@ class Lens:
         days = F.datediff(F.col("date"), F.lit(date(1990, 1, 1)))
         return (
             li.groupBy(F.col("l_suppkey"), d.alias("date"))
-            .agg(F.min("l_returnflag").alias("flag"))
+            .agg(F.min(F.when(F.col("l_returnflag") == "A", 1).otherwise(2)).alias("kind"))
             .select(
                 _feed("l_suppkey").alias("feed_id"),
                 (F.col("l_suppkey") * 10000 + days).alias("row_idx"),
                 _text("l_suppkey").alias("service_id"), "date",
-                F.when(F.col("flag") == "A", 1).otherwise(2).alias("exception_type"),
+                F.col("kind").alias("exception_type"),
             )
         )
 
@@ -101,7 +101,7 @@ class Lens:
         return self.table("lineitem").select(
             _feed("l_suppkey").alias("feed_id"),
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_idx"),
-            _text("l_suppkey").alias("service_id"), F.col("l_partkey"),
+            _text("l_suppkey").alias("service_id"), "l_suppkey", "l_partkey",
             "l_orderkey", "l_linenumber", "l_quantity",
             F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber")).alias("short_id"),
         )
@@ -110,10 +110,11 @@ class Lens:
         full = F.concat_ws("-", "short_id", "service_id")
         return (
             self._lineitem_trips().withColumn("trip_id", full)
-            .groupBy("feed_id", "trip_id")
-            .agg(F.min("row_idx").alias("row_idx"), F.min("service_id").alias("service_id"),
+            .groupBy("trip_id", "feed_id")
+            .agg(F.min("row_idx").alias("row_idx"), F.min("l_suppkey").alias("s"),
                  F.min("l_partkey").alias("p"))
-            .select("feed_id", "trip_id", "row_idx", "service_id", _text("p").alias("route_id"))
+            .select("feed_id", "trip_id", "row_idx", _text("s").alias("service_id"),
+                    _text("p").alias("route_id"))
         )
 
     def trips_dirty(self) -> DataFrame:
@@ -181,7 +182,7 @@ class Lens:
         return (
             self._lineitem_trips().where(F.col("l_linenumber") == 1)
             .withColumn("trip_id", F.concat_ws("-", "short_id", "service_id"))
-            .groupBy("feed_id", "trip_id").agg(q.alias("q"), F.min("row_idx").alias("row_idx"))
+            .groupBy("trip_id", "feed_id").agg(q.alias("q"), F.min("row_idx").alias("row_idx"))
             .select(
                 "feed_id", "trip_id", "row_idx", F.lit("06:00:00").alias("start_time"),
                 _clock(end).alias("end_time"), F.lit("600").alias("headway_secs"),

@@ -59,7 +59,8 @@ def second_occurrence(df: DataFrame, cols: list[str]) -> DataFrame:
     """First and second row per key with ``rn`` 1 or 2.
 
     The filter on row_number lets Spark keep at most two rows per key in each map task, so a key
-    holding a third of the table still shuffles only a handful of rows.
+    holding a third of the table still shuffles only a handful of rows. Put the most selective
+    column first: it leads the sort.
     """
     w = Window.partitionBy(*cols).orderBy("row_idx")
     return df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 2)

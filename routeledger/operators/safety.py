@@ -35,11 +35,13 @@ def archive_violations(members: DataFrame) -> DataFrame:
     ))
     rows = members.select("feed_id", "name", F.explode(per_row).alias("v")).select(
         "feed_id", "v.check_id", "name", "v.reason", F.lit(1).cast("bigint").alias("n"))
-    # two steps: the name key is computed once per member, then repeats collapse map-side
-    keyed = members.where(name.isNotNull()).select(
-        "feed_id", "name", policy.name_key(name).alias("name_key"))
+    named = members.where(name.isNotNull()).select("feed_id", "name")
+    plain = name.rlike("^[\\x00-\\x7f]*$")
+    # an ASCII name folds by lower-casing; only the others go through the normaliser
+    keyed = named.where(plain).withColumn("name_key", F.lower("name")).unionByName(
+        named.where(~plain).withColumn("name_key", policy.name_key(name)))
     repeats = (
-        keyed.groupBy("feed_id", "name_key")
+        keyed.groupBy("name_key", "feed_id")
         .agg(F.count(F.lit(1)).alias("k"), F.min("name").alias("name"))
         .where(F.col("k") > 1)
         .select("feed_id", F.lit("duplicate_name").alias("check_id"), "name",

@@ -47,6 +47,18 @@ def typed_calendar_dates(calendar_dates: DataFrame) -> DataFrame:
     )
 
 
+def target_calendar_dates(calendar_dates: DataFrame, dates: list[date]) -> DataFrame:
+    """Text exception rows with ``date`` set only where it names a target date, by comparison of
+    the text: no date is parsed. Other rows stay, since they make their service known."""
+    text = F.col("date")
+    day = F.lit(None).cast("date")
+    for d in dates:
+        day = F.when(text == d.strftime("%Y%m%d"), F.lit(d)).otherwise(day)
+    return calendar_dates.select(
+        "feed_id", "service_id", day.alias("date"),
+        F.col("exception_type").try_cast("int").alias("exception_type"))
+
+
 def service_days(
     calendar: DataFrame, calendar_dates: DataFrame, dates: list[date]
 ) -> DataFrame:

@@ -2,13 +2,13 @@
 
 One job serves all feeds. Trips are shuffled once, by (feed, trip): that exchange serves the
 duplicate check, the frequency join and the unknown-trip check. What follows runs on one row per
-(feed, service, route), and then on one row per feed. The first broken precondition, in fixed
+service and per route of a feed, and then on one row per feed. The first broken precondition, in fixed
 order, names the reason for the feed's whole week.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -101,66 +101,73 @@ def files_wide(feeds: DataFrame, file_status: DataFrame) -> DataFrame:
     return feeds.select("feed_id").join(wide, "feed_id", "left").na.fill(known)
 
 
-def _file_rules(files: DataFrame) -> DataFrame:
-    def at(cond: Column) -> Column:
-        return F.when(cond, F.lit(FILE_LEVEL).cast("bigint"))
+def _violation(rule: str, cond: Column, row: Column) -> Column:
+    table, check = RULES[rule]
+    return F.when(cond, F.struct(
+        F.lit(table).alias("table_rank"), row.cast("bigint").alias("row_idx"),
+        F.lit(check).alias("check_rank"), F.lit(rule).alias("reason")))
 
-    out = {}
+
+def _violation_rows(df: DataFrame, rules: dict[str, Column], row: Column) -> DataFrame:
+    """(feed_id, v) for every rule a row breaks; a clean row gives nothing."""
+    broken = F.array_compact(F.array(*[_violation(r, c, row) for r, c in rules.items()]))
+    return df.select("feed_id", F.explode(broken).alias("v"))
+
+
+def _file_violations(files: DataFrame) -> DataFrame:
+    rules = {}
     for t, required in REQUIRED_COLUMNS.items():
         here = F.col(f"p_{t}")
         broken = F.col(f"e_{t}").isNotNull()
         lacks = F.size(F.array_except(F.array(*map(F.lit, required)), F.col(f"h_{t}"))) > 0
-        out[f"{t}:undecodable"] = at(here & broken)
-        out[f"{t}:missing_column"] = at(here & ~broken & lacks)
+        rules[f"{t}:undecodable"] = here & broken
+        rules[f"{t}:missing_column"] = here & ~broken & lacks
     for t in ("routes", "trips"):
-        out[f"{t}:absent"] = at(~F.col(f"p_{t}"))
-    out["calendars:both_absent"] = at(~F.col("p_calendar") & ~F.col("p_calendar_dates"))
-    return files.select("feed_id", *[c.alias(_rule(r)) for r, c in out.items()])
+        rules[f"{t}:absent"] = ~F.col(f"p_{t}")
+    rules["calendars:both_absent"] = ~F.col("p_calendar") & ~F.col("p_calendar_dates")
+    return _violation_rows(files, rules, F.lit(FILE_LEVEL))
 
 
-def _route_rules(routes: DataFrame) -> DataFrame:
-    stats = quality.id_stats(routes, ["feed_id"], ["route_id"])
-    file_row = F.lit(FILE_LEVEL).cast("bigint")
-    return stats.select(
-        "feed_id",
-        F.when(F.col("blank_count") > 0, file_row).alias(_rule("routes:blank_route_id")),
-        F.when(F.col("duplicate_count") > 0, file_row).alias(_rule("routes:duplicate_route_id")),
-    )
+def _route_violations(routes: DataFrame) -> DataFrame:
+    keys = quality.key_counts(routes, ["feed_id"], ["route_id"])
+    return _violation_rows(keys, {
+        "routes:blank_route_id": F.col("blank"),
+        "routes:duplicate_route_id": ~F.col("blank") & (F.col("n") > 1),
+    }, F.lit(FILE_LEVEL))
 
 
-def _calendar_rules(calendar: DataFrame) -> DataFrame:
-    sid = F.col("service_id")
+def _calendar_violations(calendar: DataFrame) -> DataFrame:
     start, end = gtfs.gtfs_date(F.col("start_date")), gtfs.gtfs_date(F.col("end_date"))
     rows = quality.second_occurrence(
         calendar.select("feed_id", "row_idx", "service_id", start.alias("s"), end.alias("e"),
                         F.forall(F.array(*V.WEEKDAYS), lambda x: x.isin("0", "1")).alias("ok")),
-        ["feed_id", "service_id"],
-    )
-    first, blank = F.col("rn") == 1, gtfs.is_blank(sid)
-    return rows.groupBy("feed_id").agg(
-        _first("calendar:blank_service_id", first & blank),
-        _first("calendar:duplicate_service_id", ~first & ~blank),
-        _first("calendar:invalid_date",
-               first & ~blank & (F.col("s").isNull() | F.col("e").isNull())),
-        _first("calendar:start_after_end", first & ~blank & (F.col("s") > F.col("e"))),
-        _first("calendar:invalid_weekday_flag", first & ~blank & ~F.col("ok")),
+        ["service_id", "feed_id"],
     )
+    first, blank = F.col("rn") == 1, gtfs.is_blank(F.col("service_id"))
+    plain = first & ~blank
+    return _violation_rows(rows, {
+        "calendar:blank_service_id": first & blank,
+        "calendar:duplicate_service_id": ~first & ~blank,
+        "calendar:invalid_date": plain & (F.col("s").isNull() | F.col("e").isNull()),
+        "calendar:start_after_end": plain & (F.col("s") > F.col("e")),
+        "calendar:invalid_weekday_flag": plain & ~F.col("ok"),
+    }, F.col("row_idx"))
 
 
-def _calendar_dates_rules(calendar_dates: DataFrame) -> DataFrame:
+def _calendar_dates_violations(calendar_dates: DataFrame) -> DataFrame:
     rows = quality.second_occurrence(
         calendar_dates.select("feed_id", "row_idx", "service_id", "date", "exception_type"),
-        ["feed_id", "service_id", "date"],
+        ["service_id", "date", "feed_id"],
     )
     first, blank = F.col("rn") == 1, gtfs.is_blank(F.col("service_id"))
-    return rows.groupBy("feed_id").agg(
-        _first("calendar_dates:blank_service_id", first & blank),
-        _first("calendar_dates:invalid_date",
-               first & ~blank & gtfs.gtfs_date(F.col("date")).isNull()),
-        _first("calendar_dates:invalid_exception_type",
-               first & ~blank & ~F.col("exception_type").isin("1", "2")),
-        _first("calendar_dates:duplicate_key", ~first & ~blank),
-    )
+    return _violation_rows(rows, {
+        "calendar_dates:blank_service_id": first & blank,
+        "calendar_dates:invalid_date":
+            first & ~blank & gtfs.gtfs_date(F.col("date")).isNull(),
+        "calendar_dates:invalid_exception_type":
+            first & ~blank & ~F.col("exception_type").isin("1", "2"),
+        "calendar_dates:duplicate_key": ~first & ~blank,
+    }, F.col("row_idx"))
 
 
 def _frequency_per_trip(frequencies: DataFrame) -> DataFrame:
@@ -168,11 +175,11 @@ def _frequency_per_trip(frequencies: DataFrame) -> DataFrame:
     exact = F.coalesce("exact_times", F.lit(""))
     w = quality.second_occurrence(
         service.frequency_windows(frequencies).withColumn("exact", exact),
-        ["feed_id", "trip_id", "start_time"],
+        ["trip_id", "start_time", "feed_id"],
     )
     first = F.col("rn") == 1
     timed = F.col("start_sec").isNotNull() & F.col("end_sec").isNotNull()
-    return w.groupBy("feed_id", "trip_id").agg(
+    return w.groupBy("trip_id", "feed_id").agg(
         F.min("row_idx").alias("freq_row"),
         F.sum(F.when(first & (F.col("exact") == "1"), F.col("departures"))).alias("departures"),
         F.max(first & F.col("exact").isin("", "0")).alias("inexact"),
@@ -193,110 +200,134 @@ _FREQUENCY_ROW_RULES = (
 )
 
 
+_TRIP_RULES = (
+    "trips:blank_trip_id", "trips:duplicate_trip_id", "trips:blank_service_id",
+    "trips:blank_route_id", "trips:unknown_route", "trips:unknown_service",
+    "frequencies:unknown_trip", *_FREQUENCY_ROW_RULES,
+)
+
+
 def _trip_flow(t: FeedTables, dates: list[date]) -> DataFrame:
-    """One row per feed: broken trip and frequency rules, and n<i>/x<i> for each target date."""
+    """One row per feed: broken trip and frequency rules, and n<i>/x<i> for each target date.
+
+    Every trip contributes to its service ('S') and to its route ('R'). Grouping by these keys,
+    not by their combination, keeps the result as small as the two key sets and lets one join
+    settle both references.
+    """
     ranked = quality.second_occurrence(
         t.trips.select("feed_id", "trip_id", "row_idx", "service_id", "route_id"),
-        ["feed_id", "trip_id"],
+        ["trip_id", "feed_id"],
     )
     freq = _frequency_per_trip(t.frequencies)
-    joined = ranked.join(freq, ["feed_id", "trip_id"], "full_outer")
+    joined = ranked.join(freq, ["trip_id", "feed_id"], "full_outer")
     is_trip, first = F.col("rn").isNotNull(), F.col("rn") == 1
     blank = gtfs.is_blank(F.col("trip_id"))
     counted = is_trip & first
     row = F.col("row_idx")
-    groups = joined.groupBy("feed_id", "service_id", "route_id").agg(
-        F.sum(F.when(counted & ~F.coalesce("inexact", F.lit(False)),
-                     F.coalesce("departures", F.lit(1)))).alias("n"),
-        F.max(F.coalesce(counted & F.col("inexact"), F.lit(False))).alias("inexact"),
-        F.min(F.when(counted & ~blank, row)).alias("first_row"),
-        _first("trips:blank_trip_id", counted & blank),
-        _first("trips:duplicate_trip_id", is_trip & ~first & ~blank),
-        _first("frequencies:unknown_trip", ~is_trip, F.col("freq_row")),
-        *[F.min(_rule(r)).alias(_rule(r)) for r in _FREQUENCY_ROW_RULES],
-    )
-    days = service.service_days(
-        service.typed_calendar(t.calendar), service.typed_calendar_dates(t.calendar_dates), dates
-    )
-    known_routes = t.routes.select("feed_id", "route_id").distinct().withColumn(
-        "route_known", F.lit(True)
+    inexact = F.coalesce("inexact", F.lit(False))
+    facts = joined.select(
+        "feed_id",
+        F.explode(F.array(
+            F.struct(F.lit("S").alias("kind"), F.col("service_id").alias("key")),
+            F.struct(F.lit("R").alias("kind"), F.col("route_id").alias("key")))).alias("k"),
+        F.when(counted & ~inexact, F.coalesce("departures", F.lit(1))).alias("n"),
+        (counted & inexact).alias("inexact"),
+        F.when(counted & ~blank, row).alias("first_row"),
+        F.when(counted & blank, row).alias(_rule("trips:blank_trip_id")),
+        F.when(is_trip & ~first & ~blank, row).alias(_rule("trips:duplicate_trip_id")),
+        F.when(~is_trip, F.col("freq_row")).alias(_rule("frequencies:unknown_trip")),
+        *[F.col(_rule(r)) for r in _FREQUENCY_ROW_RULES],
     )
-    full = groups.join(known_routes, ["feed_id", "route_id"], "left").join(
-        days.withColumn("service_known", F.lit(True)), ["feed_id", "service_id"], "left"
+    carried = ("trips:blank_trip_id", "trips:duplicate_trip_id", "frequencies:unknown_trip",
+               *_FREQUENCY_ROW_RULES)
+    groups = facts.groupBy("k.key", "feed_id", "k.kind").agg(
+        F.sum("n").alias("n"), F.bool_or("inexact").alias("inexact"),
+        F.min("first_row").alias("first_row"),
+        *[F.min(_rule(r)).alias(_rule(r)) for r in carried],
     )
-    first_row = F.col("first_row")
-    no_service, no_route = gtfs.is_blank(F.col("service_id")), gtfs.is_blank(F.col("route_id"))
+    days = service.service_days(
+        service.typed_calendar(t.calendar), service.target_calendar_dates(t.calendar_dates, dates),
+        dates)
+    known = days.select(
+        F.col("service_id").alias("key"), "feed_id", F.lit("S").alias("kind"), "day_mask"
+    ).unionByName(t.routes.select(
+        F.col("route_id").alias("key"), "feed_id", F.lit("R").alias("kind")
+    ).distinct().withColumn("day_mask", F.lit(0).cast("bigint")))
+    full = groups.join(known, ["key", "feed_id", "kind"], "left")
+    first_row, no_key = F.col("first_row"), gtfs.is_blank(F.col("key"))
+    unknown = ~no_key & F.col("day_mask").isNull()
+    is_service, is_route = F.col("kind") == "S", F.col("kind") == "R"
     per_day = []
     for i in range(len(dates)):
-        on = F.coalesce(service.day_bit(F.col("day_mask"), i), F.lit(False))
-        per_day.append(F.sum(F.when(on, F.col("n")).otherwise(0)).alias(f"n{i}"))
-        per_day.append(F.max(on & F.col("inexact")).alias(f"x{i}"))
-    carried = ("trips:blank_trip_id", "trips:duplicate_trip_id", "frequencies:unknown_trip",
-               *_FREQUENCY_ROW_RULES)
+        on = is_service & F.coalesce(service.day_bit(F.col("day_mask"), i), F.lit(False))
+        per_day.append(F.sum(F.when(on, F.coalesce("n", F.lit(0))).otherwise(0)).alias(f"n{i}"))
+        per_day.append(F.max(on & F.coalesce("inexact", F.lit(False))).alias(f"x{i}"))
     return full.groupBy("feed_id").agg(
         *[F.min(_rule(r)).alias(_rule(r)) for r in carried],
-        _first("trips:blank_service_id", no_service, first_row),
-        _first("trips:blank_route_id", no_route, first_row),
-        _first("trips:unknown_route", ~no_route & F.col("route_known").isNull(), first_row),
-        _first("trips:unknown_service", ~no_service & F.col("service_known").isNull(), first_row),
+        _first("trips:blank_service_id", is_service & no_key, first_row),
+        _first("trips:blank_route_id", is_route & no_key, first_row),
+        _first("trips:unknown_route", is_route & unknown, first_row),
+        _first("trips:unknown_service", is_service & unknown, first_row),
         *per_day,
     )
 
 
-def feed_checks(t: FeedTables, dates: list[date]) -> DataFrame:
-    """One row per feed: first broken row of every rule, file facts and daily sums."""
+@dataclass(frozen=True)
+class FeedChecks:
+    """Broken rules of the small tables as rows, and one wide row per feed from its trips."""
+
+    files: DataFrame
+    violations: DataFrame
+    trips: DataFrame
+
+
+def feed_checks(t: FeedTables, dates: list[date]) -> FeedChecks:
+    """Evaluate every precondition and the daily sums of all feeds."""
     service.check_dates(dates)
     calendar = with_columns(t.calendar, REQUIRED_COLUMNS["calendar"])
     calendar_dates = with_columns(t.calendar_dates, REQUIRED_COLUMNS["calendar_dates"])
-    t = FeedTables(
-        feeds=t.feeds, file_status=t.file_status, agency=t.agency,
-        routes=with_columns(t.routes, REQUIRED_COLUMNS["routes"]), stops=t.stops,
-        calendar=calendar, calendar_dates=calendar_dates,
+    routes = with_columns(t.routes, REQUIRED_COLUMNS["routes"])
+    full = replace(
+        t, routes=routes, calendar=calendar, calendar_dates=calendar_dates,
         trips=with_columns(t.trips, REQUIRED_COLUMNS["trips"]),
         frequencies=with_columns(
             t.frequencies, (*REQUIRED_COLUMNS["frequencies"], "exact_times")),
     )
     files = files_wide(t.feeds, t.file_status)
-    out = files.join(_file_rules(files), "feed_id", "left")
-    for part in (
-        _route_rules(t.routes), _calendar_rules(calendar), _calendar_dates_rules(calendar_dates),
-        _trip_flow(t, dates),
-    ):
-        out = out.join(part, "feed_id", "left")
-    return out
+    violations = (
+        _file_violations(files).unionByName(_route_violations(routes))
+        .unionByName(_calendar_violations(calendar))
+        .unionByName(_calendar_dates_violations(calendar_dates)))
+    return FeedChecks(files, violations, _trip_flow(full, dates))
 
 
-def _violations(checks: DataFrame) -> Column:
-    """Array of broken rules as (table_rank, row_idx, check_rank, reason), unordered."""
-    return F.array_compact(F.array(*[
-        F.when(
-            F.col(_rule(r)).isNotNull(),
-            F.struct(
-                F.lit(table).alias("table_rank"), F.col(_rule(r)).alias("row_idx"),
-                F.lit(check).alias("check_rank"), F.lit(r).alias("reason"),
-            ),
-        )
-        for r, (table, check) in RULES.items()
-    ]))
+def _trip_violations() -> list[Column]:
+    return [_violation(r, F.col(_rule(r)).isNotNull(), F.col(_rule(r))) for r in _TRIP_RULES]
 
 
-def feed_violations(checks: DataFrame) -> DataFrame:
+def feed_violations(c: FeedChecks) -> DataFrame:
     """(feed_id, reason, table_rank, check_rank, row_idx): first row of every broken rule."""
-    return checks.select("feed_id", F.explode(_violations(checks)).alias("v")).select(
-        "feed_id", "v.reason", "v.table_rank", "v.check_rank", "v.row_idx"
-    )
+    trips = c.trips.select(
+        "feed_id", F.explode(F.array_compact(F.array(*_trip_violations()))).alias("v"))
+    return c.violations.unionByName(trips).groupBy(
+        "feed_id", "v.reason", "v.table_rank", "v.check_rank"
+    ).agg(F.min("v.row_idx").alias("row_idx"))
 
 
-def _verdict(checks: DataFrame) -> Column:
-    return F.array_min(_violations(checks))
+def _judged(c: FeedChecks) -> DataFrame:
+    """Files and trip sums of each feed with ``verdict``, its first broken rule or NULL."""
+    small = c.violations.groupBy("feed_id").agg(F.min("v").alias("v"))
+    verdict = F.array_min(F.array_compact(F.array(F.col("v"), *_trip_violations())))
+    return (
+        c.files.select("feed_id").join(small, "feed_id", "left").join(c.trips, "feed_id", "left")
+        .withColumn("verdict", verdict))
 
 
-def feed_verdict(checks: DataFrame) -> DataFrame:
+def feed_verdict(c: FeedChecks) -> DataFrame:
     """(feed_id, is_valid, reason, row_idx): the first broken precondition of each feed."""
-    v = checks.select("feed_id", _verdict(checks).alias("v"))
-    return v.select(
-        "feed_id", F.col("v").isNull().alias("is_valid"), "v.reason", "v.row_idx"
-    )
+    return _judged(c).select(
+        "feed_id", F.col("verdict").isNull().alias("is_valid"), "verdict.reason",
+        "verdict.row_idx")
 
 
 def _triple(status: Column, value: Column, reason: Column) -> list[Column]:
@@ -314,25 +345,27 @@ def structure_metrics(t: FeedTables) -> DataFrame:
     files = files_wide(t.feeds, t.file_status)
     routes = with_columns(t.routes, ("route_id",))
     stops = with_columns(t.stops, ("stop_id", "location_type"))
-    lt = gtfs.strip(F.coalesce("location_type", F.lit("")))
-    boarding = lt.isin("", "0")
-    per_stop = stops.groupBy("feed_id", "stop_id").agg(
+    boarding = gtfs.strip(F.coalesce("location_type", F.lit(""))).isin("", "0")
+    route_keys = quality.key_counts(routes, ["feed_id"], ["route_id"])
+    stop_keys = stops.groupBy("feed_id", "stop_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(boarding).alias("b")
     ).withColumn("blank", gtfs.is_blank(F.col("stop_id")))
-    unique = F.count_if(~F.col("blank"))
-    stop_stats = per_stop.groupBy("feed_id").agg(
-        F.sum(F.when(F.col("blank"), F.col("n")).otherwise(0)).alias("stop_blank"),
-        (F.sum(F.when(~F.col("blank"), F.col("n")).otherwise(0)) - unique).alias("stop_dup"),
-        F.sum(F.when(~F.col("blank"), F.col("b")).otherwise(0)).alias("stop_value"),
-    )
-    route_stats = quality.id_stats(routes, ["feed_id"], ["route_id"]).select(
-        "feed_id", F.col("blank_count").alias("route_blank"),
-        F.col("duplicate_count").alias("route_dup"), F.col("unique_count").alias("route_value"),
-    )
-    agency = t.agency.groupBy("feed_id").agg(F.count(F.lit(1)).alias("agency_value"))
-    wide = files
-    for part in (agency, route_stats, stop_stats):
-        wide = wide.join(part, "feed_id", "left")
+
+    def facts(df: DataFrame, name: str, value: Column, n: Column, blank: Column) -> DataFrame:
+        return df.select(
+            "feed_id", F.lit(name).alias("t"), F.when(~blank, value).otherwise(0).alias("value"),
+            F.when(blank, n).otherwise(0).alias("blank"),
+            F.when(~blank, n - 1).otherwise(0).alias("dup"))
+
+    one, no = F.lit(1).cast("bigint"), F.lit(False)
+    keys = (
+        facts(t.agency, "agency", one, one, no)
+        .unionByName(facts(route_keys, "route", one, F.col("n"), F.col("blank")))
+        .unionByName(facts(stop_keys, "stop", F.col("b"), F.col("n"), F.col("blank"))))
+    stats = keys.groupBy("feed_id").agg(*[
+        F.sum(F.when(F.col("t") == p, F.col(c)).otherwise(0)).alias(f"{p}_{c}")
+        for p in ("agency", "route", "stop") for c in ("value", "blank", "dup")])
+    wide = files.join(stats, "feed_id", "left")
     zero = F.lit(0)
 
     def ladder(file: str, key: str | None, prefix: str) -> list[Column]:
@@ -362,9 +395,9 @@ def structure_metrics(t: FeedTables) -> DataFrame:
     return wide.select("feed_id", F.explode(rows).alias("m")).select("feed_id", "m.*")
 
 
-def daily_metrics(checks: DataFrame, dates: list[date]) -> DataFrame:
+def daily_metrics(checks: FeedChecks, dates: list[date]) -> DataFrame:
     """(feed_id, service_date, value, metric_status, reason) for each feed and target date."""
-    judged = checks.withColumn("verdict", _verdict(checks))
+    judged = _judged(checks)
     bad = F.col("verdict").isNotNull()
 
     def value(i: int) -> list[Column]:
