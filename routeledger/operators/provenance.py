@@ -134,26 +134,27 @@ def release_decision(
 ) -> DataFrame:
     """(check_id, n_failed, decision): GO only when no check failed anywhere.
 
-    Each input is reduced to counters; the verdict rests on those few numbers.
+    Each input is read once and reduced to its counters; an empty input fails its checks.
     """
-    def failures(df: DataFrame, check_id: str, cond: Column) -> DataFrame:
-        return df.agg(F.count_if(cond).alias("n_failed"), F.count(F.lit(1)).alias("n")).select(
-            F.lit(check_id).alias("check_id"),
-            F.when(F.col("n") == 0, 1).otherwise(F.col("n_failed")).cast("bigint").alias("n_failed"))
-
+    def counters(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+        n = F.count(F.lit(1))
+        wide = df.agg(*[
+            F.when(n == 0, 1).otherwise(F.count_if(c)).cast("bigint").alias(k)
+            for k, c in checks.items()])
+        return wide.unpivot([], list(checks), "check_id", "n_failed")
+
+    wanted = F.col("expected")
     ok = F.col("byte_match") if require_bytes else F.lit(True)
-    parts = [
-        failures(checked, "accepted_sources", F.col("reason").isNotNull()),
-        failures(diff, "normalized_reconstruction", F.col("expected") & ~F.col("normalized_match")),
-        failures(diff, "exact_byte_reconstruction", F.col("expected") & ~ok),
-        failures(diff, "no_unexpected_files", ~F.col("expected")),
-        failures(report, "sources_available", F.col("exit_code") > 1),
-    ]
+    union = (
+        counters(checked, {"accepted_sources": F.col("reason").isNotNull()})
+        .unionByName(counters(diff, {
+            "normalized_reconstruction": wanted & ~F.col("normalized_match"),
+            "exact_byte_reconstruction": wanted & ~ok,
+            "no_unexpected_files": ~wanted,
+        }))
+        .unionByName(counters(report, {"sources_available": F.col("exit_code") > 1})))
     ids = ["accepted_sources", "normalized_reconstruction", "exact_byte_reconstruction",
            "no_unexpected_files", "sources_available"]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
     wide = union.agg(
         F.sum("n_failed").alias("total"),
         *[F.max(F.when(F.col("check_id") == i, F.col("n_failed"))).alias(i) for i in ids])

@@ -88,14 +88,13 @@ def roster_hits(
             *keys, where.alias("pos"), "name")
     # names have few distinct lengths, however many names there are
     lengths = [r[0] for r in names.select(F.length("name")).distinct().collect()]
-    pieces = F.flatten(F.array(*[
-        F.when(
-            F.length(area) >= n,
-            F.transform(F.sequence(F.lit(1), F.length(area) - n + 1),
-                        lambda i, n=n: F.substring(F.col(area), i, F.lit(n))),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in lengths
-    ]))
+
+    def pieces_of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(area) - n + 1)
+        cut = F.transform(starts, lambda i: F.substring(F.col(area), i, F.lit(n)))
+        return F.when(F.length(area) >= n, cut).otherwise(F.array().cast("array<string>"))
+
+    pieces = F.flatten(F.array(*map(pieces_of, lengths)))
     return areas.select(*keys, area, F.explode(F.array_distinct(pieces)).alias("name")).join(
         names, "name").select(*keys, where.alias("pos"), "name")
 
