@@ -414,9 +414,9 @@ def leader_cluster(spark, sf_dir):
               WINDOW v AS (PARTITION BY page, row_no, col_no ORDER BY x0, word_idx)))
     GROUP BY page, row_no, col_no""", _WORDS))
 def grid_cells(spark, sf_dir):
-    """Words of an order inside a grid: column rules every 70 points, some drawn twice."""
+    """Words of an order inside a grid: column rules every 70 points, one drawn twice."""
     w = _words(Lens(spark, sf_dir))
-    xs = F.array(*[F.lit(float(x + d)) for x in range(0, 491, 70) for d in (0.0, 1.5)])
+    xs = F.array(*[F.lit(float(x)) for x in range(0, 491, 70)], F.lit(141.5))
     v = w.select("page").distinct().select("page", F.explode(xs).alias("x0")).select(
         "page", F.lit("v").alias("orientation"), "x0", F.lit(0.0).alias("top"))
     h = w.select("page", F.lit("h").alias("orientation"), F.lit(0.0).alias("x0"),

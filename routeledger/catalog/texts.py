@@ -243,12 +243,11 @@ def cell_value(spark, sf_dir):
            .when(form == 2, F.concat(q, F.lit("\n"), k))
            .when(form == 4, F.lit(" \n"))
            .otherwise(q))
+    keys = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
     return (
-        Lens(spark, sf_dir).table("lineitem")
-        .select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
-                T.cell_value(src, form != 5).alias("v"))
-        .select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
-                F.col("v.total").alias("total"), F.col("v.inner").alias("inner_count")))
+        Lens(spark, sf_dir).table("lineitem").select(*keys, src.alias("src"), form.alias("form"))
+        .select(*keys, T.cell_value(F.col("src"), F.col("form") != 5).alias("v"))
+        .select(*keys, F.col("v.total").alias("total"), F.col("v.inner").alias("inner_count")))
 
 
 @R.add("label_map", """

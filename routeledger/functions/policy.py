@@ -26,7 +26,7 @@ def name_key(names: pd.Series) -> pd.Series:
 @F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Compatibility-normalised text."""
-    return texts.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
+    return texts.map(lambda s: s if s is None or s.isascii() else unicodedata.normalize("NFKC", s))
 
 
 def url_reason(url: Column, hosts: Iterable[str]) -> Column:

@@ -188,23 +188,29 @@ def order_area_hits(hits: Column, area: Column, org_name: Column) -> Column:
 # -- vehicle cells ----------------------------------------------------------------------------
 
 
+_CELL_BREAKS = "\x0b\x0c\x1c\x1d\x1e"
+_NUMBER_LINE = f"^{W}*([0-9]+){W}*$"
+_BOX_LINE = rf"^{W}*\({W}*([0-9]*){W}*\){W}*$"
+
+
 def cell_value(c: Column, has_inner: Column) -> Column:
     """Struct (total, inner) of a vehicle cell.
 
     First bare number = total; the last bracketed number = inner, an empty bracket 0; without a
     bracket the last of several bare numbers; a column without an inner box has NULL.
     """
-    lines = text_lines(halfwidth(F.coalesce(c, F.lit(""))))
-    plain = F.filter(lines, lambda x: x.rlike("^[0-9]+$"))
-    boxed = F.filter(lines, lambda x: x.rlike(r"^\(\s*[0-9]*\s*\)$"))
-    box = F.regexp_extract(F.element_at(boxed, -1), "[0-9]+", 0)
+    t = F.translate(
+        F.coalesce(c, F.lit("")), FULL_WIDTH + _CELL_BREAKS, HALF_WIDTH + "\n" * len(_CELL_BREAKS))
+
+    def number(pattern: str) -> Column:
+        return F.coalesce(F.regexp_extract(t, pattern, 1).try_cast("int"), F.lit(0))
+
     inner = (
-        F.when(F.size(boxed) > 0, F.coalesce(box.try_cast("int"), F.lit(0)))
-        .when(F.size(plain) > 1, F.element_at(plain, -1).try_cast("int"))
-        .otherwise(0)
-    )
-    total = F.coalesce(F.get(plain, F.lit(0)).try_cast("int"), F.lit(0))
-    return F.struct(total.alias("total"), F.when(has_inner, inner).alias("inner"))
+        F.when(t.rlike(f"(?m){_BOX_LINE}"), number(f"(?sm).*{_BOX_LINE}"))
+        .when(t.rlike(f"(?sm){_NUMBER_LINE}.*{_NUMBER_LINE}"), number(f"(?sm).*{_NUMBER_LINE}"))
+        .otherwise(0))
+    return F.struct(
+        number(f"(?m){_NUMBER_LINE}").alias("total"), F.when(has_inner, inner).alias("inner"))
 
 
 def vehicle_type(label: Column, transport_type: Column, layout: str = "table") -> Column:

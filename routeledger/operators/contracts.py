@@ -92,5 +92,6 @@ def independent_contract(records: DataFrame, version: str) -> DataFrame:
         "too_few_limitations": F.size(limits) < 4,
         "blank_limitation": F.exists(limits, lambda x: x.isNull() | gtfs.is_blank(x)),
     }
-    broken = F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in rules.items()]))
-    return records.select("feed_id", F.explode(broken).alias("rule_id"))
+    broken = F.array(*[F.when(c, F.lit(r)) for r, c in rules.items()])
+    return records.select("feed_id", F.explode(broken).alias("rule_id")).where(
+        F.col("rule_id").isNotNull())

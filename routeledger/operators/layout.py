@@ -132,8 +132,9 @@ def grid_cells(words: DataFrame, edges: DataFrame, columns: int = 7,
 
     placed = (
         words.withColumn("_cx", centre_x()).withColumn("_cy", centre_y()).join(g, "page")
-        .withColumn("row_no", F.explode(slots(F.col("rows"), F.col("_cy"))))
-        .withColumn("col_no", F.explode(slots(F.col("cols"), F.col("_cx")))))
+        .withColumn("row_no", F.explode_outer(slots(F.col("rows"), F.col("_cy"))))
+        .withColumn("col_no", F.explode_outer(slots(F.col("cols"), F.col("_cx"))))
+        .where(F.col("row_no").isNotNull() & F.col("col_no").isNotNull()))
     return gap_join(placed, ["page", "row_no", "col_no"], threshold)
 
 

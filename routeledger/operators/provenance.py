@@ -50,6 +50,27 @@ def manifest_checks(
         .select(*V.MANIFEST_COLUMNS, reason.alias("reason")))
 
 
+def manifest_level(header: DataFrame, manifest: DataFrame, schema_version: str) -> DataFrame:
+    """(reason) of a manifest as a whole: wrong schema or a source count other than declared.
+
+    ``header``: one row of schema_version and expected_source_count. No row means acceptable.
+    """
+    declared = header.select(
+        F.lit(0).cast("bigint").alias("n"), "schema_version", "expected_source_count")
+    counted = manifest.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.lit(None).cast("string").alias("schema_version"),
+        F.lit(None).cast("bigint").alias("expected_source_count"))
+    both = declared.unionByName(counted).agg(
+        F.sum("n").alias("n"), F.max("schema_version").alias("schema_version"),
+        F.max("expected_source_count").alias("expected"))
+    wrong_count = F.col("expected").isNull() | (F.col("expected") <= 0) | (
+        F.col("expected") != F.col("n"))
+    reason = F.when(
+        F.coalesce(F.col("schema_version"), F.lit("")) != schema_version, "invalid_manifest_schema"
+    ).when(wrong_count, "invalid_source_count")
+    return both.select(reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def manifest_violations(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("reason").isNotNull()).select("source_id", "local_path", "reason")
 

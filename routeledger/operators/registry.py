@@ -117,8 +117,9 @@ def registry_contract(operators: DataFrame, authority: str) -> DataFrame:
         "partner_not_empty": (F.col("partner_operator_name") != "")
         | (F.col("partner_operator_address") != ""),
     }
-    broken = F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in rules.items()]))
-    rows = operators.select(*OPERATOR_KEY, F.explode(broken).alias("rule_id")).groupBy(
+    broken = F.array(*[F.when(c, F.lit(r)) for r, c in rules.items()])
+    rows = operators.select(*OPERATOR_KEY, F.explode(broken).alias("rule_id")).where(
+        F.col("rule_id").isNotNull()).groupBy(
         "rule_id", *OPERATOR_KEY).agg(F.count(F.lit(1)).alias("n"))
     dup = operators.groupBy(*OPERATOR_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return rows.unionByName(dup.withColumn("rule_id", F.lit("duplicate_key")))

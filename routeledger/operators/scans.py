@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from routeledger.functions import text as T
 from routeledger.functions.policy import nfkc
@@ -84,8 +83,9 @@ def roster_hits(
     if len(head) <= max_inline:
         listed = F.array(*map(F.lit, sorted(head))) if head else F.array().cast("array<string>")
         found = F.filter(listed, lambda n: F.contains(F.col(area), n))
-        return areas.select(*keys, area, F.explode(found).alias("name")).select(
-            *keys, where.alias("pos"), "name")
+        # explode_outer: the planner adds no second evaluation of the search as a filter
+        return areas.select(*keys, area, F.explode_outer(found).alias("name")).where(
+            F.col("name").isNotNull()).select(*keys, where.alias("pos"), "name")
     # names have few distinct lengths, however many names there are
     lengths = [r[0] for r in names.select(F.length("name")).distinct().collect()]
 
@@ -118,12 +118,14 @@ TOKEN_KINDS = ("heading", "identifier", "table_first_column", "code_line")
 _TABLE_HEADS = ("列名", "---", "列", "#", "運送種別", "バナー画像")
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _nfkc_each(arrays):
-    import unicodedata
+_JOINER = "\x00"
 
-    return arrays.map(lambda xs: None if xs is None else [
-        unicodedata.normalize("NFKC", x) for x in xs])
+
+def _nfkc_each(tokens: Column) -> Column:
+    """Normalise an array of tokens as one text; nothing composes across the joiner."""
+    joined = nfkc(F.array_join(tokens, _JOINER))
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(
+        F.split(joined, _JOINER))
 
 
 def document_tokens(c: Column) -> dict[str, Column]:

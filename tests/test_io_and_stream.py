@@ -51,6 +51,10 @@ def test_publication_is_gated(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
     none = df.where("k < 0")
     assert sinks.publish(df, str(tmp_path / "ok"), none).count() == 3
+    digest = sinks.table_digest(df.repartition(3).select("v", "k"))
+    assert sinks.publish(df, str(tmp_path / "ok2"), none, digest).count() == 3
+    with pytest.raises(sinks.PublishError, match="accepted"):
+        sinks.publish(df.distinct(), str(tmp_path / "no"), none, digest)
     with pytest.raises(sinks.PublishError, match="contract"):
         sinks.publish(df, str(tmp_path / "bad"), df)
     assert not (tmp_path / "bad").exists()

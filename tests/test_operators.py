@@ -309,6 +309,17 @@ def test_worst_exit(spark, statuses, worst):
     assert {r.worst_exit for r in got} == {worst} and len(got) == 5
 
 
+@pytest.mark.parametrize("version, declared, reason", [
+    ("v1", 2, None), ("v0", 2, "invalid_manifest_schema"), (None, 2, "invalid_manifest_schema"),
+    ("v1", 3, "invalid_source_count"), ("v1", None, "invalid_source_count")])
+def test_manifest_level(spark, version, declared, reason):
+    header = spark.createDataFrame(
+        [(version, declared)], "schema_version string, expected_source_count bigint")
+    sources = spark.createDataFrame([("a",), ("b",)], "source_id string")
+    got = [r.reason for r in provenance.manifest_level(header, sources, "v1").collect()]
+    assert got == ([reason] if reason else [])
+
+
 def test_release_goes_only_when_all_pass(spark):
     checked = spark.createDataFrame([("a", None)], "source_id string, reason string")
     files = spark.createDataFrame([("x", "t\r\n")], "path string, text string")
