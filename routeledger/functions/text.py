@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from routeledger import vocab as V
+from routeledger.functions.gtfs import strip
 
 # Unicode blanks; Java's \s covers ASCII only
 W = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
@@ -27,10 +28,6 @@ def scope_char(c: Column) -> Column:
     return F.translate(c, "二", "ニ")
 
 
-def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{W}+|{W}+$", "")
-
-
 def remove_blanks(c: Column) -> Column:
     return F.regexp_replace(c, f"{W}+", "")
 
@@ -310,10 +307,3 @@ def half_step(c: Column) -> Column:
 def split_list(c: Column) -> Column:
     """';'-list to array without empty entries."""
     return F.filter(F.split(F.coalesce(c, F.lit("")), ";"), lambda x: x != "")
-
-
-def map_values(c: Column, mapping: Mapping[str, str]) -> Column:
-    out = F.lit(None).cast("string")
-    for k, v in mapping.items():
-        out = F.when(c == k, v).otherwise(out)
-    return out
