@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from routeledger.catalog import Registry
-from routeledger.llm import shared, substring
+from routeledger.llm import decontaminate, shared, substring
 
 R = Registry()
 
@@ -28,3 +28,33 @@ from d left join kept using (doc_id)
 @R.add("op7_substring_dedup", _SUBSTRING_SQL)
 def op7_substring_dedup(spark, sf_dir):
     return substring.removal(shared.read(spark, sf_dir, "documents"))
+
+
+#: A-Z folded, other letters left alone; words of letters, digits and all beyond ASCII.
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN = rf"list_filter(regexp_split_to_array({_FOLDED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+_DECONTAMINATE_SQL = f"""
+with d as (select doc_id, {_PLAIN} as w from documents),
+b as (select item_id, {_PLAIN} as w from benchmark),
+win as (select distinct item_id, least(len(w), 13) as n, array_to_string(w[i:i + 12], ' ') as k
+        from (select item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as i from b where len(w) > 0)),
+sizes as (select distinct n from win),
+place as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as k
+          from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, sizes)),
+hit as (select doc_id, p.n, i, item_id from place p join win using (n, k)),
+spot as (select doc_id, count(*) as n_hit from (
+          select distinct doc_id, unnest(range(i, i + n)) as p from (select distinct doc_id, n, i from hit)) group by doc_id),
+own as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+        from (select distinct doc_id, cast(item_id as varchar) as id from hit) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join spot using (doc_id) left join own using (doc_id)
+"""
+
+
+@R.add("op10_decontaminate", _DECONTAMINATE_SQL)
+def op10_decontaminate(spark, sf_dir):
+    items = shared.read(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "doc_id")
+    return decontaminate.contamination(shared.read(spark, sf_dir, "documents"), items).drop("ver")
