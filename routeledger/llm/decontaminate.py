@@ -35,7 +35,7 @@ def _slot(terms: np.ndarray) -> np.ndarray:
 
 def _window_rows(length: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.portions(batches):
             words = W.split(batch.column("text"), W.ALNUM, True)
             size = np.diff(words.first)
             ids = batch.column("doc_id").to_numpy()
@@ -77,7 +77,7 @@ def _hit(bitmap: np.ndarray, terms: np.ndarray) -> np.ndarray:
 
 def _count_rows(bitmap: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.portions(batches):
             terms = W.split(batch.column("text"), W.ALNUM, True).hash
             term, n = np.unique(terms[_hit(bitmap, terms)], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n)], ["term", "n"])
@@ -86,7 +86,7 @@ def _count_rows(bitmap: np.ndarray):
 
 def _index_rows(vocabulary: np.ndarray, entries: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.portions(batches):
             words = W.split(batch.column("text"), W.ALNUM, True)
             row, size = words.row(), np.diff(words.first)
             known = np.flatnonzero(_hit(vocabulary, words.hash))

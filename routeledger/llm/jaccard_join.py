@@ -71,7 +71,7 @@ def gram_sets(words: W.Words, k: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, ver, key1, key2 (equal for copies), sketch: T smallest hashes; only rows with words."""
-    for batch in batches:
+    for batch in W.portions(batches):
         words = W.split(batch.column("text"), W.SPACE, False)
         size = np.diff(words.first)
         some = np.flatnonzero(size)
@@ -236,7 +236,7 @@ def _active_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in W.portions(batches):
         grams, at = gram_sets(W.split(batch.column("text"), W.SPACE, False))
         sets = [np.unique(grams[a:b]).view(np.int64) for a, b in zip(at[:-1], at[1:])]
         yield pa.RecordBatch.from_arrays(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from routeledger.catalog import Registry
-from routeledger.llm import decontaminate, shared, substring
+from routeledger.llm import decontaminate, jaccard_join, shared, substring
 
 R = Registry()
 
@@ -58,3 +58,8 @@ from d left join spot using (doc_id) left join own using (doc_id)
 def op10_decontaminate(spark, sf_dir):
     items = shared.read(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "doc_id")
     return decontaminate.contamination(shared.read(spark, sf_dir, "documents"), items).drop("ver")
+
+
+@R.add("op9_ngram_jaccard_join")
+def op9_ngram_jaccard_join(spark, sf_dir):
+    return jaccard_join.similar(shared.read(spark, sf_dir, "documents")).drop("ver")

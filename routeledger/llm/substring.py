@@ -65,7 +65,7 @@ def _chosen(words: W.Words, length: int, seed: int) -> tuple[np.ndarray, np.ndar
 def _anchor_rows(length: int, seed: int):
     """anchor, reach (a hash of its words), doc_id, at, and the windows: back * 1024 + count, from at - back on."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.portions(batches):
             words = W.split(batch.column("text"), W.SPACE, False)
             starts, place, piece = _chosen(words, length, seed)
             whole = W.grams(words.hash, length, 5)
@@ -86,7 +86,7 @@ def _anchor_rows(length: int, seed: int):
 
 def _window_rows(length: int, seed: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.portions(batches):
             words = W.split(batch.column("text"), W.SPACE, False)
             starts, place, _ = _chosen(words, length, seed)
             edges = batch.column("edges")
@@ -106,7 +106,7 @@ def _window_rows(length: int, seed: int):
 def _removal(length: int, with_text: bool):
     """Words, words removed and the digest of the kept ones; with_text: also what is left of the text."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.portions(batches):
             words = W.split(batch.column("text"), W.SPACE, False)
             n = len(words.hash)
             repeats = batch.column("repeats")

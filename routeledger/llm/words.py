@@ -1,6 +1,6 @@
 """Word boundaries and word hashes of whole Arrow columns in numpy, without a loop over rows.
 
-A column's bytes are handled in pieces of about a megabyte that end between words, so memory follows
+A column's bytes are handled in small pieces that end between words, so memory follows
 the words found and not the piece size, however long one text is.
 """
 
@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_PIECE = 1 << 20
+_PIECE = 1 << 18
+_PORTION = 1 << 21
 _BASE = 0x9E3779B97F4A7C15 | 1
 _ALL = (1 << 64) - 1
 
@@ -99,6 +100,17 @@ def column(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def portions(batches: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of the batches of about _PORTION text bytes each, at least a row: bounds a worker's arrays."""
+    for batch in batches:
+        _, offsets = column(batch.column(name))
+        at, n = 0, len(batch)
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _PORTION)))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def _pieces(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
     """Cuts of the bytes between words; ends marks the bytes after which a word cannot go on."""
     at, n = 0, len(data)
