@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from routeledger.catalog import Registry
-from routeledger.llm import decontaminate, jaccard_join, shared, substring
+from routeledger.llm import bpe, decontaminate, jaccard_join, shared, substring
 
 R = Registry()
 
@@ -63,3 +65,8 @@ def op10_decontaminate(spark, sf_dir):
 @R.add("op9_ngram_jaccard_join")
 def op9_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.similar(shared.read(spark, sf_dir, "documents")).drop("ver")
+
+
+@R.add("op4_bpe_encode_decode")
+def op4_bpe_encode_decode(spark, sf_dir):
+    return bpe.digests(shared.read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
