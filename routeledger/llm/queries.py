@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from routeledger.catalog import Registry
-from routeledger.llm import bpe, decontaminate, jaccard_join, shared, substring
+from routeledger.llm import bpe, decontaminate, jaccard_join, language, shared, substring, toxicity
 
 R = Registry()
 
@@ -70,3 +71,20 @@ def op9_ngram_jaccard_join(spark, sf_dir):
 @R.add("op4_bpe_encode_decode")
 def op4_bpe_encode_decode(spark, sf_dir):
     return bpe.digests(shared.read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@R.add("op5_language_id")
+def op5_language_id(spark, sf_dir):
+    return language.of_documents(shared.read(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "language", "posterior", "accepted")
+
+
+@R.add("page_language_id")
+def page_language_id(spark, sf_dir):
+    return language.of_pages(shared.read(spark, sf_dir, "pages")).select(
+        F.col("id").alias("page_id"), "language", "posterior", "accepted")
+
+
+@R.add("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    return toxicity.grade(shared.read(spark, sf_dir, "documents"), shared.read(spark, sf_dir, "labels"))
