@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from routeledger.catalog import Registry
-from routeledger.llm import bpe, decontaminate, jaccard_join, language, shared, substring, toxicity
+from routeledger.llm import bpe, chat, decontaminate, jaccard_join, language, shared, substring, toxicity
 
 R = Registry()
 
@@ -88,3 +88,30 @@ def page_language_id(spark, sf_dir):
 @R.add("op8_toxicity")
 def op8_toxicity(spark, sf_dir):
     return toxicity.grade(shared.read(spark, sf_dir, "documents"), shared.read(spark, sf_dir, "labels"))
+
+
+_CHAT_SQL = r"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+           union all select -7, * from (values (0, 'user', '</s>[INST] ok [/INST]'),
+                                               (1, 'assistant', '</s>[INST] ok [/INST]')) as v(turn, role, text)),
+n as (select *, length(text) + length(regexp_replace(text, '[^\\<\[\]]', '', 'g')) as body,
+             length(role) + length(regexp_replace(role, '[^\\<\[\]]', '', 'g')) as name,
+             lag(role) over (partition by conv_id order by turn, role, text) as before
+      from t where conv_id is not null)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       cast(3 + sum(body + case when before is not distinct from role then 3 else name + 6 end) as bigint)
+           as formatted_chars
+from n group by conv_id
+"""
+
+
+@R.add("op3_chat_format", _CHAT_SQL)
+def op3_chat_format(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    given = shared.read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(given.unionByName(own))
