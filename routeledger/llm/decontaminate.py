@@ -1,8 +1,8 @@
 """Benchmark passages in training documents, by a positional inverted index of the documents.
 
 Windows of `length` words of each benchmark item are looked up as phrases. All documents are counted for
-the benchmark's terms; the rarest term of a window is its entry. The index holds, of documents with an entry
-term, the postings (term, document, position) of benchmark terms. Entry postings less the term's offset give
+the benchmark's terms; the rarest term of a window is its entry. The index holds the postings (term, document,
+position) of the benchmark's terms that stand close enough to an entry term to be in one window with it. Entry postings less the term's offset give
 the possible starts; a start is an exact match when the offset-adjusted postings of all the other terms meet
 there. Terms are 64-bit hashes of words.
 
@@ -84,15 +84,17 @@ def _count_rows(bitmap: np.ndarray):
     return rows
 
 
-def _index_rows(vocabulary: np.ndarray, entries: np.ndarray):
+def _index_rows(vocabulary: np.ndarray, entries: np.ndarray, reach: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.portions(batches):
             words = W.split(batch.column("text"), W.ALNUM, True)
             row, size = words.row(), np.diff(words.first)
             known = np.flatnonzero(_hit(vocabulary, words.hash))
-            chosen = np.zeros(len(batch), bool)
-            chosen[row[known[_hit(entries, words.hash[known])]]] = True
-            known = known[chosen[row[known]]]
+            entry = known[_hit(entries, words.hash[known])]
+            change = np.zeros(len(row) + 1, np.int64)
+            np.add.at(change, np.maximum(entry - reach, 0), 1)
+            np.add.at(change, np.minimum(entry + reach + 1, len(row)), -1)
+            known = known[np.cumsum(change)[known] > 0]
             at = np.searchsorted(known, words.first).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(x)) for x in
                      (words.hash[known].view(np.int64), (known - words.first[row[known]]).astype(np.int32))]
@@ -103,9 +105,13 @@ def _index_rows(vocabulary: np.ndarray, entries: np.ndarray):
 
 
 class Index:
-    """The documents' positional index for one set of windows, landed in the shared folder."""
+    """The documents' positional index for one set of windows, landed in the shared folder.
 
-    def __init__(self, docs: DataFrame, items: DataFrame, length: int = LENGTH) -> None:
+    reach: words from an entry term up to which terms are kept; proximity() needs at least length + slop.
+    """
+
+    def __init__(self, docs: DataFrame, items: DataFrame, length: int = LENGTH, reach: int | None = None) -> None:
+        reach = length - 1 if reach is None else reach
         rows = shared.texts(docs).select("doc_id", F.hash("text").alias("ver"), "text")
         self.of_items = shared.landed(item_windows(items, length), "benchmark-windows")
         windows = self.of_items.dropDuplicates(["key1", "key2"])
@@ -120,14 +126,14 @@ class Index:
         #: windows whose every term some document has, rarest term first
         self.need = shared.landed(ranked.where("size(need) = size"), "benchmark-terms")
         entries = self.need.select(F.col("need")[0].term.alias("term"))
-        #: one row per document, with the postings of benchmark terms if it has an entry term
+        #: one row per document, with the postings of benchmark terms near its entry terms
         self.docs = shared.landed(rows.mapInArrow(
-            _index_rows(vocabulary, _bitmap(entries)),
+            _index_rows(vocabulary, _bitmap(entries), reach),
             "doc_id long, ver int, n_words long, terms array<long>, places array<int>"), "positional-index")
 
     def postings(self) -> DataFrame:
         """(term, doc_id, ver, place)."""
-        return self.docs.where("size(terms) > 0").dropDuplicates(["doc_id", "ver"]).select(
+        return self.docs.where("size(terms) > 0").select(
             "doc_id", "ver", F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("places").alias("place"))),
         )
 
@@ -141,15 +147,15 @@ class Index:
                     F.slice("need", 2, F.size("need")).alias("rest"))
             .where("start >= 0")
         )
-        short = starts.where("size = 1").drop("rest")
+        short = starts.where("size = 1").drop("rest").distinct()
         others = starts.where("size > 1").select(
             "doc_id", "ver", "start", "size", "key1", "key2", F.explode("rest").alias("x")
         ).select("doc_id", "ver", "start", "size", "key1", "key2", F.col("x.term").alias("term"),
                  (F.col("start") + F.col("x.offset")).alias("place"))
         met = (
             others.join(self.postings(), ["doc_id", "ver", "term", "place"])
-            .groupBy("doc_id", "ver", "start", "size", "key1", "key2").agg(F.count(F.lit(1)).alias("n"))
-            .where("n = size - 1").drop("n")
+            .groupBy("doc_id", "ver", "start", "size", "key1", "key2")
+            .agg(F.size(F.collect_set("place")).alias("n")).where("n = size - 1").drop("n")
         )
         return met.unionByName(short)
 
