@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from routeledger.catalog import Registry
-from routeledger.llm import bpe, chat, decontaminate, jaccard_join, language, shared, substring, toxicity
+from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, shared, substring, toxicity
 
 R = Registry()
 
@@ -115,3 +115,8 @@ def op3_chat_format(spark, sf_dir):
         [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     given = shared.read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(given.unionByName(own))
+
+
+@R.add("op6_html_text")
+def op6_html_text(spark, sf_dir):
+    return html_text.extracted(shared.read(spark, sf_dir, "pages"))
