@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from routeledger.catalog import Registry
-from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, shared, substring, toxicity
+from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, neighbours, shared, substring, toxicity
 
 R = Registry()
 
@@ -120,3 +120,8 @@ def op3_chat_format(spark, sf_dir):
 @R.add("op6_html_text")
 def op6_html_text(spark, sf_dir):
     return html_text.extracted(shared.read(spark, sf_dir, "pages"))
+
+
+@R.add("op1_nearest_neighbours")
+def op1_nearest_neighbours(spark, sf_dir):
+    return neighbours.search(shared.read(spark, sf_dir, "embeddings"))
