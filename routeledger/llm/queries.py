@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from routeledger.catalog import Registry
-from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, neighbours, shared, substring, toxicity
+from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, language_model, neighbours, shared, substring, toxicity
 
 R = Registry()
 
@@ -125,3 +125,8 @@ def op6_html_text(spark, sf_dir):
 @R.add("op1_nearest_neighbours")
 def op1_nearest_neighbours(spark, sf_dir):
     return neighbours.search(shared.read(spark, sf_dir, "embeddings"))
+
+
+@R.add("op2_language_model")
+def op2_language_model(spark, sf_dir):
+    return language_model.scored(shared.read(spark, sf_dir, "documents"))
