@@ -149,13 +149,11 @@ def _leaves(texts: DataFrame, n_roots: int) -> DataFrame:
 
 def _cells(leaves: DataFrame) -> DataFrame:
     """leaves with a cell per pair of blocks: (path, low, high), and which of the two the text is in."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    blocks = F.when(F.col("n") <= SMALL, F.lit(1)).otherwise(F.ceil(F.col("n") / BLOCK).cast("int"))
     return (
-        leaves.withColumn("blocks", F.when(F.col("n") <= SMALL, F.lit(1)).otherwise(blocks))
-        .withColumn("own", F.when(F.col("blocks") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-        .withColumn("other", other)
+        leaves.withColumn("blocks", blocks)
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
         .drop("other", "n", "blocks")
     )
@@ -189,26 +187,44 @@ def _bounds(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _likely(sketch: np.ndarray, own: np.ndarray, low: int, high: int, paths: list[np.ndarray], path: int):
-    """Pairs (i < j by place) of a cell that agree in LIKELY positions and meet here first."""
-    m = len(sketch)
-    if m == 2:
-        agree = np.array([[0, (sketch[0] == sketch[1]).sum()], [0, 0]])
+    """Pairs (i < j by place) of a cell that meet here first and agree in LIKELY positions."""
+    if len(sketch) == 2:
+        i, j = np.array([0]), np.array([1])
+        if low != high and own[0] == own[1] or _common([p[p < path] for p in paths])[0, 1]:
+            return i[:0], j[:0]
     else:
-        agree = np.zeros((m, m), np.int16)
-        for j in range(T):
-            agree += sketch[:, j, None] == sketch[None, :, j]
-    ok = np.triu(agree >= LIKELY, 1)
-    if low != high:
-        ok &= own[:, None] != own[None, :]
-    i, j = np.nonzero(ok)
-    first = np.array([_first_common(paths[a], paths[b]) == path for a, b in zip(i, j)], bool)
-    return i[first], j[first]
-
-
-def _first_common(a: np.ndarray, b: np.ndarray) -> int:
-    """The smallest value of two sorted arrays that is in both."""
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    return a[np.argmax(b[at] == a)]
+        fresh = np.triu(_common([p[p < path] for p in paths]) == 0, 1)
+        if low != high:
+            fresh &= own[:, None] != own[None, :]
+        i, j = np.nonzero(fresh)
+    agree = np.concatenate([(sketch[i[a:a + 50_000]] == sketch[j[a:a + 50_000]]).sum(axis=1)
+                            for a in range(0, len(i), 50_000)] or [np.zeros(0, np.int64)])
+    return i[agree >= LIKELY], j[agree >= LIKELY]
+
+
+def _common(lists: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all lists (of distinct values), by incidence matrices in bounded slices."""
+    m = len(lists)
+    if m == 2:
+        n = np.isin(lists[0], lists[1], assume_unique=True).sum()
+        return np.array([[0, n], [n, 0]])
+    total = np.zeros((m, m), np.float32)
+    flat = np.concatenate(lists)
+    if not len(flat):
+        return total
+    owner = np.repeat(np.arange(m), [len(x) for x in lists])
+    _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+    several = times > 1
+    keep = several[code]
+    owner, code = owner[keep], (np.cumsum(several) - 1)[code[keep]]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    for a in range(0, int(several.sum()), 4096):
+        lo, hi = np.searchsorted(code, [a, a + 4096])
+        part = np.zeros((m, int(code[hi - 1]) - a + 1), np.float32)
+        part[owner[lo:hi], code[lo:hi] - a] = 1
+        total += part @ part.T
+    return total
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -244,24 +260,10 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of sets i and j, pair by pair or, for many pairs, by incidence matrices."""
+    """Sizes of the intersections of sets i and j, pair by pair or, for many pairs, of all at once."""
     if len(i) < 2 * len(sets):
         return np.array([np.isin(sets[a], sets[b], assume_unique=True).sum() for a, b in zip(i, j)])
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    gram, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared_code = np.cumsum(times > 1) - 1
-    keep = times[code] > 1
-    owner, code = owner[keep], shared_code[code[keep]]
-    order = np.argsort(code, kind="stable")
-    owner, code = owner[order], code[order]
-    total = np.zeros((len(sets), len(sets)), np.float32)
-    step = 4096
-    for a in range(0, int((times > 1).sum()), step):
-        lo, hi = np.searchsorted(code, [a, a + step])
-        part = np.zeros((len(sets), step), np.float32)
-        part[owner[lo:hi], code[lo:hi] - a] = 1
-        total += part @ part.T
-    return total[i, j].astype(np.int64)
+    return _common(sets)[i, j].astype(np.int64)
 
 
 def _link_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,8 +319,9 @@ def similar(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     active = shared.landed(_sorted_cells(_cells(leaves).join(about, "node")).mapInArrow(
         _active_rows, f"{_NODE}, own int, path long, low int, high int"), "active")
     wanted = active.select("node").distinct()
+    # the same plan at every size: the wanted texts are joined by shuffling, never sent to all tasks
     sets = rows.withColumn("node", F.struct("doc_id", "ver")).select("node", "text").join(
-        wanted, "node").dropDuplicates(["node"]).mapInArrow(_set_rows, f"{_NODE}, grams array<long>")
+        wanted.hint("merge"), "node").dropDuplicates(["node"]).mapInArrow(_set_rows, f"{_NODE}, grams array<long>")
     linked = shared.landed(_sorted_cells(active.join(about, "node").join(sets, "node")).mapInArrow(
         _link_rows, f"{_NODE}, links long, root struct<doc_id:long,ver:int>"), "links")
     total = linked.groupBy("node").agg(F.sum("links").alias("links"))
