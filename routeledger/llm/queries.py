@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -63,7 +64,24 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contamination(shared.read(spark, sf_dir, "documents"), items).drop("ver")
 
 
-@R.add("op9_ngram_jaccard_join")
+_JACCARD_SQL = f"""
+with recursive d as (select doc_id, {_SPACED} as w from documents),
+g as (select doc_id, unnest(case when len(w) >= 5
+        then list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+        when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as k from d),
+s as (select doc_id, count(*) as n from g group by doc_id),
+common as (select x.doc_id as a, y.doc_id as b, count(*) as n from g x join g y using (k)
+           where x.doc_id <> y.doc_id group by 1, 2),
+p as (select a, b from common join s u on u.doc_id = a join s v on v.doc_id = b
+      where 9 * common.n >= 4 * (u.n + v.n)),
+r(a, b) as (select doc_id, doc_id from d union select r.a, p.b from r join p on r.b = p.a)
+select doc_id, class_id, coalesce(n_links, 0) as n_links
+from (select a as doc_id, min(b) as class_id from r group by a)
+left join (select a as doc_id, count(*) as n_links from p group by a) using (doc_id)
+"""
+
+
+@R.add("op9_ngram_jaccard_join", _JACCARD_SQL)
 def op9_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.similar(shared.read(spark, sf_dir, "documents")).drop("ver")
 
@@ -130,3 +148,6 @@ def op1_nearest_neighbours(spark, sf_dir):
 @R.add("op2_language_model")
 def op2_language_model(spark, sf_dir):
     return language_model.scored(shared.read(spark, sf_dir, "documents"))
+
+
+R.add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
