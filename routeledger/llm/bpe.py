@@ -10,7 +10,8 @@ rows; there is no shuffle.
 
 Defined results: null is the empty text, which has no ids; the two control strings of the vocabulary are
 taken as control tokens wherever they stand, as the public library does; repeated rows give repeated results;
-extra columns are not read; texts of any length are encoded whole.
+extra columns are not read; texts of any length are encoded whole. Characters newer than Unicode 16 may be split
+otherwise than by the library, whose tables are of that version.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from routeledger.llm import shared, words as W
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 _BLANKS = regex.compile(r"\p{White_Space}+")
 _NOT_BLANK = regex.compile("[\x1c-\x1f]")  # str.split() takes these as blanks
+_NEWER = "\U000323b0"
 _TABLE = 150_000
 _LONGEST_KEPT = 48
 
@@ -150,7 +152,10 @@ class Vocabulary:
         return out
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        out = tuple(chain.from_iterable(map(self.piece, _PIECES.findall(chunk))))
+        shape = chunk
+        if not chunk.isascii():  # the public library's character tables end before this code point
+            shape = "".join("\ue000" if _NEWER <= c < "\U000e0000" else c for c in chunk)
+        out = tuple(chain.from_iterable(self.piece(chunk[m.start():m.end()]) for m in _PIECES.finditer(shape)))
         if len(chunk) <= _LONGEST_KEPT:
             if len(self.words) > _TABLE:
                 self.words.clear()

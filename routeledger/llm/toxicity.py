@@ -153,7 +153,7 @@ def _ordinal(x: list[np.ndarray], grade: np.ndarray, n: int, steps: int = 400) -
         tail = np.cumsum(d_cut[::-1])[::-1]
         g = np.concatenate([np.bincount(col, d_score[row], n) / m + 1e-4 * w, [tail[0] / m], tail[1:] * gaps / m])
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
-        p = p - 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
+        p = p - 0.1 * (1 - (step - 1) / steps) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
     return p[:n], p[n] + np.concatenate([[0], np.cumsum(np.exp(p[n + 1:]))])
 
 
