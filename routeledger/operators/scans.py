@@ -8,103 +8,112 @@ from pyspark.sql import functions as F
 from routeledger.functions import text as T
 from routeledger.functions.policy import nfkc
 
-# one automaton per pass over the texts holds at most about this many characters
-MAX_PASS_CHARS = 16_000_000
+# A needle of GRAM + WINDOW - 1 characters or more holds a whole window of WINDOW grams, and its
+# smallest gram there is one of the grams that the text has chosen; fixed at every size.
+GRAM, WINDOW = 4, 5
+SHORT = GRAM + WINDOW - 1
 
 
 def leak_scan(
     texts: DataFrame, text_id: str, text: str,
     candidates: DataFrame, candidate_id: str, candidate: str,
-    max_pass_chars: int = MAX_PASS_CHARS,
 ) -> DataFrame:
     """(text_id, candidate_id) wherever a blank-free candidate occurs in a blank-free text.
 
-    Only ids leave the scan, never the found value. Each text is read once per pass by a
-    multi-pattern automaton; a candidate set over the size bound is split by hash into several
-    passes, so nothing unbounded reaches one process and every candidate is searched.
+    Only ids leave the scan, never the found value. Texts and candidates meet in an equi join on
+    pieces that both choose by content: of each window of grams the smallest hash. Candidates
+    shorter than a window meet texts on their first two characters. What meets is verified.
     """
     clean = candidates.select(
         F.col(candidate_id), T.without_spaces(F.col(candidate)).alias("_needle")
     ).where(F.col("_needle") != "")
-    needles = clean.select("_needle").distinct()
-    size = needles.agg(F.sum(F.length("_needle")).alias("chars")).first()["chars"] or 0
-    passes = max(1, -(-size // max_pass_chars))
     hay = texts.select(F.col(text_id), T.without_spaces(F.col(text)).alias("_hay"))
     id_type = texts.schema[text_id].dataType.simpleString()
-    found = None
-    for i in range(passes):
-        part = needles.where(F.pmod(F.xxhash64("_needle"), F.lit(passes)) == i)
-        # bounded: a pass takes one hash slice of the needles
-        words = [r["_needle"] for r in part.toLocalIterator()]
-        hits = hay.mapInPandas(
-            _needle_mapper(words, text_id), f"{text_id} {id_type}, _needle string")
-        found = hits if found is None else found.unionByName(hits)
+    pieces = hay.mapInPandas(_hay_pieces(text_id), f"{text_id} {id_type}, _piece bigint")
+    needles = clean.select("_needle").distinct().mapInPandas(
+        _needle_pieces, "_needle string, _piece bigint")
+    pairs = pieces.join(needles, "_piece").select(text_id, "_needle").distinct()
+    found = hay.join(pairs, text_id).where(F.contains("_hay", F.col("_needle")))
     return found.join(clean, "_needle").select(text_id, candidate_id).distinct()
 
 
-def _needle_mapper(words: list[str], text_id: str):
+def _gram_hashes(text: str, k: int):
+    """A hash of every k characters of a text, different for each k."""
+    import numpy as np
+
+    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    out = np.full(max(len(letters) - k + 1, 0), k, np.uint64)
+    for j in range(k if len(out) else 0):
+        out = (out ^ letters[j:j + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _window_choices(text: str):
+    """The smallest gram hash of each window of a text."""
+    import numpy as np
+
+    grams = _gram_hashes(text, GRAM)
+    n = len(grams) - WINDOW + 1
+    if n <= 0:
+        return grams[:0]
+    return np.minimum.reduce([grams[j:j + n] for j in range(WINDOW)])
+
+
+def _hay_pieces(text_id: str):
     def run(batches):
-        import ahocorasick
+        import numpy as np
         import pandas as pd
 
-        automaton = ahocorasick.Automaton()
-        for w in words:
-            automaton.add_word(w, w)
-        if words:
-            automaton.make_automaton()
         for batch in batches:
-            ids, needles = [], []
+            ids, pieces = [], []
             for key, hay in zip(batch[text_id], batch["_hay"]):
-                hits = {w for _, w in automaton.iter(hay)} if words and hay else ()
-                ids.extend([key] * len(hits))
-                needles.extend(hits)
-            yield pd.DataFrame({text_id: pd.Series(ids, dtype=batch[text_id].dtype),
-                                "_needle": needles})
+                if hay:
+                    own = np.unique(np.concatenate(
+                        [_window_choices(hay), _gram_hashes(hay, 1), _gram_hashes(hay, 2)]))
+                    ids.append(np.full(len(own), key, dtype=batch[text_id].dtype))
+                    pieces.append(own.view(np.int64))
+            yield pd.DataFrame({
+                text_id: pd.Series(np.concatenate(ids) if ids else [], dtype=batch[text_id].dtype),
+                "_piece": np.concatenate(pieces) if pieces else np.zeros(0, np.int64)})
     return run
 
 
-# -- roster -----------------------------------------------------------------------------------
+def _needle_pieces(batches):
+    import numpy as np
+    import pandas as pd
 
-MAX_INLINE_ROSTER = 2000
+    for batch in batches:
+        keys = [_window_choices(n[:SHORT])[0] if len(n) >= SHORT else _gram_hashes(n[:2], min(len(n), 2))[0]
+                for n in batch["_needle"]]
+        yield pd.DataFrame({"_needle": batch["_needle"], "_piece": np.array(keys, np.uint64).view(np.int64)})
 
 
-def roster_hits(
-    areas: DataFrame, keys: list[str], area: str, roster: DataFrame,
-    max_inline: int = MAX_INLINE_ROSTER,
-) -> DataFrame:
+# -- roster -----------------------------------------------------------------------------------
+
+def roster_hits(areas: DataFrame, keys: list[str], area: str, roster: DataFrame) -> DataFrame:
     """(keys, pos, name): roster names and their first position in each text.
 
-    A roster of proven small size is searched in place, row by row. A larger one is matched by
-    an equi join on the substrings that have the length of some roster name.
+    One plan at every size: names and texts meet on the names' first two characters (all of a
+    one-character name), and what meets is verified.
     """
-    names = roster.select(F.col("municipality").alias("name")).distinct()
-    head = [r[0] for r in names.limit(max_inline + 1).collect()]
-    where = F.call_function("instr", F.col(area), F.col("name"))
-    if len(head) <= max_inline:
-        listed = F.array(*map(F.lit, sorted(head))) if head else F.array().cast("array<string>")
-        found = F.filter(listed, lambda n: F.contains(F.col(area), n))
-        # explode_outer: the planner adds no second evaluation of the search as a filter
-        return areas.select(*keys, area, F.explode_outer(found).alias("name")).where(
-            F.col("name").isNotNull()).select(*keys, where.alias("pos"), "name")
-    # names have few distinct lengths, however many names there are
-    lengths = [r[0] for r in names.select(F.length("name")).distinct().collect()]
-
-    def pieces_of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(area) - n + 1)
-        cut = F.transform(starts, lambda i: F.substring(F.col(area), i, F.lit(n)))
-        return F.when(F.length(area) >= n, cut).otherwise(F.array().cast("array<string>"))
-
-    pieces = F.flatten(F.array(*map(pieces_of, lengths)))
-    return areas.select(*keys, area, F.explode(F.array_distinct(pieces)).alias("name")).join(
-        names, "name").select(*keys, where.alias("pos"), "name")
+    names = roster.select(F.col("municipality").alias("name")).where(F.col("name") != "").distinct()
+    names = names.withColumn("_piece", F.substring("name", 1, 2))
+    letters = F.split(F.col(area), "")
+    pieces = F.array_distinct(F.concat(letters, F.zip_with(
+        F.slice(letters, F.lit(1), F.greatest(F.size(letters) - 1, F.lit(0))),
+        F.slice(letters, F.lit(2), F.greatest(F.size(letters) - 1, F.lit(0))),
+        lambda a, b: F.concat(a, b))))
+    return areas.select(*keys, area, F.explode(pieces).alias("_piece")).join(names, "_piece").where(
+        F.contains(F.col(area), F.col("name"))
+    ).select(*keys, F.call_function("instr", F.col(area), F.col("name")).alias("pos"), "name")
 
 
 def area_roster(
     areas: DataFrame, key: str, area: str, org_name: str, roster: DataFrame,
-    max_inline: int = MAX_INLINE_ROSTER,
 ) -> DataFrame:
     """(key, municipalities): roster names found in a text, ';'-joined by first position."""
-    per = roster_hits(areas, [key], area, roster, max_inline).groupBy(key).agg(
+    per = roster_hits(areas, [key], area, roster).groupBy(key).agg(
         F.collect_set(F.struct("pos", "name")).alias("_hits"))
     none = F.array().cast("array<struct<pos:int,name:string>>")
     ordered = T.order_area_hits(F.coalesce("_hits", none), F.col(area), F.col(org_name))

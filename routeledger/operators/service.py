@@ -1,6 +1,6 @@
 """Service calendars and scheduled trips per real date.
 
-Target dates are a short parameter (a week), so a service's activity over them is a bit mask
+Target dates are a parameter (a week, or any number), so a service's activity over them is a bit mask
 computed row by row: no date join, no row multiplication, and the overlay of exceptions is a
 bitwise aggregate that combines map-side.
 """
@@ -15,17 +15,26 @@ from pyspark.sql import functions as F
 from routeledger.functions import gtfs
 from routeledger.vocab import WEEKDAYS
 
-MAX_TARGET_DATES = 62
+# a mask is an array of words of this many days each, as many as the dates need
+DAYS_PER_WORD = 62
 
 
 def check_dates(dates: list[date]) -> list[date]:
-    if not 0 < len(dates) <= MAX_TARGET_DATES or len(set(dates)) != len(dates):
-        raise ValueError(f"need 1..{MAX_TARGET_DATES} distinct target dates")
+    if not dates or len(set(dates)) != len(dates):
+        raise ValueError("need distinct target dates, one at least")
     return dates
 
 
+def _bit(i: int) -> Column:
+    return F.lit(1 << (i % DAYS_PER_WORD)).cast("bigint")
+
+
 def day_bit(mask: Column, i: int) -> Column:
-    return mask.bitwiseAND(F.lit(1 << i).cast("bigint")) != 0
+    return F.get(mask, F.lit(i // DAYS_PER_WORD)).bitwiseAND(_bit(i)) != 0
+
+
+def any_day(mask: Column) -> Column:
+    return F.exists(mask, lambda word: word != 0)
 
 
 def typed_calendar(calendar: DataFrame) -> DataFrame:
@@ -67,35 +76,32 @@ def service_days(
     Base days come from range and weekday, then exception 1 adds and exception 2 removes.
     """
     check_dates(dates)
-    base = F.lit(0).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    words = range(-(-len(dates) // DAYS_PER_WORD))
+    base, hit = [zero for _ in words], [zero for _ in words]
     for i, d in enumerate(dates):
         runs = (
             (F.col("start_date") <= F.lit(d)) & (F.col("end_date") >= F.lit(d))
             & (F.col("mask").bitwiseAND(1 << d.weekday()) != 0)
         )
-        base = base + F.when(runs, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    hit = F.lit(0).cast("bigint")
-    for i, d in enumerate(dates):
-        hit = F.when(F.col("date") == F.lit(d), F.lit(1 << i).cast("bigint")).otherwise(hit)
-    zero = F.lit(0).cast("bigint")
+        w = i // DAYS_PER_WORD
+        base[w] = base[w] + F.when(runs, _bit(i)).otherwise(zero)
+        hit[w] = F.when(F.col("date") == F.lit(d), _bit(i)).otherwise(hit[w])
+    kinds = {1: "added", 2: "removed"}
     parts = calendar.select(
-        "feed_id", "service_id", base.alias("base"), zero.alias("added"), zero.alias("removed")
-    ).unionByName(
-        calendar_dates.select(
-            "feed_id", "service_id", zero.alias("base"),
-            F.when(F.col("exception_type") == 1, hit).otherwise(zero).alias("added"),
-            F.when(F.col("exception_type") == 2, hit).otherwise(zero).alias("removed"),
-        )
-    )
-    return (
-        parts.groupBy("feed_id", "service_id")
-        .agg(*[F.bit_or(c).alias(c) for c in ("base", "added", "removed")])
-        .select(
-            "feed_id", "service_id",
-            F.col("base").bitwiseOR(F.col("added"))
-            .bitwiseAND(F.bitwise_not("removed")).alias("day_mask"),
-        )
-    )
+        "feed_id", "service_id", *[base[w].alias(f"base{w}") for w in words],
+        *[zero.alias(f"{k}{w}") for k in kinds.values() for w in words],
+    ).unionByName(calendar_dates.select(
+        "feed_id", "service_id", *[zero.alias(f"base{w}") for w in words],
+        *[F.when(F.col("exception_type") == n, hit[w]).otherwise(zero).alias(f"{k}{w}")
+          for n, k in kinds.items() for w in words],
+    ))
+    every = [f"{k}{w}" for k in ("base", *kinds.values()) for w in words]
+    return parts.groupBy("feed_id", "service_id").agg(
+        *[F.bit_or(c).alias(c) for c in every]
+    ).select("feed_id", "service_id", F.array(*[
+        F.col(f"base{w}").bitwiseOR(F.col(f"added{w}")).bitwiseAND(F.bitwise_not(f"removed{w}"))
+        for w in words]).alias("day_mask"))
 
 
 def active_services(
@@ -103,13 +109,13 @@ def active_services(
 ) -> DataFrame:
     """(feed_id, service_id, service_date) for every target date a service runs on."""
     day = F.array(*[
-        F.struct(F.lit(d).alias("d"), F.lit(1 << i).cast("bigint").alias("bit"))
+        F.struct(F.lit(d).alias("d"), F.lit(i // DAYS_PER_WORD).alias("word"), _bit(i).alias("bit"))
         for i, d in enumerate(check_dates(dates))
     ])
     services = service_days(
         calendar, calendar_dates.where(F.col("date").isin(dates)), dates
-    ).where(F.col("day_mask") != 0)
-    hits = F.filter(day, lambda x: F.col("day_mask").bitwiseAND(x["bit"]) != 0)
+    ).where(any_day(F.col("day_mask")))
+    hits = F.filter(day, lambda x: F.get("day_mask", x["word"]).bitwiseAND(x["bit"]) != 0)
     return services.select("feed_id", "service_id", F.explode(hits).alias("x")).select(
         "feed_id", "service_id", F.col("x.d").alias("service_date")
     )
@@ -153,7 +159,7 @@ def scheduled_trips(
         sums.append(F.sum(F.when(on, F.col("n")).otherwise(0)).alias(f"n{i}"))
         sums.append(F.max(on & F.col("inexact")).alias(f"x{i}"))
     per_feed = (
-        per_service.join(days.where(F.col("day_mask") != 0), ["feed_id", "service_id"])
+        per_service.join(days.where(any_day(F.col("day_mask"))), ["feed_id", "service_id"])
         .groupBy("feed_id").agg(*sums)
     )
     full = feeds.select("feed_id").join(per_feed, "feed_id", "left")

@@ -160,13 +160,13 @@ def _calendar_dates_violations(calendar_dates: DataFrame) -> DataFrame:
         calendar_dates.select("feed_id", "row_idx", "service_id", "date", "exception_type"),
         ["service_id", "date", "feed_id"],
     )
+    # checks that come before the key's also hold on a row that repeats a key
     first, blank = F.col("rn") == 1, gtfs.is_blank(F.col("service_id"))
     return _violation_rows(rows, {
         "calendar_dates:blank_service_id": first & blank,
-        "calendar_dates:invalid_date":
-            first & ~blank & gtfs.gtfs_date(F.col("date")).isNull(),
+        "calendar_dates:invalid_date": ~blank & gtfs.gtfs_date(F.col("date")).isNull(),
         "calendar_dates:invalid_exception_type":
-            first & ~blank & ~F.col("exception_type").isin("1", "2"),
+            ~blank & ~F.col("exception_type").isin("1", "2"),
         "calendar_dates:duplicate_key": ~first & ~blank,
     }, F.col("row_idx"))
 
@@ -184,13 +184,13 @@ def _frequency_per_trip(frequencies: DataFrame) -> DataFrame:
         F.min("row_idx").alias("freq_row"),
         F.sum(F.when(first & (F.col("exact") == "1"), F.col("departures"))).alias("departures"),
         F.max(first & F.col("exact").isin("", "0")).alias("inexact"),
-        _first("frequencies:invalid_time", first & ~timed),
-        _first("frequencies:invalid_headway", first & F.col("headway").isNull()),
+        # checks that come before the key's also hold on a row that repeats a key
+        _first("frequencies:invalid_time", ~timed),
+        _first("frequencies:invalid_headway", F.col("headway").isNull()),
         _first("frequencies:end_not_after_start",
-               first & timed & (F.col("end_sec") <= F.col("start_sec"))),
-        _first("frequencies:invalid_exact_times", first & ~F.col("exact").isin("", "0", "1")),
-        _first("frequencies:not_divisible",
-               first & (F.col("exact") == "1") & ~F.col("divides")),
+               timed & (F.col("end_sec") <= F.col("start_sec"))),
+        _first("frequencies:invalid_exact_times", ~F.col("exact").isin("", "0", "1")),
+        _first("frequencies:not_divisible", (F.col("exact") == "1") & ~F.col("divides")),
         _first("frequencies:duplicate_key", ~first),
     )
 
@@ -253,7 +253,7 @@ def _trip_flow(t: FeedTables, dates: list[date]) -> DataFrame:
         F.col("service_id").alias("key"), "feed_id", F.lit("S").alias("kind"), "day_mask"
     ).unionByName(t.routes.select(
         F.col("route_id").alias("key"), "feed_id", F.lit("R").alias("kind")
-    ).distinct().withColumn("day_mask", F.lit(0).cast("bigint")))
+    ).distinct().withColumn("day_mask", F.array().cast("array<bigint>")))
     full = groups.join(known, ["key", "feed_id", "kind"], "left")
     first_row, no_key = F.col("first_row"), gtfs.is_blank(F.col("key"))
     unknown = ~no_key & F.col("day_mask").isNull()

@@ -251,3 +251,49 @@ def test_date_basis_keeps_sources_apart(metrics, spark):
     assert got["2d"].calendar_dates.removed_date_min == MON
     assert got["2d"].calendar_dates.added_date_min is None
     assert got["1a"].calendar_dates is None and got["1a"].feed_info is None
+
+
+def test_bad_archives_stop_no_job(spark, tmp_path):
+    good = zip_bytes(BASE)
+    (tmp_path / "good.ZIP").write_bytes(good)
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("routes.txt", "route_id\n" + "R1\n" * 500)
+        z.writestr("trips.txt", "route_id,service_id,trip_id\n")
+    raw = bytearray(buffer.getvalue())
+    at = raw.index(b"routes.txt") + len("routes.txt")
+    raw[at:at + 4] = b"\xff\xff\xff\xff"
+    (tmp_path / "damaged.zip").write_bytes(bytes(raw))
+    locked = bytearray(good)
+    for mark, offset in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):
+        at = locked.find(mark)
+        while at >= 0:
+            locked[at + offset] |= 1
+            at = locked.find(mark, at + 4)
+    (tmp_path / "locked.zip").write_bytes(bytes(locked))
+    (tmp_path / "many.zip").write_bytes(zip_bytes({**BASE, **{f"{i}.txt": "" for i in range(300)}}))
+    (tmp_path / "junk.zip").write_bytes(b"PK\x03\x04 no archive")
+    members = archive_feeds.land_members(spark, str(tmp_path), str(tmp_path / "members"))
+    lines = archive_feeds.land(spark, str(tmp_path), str(tmp_path / "lines"))
+    errors = {(r.feed_id, r.decode_error) for r in lines.where("row_idx = -1").collect()}
+    assert {("good", None), ("damaged", "unreadable"), ("locked", "encrypted"), ("many", "over_limit")} <= errors
+    assert members.where("feed_id = 'many' and crc_ok is not null").isEmpty()
+    tables = archive_feeds.feed_tables(lines, members)
+    assert [r.feed_id for r in tables.feeds.collect()] == ["good"]
+    got = {(r.metric_id, r.service_date): r.value for r in fm.feed_supply_metrics(tables, WEEK).collect()}
+    assert got[ROUTE, None] == 2
+
+
+def test_any_number_of_dates(spark):
+    from routeledger.operators import service
+
+    days = [date(2026, 4, 1) + timedelta(days=i) for i in range(150)]
+    cal = spark.createDataFrame(
+        [("f", "s", 31, date(2026, 4, 1), date(2027, 1, 1))],
+        "feed_id string, service_id string, mask int, start_date date, end_date date")
+    cd = spark.createDataFrame(
+        [("f", "s", days[149], 2), ("f", "t", days[100], 1)],
+        "feed_id string, service_id string, date date, exception_type int")
+    want = {("s", d) for d in days if d.weekday() < 5 and d != days[149]} | {("t", days[100])}
+    got = {(r.service_id, r.service_date) for r in service.active_services(cal, cd, days).collect()}
+    assert got == want
