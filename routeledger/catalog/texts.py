@@ -470,9 +470,9 @@ _MD = "'## ' || source || ' part\n`' || lang || '_x` and `y`\n| n' || doc_id ||
     WITH md AS (SELECT doc_id, source, lang, text, {_MD} AS body FROM documents),
     pair AS (
         SELECT o.doc_id, o.source, o.lang, o.text,
-               n.body || '\n### 改訂点\n' || split_part(o.text, '\n', 1) AS new_text,
+               coalesce(n.body, o.body) || '\n### 改訂点\n' || split_part(o.text, '\n', 1) AS new_text,
                split_part(o.text, '\n', 1) AS notes
-        FROM md o JOIN md n ON n.doc_id = o.doc_id + 1 WHERE o.doc_id % 2 = 0),
+        FROM md o LEFT JOIN md n ON n.doc_id = o.doc_id + 1),
     tok AS (
         SELECT doc_id, 'heading' AS kind, source || ' part' AS t FROM pair
         UNION ALL SELECT doc_id, 'identifier', lang || '_x' FROM pair
@@ -497,7 +497,7 @@ def token_coverage(spark, sf_dir):
     docs = Lens(spark, sf_dir).table("documents").select("doc_id", "text", body.alias("body"))
     new = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("body").alias("next"))
     first_line = F.get(F.split("text", "\n"), F.lit(0))
-    pairs = docs.where(F.col("doc_id") % 2 == 0).join(new, "doc_id").select(
+    pairs = docs.join(new, "doc_id", "left").select(
         F.col("body").alias("old"),
-        F.concat("next", F.lit("\n### 改訂点\n"), first_line).alias("new"))
+        F.concat(F.coalesce("next", "body"), F.lit("\n### 改訂点\n"), first_line).alias("new"))
     return scans.token_coverage(pairs, "old", "new", "改訂点")

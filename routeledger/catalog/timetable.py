@@ -168,11 +168,11 @@ def stops_by_area(spark, sf_dir):
 
 
 def _anchors(lens):
-    """Required routes: one per part divisible by 100, a few of them under another name."""
+    """Required routes: one per part, a few of them under another name."""
     k = F.col("p_partkey")
     name = F.when(k % 700 == 0, F.concat(F.lit("Route "), k.cast("string"))).otherwise(
         F.concat(F.lit("Line "), k.cast("string")))
-    return lens.table("part").where(k % 100 == 0).select(
+    return lens.table("part").select(
         F.concat(F.lit("F"), (F.call_function("div", k, F.lit(100)) % 4).cast("string"))
         .alias("feed_id"),
         k.cast("string").alias("route_id"), name.alias("expected_name"))
@@ -182,7 +182,7 @@ _ANCHORS = {"anchors": """
     SELECT 'F' || ((p_partkey // 100) % 4) AS feed_id, CAST(p_partkey AS VARCHAR) AS route_id,
            CASE WHEN p_partkey % 700 = 0 THEN 'Route ' ELSE 'Line ' END || p_partkey
                AS expected_name
-    FROM part WHERE p_partkey % 100 = 0""",
+    FROM part""",
     "anchor_result": """
     SELECT feed_id, route_id, expected_name, route_long_name AS actual_name,
            CASE WHEN route_long_name IS NULL THEN 'missing_route'

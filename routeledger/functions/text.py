@@ -253,7 +253,7 @@ def redact_lines(c: Column, label: str, marker: str, required: Column) -> Column
     """
     lines = F.split(c, "\n")
     hits = F.filter(lines, lambda x: x.startswith(label))
-    empty = F.exists(hits, lambda x: strip(F.substring(x, len(label) + 1, 1 << 30)) == "")
+    empty = F.exists(hits, lambda x: strip(F.substring(x, len(label) + 1, F.length(x))) == "")
     text = F.array_join(F.transform(
         lines, lambda x: F.when(x.startswith(label), f"{label} {marker}").otherwise(x)), "\n")
     matched = F.size(hits)

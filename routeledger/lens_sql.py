@@ -33,8 +33,9 @@ CTES = {
                l_suppkey * 10000 + date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE))
                    AS row_idx,
                CAST(l_suppkey AS VARCHAR) AS service_id, CAST(l_shipdate AS DATE) AS date,
-               CASE WHEN min(l_returnflag) = 'A' THEN 1 ELSE 2 END AS exception_type
-        FROM lineitem WHERE l_returnflag <> 'N'
+               min(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2
+                   ELSE 1 + (l_orderkey + l_suppkey) % 2 END) AS exception_type
+        FROM lineitem
         GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""",
     "li": """
         SELECT 'F' || (l_suppkey % 4) AS feed_id, l_orderkey * 8 + l_linenumber AS row_idx,
@@ -63,8 +64,8 @@ CTES = {
                ['', '0', '1', '2', '0'][CAST(c_custkey % 5 + 1 AS INTEGER)] AS location_type
         FROM customer""",
     "agency": """
-        SELECT 'F' || (n_nationkey % 4) AS feed_id, n_name AS agency_id
-        FROM nation WHERE n_nationkey % 4 <> 3""",
+        SELECT 'F' || least(n_nationkey % 4, 2) AS feed_id, n_name AS agency_id
+        FROM nation""",
     "stop_times": """
         SELECT 'F' || (l_suppkey % 4) AS feed_id, CAST(l_orderkey AS VARCHAR) AS trip_id,
                CAST(l_linenumber AS VARCHAR) AS stop_sequence,
@@ -80,9 +81,9 @@ CTES = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "freq": """
         SELECT feed_id, short_id || '-' || service_id AS trip_id,
-               max(CAST(l_quantity AS BIGINT)) AS departures, min(row_idx) AS row_idx,
-               feed_id = 'F3' AS inexact
-        FROM li WHERE l_linenumber = 1 GROUP BY feed_id, short_id || '-' || service_id""",
+               max(CASE WHEN l_linenumber = 1 THEN CAST(l_quantity AS BIGINT) ELSE 1 END)
+                   AS departures, min(row_idx) AS row_idx, feed_id = 'F3' AS inexact
+        FROM li GROUP BY feed_id, short_id || '-' || service_id""",
     "freq_dirty": "SELECT * FROM freq WHERE feed_id <> 'F1'",
     "known_services": """
         SELECT feed_id, service_id FROM cal UNION SELECT feed_id, service_id FROM cd""",

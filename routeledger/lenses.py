@@ -76,12 +76,16 @@ class Lens:
         )
 
     def calendar_dates(self) -> DataFrame:
-        li = self.table("lineitem").where(F.col("l_returnflag") != "N")
+        """Flag A adds a day, R removes it, N does either by order number."""
+        li = self.table("lineitem")
+        flag = F.col("l_returnflag")
+        kind = F.when(flag == "A", 1).when(flag == "R", 2).otherwise(
+            (1 + (F.col("l_orderkey") + F.col("l_suppkey")) % 2).cast("int"))
         d = F.to_date("l_shipdate")
         days = F.datediff(F.col("date"), F.lit(date(1990, 1, 1)))
         return (
             li.groupBy(F.col("l_suppkey"), d.alias("date"))
-            .agg(F.min(F.when(F.col("l_returnflag") == "A", 1).otherwise(2)).alias("kind"))
+            .agg(F.min(kind).alias("kind"))
             .select(
                 _feed("l_suppkey").alias("feed_id"),
                 (F.col("l_suppkey") * 10000 + days).alias("row_idx"),
@@ -145,8 +149,10 @@ class Lens:
         )
 
     def agency(self) -> DataFrame:
-        return self.table("nation").where(F.col("n_nationkey") % 4 != 3).select(
-            _feed("n_nationkey").alias("feed_id"),
+        """Feed F3 has no agency file of its own; its agencies are listed in that of F2."""
+        feed = F.concat(F.lit("F"), F.least(F.col("n_nationkey") % 4, F.lit(2)).cast("string"))
+        return self.table("nation").select(
+            feed.alias("feed_id"),
             F.col("n_nationkey").cast("bigint").alias("row_idx"), F.col("n_name").alias("agency_id"),
         )
 
@@ -176,11 +182,11 @@ class Lens:
         )
 
     def frequencies(self) -> DataFrame:
-        """Text windows: one per line-1 trip; feed F3 is inexact, others exact."""
-        q = F.max(F.col("l_quantity").cast("bigint"))
+        """Text windows, one per trip: line-1 trips leave often, others once; F3 is inexact."""
+        q = F.max(F.when(F.col("l_linenumber") == 1, F.col("l_quantity").cast("bigint")).otherwise(1))
         end = F.lit(21600) + F.col("q") * 600
         return (
-            self._lineitem_trips().where(F.col("l_linenumber") == 1)
+            self._lineitem_trips()
             .withColumn("trip_id", F.concat_ws("-", "short_id", "service_id"))
             .groupBy("trip_id", "feed_id").agg(q.alias("q"), F.min("row_idx").alias("row_idx"))
             .select(

@@ -160,5 +160,5 @@ def cell_split(cell: Column, top_name: Column, top_location: Column) -> Column:
                      & (T.compare_key(o["location"]) == T.compare_key(top_location)))
     fallback = F.struct(
         F.coalesce(F.get(lines, F.lit(0)), F.lit("")).alias("name"),
-        F.array_join(F.slice(lines, 2, 1 << 20), "").alias("location"))
+        F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "").alias("location"))
     return F.coalesce(F.get(exact, F.lit(0)), fallback)
