@@ -167,6 +167,37 @@ def stops_by_area(spark, sf_dir):
     return quality.stops_by_area(lens.stops(), lens.stop_area())
 
 
+@R.add("feed_info_first_row", with_lenses("SELECT * FROM info_first"))
+def feed_info_first_row(spark, sf_dir):
+    return quality.feed_info_first_row(Lens(spark, sf_dir).feed_info())
+
+
+@R.add("date_basis", with_lenses("""
+    SELECT feed_id, feed_start_date, feed_end_date, c.lo AS calendar_start, c.hi AS calendar_end,
+           c.n AS calendar_services, x.a0 AS added_min, x.a1 AS added_max, x.r0 AS removed_min,
+           x.r1 AS removed_max, x.n AS exception_services
+    FROM feeds LEFT JOIN info_first USING (feed_id)
+    LEFT JOIN (SELECT feed_id, min(start_date) AS lo, max(end_date) AS hi,
+                      count(DISTINCT service_id) AS n FROM cal GROUP BY feed_id) c USING (feed_id)
+    LEFT JOIN (SELECT feed_id, min(date) FILTER (WHERE exception_type = 1) AS a0,
+                      max(date) FILTER (WHERE exception_type = 1) AS a1,
+                      min(date) FILTER (WHERE exception_type = 2) AS r0,
+                      max(date) FILTER (WHERE exception_type = 2) AS r1,
+                      count(DISTINCT service_id) AS n FROM cd GROUP BY feed_id) x USING (feed_id)"""))
+def date_basis(spark, sf_dir):
+    lens = Lens(spark, sf_dir)
+    return fm.date_basis(
+        lens.calendar_text_clean(), lens.calendar_dates_text(), lens.feed_info(), lens.feeds()
+    ).selectExpr(
+        "feed_id", "feed_info.feed_start_date", "feed_info.feed_end_date",
+        "calendar.min_start_date as calendar_start", "calendar.max_end_date as calendar_end",
+        "calendar.service_id_unique_count as calendar_services",
+        "calendar_dates.added_date_min as added_min", "calendar_dates.added_date_max as added_max",
+        "calendar_dates.removed_date_min as removed_min",
+        "calendar_dates.removed_date_max as removed_max",
+        "calendar_dates.service_id_unique_count as exception_services")
+
+
 def _anchors(lens):
     """Required routes: one per part, a few of them under another name."""
     k = F.col("p_partkey")

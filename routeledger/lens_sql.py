@@ -66,6 +66,14 @@ CTES = {
     "agency": """
         SELECT 'F' || least(n_nationkey % 4, 2) AS feed_id, n_name AS agency_id
         FROM nation""",
+    "info": """
+        SELECT 'F' || (n_nationkey % 4) AS feed_id, n_nationkey // 4 AS row_idx, n_nationkey AS k,
+               DATE '1995-01-01' + CAST(n_nationkey * 10 AS INTEGER) AS day FROM nation""",
+    "info_first": """
+        SELECT feed_id, CASE WHEN k % 4 <> 1 THEN day END AS feed_start_date,
+               CASE WHEN k % 4 <> 2 THEN day + 400 END AS feed_end_date,
+               'v' || k AS feed_version, k % 4 = 1 AS bad_start_date, false AS bad_end_date
+        FROM info WHERE row_idx = 0""",
     "stop_times": """
         SELECT 'F' || (l_suppkey % 4) AS feed_id, CAST(l_orderkey AS VARCHAR) AS trip_id,
                CAST(l_linenumber AS VARCHAR) AS stop_sequence,

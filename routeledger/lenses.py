@@ -156,6 +156,19 @@ class Lens:
             F.col("n_nationkey").cast("bigint").alias("row_idx"), F.col("n_name").alias("agency_id"),
         )
 
+    def feed_info(self) -> DataFrame:
+        """A row per nation; some dates are in the wrong form or blank."""
+        k = F.col("n_nationkey")
+        day = F.date_add(F.lit(date(1995, 1, 1)), (k * 10).cast("int"))
+        return self.table("nation").select(
+            _feed("n_nationkey").alias("feed_id"),
+            F.call_function("div", k, F.lit(4)).alias("row_idx"),
+            F.when(k % 4 == 1, F.date_format(day, "yyyy-MM-dd"))
+            .otherwise(F.date_format(day, "yyyyMMdd")).alias("feed_start_date"),
+            F.when(k % 4 == 2, "").otherwise(F.date_format(F.date_add(day, 400), "yyyyMMdd"))
+            .alias("feed_end_date"),
+            F.concat(F.lit("v"), _text("n_nationkey")).alias("feed_version"))
+
     def stop_times(self) -> DataFrame:
         """Calls keyed (order-trip, line number): keeps the real duplicates of lineitem."""
         li = self.table("lineitem")

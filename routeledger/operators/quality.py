@@ -220,16 +220,23 @@ def stops_by_area(stops: DataFrame, stop_area: DataFrame) -> DataFrame:
 
 
 def anchor_check(routes: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Required (feed, route_id, name) pairs against the route table, compared stripped."""
+    """Required (feed, route_id, name) pairs against the route table, compared stripped.
+
+    A feed whose route table has a blank or a repeated id anywhere fails all of its pairs.
+    """
     found = routes.groupBy("feed_id", gtfs.strip(F.col("route_id")).alias("route_id")).agg(
         F.min(gtfs.strip(F.col("route_long_name"))).alias("actual_name"),
         F.count(F.lit(1)).alias("n"),
     )
+    no_id = F.coalesce("route_id", F.lit("")) == ""
+    whole = found.groupBy("feed_id").agg(
+        F.bool_or(no_id).alias("blank"), F.bool_or(~no_id & (F.col("n") > 1)).alias("repeated"))
     reason = (
-        F.when(F.col("n").isNull(), "missing_route")
-        .when(F.col("n") > 1, "duplicate_route")
+        F.when(F.col("blank"), "blank_route_id")
+        .when(F.col("repeated"), "duplicate_route")
+        .when(F.col("n").isNull(), "missing_route")
         .when(F.col("actual_name") != F.col("expected_name"), "name_mismatch")
     )
-    return anchors.join(found, ["feed_id", "route_id"], "left").select(
+    return anchors.join(found, ["feed_id", "route_id"], "left").join(whole, "feed_id", "left").select(
         "feed_id", "route_id", "expected_name", "actual_name", reason.alias("reason")
     )

@@ -26,7 +26,6 @@ FEED_FILES = (
     "agency.txt", "routes.txt", "stops.txt", "calendar.txt",
     "calendar_dates.txt", "trips.txt", "frequencies.txt",
 )
-CORE_FILES = ("agency.txt", "stops.txt", "routes.txt", "trips.txt", "stop_times.txt")
 PRIMARY_KEYS = {
     "agency.txt": ("agency_id",),
     "stops.txt": ("stop_id",),
@@ -100,32 +99,6 @@ MAX_MEMBER_BYTES = 100 * 1024 * 1024
 MAX_TOTAL_BYTES = 500 * 1024 * 1024
 MAX_RATIO = 200
 
-OPERATOR_COLUMNS = (
-    "registration_no", "registration_no_raw", "authority_code", "service_type_code",
-    "serial_no", "pref", "transport_type", "operator_type", "org_name",
-    "org_address", "org_address_raw", "service_area", "service_area_raw",
-    "service_area_municipalities", "registered_date", "renewed_date",
-    "valid_from", "valid_to",
-    "scope_i_physical", "scope_ro_mental", "scope_ha_intellectual", "scope_ni_care",
-    "scope_ho_support", "scope_he_checklist", "scope_to_other",
-    "office_name", "office_location", "partner_operator_name", "partner_operator_address",
-    "vehicles_total", "vehicles_total_kei", "source_pdf", "source_page", "flags",
-)
-VEHICLE_COLUMNS = (
-    "registration_no", "office_seq", "office_name", "office_location", "ownership",
-    "vehicle_type", "vehicle_type_label", "count", "count_kei", "source_pdf", "source_page",
-)
-FEED_COLUMNS = (
-    "feed_id", "publisher", "dataset_name", "official_page_url",
-    "download_url_or_template", "access_status", "format_label",
-    "official_reference_date", "reference_date_status", "catalog_updated_date",
-    "official_valid_from", "official_valid_to", "validity_status_at_check",
-    "checked_at", "license_name", "license_url", "scope_note", "source_evidence",
-)
-MUNICIPALITY_COLUMNS = (
-    "municipality_code", "municipality", "availability_status", "feed_ids",
-    "scope_note", "checked_at", "source_evidence",
-)
 MANIFEST_COLUMNS = (
     "source_id", "source_type", "official_url", "local_path", "baseline_sha256",
     "baseline_bytes", "baseline_acquired_at", "max_download_bytes",
