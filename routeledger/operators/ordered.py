@@ -1,7 +1,8 @@
 """Running values over ordered groups that stay balanced when one group is huge.
 
-A group is cut into fixed-width segments of its order key. Segment totals are a small table, so
-only that table needs one ordered pass per group; rows themselves are ordered per segment.
+A group is cut into segments of its order key, one for about every ``SEGMENT`` of its rows, however
+far apart its keys are. Segment totals are a small table, so only that table needs one ordered pass
+per group; rows themselves are ordered per segment.
 """
 
 from __future__ import annotations
@@ -14,7 +15,12 @@ SEGMENT = 4096
 
 
 def _segmented(df: DataFrame, by: list[str], order: str, width: int) -> DataFrame:
-    return df.withColumn("_seg", F.floor(F.col(order) / F.lit(width)).cast("bigint"))
+    span = df.groupBy(*by).agg(
+        F.min(order).alias("_lo"), F.max(order).alias("_hi"), F.count(F.lit(1)).alias("_rows"))
+    pieces = F.ceil(F.col("_rows") / F.lit(width))
+    part = (F.col(order) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
+    return df.join(span, by).withColumn("_seg", F.floor(part * pieces).cast("bigint")).drop(
+        "_lo", "_hi", "_rows")
 
 
 def running_max(

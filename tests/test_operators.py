@@ -364,3 +364,13 @@ def test_multiset_diff_counts_copies(spark):
     assert {(r.v, r.side, r.n) for r in compare.multiset_diff(a, b).collect()} == {
         (1, "left_only", 1), (2, "left_only", 1), (3, "right_only", 1)}
     assert compare.multiset_equal(a, a)
+
+
+def test_numbering_of_one_group_with_sparse_keys(spark):
+    from routeledger.operators import ordered
+
+    rows = spark.range(20_000).selectExpr("'u' as user", "id * 10000 + id % 7 as at")
+    segments = ordered._segmented(rows, ["user"], "at", 1000).groupBy("_seg").count().collect()
+    assert len(segments) == 20 and max(r["count"] for r in segments) <= 1001
+    got = ordered.numbered(rows, ["user"], "at", "n", 1000)
+    assert got.where("n = cast(at div 10000 as bigint) + 1").count() == 20_000
