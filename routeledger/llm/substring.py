@@ -157,7 +157,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
         _anchor_rows(length, seed), "anchor long, reach long, doc_id long, at long, form int")
     often = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     seeds = shared.landed(anchors.join(often, "anchor", "left_semi"), "substring-seeds")
-    first = seeds.groupBy("anchor", "reach").agg(F.min(F.struct("doc_id", "at")).alias("one"))
+    # landed, so that the join on both keys is dealt by both: one anchor may hold a third of all seeds
+    first = shared.landed(
+        seeds.groupBy("anchor", "reach").agg(F.min(F.struct("doc_id", "at")).alias("one")), "substring-first")
     again = (
         seeds.join(first, ["anchor", "reach"]).where("struct(doc_id, at) != one")
         .selectExpr("doc_id", *_PLACE, "form")
