@@ -572,15 +572,12 @@ def freshness_weekly(spark, sf_dir):
     return freshness.weekly_counts(_observed(Lens(spark, sf_dir).table("events")))
 
 
-@R.add("freshness_stream", _WEEKLY + """
-    WHERE date_trunc('week', ts) + INTERVAL 7 DAY
-          <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
-    GROUP BY 1, 2""")
+@R.add("freshness_stream", _WEEKLY + " GROUP BY 1, 2")
 def freshness_stream(spark, sf_dir):
-    """Runs the stream to the end of the arrived files and returns the weeks it has closed."""
+    """Runs the stream to the end of the arrived files and returns all weeks so far."""
     lens = Lens(spark, sf_dir)
     schema = lens.table("events").schema
     source = spark.readStream.schema(schema).parquet(f"{lens.dir}/events*.parquet")
     folder = shared_folder(spark, "freshness")
     freshness.run_available(spark, _observed(source), f"{folder}/out", f"{folder}/state")
-    return spark.read.schema("week_start date, status string, n bigint").parquet(f"{folder}/out")
+    return freshness.current(spark, f"{folder}/out")

@@ -25,7 +25,7 @@ def weekly_counts(observations: DataFrame) -> DataFrame:
 
 
 def weekly_counts_stream(observations: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Streaming form over an unbounded ``observations`` frame, for append output."""
+    """Streaming form over an unbounded ``observations`` frame, for append or update output."""
     once = observations.withWatermark("checked_at", lateness).dropDuplicatesWithinWatermark(
         ["source_id", "checked_at"])
     return once.groupBy(F.window("checked_at", WEEK, WEEK, MONDAY).alias("w"), "status").agg(
@@ -37,12 +37,22 @@ def run_available(
     spark: SparkSession, observations: DataFrame, output: str, checkpoint: str,
     lateness: str = LATENESS,
 ) -> None:
-    """Process everything that has arrived, appending closed weeks to a Parquet folder.
+    """Process everything that has arrived; each batch writes the counters that it changed.
 
-    The checkpoint folder must be shared storage; a restart continues from it exactly once.
+    A batch has a folder of its own, so a batch that runs again after a failure replaces what it
+    wrote. Output and checkpoint must be on shared storage; ``current`` reads the output.
     """
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{output}/batch={number}")
+
     query = (
-        weekly_counts_stream(observations, lateness).writeStream.outputMode("append")
-        .format("parquet").option("path", output).option("checkpointLocation", checkpoint)
+        weekly_counts_stream(observations, lateness).writeStream.outputMode("update")
+        .foreachBatch(write).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start())
     query.awaitTermination()
+
+
+def current(spark: SparkSession, output: str) -> DataFrame:
+    """(week_start, status, n) as of the last batch, open weeks included; counters only grow."""
+    rows = spark.read.schema("week_start date, status string, n bigint, batch bigint").parquet(output)
+    return rows.groupBy("week_start", "status").agg(F.max("n").alias("n"))
