@@ -141,35 +141,36 @@ def feed_info_first_row(feed_info: DataFrame) -> DataFrame:
     )
 
 
-def unmatched(
-    child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, rule_id: str
-) -> DataFrame:
-    """(rule_id, feed_id, key_value, row_count, first_row_idx): child keys without a parent.
-
-    Child rows collapse to one row per key before the anti join.
-    """
-    keys = child.groupBy("feed_id", F.col(child_key).alias("key_value")).agg(
-        F.count(F.lit(1)).alias("row_count"), F.min("row_idx").alias("first_row_idx")
-    )
-    known = parent.select("feed_id", F.col(parent_key).alias("key_value")).distinct()
-    return keys.join(known, ["feed_id", "key_value"], "left_anti").select(
-        F.lit(rule_id).alias("rule_id"), "feed_id", "key_value", "row_count", "first_row_idx"
-    )
-
-
 def fk_violations(
     routes: DataFrame, calendar: DataFrame, calendar_dates: DataFrame,
     trips: DataFrame, frequencies: DataFrame,
 ) -> DataFrame:
-    """Dangling references: trips -> routes, trips -> calendars, frequencies -> trips."""
-    services = calendar.select("feed_id", "service_id").unionByName(
-        calendar_dates.select("feed_id", "service_id")
-    )
-    return (
-        unmatched(trips, "route_id", routes, "route_id", "trips.route_id")
-        .unionByName(unmatched(trips, "service_id", services, "service_id", "trips.service_id"))
-        .unionByName(unmatched(frequencies, "trip_id", trips, "trip_id", "frequencies.trip_id"))
-    )
+    """Dangling references: trips -> routes, trips -> calendars, frequencies -> trips.
+
+    (rule_id, feed_id, key_value, row_count, first_row_idx). All references meet in one anti join:
+    child rows collapse to one row per key before it, and each child table is read once.
+    """
+    def child(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+        keys = F.array(*[F.struct(F.lit(r).alias("rule_id"), F.col(c).alias("key_value"))
+                         for r, c in rules.items()])
+        return df.select("feed_id", "row_idx", F.explode(keys).alias("k")).select(
+            "feed_id", "row_idx", "k.*")
+
+    def parent(df: DataFrame, rule: str, column: str) -> DataFrame:
+        return df.select(F.lit(rule).alias("rule_id"), "feed_id", F.col(column).alias("key_value"))
+
+    keys = child(
+        trips, {"trips.route_id": "route_id", "trips.service_id": "service_id"}
+    ).unionByName(child(frequencies, {"frequencies.trip_id": "trip_id"})).groupBy(
+        "key_value", "feed_id", "rule_id"
+    ).agg(F.count(F.lit(1)).alias("row_count"), F.min("row_idx").alias("first_row_idx"))
+    known = (
+        parent(routes, "trips.route_id", "route_id")
+        .unionByName(parent(calendar, "trips.service_id", "service_id"))
+        .unionByName(parent(calendar_dates, "trips.service_id", "service_id"))
+        .unionByName(parent(trips, "frequencies.trip_id", "trip_id")).distinct())
+    return keys.join(known, ["key_value", "feed_id", "rule_id"], "left_anti").select(
+        "rule_id", "feed_id", "key_value", "row_count", "first_row_idx")
 
 
 def service_crosscheck(
