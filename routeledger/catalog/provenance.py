@@ -334,27 +334,6 @@ def reproduction_diff(spark, sf_dir):
     return provenance.reproduction_diff(*_repro(Lens(spark, sf_dir)))
 
 
-@R.add("release_decision", _psql("""
-    SELECT check_id, n_failed,
-           CASE WHEN sum(n_failed) OVER () = 0 THEN 'GO' ELSE 'NO_GO' END AS decision
-    FROM (SELECT 'accepted_sources' AS check_id,
-                 (SELECT count(*) FROM man_checked WHERE reason IS NOT NULL) AS n_failed
-          UNION ALL SELECT 'normalized_reconstruction',
-                 (SELECT count(*) FROM repro WHERE expected AND NOT normalized_match)
-          UNION ALL SELECT 'exact_byte_reconstruction',
-                 (SELECT count(*) FROM repro WHERE expected AND NOT byte_match)
-          UNION ALL SELECT 'no_unexpected_files',
-                 (SELECT count(*) FROM repro WHERE NOT expected)
-          UNION ALL SELECT 'sources_available',
-                 (SELECT count(*) FROM fresh WHERE exit_code > 1))"""))
-def release_decision(spark, sf_dir):
-    lens = Lens(spark, sf_dir)
-    checked, observations = _checked(lens)
-    return provenance.release_decision(
-        checked, provenance.reproduction_diff(*_repro(lens)),
-        provenance.freshness_report(checked, observations))
-
-
 # -- scores -----------------------------------------------------------------------------------
 
 _PAIRS = [(c, s) for c, subs in V.SCORE_SUBCRITERIA.items() for s in subs]
@@ -430,6 +409,34 @@ def scorecard_contract(spark, sf_dir):
     return score.scorecard_contract(s.drop("copy"))
 
 
+@R.add("release_decision", _psql(f"""
+    SELECT check_id, n_failed,
+           CASE WHEN sum(n_failed) OVER () = 0 THEN 'GO' ELSE 'NO_GO' END AS decision
+    FROM (SELECT 'accepted_sources' AS check_id,
+                 (SELECT count(*) FROM man_checked WHERE reason IS NOT NULL) AS n_failed
+          UNION ALL SELECT 'normalized_reconstruction',
+                 (SELECT count(*) FROM repro WHERE expected AND NOT normalized_match)
+          UNION ALL SELECT 'exact_byte_reconstruction',
+                 (SELECT count(*) FROM repro WHERE expected AND NOT byte_match)
+          UNION ALL SELECT 'no_unexpected_files',
+                 (SELECT count(*) FROM repro WHERE NOT expected)
+          UNION ALL SELECT 'sources_available',
+                 (SELECT count(*) FROM fresh WHERE exit_code > 1)
+          UNION ALL SELECT 'manifest_accepted', 0
+          UNION ALL SELECT 'scorecard_accepted', (SELECT count(*) FROM ({R.sql["scorecard_contract"]})))"""))
+def release_decision(spark, sf_dir):
+    lens = Lens(spark, sf_dir)
+    checked, observations = _checked(lens)
+    manifest = lens.table("documents").select("doc_id")
+    header = manifest.agg(
+        F.lit("v1").alias("schema_version"), F.count(F.lit(1)).alias("expected_source_count"))
+    return provenance.release_decision(
+        checked, provenance.reproduction_diff(*_repro(lens)),
+        provenance.freshness_report(checked, observations),
+        findings={"manifest_accepted": provenance.manifest_level(header, manifest, "v1"),
+                  "scorecard_accepted": scorecard_contract(spark, sf_dir)})
+
+
 @R.add("top_improvements", """
     SELECT o_custkey AS subject_id, CAST(rn AS INTEGER) AS priority, o_orderkey AS improvement_id
     FROM (SELECT o_custkey, o_orderkey, row_number() OVER (

@@ -151,12 +151,16 @@ def reproduction_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def release_decision(
-    checked: DataFrame, diff: DataFrame, report: DataFrame, require_bytes: bool = True
+    checked: DataFrame, diff: DataFrame, report: DataFrame, require_bytes: bool = True,
+    findings: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """(check_id, n_failed, decision): GO only when no check failed anywhere.
 
     Each input is read once and reduced to its counters; an empty input fails its checks.
+    ``findings``: further checks by name, each a table whose every row is a failure, such as
+    ``manifest_level`` or a scorecard's broken rules.
     """
+    findings = findings or {}
     def counters(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
         n = F.count(F.lit(1))
         wide = df.agg(*[
@@ -174,8 +178,11 @@ def release_decision(
             "no_unexpected_files": ~wanted,
         }))
         .unionByName(counters(report, {"sources_available": F.col("exit_code") > 1})))
+    for name, rows in findings.items():
+        union = union.unionByName(rows.agg(F.count(F.lit(1)).alias("n_failed")).select(
+            F.lit(name).alias("check_id"), "n_failed"))
     ids = ["accepted_sources", "normalized_reconstruction", "exact_byte_reconstruction",
-           "no_unexpected_files", "sources_available"]
+           "no_unexpected_files", "sources_available", *findings]
     wide = union.agg(
         F.sum("n_failed").alias("total"),
         *[F.max(F.when(F.col("check_id") == i, F.col("n_failed"))).alias(i) for i in ids])
