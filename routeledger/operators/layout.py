@@ -120,21 +120,24 @@ def grid_cells(words: DataFrame, edges: DataFrame, columns: int = 7,
                tolerance: float = 2.0, threshold: float = 7.0) -> DataFrame:
     """(page, row_no, col_no, text): text of each non-empty grid cell.
 
-    A word belongs to every interval its centre touches, bounds included. A row without words
-    gives nothing, so blank form rows vanish.
+    A word belongs to every cell its centre touches, bounds included; cells are boxes, so words and
+    cells meet by page and band. A row without words gives nothing, so blank form rows vanish.
     """
-    g = grid_bounds(edges, columns, tolerance)
-
-    def slots(bounds: Column, v: Column) -> Column:
+    def intervals(bounds: str) -> Column:
         index = F.sequence(F.lit(1), F.size(bounds) - 1)
-        return F.filter(index, lambda i: (v >= F.element_at(bounds, i))
-                        & (v <= F.element_at(bounds, i + 1)))
-
-    placed = (
-        words.withColumn("_cx", centre_x()).withColumn("_cy", centre_y()).join(g, "page")
-        .withColumn("row_no", F.explode_outer(slots(F.col("rows"), F.col("_cy"))))
-        .withColumn("col_no", F.explode_outer(slots(F.col("cols"), F.col("_cx"))))
-        .where(F.col("row_no").isNotNull() & F.col("col_no").isNotNull()))
+        return F.explode(F.transform(index, lambda i: F.struct(
+            i.alias("no"), F.element_at(bounds, i).alias("low"),
+            F.element_at(bounds, i + 1).alias("high"))))
+
+    cells = (
+        grid_bounds(edges, columns, tolerance)
+        .select("page", "cols", intervals("rows").alias("r"))
+        .select("page", "r", intervals("cols").alias("c"))
+        .select("page", F.struct(F.col("r.no").alias("row_no"), F.col("c.no").alias("col_no"))
+                .alias("box_id"),
+                F.col("c.low").alias("x0"), F.col("c.high").alias("x1"),
+                F.col("r.low").alias("top"), F.col("r.high").alias("bottom")))
+    placed = words_in_box(words, cells).select("box_id.row_no", "box_id.col_no", *words.columns)
     return gap_join(placed, ["page", "row_no", "col_no"], threshold)
 
 
