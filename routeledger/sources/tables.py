@@ -8,20 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_csv_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header as text columns; an empty cell is '', never NULL."""
+def read_csv_table(
+    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True
+) -> DataFrame:
+    """CSV with a header as text columns; an empty cell is '', never NULL.
+
+    With ``multi_line`` a cell may hold line ends, and a file is read by one task. Files known to
+    have none are read with False: large ones are then split among tasks.
+    """
     schema = ", ".join(f"`{c}` string" for c in columns)
     df = (
         spark.read.schema(schema).option("header", True).option("quote", '"')
-        .option("escape", '"').option("multiLine", True).option("enforceSchema", False)
+        .option("escape", '"').option("multiLine", multi_line).option("enforceSchema", False)
         .option("mode", "FAILFAST").csv(path)
     )
     return df.na.fill("")
 
 
-def read_json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A JSON document holding one record or an array of records."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+def read_json_records(
+    spark: SparkSession, path: str, schema: str, lines: bool = False
+) -> DataFrame:
+    """A JSON document holding one record or an array of records; with ``lines``, a record a line,
+    which lets large files be split among tasks."""
+    return spark.read.schema(schema).option("multiLine", not lines).option("mode", "FAILFAST").json(path)
 
 
 def metric_records(records: DataFrame) -> DataFrame:

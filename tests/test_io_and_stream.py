@@ -127,3 +127,15 @@ def test_stream_equals_batch_and_drops_late_rows(spark, tmp_path):
 def test_clean_area_keeps_lines(spark):
     df = spark.createDataFrame([("路線又は\n a \n\nb 運送の区域",)], "t string")
     assert df.select(T.clean_area_lines(F.col("t"))).first()[0] == "a\nb"
+
+
+def test_line_wise_inputs_give_the_same_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,v\n1,"x, ""y"""\n2,\n', encoding="utf-8")
+    (tmp_path / "a.jsonl").write_text('{"k": 1}\n{"k": 2}\n', encoding="utf-8")
+    (tmp_path / "b.json").write_text('[{"k": 1},\n {"k": 2}]\n', encoding="utf-8")
+    read = lambda m: sorted(map(tuple, tables.read_csv_table(
+        spark, str(tmp_path / "a.csv"), ["k", "v"], m).collect()))
+    assert read(True) == read(False) == [("1", 'x, "y"'), ("2", "")]
+    one = tables.read_json_records(spark, str(tmp_path / "a.jsonl"), "k int", lines=True)
+    two = tables.read_json_records(spark, str(tmp_path / "b.json"), "k int")
+    assert sorted(r.k for r in one.collect()) == sorted(r.k for r in two.collect()) == [1, 2]
