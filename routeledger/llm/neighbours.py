@@ -136,18 +136,15 @@ def _index_rows(hashing: Hashing):
     return rows
 
 
-def _probe_rows(hashing: Hashing, n: int, shards: int, hot: np.ndarray, sample: np.ndarray, k: int):
+def _probe_rows(hashing: Hashing, sets: list[tuple[int, ...]], shards: int, hot: np.ndarray):
     """A row for each query and shard, with the cells to visit there and the score that a candidate must have."""
-    sets = perturbations(HASHES, n)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, len(whole), 256):
                 batch = whole.slice(at, 256)
                 q = _vectors(batch.column("x"))
-                enough = np.full(len(q), -np.inf)
-                if len(sample) > k:  # the query itself may be in the sample
-                    enough = -np.partition(-(q @ sample.T), k, axis=1)[:, k]
+                enough = batch.column("enough").to_numpy()
                 cells = hashing.probes(q, sets).transpose(1, 0, 2).reshape(len(q), -1).view(np.int64)
                 row, shard, cell = [], [], []
                 spread = np.isin(cells, hot)
@@ -266,11 +263,31 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         shard = F.when(F.col("spread"), F.pmod(F.xxhash64("vec_id"), F.lit(shards))).otherwise(shard)
     index = index.select(shard.alias("shard"), "cell", "vec_id", "x")
     queries = rows.where(F.col("vec_id") % every == 0)
-    visits = queries.mapInArrow(
-        _probe_rows(hashing, probes, shards, hot, x, k),
-        "shard long, query_id long, x array<double>, enough double, cells array<long>")
-    found = index.groupBy("shard").cogroup(visits.groupBy("shard")).applyInArrow(_shard_rows(k), _FOUND)
-    known = queries.mapInArrow(_sample_rows(x, ids, k), _FOUND)
-    best = found.unionByName(known).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    sets = perturbations(HASHES, probes)
+
+    def visit(best: DataFrame, some: list[tuple[int, ...]]) -> DataFrame:
+        """The k best after visiting some perturbations; only what reaches the k best so far leaves a task."""
+        least = best.groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
+        enough = F.when(F.col("n") >= k, F.col("least")).otherwise(F.lit(float("-inf")))
+        visits = queries.join(least, queries.vec_id == least.query_id, "left").select(
+            "vec_id", "x", F.coalesce(enough, F.lit(float("-inf"))).alias("enough")
+        ).mapInArrow(
+            _probe_rows(hashing, some, shards, hot),
+            "shard long, query_id long, x array<double>, enough double, cells array<long>")
+        found = index.groupBy("shard").cogroup(visits.groupBy("shard")).applyInArrow(_shard_rows(k), _FOUND)
+        return shared.landed(_ranked(found.unionByName(best.select("query_id", "vec_id", "score")), k), "neighbours")
+
+    best = shared.landed(queries.mapInArrow(_sample_rows(x, ids, k), _FOUND), "sample-neighbours")
+    # the likeliest cells first: what they hold bounds what the many other cells have to return
+    near = max(1, len(sets) // 16)
+    for some in (sets[:near], sets[near:]):
+        if some:
+            best = visit(best, some)
+    return best.select("query_id", "rank", "vec_id", "score")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k best of each query, each vector once, ties to the smaller vec_id."""
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return once.withColumn("rank", order).where(F.col("rank") <= k)
