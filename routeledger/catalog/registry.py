@@ -11,7 +11,7 @@ from routeledger.catalog import Registry
 from routeledger.lens_sql import with_lenses
 from routeledger.lenses import Lens
 from routeledger.operators import layout, ordered, registry
-from routeledger.plans import registry_text
+from routeledger.plans import registry_text, vehicle_rows
 
 R = Registry()
 _WELFARE, _GAP = V.TRANSPORT_TYPES
@@ -520,3 +520,63 @@ def registry_page_problems(spark, sf_dir):
     pages = _registry_pages(Lens(spark, sf_dir))
     return registry_text.page_problems(
         registry_text.page_states(registry_text.page_fields(pages, _MARKER)))
+
+
+# -- vehicle tables to vehicle rows -----------------------------------------------------------
+
+_VEHICLES = {"vo": """
+    SELECT 'V' || o_custkey AS doc, o_custkey % 2 = 1 AS gap, o_orderkey AS k,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS office_seq,
+           o_orderkey % 3 AS a, least(o_orderkey % 3, o_orderkey % 2) AS ka, o_orderkey % 4 AS b,
+           o_orderkey % 3 + o_orderkey % 4 + CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END AS t
+    FROM orders"""}
+
+
+def _vehicle_cells(lens):
+    """(cells, documents): a customer is a document, an order an office; some totals are off."""
+    orders = lens.table("orders").select(
+        F.concat(F.lit("V"), F.col("o_custkey").cast("string")).alias("doc"), "o_custkey",
+        F.col("o_orderkey").alias("k"))
+    k = F.col("k")
+    a, b = k % 3, k % 4
+    ka = F.least(a, k % 2)
+    total = a + b + F.when(k % 13 == 0, 1).otherwise(0)
+    number = lambda c: c.cast("string")
+    boxed = lambda n, inner: F.concat(number(n), F.lit("\n("), number(inner), F.lit(")"))
+
+    def row(texts):
+        return F.explode(F.array(*[
+            F.struct(F.lit(c).alias("col_no"), t.alias("text")) for c, t in texts.items()]))
+
+    heads = {1: "事務所", 2: "寝台車\n(うち軽)", 3: "セダン等", 4: "", 5: "合計\n(うち軽)"}
+    head = orders.select("doc").distinct().select(
+        "doc", F.lit(-1).cast("bigint").alias("row_no"),
+        row({c: F.lit(t) for c, t in heads.items()}).alias("x"))
+    body = orders.select("doc", k.alias("row_no"), row({
+        1: F.concat(F.lit("Office "), number(k), F.lit("\nTown "), number(k % 50)),
+        2: F.when(a > 0, boxed(a, ka)).otherwise(""), 3: number(b), 5: boxed(total, ka)}).alias("x"))
+    documents = orders.select("doc", F.when(
+        F.col("o_custkey") % 2 == 1, V.GAP_AREA_TYPE).otherwise(V.TRANSPORT_TYPES[0])
+        .alias("transport_type")).distinct()
+    return head.unionByName(body).select("doc", "row_no", "x.*"), documents
+
+
+@R.add("vehicle_rows", with_lenses("""
+    SELECT doc, office_seq, 'Office ' || k AS office_name, 'Town ' || (k % 50) AS office_location,
+           vehicle_type, vehicle_type_label, n AS count, kei AS count_kei
+    FROM (SELECT *, '寝台車' AS vehicle_type, '寝台車(うち軽)' AS vehicle_type_label, a AS n, ka AS kei FROM vo
+          UNION ALL SELECT *, CASE WHEN gap THEN '普通自動車' ELSE 'セダン等' END, 'セダン等', b, NULL FROM vo
+          UNION ALL SELECT *, '合計', '合計(うち軽)', t, ka FROM vo)
+    WHERE n > 0""", _VEHICLES))
+def vehicle_rows_query(spark, sf_dir):
+    cells, documents = _vehicle_cells(Lens(spark, sf_dir))
+    return vehicle_rows.vehicle_rows(
+        vehicle_rows.read_cells(cells, "doc", documents, header_row=-1), "doc")
+
+
+@R.add("vehicle_problems", with_lenses(
+    "SELECT doc, office_seq, 'office_total_mismatch' AS reason FROM vo WHERE k % 13 = 0", _VEHICLES))
+def vehicle_problems_query(spark, sf_dir):
+    cells, documents = _vehicle_cells(Lens(spark, sf_dir))
+    return vehicle_rows.vehicle_problems(
+        vehicle_rows.read_cells(cells, "doc", documents, header_row=-1), "doc")

@@ -374,3 +374,26 @@ def test_numbering_of_one_group_with_sparse_keys(spark):
     assert len(segments) == 20 and max(r["count"] for r in segments) <= 1001
     got = ordered.numbered(rows, ["user"], "at", "n", 1000)
     assert got.where("n = cast(at div 10000 as bigint) + 1").count() == 20_000
+
+
+def test_vehicle_rows_from_cells(spark):
+    from routeledger.plans import vehicle_rows as vr
+
+    heads = {1: "事務所", 2: "寝台車\n(うち軽)", 3: "セダン\n等", 4: "", 5: "合計\n(うち軽)"}
+    table = {
+        "d": [heads, {1: "North\nTown 1", 2: "2\n(1)", 5: "2\n(1)"}, {1: "South\nTown 2", 3: "３", 5: "4\n(0)"},
+              {1: " \n"}, {1: "合計", 2: "2\n(1)", 3: "3", 5: "6\n(1)"}],
+        "e": [heads, {1: "One", 4: "7", 5: "0\n()"}, {1: "合 計", 5: "9"}],
+    }
+    cells = spark.createDataFrame(
+        [(d, r + 1, c, t) for d, rows in table.items() for r, row in enumerate(rows) for c, t in row.items()],
+        "doc string, row_no int, col_no int, text string")
+    docs = spark.createDataFrame([("d", V.GAP_AREA_TYPE), ("e", V.TRANSPORT_TYPES[0])], "doc string, transport_type string")
+    read = vr.read_cells(cells, "doc", docs)
+    got = {(r.doc, r.office_seq, r.office_name, r.office_location, r.vehicle_type, r["count"], r.count_kei)
+           for r in vr.vehicle_rows(read, "doc").collect()}
+    assert got == {("d", 1, "North", "Town 1", "寝台車", 2, 1), ("d", 1, "North", "Town 1", "合計", 2, 1),
+                   ("d", 2, "South", "Town 2", "普通自動車", 3, None), ("d", 2, "South", "Town 2", "合計", 4, 0)}
+    bad = {(r.doc, r.office_seq, r.reason) for r in vr.vehicle_problems(read, "doc").collect()}
+    assert bad == {("d", 2, "office_total_mismatch"), ("e", 1, "value_without_heading"),
+                   ("e", 1, "office_without_location"), ("e", None, "printed_total_mismatch")}
