@@ -63,8 +63,10 @@ class Vocabulary:
             token, pair = ids[a + b], (ids[a], ids[b])
             self.rank[token], self.halves[token], self.merged[pair] = rank, pair, rank
         self._automaton()
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
+        # words and pieces met lately, and those met before the table was last full
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def _symbols(self, token: int) -> list[int]:
         """The single letters of a token."""
@@ -105,9 +107,6 @@ class Vocabulary:
 
     def fit(self, left: int, right: int) -> bool:
         """Whether the two tokens can follow each other: going back in time, no merge joins them across."""
-        known = self.fits.get((left, right))
-        if known is not None:
-            return known
         a, b, a_until, b_until = left, right, 1 << 60, 1 << 60
         rank, ok = self.rank, True
         while True:
@@ -125,42 +124,73 @@ class Vocabulary:
                 b_until, b = rb, self.halves[b][0]
         if len(self.fits) > 4 * _TABLE:
             self.fits.clear()
-        self.fits[left, right] = ok
+        self.fits[left << 20 | right] = ok
         return ok
 
+    def _step(self, state: int, symbol: int) -> int:
+        """The state after a symbol that a state does not name: that of its longest suffix; named from then on."""
+        at = state
+        while at and symbol not in self.next[at]:
+            at = self.back[at]
+        to = self.next[at].get(symbol, 0)
+        self.next[state][symbol] = to
+        return to
+
     def piece(self, piece: str) -> list[int]:
         """The ids of one word."""
         data = piece.encode()
-        symbols = [self.letter[x] for x in data[:-1]]
-        symbols.append(self.last_letter[data[-1]])
-        last, state = [(0, -1)] * (len(symbols) + 1), 0
-        for i, x in enumerate(symbols, 1):
-            while state and x not in self.next[state]:
-                state = self.back[state]
-            state = self.next[state].get(x, 0)
-            for length, token in self.ends[state]:
-                before = last[i - length][1]
-                if before < 0 if length == i else before >= 0 and self.fit(before, token):
-                    last[i] = (length, token)
-                    break
-        out, at = [], len(symbols)
-        while at:
-            length, token = last[at]
-            out.append(token)
-            at -= length
+        letter = self.letter
+        symbols = [letter[x] for x in data]
+        symbols[-1] = self.last_letter[data[-1]]
+        steps, ends, fits = self.next, self.ends, self.fits
+        last, size = [0] * (len(symbols) + 1), [0] * (len(symbols) + 1)
+        state = i = 0
+        for x in symbols:
+            i += 1
+            to = steps[state].get(x)
+            state = self._step(state, x) if to is None else to
+            for length, token in ends[state]:
+                if length < i:
+                    before = last[i - length]
+                    ok = fits.get(before << 20 | token)
+                    if ok is None:
+                        ok = self.fit(before, token)
+                    if not ok:
+                        continue
+                last[i], size[i] = token, length
+                break
+        out = []
+        while i:
+            out.append(last[i])
+            i -= size[i]
         out.reverse()
         return out
 
+    def _kept(self, word: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(word) <= _LONGEST_KEPT:
+            if len(self.words) > _TABLE:
+                self.older, self.words = self.words, {}
+            self.words[word] = ids
+        return ids
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        ids = self.words.get(piece) or self.older.get(piece)
+        return ids if ids is not None else self._kept(piece, tuple(self.piece(piece)))
+
     def _chunk(self, chunk: str) -> tuple[int, ...]:
+        ids = self.older.get(chunk)
+        if ids is not None:
+            return self._kept(chunk, ids)
         shape = chunk
-        if not chunk.isascii():  # the public library's character tables end before this code point
+        if chunk.isascii():
+            if chunk.isalpha():
+                return self._kept(chunk, tuple(self.piece(chunk)))
+        else:  # the public library's character tables end before this code point
             shape = "".join("\ue000" if _NEWER <= c < "\U000e0000" else c for c in chunk)
-        out = tuple(chain.from_iterable(self.piece(chunk[m.start():m.end()]) for m in _PIECES.finditer(shape)))
-        if len(chunk) <= _LONGEST_KEPT:
-            if len(self.words) > _TABLE:
-                self.words.clear()
-            self.words[chunk] = out
-        return out
+        pieces = [chunk[m.start():m.end()] for m in _PIECES.finditer(shape)]
+        if len(pieces) == 1 and pieces[0] == chunk:
+            return self._kept(chunk, tuple(self.piece(chunk)))
+        return self._kept(chunk, tuple(chain.from_iterable(map(self._piece, pieces))))
 
     def _plain(self, text: str) -> Iterator[tuple[int, ...]]:
         if not text.isascii():
