@@ -103,34 +103,30 @@ def _window_rows(length: int, seed: int):
     return rows
 
 
-def _removal(length: int, with_text: bool):
-    """Words, words removed and the digest of the kept ones; with_text: also what is left of the text."""
+def _kept(words: W.Words, repeats: pa.Array, length: int) -> np.ndarray:
+    """Which words lie in none of their row's repeats."""
+    n = len(words.hash)
+    owner = np.repeat(np.arange(len(repeats)), np.diff(repeats.offsets.to_numpy()))
+    start, count = (repeats.flatten().field(c).to_numpy() for c in ("start", "count"))
+    begin = words.first[:-1][owner] + start
+    change = (np.bincount(begin, minlength=n + 1)[:n]
+              - np.bincount(begin + count + length - 1, minlength=n + 1)[:n])
+    return np.cumsum(change) == 0
+
+
+def _removal(length: int):
+    """Words, words removed and the digest of the kept ones."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.portions(batches):
             words = W.split(batch.column("text"), W.SPACE, False)
-            n = len(words.hash)
-            repeats = batch.column("repeats")
-            owner = np.repeat(np.arange(len(batch)), np.diff(repeats.offsets.to_numpy()))
-            start, count = (repeats.flatten().field(c).to_numpy() for c in ("start", "count"))
-            begin = words.first[:-1][owner] + start
-            change = (np.bincount(begin, minlength=n + 1)[:n]
-                      - np.bincount(begin + count + length - 1, minlength=n + 1)[:n])
-            keep = np.cumsum(change) == 0
+            keep = _kept(words, batch.column("repeats"), length)
             kept = np.concatenate([[0], np.cumsum(keep)])
             size = np.diff(words.first)
             lost = size - (kept[words.first[1:]] - kept[words.first[:-1]])
-            digest, left = [], []
-            for i in range(len(batch)):
-                text = W.joined(words, keep, i)
-                digest.append(hashlib.sha256(text).hexdigest())
-                if with_text:
-                    left.append(_rest(words, keep, i) if lost[i] else None)
+            digest = [hashlib.sha256(W.joined(words, keep, i)).hexdigest() for i in range(len(batch))]
             out = [batch.column("doc_id"), batch.column("ver"), pa.array(size.astype(np.int64)),
                    pa.array(lost.astype(np.int64)), pa.array(digest, pa.string())]
             names = ["doc_id", "ver", "n_words", "n_removed", "kept_sha256"]
-            if with_text:
-                out.append(pa.array(left, pa.string()))
-                names.append("rest")
             yield pa.RecordBatch.from_arrays(out, names)
     return rows
 
@@ -155,9 +151,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     rows = _keyed(docs)
     anchors = rows.mapInArrow(
         _anchor_rows(length, seed), "anchor long, reach long, doc_id long, at long, form int")
-    often = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # landed, as is `first`: a join can be split at a hot key only if no grouping stands between it and its shuffles
+    often = shared.landed(
+        anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "substring-often")
     seeds = shared.landed(anchors.join(often, "anchor", "left_semi"), "substring-seeds")
-    # landed, so that the join on both keys is dealt by both: one anchor may hold a third of all seeds
     first = shared.landed(
         seeds.groupBy("anchor", "reach").agg(F.min(F.struct("doc_id", "at")).alias("one")), "substring-first")
     again = (
@@ -212,10 +209,10 @@ def spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
 def removal(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
     none = F.expr("cast(array() as array<struct<start:int,count:int>>)")
-    plain = _keyed(docs).withColumn("repeats", none).mapInArrow(_removal(length, False), _DIGEST)
+    plain = _keyed(docs).withColumn("repeats", none).mapInArrow(_removal(length), _DIGEST)
     cut = (
         _keyed(docs).join(repeats(docs, length, seed), ["doc_id", "ver"])
-        .dropDuplicates(["doc_id", "ver"]).mapInArrow(_removal(length, False), _DIGEST)
+        .dropDuplicates(["doc_id", "ver"]).mapInArrow(_removal(length), _DIGEST)
         .select("doc_id", "ver", F.col("n_removed").alias("lost"), F.col("kept_sha256").alias("kept"))
     )
     return plain.join(cut, ["doc_id", "ver"], "left").select(
@@ -223,20 +220,41 @@ def removal(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
         F.coalesce("kept", "kept_sha256").alias("kept_sha256"))
 
 
+def _cut_rows(names: list[str], length: int):
+    """Rows of a documents table, and `repeats` after them: texts without their repeats, n_chars following."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text_at = names.index("text")
+        for batch in W.portions(batches, f"c{text_at}"):
+            out = [batch.column(i) for i in range(len(names))]
+            repeats = batch.column(len(names))
+            some = np.flatnonzero(repeats.is_valid().to_numpy(zero_copy_only=False))
+            if len(some):
+                part = batch.take(pa.array(some))
+                words = W.split(part.column(text_at), W.SPACE, False)
+                keep = _kept(words, part.column(len(names)), length)
+                text, size = out[text_at].to_pylist(), None
+                for k, i in enumerate(some):
+                    text[i] = _rest(words, keep, k)
+                out[text_at] = pa.array(text, out[text_at].type)
+                if "n_chars" in names:
+                    at = names.index("n_chars")
+                    size = out[at].to_pylist()
+                    for i in some:
+                        size[i] = len(text[i])
+                    out[at] = pa.array(size, out[at].type)
+            yield pa.RecordBatch.from_arrays(out, names)
+    return rows
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """docs, with repeated words cut out of text and n_chars following; texts without repeats stay as they are."""
-    cut = (
-        _keyed(docs).join(repeats(docs, length, seed), ["doc_id", "ver"])
-        .dropDuplicates(["doc_id", "ver"]).mapInArrow(_removal(length, True), _DIGEST + ", rest string")
-        .select(F.col("doc_id").alias("cut_id"), F.col("ver").alias("cut_ver"), "rest")
-    )
-    own = docs.alias("own")
-    text = F.coalesce(F.col("rest"), F.col("own.text"))
-    new = {"text": text, "n_chars": F.when(F.col("rest").isNotNull(), F.length("rest").cast("long"))}
-    return own.join(
-        cut.alias("cut"),
-        (F.col("own.doc_id") == F.col("cut.cut_id"))
-        & (_version(F.coalesce(F.col("own.text"), F.lit(""))) == F.col("cut.cut_ver")), "left",
-    ).select(*(
-        F.coalesce(new[c], F.col(f"own.{c}")).alias(c) if c == "n_chars"
-        else new[c].alias(c) if c == "text" else F.col(f"own.`{c}`") for c in docs.columns))
+    """docs, with repeated words cut out of text and n_chars following; texts without repeats stay as they are.
+
+    Texts meet their repeats in one join; the columns go through it by place, so their names do not matter.
+    """
+    found = repeats(docs, length, seed).select(
+        F.col("doc_id").alias("cut_id"), F.col("ver").alias("cut_ver"), "repeats")
+    own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    key, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    joined = own.join(
+        found, (key == F.col("cut_id")) & (_version(F.coalesce(text, F.lit(""))) == F.col("cut_ver")), "left")
+    return joined.select(*own.columns, "repeats").mapInArrow(_cut_rows(docs.columns, length), docs.schema)
