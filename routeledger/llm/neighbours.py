@@ -9,7 +9,9 @@ precision on the given vectors.
 
 The number of probes is found on a bounded sample of at most SAMPLE vectors: as many as find TARGET of the
 neighbours there that stand for the wanted ones (the top `k` of all rows are the top k * sample / rows of the
-sample). The sample's own best also bound what a task has to return. All rows are indexed and all are candidates.
+sample). The sample's own best also bound what a task has to return, but are no results: all rows are indexed, and
+only what a visited cell holds is found. Exact scans of all rows stand in for the cells where these cannot do: for
+all queries if not even PROBES find TARGET on the sample, and for queries with fewer than k found over the bound.
 
 Cells are dealt to shards; a cell with more rows than a shard should have (there are at most as many as shards) is
 spread over all shards, and its probes with it. A task returns at most k rows a query.
@@ -34,6 +36,8 @@ from routeledger.llm import shared, words as W
 
 TABLES, HASHES, WIDTH = 8, 12, 2.5
 SAMPLE, TARGET, PROBES = 2000, 0.95, 4096
+#: scores of different matrix products differ by less, relative to the norms
+SLACK = 1e-9
 SHARD_ROWS = 16_384
 _FOUND = "query_id long, vec_id long, score double"
 
@@ -102,8 +106,8 @@ def _top(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
-def _wanted_probes(hashing: Hashing, x: np.ndarray, k: int, rows: int) -> int:
-    """Probes a table with which the sample's neighbours are found."""
+def _wanted_probes(hashing: Hashing, x: np.ndarray, k: int, rows: int) -> int | None:
+    """Probes a table with which TARGET of the sample's neighbours are found; None if PROBES do not find them."""
     near = max(1, min(len(x) - 1, round(k * len(x) / max(rows, 1))))
     some = np.arange(min(len(x), 300))
     score = x[some] @ x.T
@@ -118,7 +122,8 @@ def _wanted_probes(hashing: Hashing, x: np.ndarray, k: int, rows: int) -> int:
             hit = visited[t] == cells[t][best[:, j]][:, None]
             first[:, j] = np.minimum(first[:, j], np.where(hit.any(axis=1), hit.argmax(axis=1), len(sets)))
     needed = np.sort(first.ravel())
-    return int(min(needed[math.ceil(TARGET * len(needed)) - 1] + 1, len(sets)))
+    last = int(needed[math.ceil(TARGET * len(needed)) - 1])
+    return last + 1 if last < len(sets) else None
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -188,12 +193,14 @@ def _shard_rows(k: int):
             for a, n, lo, hi in zip(first, size, low, high):
                 for part in range(lo, hi, 1024):
                     who = owner[part:min(part + 1024, hi)]
-                    score = x[a:a + n] @ q[who].T
-                    v, w = np.nonzero(score >= enough[who][None, :])
+                    v, w = np.nonzero(x[a:a + n] @ q[who].T >= enough[who][None, :])
                     keep = vec[a + v] != qid[who[w]]
-                    found_q.append(who[w][keep])
-                    found_v.append(vec[a + v][keep])
-                    found_s.append(score[v, w][keep])
+                    v, w = a + v[keep], who[w[keep]]
+                    found_q.append(w)
+                    found_v.append(vec[v])
+                    # pair by pair, so that a pair has one score in every cell and task
+                    found_s.extend(np.einsum("nd,nd->n", x[v[i:i + 65_536]], q[w[i:i + 65_536]])
+                                   for i in range(0, len(v), 65_536))
         return _best(np.concatenate(found_q) if found_q else np.zeros(0, np.int64),
                      np.concatenate(found_v) if found_v else np.zeros(0, np.int64),
                      np.concatenate(found_s) if found_s else np.zeros(0), k,
@@ -214,17 +221,20 @@ def _best(q: np.ndarray, v: np.ndarray, s: np.ndarray, k: int, name: np.ndarray)
                      "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
 
 
-def _sample_rows(sample: np.ndarray, ids: np.ndarray, k: int):
-    """The k best of the sample for each query: what is found at least."""
+def _bound_rows(sample: np.ndarray, ids: np.ndarray, k: int, bound: float):
+    """Each query with the score of the sample's k-th best, which the k best of all rows reach."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, len(whole), 256):
                 batch = whole.slice(at, 256)
-                own = batch.column("vec_id").to_numpy()
-                score = _vectors(batch.column("x")) @ sample.T
-                q, v = np.nonzero(own[:, None] != ids[None, :])
-                part = _best(q, ids[v], score[q, v], k, own)
-                yield from part.to_batches()
+                own, q = batch.column("vec_id").to_numpy(), _vectors(batch.column("x"))
+                score = np.where(own[:, None] != ids[None, :], q @ sample.T, -np.inf)
+                least = np.full(len(q), -np.inf)
+                if k <= len(ids):
+                    least = -np.partition(-score, k - 1, axis=1)[:, k - 1]
+                least = least - SLACK * bound * np.sqrt((q * q).sum(axis=1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("vec_id"), batch.column("x"), pa.array(least)], ["vec_id", "x", "least"])
     return rows
 
 
@@ -251,6 +261,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     x, ids = np.stack(sample["x"]).astype(np.float64), sample["vec_id"].to_numpy(np.int64)
     hashing = Hashing(common.length, common.bound)
     probes = _wanted_probes(hashing, x, k, common.n) if len(x) > 1 else 1
+    sets = perturbations(HASHES, probes) if probes else []
     shards = max(1, math.ceil(common.n * TABLES / SHARD_ROWS))
     index = rows.mapInArrow(_index_rows(hashing), "cell long, vec_id long, x array<double>")
     # a shard's share of all rows is reached by at most as many cells as there are shards
@@ -262,28 +273,38 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         index = index.join(F.broadcast(marks), "cell", "left")
         shard = F.when(F.col("spread"), F.pmod(F.xxhash64("vec_id"), F.lit(shards))).otherwise(shard)
     index = index.select(shard.alias("shard"), "cell", "vec_id", "x")
-    queries = rows.where(F.col("vec_id") % every == 0)
-    sets = perturbations(HASHES, probes)
-
-    def visit(best: DataFrame, some: list[tuple[int, ...]]) -> DataFrame:
-        """The k best after visiting some perturbations; only what reaches the k best so far leaves a task."""
-        least = best.groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
-        enough = F.when(F.col("n") >= k, F.col("least")).otherwise(F.lit(float("-inf")))
-        visits = queries.join(least, queries.vec_id == least.query_id, "left").select(
-            "vec_id", "x", F.coalesce(enough, F.lit(float("-inf"))).alias("enough")
-        ).mapInArrow(
-            _probe_rows(hashing, some, shards, hot),
-            "shard long, query_id long, x array<double>, enough double, cells array<long>")
+    queries = shared.landed(
+        rows.where(F.col("vec_id") % every == 0).mapInArrow(
+            _bound_rows(x, ids, k, common.bound), "vec_id long, x array<double>, least double"), "neighbour-queries")
+    best = spark.createDataFrame([], _FOUND)
+
+    def bounded() -> DataFrame:
+        """The queries, the score that a candidate must have, and the neighbours found so far."""
+        own = best.groupBy("query_id").agg(F.min("score").alias("last"), F.count(F.lit(1)).alias("n"))
+        enough = F.when(F.col("n") >= k, F.greatest("last", "least")).otherwise(F.col("least"))
+        return queries.join(own, queries.vec_id == own.query_id, "left").select(
+            "vec_id", "x", enough.alias("enough"), F.coalesce("n", F.lit(0)).alias("n"))
+
+    def merged(index: DataFrame, visits: DataFrame) -> DataFrame:
+        """The k best with what is found in the cells to visit; only what reaches the k best so far leaves a task."""
         found = index.groupBy("shard").cogroup(visits.groupBy("shard")).applyInArrow(_shard_rows(k), _FOUND)
         return shared.landed(_ranked(found.unionByName(best.select("query_id", "vec_id", "score")), k), "neighbours")
 
-    best = shared.landed(queries.mapInArrow(_sample_rows(x, ids, k), _FOUND), "sample-neighbours")
     # the likeliest cells first: what they hold bounds what the many other cells have to return
     near = max(1, len(sets) // 16)
     for some in (sets[:near], sets[near:]):
         if some:
-            best = visit(best, some)
-    return best.select("query_id", "rank", "vec_id", "score")
+            best = merged(index, bounded().select("vec_id", "x", "enough").mapInArrow(
+                _probe_rows(hashing, some, shards, hot),
+                "shard long, query_id long, x array<double>, enough double, cells array<long>"))
+    short = shared.landed(bounded().where(F.col("n") < min(k, common.n - 1)), "short-queries")
+    if not short.isEmpty():
+        whole = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"),
+                            F.lit(0).cast("long").alias("cell"), "vec_id", "x")
+        best = merged(whole, short.select(
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
+            F.col("vec_id").alias("query_id"), "x", "enough", F.array(F.lit(0).cast("long")).alias("cells")))
+    return _ranked(best, k).select("query_id", "rank", "vec_id", "score")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from routeledger.llm import neighbours as N, shared
 
@@ -57,6 +58,30 @@ def test_given_table(spark):
     assert np.mean([len({v for v, _ in got[q]} & {v for v, _ in want[q]}) / 20 for q in want]) >= 0.9
 
 
+@pytest.mark.parametrize("probes", [1, None])
+def test_results_come_from_visited_cells_or_exact_scans(spark, monkeypatch, probes):
+    """The sample's rows are no results by themselves; without enough probes all rows are scanned."""
+    monkeypatch.setattr(N, "SAMPLE", 100)
+    monkeypatch.setattr(N, "_wanted_probes", lambda *_: probes)
+    rnd = np.random.default_rng(3)
+    x = rnd.standard_normal((8, 32))[np.arange(800) % 8] + 0.5 * rnd.standard_normal((800, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, want = found(N.search(table, 5, 10)), plain(rows, 5, 10)
+    assert set(got) == set(want) and all(len(a) == 5 for a in got.values())
+    sample = [r.vec_id for r in table.select("vec_id").orderBy(F.xxhash64("vec_id"), "vec_id").limit(100).collect()]
+    hashing = N.Hashing(32, np.sqrt((x * x).sum(axis=1)).max())
+    seen = (hashing.cells(x)[:, None, :] == hashing.probes(x, [()])).any(axis=0)  # query by row
+    by_cells = 0
+    for q, near in got.items():
+        score = x @ x[q]
+        bound = np.sort([score[i] for i in sample if i != q])[-5]
+        own = [i for i in np.argsort(-score) if i != q and seen[q, i] and score[i] >= bound][:5]
+        by_cells += probes is not None and len(own) == 5
+        assert [v for v, _ in near] == (own if probes and len(own) == 5 else [v for v, _ in want[q]])
+    assert by_cells >= 10 or probes is None
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]),
