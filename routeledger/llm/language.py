@@ -4,7 +4,8 @@ Evidence: the text (likelihood of its byte trigrams under each language), the de
 place it comes from, as a prior for its host that is smoothed towards its domain, its address suffix and
 finally all rows. The text models are counts over all rows with a declared language; declared languages
 agree with texts mostly, and how often they mislead is counted as well: all tables come from grouped
-aggregation of all rows. The languages are those that at least one row in 500 declares, so at most 500.
+aggregation of all rows. The languages are those whose rows hold EVIDENCE trigrams, whatever their share of the
+table, and those that at least one row in 500 declares. They are scored in blocks of BLOCK.
 
 A last class, `und`, takes every trigram as equally likely: texts that look like none of the languages fall
 to it. It and posteriors under one half are rejected.
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 from routeledger.llm import shared, words as W
 
 _SLOTS = 1 << 16
+#: trigrams in the rows of a declared language that are enough for a model
+EVIDENCE = 100
+BLOCK = 64
 UNKNOWN = "und"
 #: trigrams of a text overlap and repeat; their joint evidence is taken at this weight
 WEIGHT = 0.3
@@ -51,33 +55,64 @@ def _trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return slot, at, np.concatenate([[0], np.cumsum(data != 0x20)])
 
 
-def _count_rows(languages: list[str]):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), _SLOTS + 1), np.int64)
-        place = {x: i for i, x in enumerate(languages)}
-        for batch in W.portions(batches):
-            slot, at, _ = _trigrams(batch.column("text"))
-            for i, declared in enumerate(batch.column("declared").to_pylist()):
-                if declared in place:
-                    np.add.at(total[place[declared]], slot[at[i]:at[i + 1]], 1)
-        lang, slot = np.nonzero(total[:, :_SLOTS])
+def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in W.portions(batches):
+        slot, at, _ = _trigrams(batch.column("text"))
+        names = batch.column("declared").dictionary_encode()
+        own = np.repeat(names.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.diff(at))
+        key = (own * _SLOTS + slot)[slot < _SLOTS]
+        if len(names.dictionary) <= BLOCK:
+            n = np.bincount(key, minlength=1)
+            key = np.flatnonzero(n)
+            n = n[key]
+        else:
+            key, n = np.unique(key, return_counts=True)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(lang.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(total[lang, slot])],
-            ["language", "slot", "n"])
-    return rows
+            [names.dictionary.take(pa.array(key // _SLOTS)), pa.array((key % _SLOTS).astype(np.int32)),
+             pa.array(n.astype(np.int64))], ["declared", "slot", "n"])
+
+
+class _Model:
+    """Log probabilities by class and slot, the last class uniform and the last slot zero.
 
+    Only slots that a language has reach the driver and the tasks, at most 65,536 a language.
+    """
 
-def _score_rows(table: np.ndarray):
+    def __init__(self, language: np.ndarray, slot: np.ndarray, n: np.ndarray, languages: int) -> None:
+        order = np.argsort(language, kind="stable")
+        self.slot = slot[order].astype(np.int32)
+        self.first = np.searchsorted(language[order], np.arange(languages + 1))
+        self.total = 0.5 * _SLOTS + np.bincount(language, n, languages)
+        self.log = np.log((n[order] + 0.5) / np.repeat(self.total, np.diff(self.first)))
+        self.size = languages + 1
+        self._kept: tuple[int, np.ndarray] | None = None
+
+    def block(self, at: int) -> np.ndarray:
+        """The dense table of up to BLOCK classes from `at`; the last one made is kept."""
+        if self._kept is None or self._kept[0] != at:
+            stop = min(at + BLOCK, self.size)
+            table = np.full((stop - at, _SLOTS + 1), -np.log(_SLOTS))
+            for k in range(at, min(stop, self.size - 1)):
+                table[k - at] = np.log(0.5 / self.total[k])
+                own = slice(self.first[k], self.first[k + 1])
+                table[k - at, self.slot[own]] = self.log[own]
+            table[:, _SLOTS] = 0
+            self._kept = at, table
+        return self._kept[1]
+
+
+def _score_rows(model: _Model):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.portions(batches):
             slot, at, letters = _trigrams(batch.column("text"))
             some = np.flatnonzero(np.diff(at))
-            score = np.zeros((len(batch), len(table)))
-            for k in range(len(table)):
-                if len(some):
-                    score[some, k] = np.add.reduceat(table[k][slot], at[:-1][some])
+            score = np.zeros((len(batch), model.size))
+            for first in range(0, model.size, BLOCK):
+                for k, logs in enumerate(model.block(first), first):
+                    if len(some):
+                        score[some, k] = np.add.reduceat(logs[slot], at[:-1][some])
             lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(batch) + 1, dtype=np.int32) * len(table)), pa.array(score.ravel()))
+                pa.array(np.arange(len(batch) + 1, dtype=np.int32) * model.size), pa.array(score.ravel()))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("id", "ver", "declared", "host", "domain", "suffix")),
                  pa.array(letters[at[1:]] - letters[at[:-1]]), lists],
@@ -85,20 +120,23 @@ def _score_rows(table: np.ndarray):
     return rows
 
 
-def _model(rows: DataFrame, languages: list[str]) -> np.ndarray:
-    """Log probabilities by class and slot, the last class uniform and the last slot zero.
-
-    At most 500 languages times 65,536 slots reach the driver, whatever the number of rows.
-    """
-    counts = rows.select("text", "declared").mapInArrow(
-        _count_rows(languages), "language int, slot int, n long").groupBy("language", "slot").agg(
-        F.sum("n").alias("n")).toPandas()
-    table = np.full((len(languages) + 1, _SLOTS + 1), 0.5)
-    table[counts["language"], counts["slot"]] += counts["n"]
-    table = np.log(table / table[:, :_SLOTS].sum(axis=1, keepdims=True))
-    table[-1] = -np.log(_SLOTS)
-    table[:, _SLOTS] = 0
-    return table
+def _learned(rows: DataFrame) -> tuple[list[str], _Model]:
+    """The languages with enough evidence, in order, and their model."""
+    said = rows.where("declared is not null")
+    counts = shared.landed(
+        said.select("text", "declared").mapInArrow(_count_rows, "declared string, slot int, n long")
+        .groupBy("declared", "slot").agg(F.sum("n").alias("n")), "language-trigrams")
+    declared = said.groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
+    total = declared.agg(F.sum("n")).first()[0] or 0
+    evidence = counts.groupBy("declared").agg(F.sum("n").alias("trigrams"))
+    known = shared.landed(
+        declared.join(evidence, "declared", "left")
+        .where((500 * F.col("n") >= total) | (F.col("trigrams") >= EVIDENCE)).select("declared"), "languages")
+    languages = [r.declared for r in known.orderBy("declared").collect()]
+    own = counts.join(known, "declared").toPandas()
+    place = {x: i for i, x in enumerate(languages)}
+    language = np.array([place[x] for x in own["declared"]], np.int64)
+    return languages, _Model(language, own["slot"].to_numpy(np.int64), own["n"].to_numpy(np.float64), len(languages))
 
 
 def _totals(said: DataFrame, k: int) -> np.ndarray:
@@ -109,12 +147,10 @@ def _totals(said: DataFrame, k: int) -> np.ndarray:
 
 def identify(rows: DataFrame) -> DataFrame:
     """Of rows (id, ver, text, declared, host, domain, suffix): id, ver, language, posterior, accepted."""
-    declared = rows.where("declared is not null").groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
-    total = declared.agg(F.sum("n")).first()[0] or 0
-    languages = [r.declared for r in declared.where(500 * F.col("n") >= total).orderBy("declared").collect()]
+    languages, model = _learned(rows)
     k = len(languages) + 1
     scored = shared.landed(
-        rows.mapInArrow(_score_rows(_model(rows, languages)),
+        rows.mapInArrow(_score_rows(model),
                         "id long, ver int, declared string, host string, domain string, suffix string, "
                         "n long, likelihood array<double>"), "language-scores")
     text_only = F.array_position("likelihood", F.array_max("likelihood")).cast("int")

@@ -28,6 +28,22 @@ def test_evidence_decides_where_the_text_does_not(spark):
     assert [got[i].language for i in (90, 91, 92)] == ["en", "de", "de"]
 
 
+def test_rare_languages_are_told(spark, monkeypatch):
+    """A language of one row in 5,000 has a model, scored in a block of its own."""
+    rare = "საქართველოს მთავარი ქალაქი თბილისი მდებარეობს მდინარე მტკვრის ნაპირას"
+    rows = [(i, "the and of that which was", "en", "a") if i % 2 else (i, "und der die das nicht war", "de", "b")
+            for i in range(4999)]
+    rows += [(5000, rare, "ka", "a"), (5001, "ქალაქი მდებარეობს მთავარი მდინარე თბილისი", None, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language._learned(language._rows(docs, "doc_id", F.col("text"), F.col("lang"), F.col("source")))[1]
+    whole = model.block(0)
+    monkeypatch.setattr(language, "BLOCK", 2)
+    assert (model.block(2) == whole[2:]).all() and len(whole) == 4
+    got = {r.id: r for r in language.of_documents(docs).where("id >= 4997").collect()}
+    assert [(got[i].language, got[i].accepted) for i in (4997, 4998, 5000, 5001)] == [
+        ("en", True), ("de", True), ("ka", True), ("ka", True)]
+
+
 def test_pages_use_markup_and_address(spark):
     pages = shared.read(spark, SF, "pages")
     want = F.regexp_extract("html", 'lang="([a-z]+)"', 1)
