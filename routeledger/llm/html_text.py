@@ -4,8 +4,12 @@ The standard library's streaming parser turns a page into lines, one for each bl
 of tags in it and the element that holds it. Lines inside elements that are never article text (menus, headers,
 footers, side bars, forms, scripts, notices, adverts, reader comments, by their tag, role, class or id) have
 ratio 0. The ratios of text to tags are smoothed over neighbouring lines; lines over the threshold between the
-two clusters of ratios are content. The smallest element that holds most of the content text, or the article
-or main element around it, is the content region: its lines, short ones as well, are the text.
+two clusters of ratios are content. The article or main element around most of the content text, or else the
+smallest element that holds all of it, is the content region: its lines, short ones as well, are the text.
+
+A class or id condemns by the thing that it names (`sidebar`, `site-header`, `cookie-notice`), not by a word in it
+(`has-sidebar`, `share-enabled`). An element that holds most of the content is not condemned by class or id, unless
+there is an article or main element with content beside it.
 
 A page is one row and is worked on by itself; there is no shuffle.
 
@@ -52,6 +56,23 @@ _ENDS = {
 #: blocks end an open paragraph
 _ENDS_P = _BLOCK - {"html", "head", "body", "title", "option", "td", "th", "tr", "tbody", "thead", "tfoot", "legend"}
 _NAME = re.compile(r"[a-z]+")
+#: first words that tell the state of an element, and last words that leave the naming to the first
+_STATES = frozenset(
+    "can disable disabled enable enabled has have hide is no non not off on show supports when with without".split())
+_PARTS = frozenset(
+    "area bar block bottom box btn button buttons col column container content form group holder icon icons inner item "
+    "items left link links list message notice outer panel right row section slot thread title toggle top unit wrap "
+    "wrapper zone".split())
+
+
+def _names_never(token: str) -> bool:
+    """Whether a class or id names what is never article text, by its last word or the first before a mere part."""
+    words = _NAME.findall(token)
+    if not words or len(words) > 1 and words[0] in _STATES:
+        return False
+    while len(words) > 1 and words[-1] in _PARTS and words[-1] not in _NEVER_WORDS:
+        words.pop()
+    return words[-1] in _NEVER_WORDS
 
 
 class _Lines(HTMLParser):
@@ -60,6 +81,9 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # tag, holder, never
+        self.named: list[int] = []  # of each open element: the outermost one condemned by class or id, or -1
+        self.marks: list[int] = []  # the same of each line
+        self.n_named = 0
         self.holders: list[tuple[int, str]] = [(-1, "html")]
         self.lines: list[tuple[str, int, int, bool]] = []
         self.parts: list[str] = []
@@ -75,17 +99,23 @@ class _Lines(HTMLParser):
                 names = _NAME.findall(value.lower())
                 if name == "role" and not _NEVER_ROLES.isdisjoint(names):
                     return True
-                if name in ("class", "id") and not _NEVER_WORDS.isdisjoint(names):
-                    return True
             if name in ("hidden",) or name == "aria-hidden" and value == "true":
                 return True
         return False
 
+    @staticmethod
+    def _named(tag: str, attrs) -> bool:
+        """Condemned by class or id."""
+        return tag not in ("html", "body", "main", "article") and any(
+            _names_never(token) for name, value in attrs if value and name in ("class", "id")
+            for token in value.lower().split())
+
     def _line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             _, holder, never = self.open[-1] if self.open else ("", 0, False)
             self.lines.append((text, self.tags, holder, not never))
+            self.marks.append(self.named[-1] if self.open else -1)
         self.parts, self.tags = [], 0
 
     def _close(self, tag: str, up_to: frozenset[str] | set[str] = frozenset()) -> None:
@@ -93,7 +123,7 @@ class _Lines(HTMLParser):
             name = self.open[i][0]
             if name == tag:
                 self._line()
-                del self.open[i:]
+                del self.open[i:], self.named[i:]
                 return
             if name in up_to:
                 return
@@ -120,6 +150,10 @@ class _Lines(HTMLParser):
         if tag in _HOLDER:
             self.holders.append((holder, tag))
             holder = len(self.holders) - 1
+        mark = self.named[-1] if self.open else -1
+        if mark < 0 and self._named(tag, attrs):
+            mark, self.n_named = self.n_named, self.n_named + 1
+        self.named.append(mark)
         self.open.append((tag, holder, never or self._never(tag, attrs)))
 
     def handle_startendtag(self, tag, attrs):
@@ -140,9 +174,9 @@ class _Lines(HTMLParser):
         for i in range(len(self.open) - 1, -1, -1):
             name = self.open[i][0]
             if name == tag:
-                if self.open[i][2]:  # text of a never element is no part of the line around it
+                if self.open[i][2] or self.named[i] >= 0:  # text of a never element is no part of the line around it
                     self._line()
-                del self.open[i:]
+                del self.open[i:], self.named[i:]
                 return
             if name in _BLOCK:
                 return
@@ -175,11 +209,36 @@ def _threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
+def _ratios(lines: list[tuple[str, int, int, bool]]) -> tuple[list[float], float]:
+    """The smoothed ratios of text to tags, and the border over which a line is content."""
+    smooth = _smoothed([len(text) / max(1, tags) if good else 0.0 for text, tags, _, good in lines])
+    return smooth, _threshold(smooth)
+
+
+def _judged(page: _Lines) -> list[tuple[str, int, int, bool]]:
+    """The lines less those condemned by class or id; what holds most of the content is not condemned."""
+    if not any(good for *_, good in page.lines):
+        return page.lines
+    smooth, border = _ratios(page.lines)
+    inside = [False] * len(page.holders)  # an article or main element
+    for h, (parent, tag) in enumerate(page.holders):
+        inside[h] = tag in ("article", "main") or parent >= 0 and inside[parent]
+    weight, total, beside = [0] * page.n_named, 0, False
+    for (text, _, holder, good), value, mark in zip(page.lines, smooth, page.marks):
+        if good and value >= border:
+            total += len(text)
+            if mark >= 0:
+                weight[mark] += len(text)
+            else:
+                beside = beside or inside[holder]
+    most = {m for m, w in enumerate(weight) if 2 * w > total and not beside}
+    return [(text, tags, holder, good and (mark < 0 or mark in most))
+            for (text, tags, holder, good), mark in zip(page.lines, page.marks)]
+
+
 def _region(lines: list[tuple[str, int, int, bool]], holders: list[tuple[int, str]]) -> set[int]:
     """The holder that the content is in, with all holders inside it."""
-    ratios = [len(text) / max(1, tags) if good else 0.0 for text, tags, _, good in lines]
-    smooth = _smoothed(ratios)
-    border = _threshold(smooth)
+    smooth, border = _ratios(lines)
     weight, total = [0] * len(holders), 0
     everything = [0] * len(holders)
     for (text, _, holder, good), value in zip(lines, smooth):
@@ -203,7 +262,9 @@ def _region(lines: list[tuple[str, int, int, bool]], holders: list[tuple[int, st
         at = holders[at][0]
     if around is not None:
         best = around
-    else:  # a heading or a lead beside the body belongs to it
+    else:  # all content, and a heading or a lead beside it, belongs to the article
+        while weight[best] < total:
+            best = holders[best][0]
         while holders[best][0] > 0 and holders[holders[best][0]][1] not in ("html", "body") and \
                 everything[best] >= 0.65 * everything[holders[best][0]]:
             best = holders[best][0]
@@ -222,10 +283,11 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page._line()
-    if not any(good for *_, good in page.lines):
+    lines = _judged(page)
+    if not any(good for *_, good in lines):
         return ""
-    inside = _region(page.lines, page.holders)
-    return "\n\n".join(text for text, _, holder, good in page.lines if good and holder in inside)
+    inside = _region(lines, page.holders)
+    return "\n\n".join(text for text, _, holder, good in lines if good and holder in inside)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -37,6 +37,20 @@ def test_article_without_its_surroundings(page, want):
     assert html_text.main_text(page).split("\n\n") == [" ".join(w.split()) for w in want]
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<body><h1>T</h1><p>lead</p><div><p>{LONG * 5}</div><div><p>{LONG * 3}</div></body>",
+     ["T", "lead", LONG * 5, LONG * 3]),
+    (f"<body><div><div><p>{LONG * 5}</div><div><p>{LONG * 3}</div></div><footer>x</footer></body>", [LONG * 5, LONG * 3]),
+    *((f"<body><div class='{c}'><h1>T</h1><p>{LONG}</p></div><div class='site-header'>{LONG}</div></body>", ["T", LONG])
+      for c in ("content has-sidebar", "no-comments", "share-enabled", "with-banner", "social-history")),
+    (f"<body><div><p>{LONG * 4}</p><div id='social-history'><p>{LONG}</p></div><div id=comment-list><p>{LONG}</p></div>"
+     "</div></body>", [LONG * 4, LONG]),
+    (f"<body><div class='banner'><p>{LONG * 4}</p></div></body>", [LONG * 4]),
+])
+def test_article_in_several_parts_and_under_telling_classes(page, want):
+    assert html_text.main_text(page).split("\n\n") == [" ".join(w.split()) for w in want]
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None, 1), (2, None, "", 1), (None, "u", "<p>x", 1), (3, "u", "plain", 1), (3, "u", "plain", 1),
             (4, "u", "<<<&&& <!-- <p", 1), (5, "u", "<script>x", 1), (6, "u", "<p>" * 3000 + "deep", 1),
