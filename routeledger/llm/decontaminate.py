@@ -107,11 +107,13 @@ def _index_rows(vocabulary: np.ndarray, entries: np.ndarray, reach: int):
 class Index:
     """The documents' positional index for one set of windows, landed in the shared folder.
 
-    reach: words from an entry term up to which terms are kept; proximity() needs at least length + slop.
+    reach: words from an entry term up to which terms are kept; proximity() needs at least length + slop. From a
+    reach of length on, windows with terms that no document has are kept for proximity().
     """
 
     def __init__(self, docs: DataFrame, items: DataFrame, length: int = LENGTH, reach: int | None = None) -> None:
         reach = length - 1 if reach is None else reach
+        self.length, self.reach = length, reach
         rows = shared.texts(docs).select("doc_id", F.hash("text").alias("ver"), "text")
         self.of_items = shared.landed(item_windows(items, length), "benchmark-windows")
         windows = self.of_items.dropDuplicates(["key1", "key2"])
@@ -124,8 +126,13 @@ class Index:
         ranked = need.join(counts, "term").groupBy("key1", "key2", "size").agg(
             F.array_sort(F.collect_list(F.struct("n", "term", "offset"))).alias("need"))
         #: windows whose every term some document has, rarest term first
-        self.need = shared.landed(ranked.where("size(need) = size"), "benchmark-terms")
-        entries = self.need.select(F.col("need")[0].term.alias("term"))
+        if reach >= length:
+            #: windows with any term that some document has
+            self.near_need = shared.landed(ranked, "benchmark-present-terms")
+            self.need = self.near_need.where("size(need) = size")
+        else:
+            self.near_need = self.need = shared.landed(ranked.where("size(need) = size"), "benchmark-terms")
+        entries = self.near_need.select(F.col("need")[0].term.alias("term"))
         #: one row per document, with the postings of benchmark terms near its entry terms
         self.docs = shared.landed(rows.mapInArrow(
             _index_rows(vocabulary, _bitmap(entries), reach),
@@ -162,10 +169,13 @@ class Index:
     def proximity(self, slop: int = 30, terms: int = 3) -> DataFrame:
         """(doc_id, ver, key1, key2): the rarest terms of a window all lie within slop of their places in it.
 
+        Terms that no document has do not count; `terms` others (all, in shorter windows) must be there.
         Offset-adjusted postings are gathered on two grids of 2 * slop + 2 places, half a step apart, so any run
         of places that is no longer than slop lies whole in a cell of one of them.
         """
-        some = self.need.select("key1", "key2", F.least(F.size("need"), F.lit(terms)).alias("k"),
+        if self.reach < self.length + slop:
+            raise ValueError(f"proximity with slop {slop} needs an index with a reach of {self.length + slop}")
+        some = self.near_need.where(F.size("need") >= F.least("size", F.lit(terms))).select("key1", "key2", F.least(F.size("need"), F.lit(terms)).alias("k"),
                                 F.inline(F.slice("need", 1, terms)))
         near = self.postings().join(some, "term").select(
             "doc_id", "ver", "key1", "key2", "k", "offset", (F.col("place") - F.col("offset")).alias("start"))
@@ -208,6 +218,20 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = LENGTH, share
     )
 
 
+def near(docs: DataFrame, items: DataFrame, length: int = LENGTH, slop: int = 30, terms: int = 3) -> DataFrame:
+    """Per document: doc_id, ver, n_near, the items that are met by proximity and by no exact phrase."""
+    index = Index(docs, items, length, length + slop)
+    of_items = index.of_items.select("key1", "key2", "item_id").distinct()
+
+    def met(found: DataFrame) -> DataFrame:
+        return found.join(of_items, ["key1", "key2"]).select("doc_id", "ver", "item_id").distinct()
+
+    only = met(index.proximity(slop, terms)).join(met(index.phrases()), ["doc_id", "ver", "item_id"], "left_anti")
+    counts = only.groupBy("doc_id", "ver").agg(F.count(F.lit(1)).alias("n_near"))
+    return index.docs.select("doc_id", "ver").join(counts, ["doc_id", "ver"], "left").select(
+        "doc_id", "ver", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
+
+
 def clean(docs: DataFrame, items: DataFrame, length: int = LENGTH, share: int = 20) -> DataFrame:
     """docs without the contaminated ones; rows without an id stay."""
     bad = contamination(docs, items, length, share).where("contaminated").select("doc_id", "ver").distinct()

@@ -64,6 +64,12 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contamination(shared.read(spark, sf_dir, "documents"), items).drop("ver")
 
 
+@R.add("benchmark_proximity")
+def benchmark_proximity(spark, sf_dir):
+    items = shared.read(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "doc_id")
+    return decontaminate.near(shared.read(spark, sf_dir, "documents"), items).drop("ver")
+
+
 _JACCARD_SQL = f"""
 with recursive d as (select doc_id, {_SPACED} as w from documents),
 g as (select doc_id, unnest(case when len(w) >= 5

@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from routeledger.llm import decontaminate
 
 from .conftest import FOLD
@@ -61,3 +63,17 @@ def test_proximity(docs):
     index = decontaminate.Index(docs(texts), docs([(1, item)]), reach=60)
     near = {r.doc_id for r in index.proximity(slop=5).collect()}
     assert {r.doc_id for r in index.phrases().collect()} == {1} and {1, 2} <= near and 4 not in near
+
+
+def test_proximity_without_an_absent_word_and_by_default_reach(docs):
+    """One word is replaced in every document, so no document has it; a far document is met over the full slop."""
+    words = [f"z{i}" for i in range(13)]
+    other = words[:6] + ["other"] + words[7:]
+    texts = [(1, " ".join(other)), (2, " ".join(words[:6] + ["x"] * 25 + words[7:])), (3, "z1 z2"), (4, "")]
+    items = docs([(1, " ".join(words)), (2, "z1 absent")])
+    assert sorted((r.doc_id, r.n_near) for r in decontaminate.near(docs(texts), items).collect()) == [
+        (1, 1), (2, 1), (3, 0), (4, 0)]
+    exact = docs([(1, " ".join(words))])
+    assert [(r.doc_id, r.n_near) for r in decontaminate.near(exact, items).collect()] == [(1, 0)]
+    with pytest.raises(ValueError):
+        decontaminate.Index(docs(texts), items).proximity()
