@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from routeledger.catalog import Registry
-from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, language_model, merkle, neighbours, shared, substring, toxicity
+from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, language_model, lexical, merkle, neighbours, shared, substring, toxicity
 
 R = Registry()
 
@@ -216,4 +216,31 @@ def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest(shared.read(spark, sf_dir, "documents"))
 
 
+_TERMS = rf"list_filter(regexp_split_to_array({_FOLDED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+_LEXICAL_SQL = f"""
+with d as (select row_number() over () as rid, doc_id, {_TERMS} as w from documents where doc_id is not null),
+l as (select rid, doc_id, len(w) as n from d where len(w) > 0),
+c as (select count(*) as docs, cast(sum(n) as bigint) as length from l),
+tf as (select rid, term, count(*) as tf from (select rid, unnest(w) as term from d) group by rid, term),
+df as (select term, count(*) as df from tf group by term),
+q as (select item_id, text, term, count(*) as times
+      from (select item_id, text, unnest({_TERMS}) as term from (select distinct item_id, text from benchmark where item_id is not null))
+      group by item_id, text, term),
+weight as (select item_id, text, term, times * cast(floor(1000 * ln((2.0 * docs + 2)::double / (2 * df + 1)::double)) as bigint) as w
+           from q join df using (term), c),
+scored as (select item_id, text, l.rid, doc_id,
+             cast(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length)))) as bigint) as score
+           from weight join tf using (term) join l using (rid), c group by item_id, text, l.rid, doc_id)
+select item_id, cast(row_number() over (partition by item_id, text order by score desc, doc_id) as integer) as rank, doc_id, score
+from scored where score > 0
+qualify row_number() over (partition by item_id, text order by score desc, doc_id) <= 20
+"""
+
+
+@R.add("op11_lexical_search", _LEXICAL_SQL)
+def op11_lexical_search(spark, sf_dir):
+    return lexical.ranked(shared.read(spark, sf_dir, "documents"), shared.read(spark, sf_dir, "benchmark"))
+
+
 R.add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
