@@ -239,7 +239,7 @@ class Searcher:
         self.docs, self.length = count[0], count[1] or 0
         df = self.postings.select("terms").mapInArrow(_frequency_rows, "term long, df long").groupBy("term").agg(
             F.sum("df").alias("df"))
-        #: (item, term, weight): the weight times the term's repeats in the item, 0 only for terms that all documents have
+        #: (item, term, weight): the weight times the term's repeats in the item (0 where nearly all documents have the term)
         self.weights = shared.landed(
             terms.select("item", F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("times").alias("times"))))
             .join(df, "term").select("item", "term", (F.col("times") * self._weight()).alias("weight")), "item-weights")

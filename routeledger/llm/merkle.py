@@ -136,7 +136,7 @@ class Stages:
 
     def paths(self, above: DataFrame, stage: int) -> DataFrame:
         """(tree, place, path to the top) of a stage's nodes, 0 the leaves; above: (tree, path) of the roots."""
-        path = self.nodes[-1].select("tree", "place").join(above, "tree")
+        path = above.select("tree", F.lit(0).cast("long").alias("place"), "path")
         for nodes in reversed(self.nodes[stage:-1]):
             blocks = nodes.select("tree", _block().alias("block"), "place", "n", "hash").groupBy("tree", "block")
             path = blocks.cogroup(path.withColumnRenamed("place", "block").groupBy("tree", "block")).applyInArrow(

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from routeledger.catalog import Registry
-from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, language_model, lexical, merkle, neighbours, shared, substring, toxicity
+from routeledger.llm import bpe, chat, decontaminate, html_text, jaccard_join, language, language_model, lexical, merkle, minhash, neighbours, shared, substring, toxicity
 
 R = Registry()
 
@@ -243,4 +243,29 @@ def op11_lexical_search(spark, sf_dir):
     return lexical.ranked(shared.read(spark, sf_dir, "documents"), shared.read(spark, sf_dir, "benchmark"))
 
 
+_MINHASH_SQL = f"""
+with recursive d as (
+  select row_number() over () as rid, doc_id, {_SPACED.replace("coalesce(text, '')", _FOLDED)} as w from documents where doc_id is not null),
+t as materialized (select rid, unnest(case when len(w) >= 2
+        then list_distinct(list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' ')))
+        when len(w) > 0 then w else [] end) as t from d),
+id as materialized (select t, cast(row_number() over () as integer) as k from (select t from t group by t having count(*) > 1)),
+g as materialized (select cast(rid as integer) as rid, k from t join id using (t)),
+s as materialized (select rid, count(*) as n from t group by rid),
+common as (select x.rid as a, y.rid as b, count(*) as n from g x join g y on x.k = y.k and x.rid < y.rid group by 1, 2),
+half as (select a, b from common join s u on u.rid = a join s v on v.rid = b
+      where 100 * common.n >= 80 * (u.n + v.n - common.n)),
+p as materialized (select a, b from half union all select b, a from half),
+r(a, b) as (select rid, rid from d union select r.a, p.b from r join p on r.b = p.a),
+least as (select a as rid, min(doc_id) as component_id from r join d on d.rid = r.b group by a)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+from d left join s using (rid) join least using (rid)
+"""
+
+
+@R.add("op13_minhash_dedup", _MINHASH_SQL)
+def op13_minhash_dedup(spark, sf_dir):
+    return minhash.near_groups(shared.read(spark, sf_dir, "documents")).drop("ver")
+
+
 R.add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -23,4 +23,4 @@ def test_queries_equal_their_sql(spark, name):
 
 def test_an_operator_each(spark):
     numbers = sorted(int(k[2:].split("_")[0]) for k in R.queries if k.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in R.queries
+    assert numbers == list(range(1, 14)) and "pipeline" in R.queries
