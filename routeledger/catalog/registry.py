@@ -426,6 +426,46 @@ def grid_cells(spark, sf_dir):
     return layout.grid_cells(w, v.unionByName(h).unionByName(last))
 
 
+_FOUND = {**_WORDS, "found": """
+    SELECT page, ln + 1 AS row_no, col_no, 70.0 * (col_no - 1) AS x0, 70.0 * col_no AS x1,
+           12.0 * ln - 1 + CASE WHEN col_no % 3 = 0 THEN 8 ELSE 0 END AS top, 12.0 * ln + 11 AS bottom
+    FROM (SELECT DISTINCT l_orderkey AS page, CAST(l_linenumber AS INTEGER) AS ln FROM lineitem),
+         (SELECT CAST(unnest(range(1, 8)) AS INTEGER) AS col_no)
+    WHERE (page + 3 * ln + col_no) % 4 <> 0
+    UNION ALL
+    SELECT page, 1, col_no, 70.0 * (col_no - 1), 70.0 * col_no, 0.0, 10.0
+    FROM (SELECT DISTINCT l_orderkey AS page FROM lineitem),
+         (SELECT CAST(unnest(range(1, 8)) AS INTEGER) AS col_no)
+    WHERE page % 5 <> 0 OR col_no <> 7"""}
+
+
+@R.add("grid_recovered", with_lenses("""
+    SELECT m.page, m.row_no, m.col_no, coalesce(string_agg(text, chr(10) ORDER BY w.top, w.x0, word_idx), '') AS text
+    FROM (SELECT page, row_no, col_no, h.x0, h.x1, r.top, r.bottom
+          FROM (SELECT page, row_no, min(top) AS top, max(bottom) AS bottom FROM found WHERE row_no > 1
+                GROUP BY page, row_no) r
+          JOIN (SELECT page, col_no, x0, x1 FROM found WHERE row_no = 1) h USING (page)
+          ANTI JOIN found USING (page, row_no, col_no)) m
+    LEFT JOIN words w ON w.page = m.page AND (w.x0 + w.x1) / 2 BETWEEN m.x0 AND m.x1
+                      AND (w.top + w.bottom) / 2 BETWEEN m.top AND m.bottom
+    GROUP BY m.page, m.row_no, m.col_no""", _FOUND))
+def grid_recovered(spark, sf_dir):
+    """A table of seven columns per order that lacks a quarter of its boxes, and one heading on every fifth page."""
+    lens = Lens(spark, sf_dir)
+    lines = lens.table("lineitem").select(
+        F.col("l_orderkey").alias("page"), F.col("l_linenumber").cast("int").alias("ln")).distinct()
+    col = F.explode(F.array(*map(F.lit, range(1, 8)))).alias("col_no")
+    box = [(70.0 * (F.col("col_no") - 1)).alias("x0"), (70.0 * F.col("col_no")).alias("x1")]
+    data = lines.select("page", "ln", col).where((F.col("page") + 3 * F.col("ln") + F.col("col_no")) % 4 != 0).select(
+        "page", (F.col("ln") + 1).alias("row_no"), "col_no", *box,
+        (12.0 * F.col("ln") - 1 + F.when(F.col("col_no") % 3 == 0, 8).otherwise(0)).alias("top"),
+        (12.0 * F.col("ln") + 11).alias("bottom"))
+    heads = lines.select("page").distinct().select("page", col).where(
+        (F.col("page") % 5 != 0) | (F.col("col_no") != 7)).select(
+        "page", F.lit(1).alias("row_no"), "col_no", *box, F.lit(0.0).alias("top"), F.lit(10.0).alias("bottom"))
+    return layout.recovered_cells(_words(lens), data.unionByName(heads))
+
+
 @R.add("cell_split", """
     SELECT c_custkey, 'Office' || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE ' ' END || (c_custkey % 50) AS name,
            CASE WHEN c_custkey % 3 = 2 THEN 'annexTown 1-' || c_nationkey

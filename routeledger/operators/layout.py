@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from routeledger.operators import ordered
+from routeledger.session import shared_folder
+
 TILE = 50
 
 
@@ -83,37 +86,117 @@ def label_value(
     return gap_join(row, ["page"], threshold)
 
 
-def leader_clusters(df: DataFrame, by: list[str], value: str, tolerance: float) -> DataFrame:
-    """(by, leaders): ascending values, a new cluster where a value is ``tolerance`` or more above
-    the cluster's first value.
-
-    Equal values collapse before the fold, so an array holds the distinct coordinates of a page.
+def _successors(tolerance: float, keys: list[str]):
+    """Of values seen from their tile, with the tiles before and behind it: (keys, value, first, next)."""
+    def rows(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def done(table):
+            v, tile, seen = (table.column(c).to_numpy() for c in ("_v", "_tile", "_from"))
+            new = np.ones(len(v), bool)
+            new[1:] = seen[1:] != seen[:-1]
+            for k in keys:
+                code = table.column(k).dictionary_encode().combine_chunks().indices.to_numpy(zero_copy_only=False)
+                new[1:] |= code[1:] != code[:-1]
+            group = np.cumsum(new)
+            # a value's next is the first of its group that is not closer than the tolerance
+            place = np.arange(len(v))
+            start = np.flatnonzero(new)
+            end = np.append(start[1:], len(v))[group - 1]
+            low, high = place.copy(), end.copy()
+            while (low < high).any():
+                mid = (low + high) // 2
+                near = (low < high) & (v[np.minimum(mid, len(v) - 1)] - v < tolerance)
+                low, high = np.where(near, mid + 1, low), np.where(near | (low >= high), high, mid)
+            closed = (place > 0) & ~new
+            closed[1:] &= v[1:] - v[:-1] < tolerance
+            inner = np.minimum(low, len(v) - 1)
+            has = (low < end) & closed[inner]
+            own = pa.array(np.flatnonzero(tile == seen))
+            out = table.take(own)
+            at = own.to_numpy()
+            return pa.Table.from_arrays(
+                [*[out.column(k) for k in keys], out.column("_v"), pa.array(~closed[at]),
+                 pa.array(v[inner[at]], mask=~has[at])],
+                [*keys, "_v", "_first", "_next"]).combine_chunks().to_batches()
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            if not len(table):
+                continue
+            # the last group may go on in the next batch
+            same = np.ones(len(table), bool)
+            for c in [*keys, "_from"]:
+                column = table.column(c)
+                encoded = column.dictionary_encode().combine_chunks().indices.to_numpy(zero_copy_only=False)
+                same &= encoded == encoded[-1]
+            cut = len(table) - int(np.argmin(same[::-1])) if not same.all() else 0
+            if cut:
+                yield from done(table.slice(0, cut).combine_chunks())
+            held = table.slice(cut).combine_chunks().to_batches()[0]
+        if held is not None:
+            yield from done(pa.Table.from_batches([held]))
+    return rows
+
+
+def leader_rows(df: DataFrame, by: list[str], value: str, tolerance: float) -> DataFrame:
+    """(by, leader): ascending values, a new cluster where a value is ``tolerance`` or more above the
+    cluster's first value.
+
+    Values meet their neighbours in tiles as wide as the tolerance, so no page is gathered anywhere. A value
+    with nothing close below it is a leader. From each value leads an edge to the next leader it would have,
+    if their run of close values reaches that far; pointer doubling follows the edges from the leaders in
+    as many steps as the logarithm of the longest chain.
     """
-    distinct = df.select(*by, value).distinct()
-    start = F.array().cast("array<double>")
+    spark = df.sparkSession
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
+    tile = F.floor(F.col("_v") / tolerance)
+    seen = (
+        df.select(*by, F.col(value).cast("double").alias("_v")).where("_v is not null").distinct()
+        .withColumn("_tile", tile)
+        # from its own tile a value sees the tile before and, rounding allowed for, three behind
+        .withColumn("_from", F.explode(F.sequence(F.col("_tile") - 3, F.col("_tile") + 1))))
+    path = shared_folder(spark, "successors")
+    seen.repartition(*by, "_from").sortWithinPartitions(*by, "_from", "_v").mapInArrow(
+        _successors(tolerance, by), f"{kinds}, _v double, _first boolean, _next double").write.parquet(path)
+    values = spark.read.parquet(path)
+    marked = values.where("_first").select(*by, "_v")
+    jump = values.where("_next is not null").select(*by, "_v", "_next")
+    while not jump.isEmpty():
+        step, far = shared_folder(spark, "leaders"), shared_folder(spark, "jumps")
+        reached = marked.join(jump, [*by, "_v"]).select(*by, F.col("_next").alias("_v"))
+        marked.unionByName(reached).distinct().write.parquet(step)
+        jump.join(jump.select(*by, F.col("_v").alias("_next"), F.col("_next").alias("_far")), [*by, "_next"]).select(
+            *by, "_v", F.col("_far").alias("_next")).write.parquet(far)
+        marked, jump = spark.read.parquet(step), spark.read.parquet(far)
+    return marked.withColumnRenamed("_v", "leader")
 
-    def step(acc: Column, x: Column) -> Column:
-        joins = (F.size(acc) > 0) & (x - F.element_at(acc, -1) < tolerance)
-        return F.when(joins, acc).otherwise(F.concat(acc, F.array(x)))
 
-    values = F.array_sort(F.collect_list(F.col(value).cast("double")))
-    return distinct.groupBy(*by).agg(values.alias("_v")).select(
-        *by, F.aggregate("_v", start, step).alias("leaders"))
-
-
-def grid_bounds(
-    edges: DataFrame, columns: int = 7, tolerance: float = 2.0
-) -> DataFrame:
-    """(page, cols, rows): the right-most column bounds and all row bounds from rule lines."""
-    v = leader_clusters(
-        edges.where(F.col("orientation") == "v").select("page", F.col("x0").alias("p")),
-        ["page"], "p", tolerance).select("page", F.col("leaders").alias("cols"))
-    h = leader_clusters(
-        edges.where(F.col("orientation") == "h").select("page", F.col("top").alias("p")),
-        ["page"], "p", tolerance).select("page", F.col("leaders").alias("rows"))
-    n = columns + 1
-    return v.join(h, "page").where((F.size("cols") >= n) & (F.size("rows") >= 2)).select(
-        "page", F.slice("cols", -n, n).alias("cols"), "rows")
+def leader_clusters(df: DataFrame, by: list[str], value: str, tolerance: float) -> DataFrame:
+    """(by, leaders): the leaders of each group as one ascending array."""
+    return leader_rows(df, by, value, tolerance).groupBy(*by).agg(
+        F.array_sort(F.collect_set("leader")).alias("leaders"))
+
+
+def grid_boxes(edges: DataFrame, columns: int = 7, tolerance: float = 2.0) -> DataFrame:
+    """(page, row_no, col_no, x0, x1, top, bottom): cells between the right-most column rules and all row rules."""
+    place = F.when(F.col("orientation") == "v", F.col("x0")).otherwise(F.col("top"))
+    rules = leader_rows(
+        edges.where(F.col("orientation").isin("v", "h")).select("page", "orientation", place.alias("p")),
+        ["page", "orientation"], "p", tolerance)
+    rules = ordered.numbered(rules, ["page", "orientation"], "leader", "no")
+    next_rule = rules.select("page", "orientation", (F.col("no") - 1).alias("no"), F.col("leader").alias("high"))
+    spans = rules.join(next_rule, ["page", "orientation", "no"])
+    last = spans.where("orientation = 'v'").groupBy("page").agg(F.max("no").alias("last")).where(
+        F.col("last") >= columns)
+    cols = spans.where("orientation = 'v'").join(last, "page").where(F.col("no") > F.col("last") - columns).select(
+        "page", (F.col("no") - F.col("last") + columns).cast("int").alias("col_no"),
+        F.col("leader").alias("x0"), F.col("high").alias("x1"))
+    rows = spans.where("orientation = 'h'").select(
+        "page", F.col("no").cast("int").alias("row_no"), F.col("leader").alias("top"), F.col("high").alias("bottom"))
+    return rows.join(cols, "page").select("page", "row_no", "col_no", "x0", "x1", "top", "bottom")
 
 
 def grid_cells(words: DataFrame, edges: DataFrame, columns: int = 7,
@@ -123,24 +206,41 @@ def grid_cells(words: DataFrame, edges: DataFrame, columns: int = 7,
     A word belongs to every cell its centre touches, bounds included; cells are boxes, so words and
     cells meet by page and band. A row without words gives nothing, so blank form rows vanish.
     """
-    def intervals(bounds: str) -> Column:
-        index = F.sequence(F.lit(1), F.size(bounds) - 1)
-        return F.explode(F.transform(index, lambda i: F.struct(
-            i.alias("no"), F.element_at(bounds, i).alias("low"),
-            F.element_at(bounds, i + 1).alias("high"))))
-
-    cells = (
-        grid_bounds(edges, columns, tolerance)
-        .select("page", "cols", intervals("rows").alias("r"))
-        .select("page", "r", intervals("cols").alias("c"))
-        .select("page", F.struct(F.col("r.no").alias("row_no"), F.col("c.no").alias("col_no"))
-                .alias("box_id"),
-                F.col("c.low").alias("x0"), F.col("c.high").alias("x1"),
-                F.col("r.low").alias("top"), F.col("r.high").alias("bottom")))
+    cells = grid_boxes(edges, columns, tolerance).select(
+        "page", F.struct("row_no", "col_no").alias("box_id"), "x0", "x1", "top", "bottom")
     placed = words_in_box(words, cells).select("box_id.row_no", "box_id.col_no", *words.columns)
     return gap_join(placed, ["page", "row_no", "col_no"], threshold)
 
 
+def recovered_cells(words: DataFrame, cells: DataFrame, header_row: int = 1, tile: int = TILE) -> DataFrame:
+    """(page, row_no, col_no, text): the text of cells that a table's found boxes lack.
+
+    ``cells``: page, row_no, col_no, x0, x1, top, bottom of the boxes found. A row below the header with any
+    box is expected to have one under each header box; what is missing spans the header box's width and the
+    height of the row's boxes. Its words, by (top, x0), are joined by line ends; no words give an empty text.
+    Only missing boxes meet words, in tiles of both axes, so that neither a tall row nor a wide column gathers
+    a page.
+    """
+    heads = cells.where(F.col("row_no") == header_row).select("page", "col_no", "x0", "x1")
+    rows = cells.where(F.col("row_no") > header_row).groupBy("page", "row_no").agg(
+        F.min("top").alias("top"), F.max("bottom").alias("bottom"))
+    missing = rows.join(heads, "page").join(
+        cells.select("page", "row_no", "col_no"), ["page", "row_no", "col_no"], "left_anti")
+    placed = words.select("page", "text", "x0", "top", "word_idx", centre_x().alias("cx"), centre_y().alias("cy"))
+    at = lambda c: F.floor(F.col(c) / tile)
+    placed = placed.withColumn("_tx", at("cx")).withColumn("_ty", at("cy"))
+    tiles = (
+        missing.withColumnsRenamed({"x0": "_x0", "x1": "_x1", "top": "_top", "bottom": "_bottom"})
+        .withColumn("_tx", F.explode(F.sequence(at("_x0"), at("_x1"))))
+        .withColumn("_ty", F.explode(F.sequence(at("_top"), at("_bottom")))))
+    inside = F.col("cx").between(F.col("_x0"), F.col("_x1")) & F.col("cy").between(F.col("_top"), F.col("_bottom"))
+    keys = ["page", "row_no", "col_no"]
+    order = F.array_sort(F.collect_list(F.struct("top", "x0", "word_idx", "text")))
+    texts = tiles.join(placed, ["page", "_tx", "_ty"]).where(inside).groupBy(*keys).agg(
+        F.array_join(F.transform(order, lambda w: w["text"]), "\n").alias("text"))
+    return missing.select(*keys).join(texts, keys, "left").select(*keys, F.coalesce("text", F.lit("")).alias("text"))
+
+
 def cell_split(cell: Column, top_name: Column, top_location: Column) -> Column:
     """Struct (name, location) of a wrapped office cell.
 

@@ -1,8 +1,8 @@
 """Running values over ordered groups that stay balanced when one group is huge.
 
-A group is cut into segments of its order key, one for about every ``SEGMENT`` of its rows, however
-far apart its keys are. Segment totals are a small table, so only that table needs one ordered pass
-per group; rows themselves are ordered per segment.
+Rows are range partitioned over (group, order), so a group's rows spread evenly whatever its size and
+however far apart its keys are. What a partition holds of a group is a segment; counts and carries of
+segments are a small table, and only that table is ordered as a whole per group.
 """
 
 from __future__ import annotations
@@ -11,49 +11,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-SEGMENT = 4096
+from routeledger.session import shared_folder
 
 
-def _segmented(df: DataFrame, by: list[str], order: str, width: int) -> DataFrame:
-    span = df.groupBy(*by).agg(
-        F.min(order).alias("_lo"), F.max(order).alias("_hi"), F.count(F.lit(1)).alias("_rows"))
-    pieces = F.ceil(F.col("_rows") / F.lit(width))
-    part = (F.col(order) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
-    return df.join(span, by).withColumn("_seg", F.floor(part * pieces).cast("bigint")).drop(
-        "_lo", "_hi", "_rows")
+def segmented(df: DataFrame, by: list[str], order: str, parts: int | None = None) -> DataFrame:
+    """df with ``_seg``, its range partition by (by, order), and ``_at``, ascending by order in it.
+
+    The rows are landed, so that a lost executor cannot lead to other partition bounds. Rows with equal
+    keys stand in any order, but in one that no later step changes.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_folder(spark, "ordered")
+    at = F.monotonically_increasing_id()
+    rows = df.repartitionByRange(parts, *by, order).sortWithinPartitions(*by, order).withColumn("_at", at)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path).withColumn("_seg", F.shiftright("_at", 33).cast("int"))
+
+
+def _before(by: list[str]) -> Window:
+    return Window.partitionBy(*by).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
 
 
 def running_max(
-    df: DataFrame, by: list[str], order: str, value: Column, name: str, width: int = SEGMENT
+    df: DataFrame, by: list[str], order: str, value: Column, name: str, parts: int | None = None
 ) -> DataFrame:
     """Largest non-NULL ``value`` up to and including each row."""
-    rows = _segmented(df.withColumn("_v", value), by, order, width)
-    before = Window.partitionBy(*by).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    rows = segmented(df.withColumn("_v", value), by, order, parts)
     carry = (
         rows.groupBy(*by, "_seg").agg(F.max("_v").alias("_m"))
-        .withColumn("_carry", F.max("_m").over(before)).drop("_m"))
-    inside = Window.partitionBy(*by, "_seg").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, 0)
+        .withColumn("_carry", F.max("_m").over(_before(by))).drop("_m"))
+    inside = Window.partitionBy(*by, "_seg").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     return (
         rows.join(carry, [*by, "_seg"])
         .withColumn(name, F.coalesce(F.max("_v").over(inside), F.col("_carry")))
-        .drop("_v", "_seg", "_carry"))
+        .drop("_v", "_seg", "_at", "_carry"))
 
 
 def numbered(
-    df: DataFrame, by: list[str], order: str, name: str, width: int = SEGMENT
+    df: DataFrame, by: list[str], order: str, name: str, parts: int | None = None
 ) -> DataFrame:
-    """1..n by ``order`` within each group."""
-    rows = _segmented(df, by, order, width)
-    before = Window.partitionBy(*by).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    """1..n by ``order`` within each group: the place in the segment after what earlier segments hold."""
+    rows = segmented(df, by, order, parts)
     offset = (
-        rows.groupBy(*by, "_seg").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
-    inside = Window.partitionBy(*by, "_seg").orderBy(order)
+        rows.groupBy(*by, "_seg").agg(F.min("_at").alias("_low"), F.count(F.lit(1)).alias("_n"))
+        .withColumn("_off", F.coalesce(F.sum("_n").over(_before(by)), F.lit(0)) - F.col("_low"))
+        .drop("_n", "_low"))
     return (
         rows.join(offset, [*by, "_seg"])
-        .withColumn(name, (F.row_number().over(inside) + F.col("_off")).cast("bigint"))
-        .drop("_seg", "_off"))
+        .withColumn(name, F.col("_at") + F.col("_off") + 1).drop("_seg", "_at", "_off"))
 
 
 def page_blocks(

@@ -148,8 +148,8 @@ def test_page_blocks_across_segments(spark):
     df = spark.createDataFrame([(d, p, k) for (d, p), k in kinds.items()],
                                "doc string, page int, kind string").repartition(5)
     last = F.when(F.col("kind").isNotNull(), F.struct("page", "kind"))
-    for width in (7, 4096):
-        out = ordered.running_max(df, ["doc"], "page", last, "last", width)
+    for parts in (7, 40, None):
+        out = ordered.running_max(df, ["doc"], "page", last, "last", parts)
         assert {(r.doc, r.page): r.last and (r.last.page, r.last.kind) for r in out.collect()} == {
             key: max(((p, k) for (d, p), k in kinds.items()
                       if d == key[0] and p <= key[1] and k), default=None) for key in kinds}
@@ -171,6 +171,52 @@ def test_leader_clusters_compare_with_the_first_value(spark):
     assert layout.leader_clusters(df, ["page"], "x", 2.0).first().leaders == [1.0, 3.4]
 
 
+def test_leader_clusters_equal_a_sequential_pass(spark):
+    """Runs of any length, values on both sides of zero, and groups that differ by one key only."""
+    rng = random.Random(4)
+    rows, want = [], []
+    for page in range(12):
+        for kind in ("v", "h"):
+            values = sorted({rng.choice([rng.uniform(-30, 30), rng.randrange(-60, 60) / 2, 300 + rng.uniform(0, 5)])
+                             for _ in range(rng.choice([1, 5, 60, 300]))})
+            rows += [(page, kind, v) for v in values for _ in range(rng.choice([1, 1, 2]))]
+            last = None
+            for v in values:
+                if last is None or v - last >= 2.0:
+                    want.append((page, kind, v))
+                    last = v
+    df = spark.createDataFrame(rows, "page int, kind string, x double").repartition(6)
+    got = layout.leader_rows(df, ["page", "kind"], "x", 2.0)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_leaders_of_one_page_of_a_million_coordinates(spark):
+    df = spark.range(1_000_000).selectExpr("1 as page", "id * 0.01D as x")
+    got = layout.leader_rows(df, ["page"], "x", 2.0)
+    assert got.count() == 5000
+    # as a sequential pass over the same doubles finds them
+    last, n = 0.0, 1
+    for i in range(1_000_000):
+        if i * 0.01 - last >= 2.0:
+            last, n = i * 0.01, n + 1
+    assert n == got.count() and got.agg(F.max("leader")).first()[0] == last
+
+
+def test_missing_cells_are_read_from_their_rectangles(spark):
+    """A header box that is missing, a row without boxes, words on a border, ties, and a box over several tiles."""
+    words = spark.createDataFrame(
+        [(1, "b", 10.0, 20.0, 60.0, 70.0, 2), (1, "a", 10.0, 20.0, 55.0, 65.0, 3), (1, "c", 10.0, 20.0, 60.0, 70.0, 1),
+         (1, "edge", 90.0, 110.0, 60.0, 70.0, 4), (1, "far", 10.0, 20.0, 190.0, 200.0, 5), (2, "other", 10.0, 20.0, 60.0, 70.0, 6)],
+        WORDS)
+    box = lambda r, c, top, bottom: (1, r, c, 100.0 * (c - 1), 100.0 * c, top, bottom)
+    cells = spark.createDataFrame(
+        [box(1, 1, 0.0, 40.0), box(1, 2, 0.0, 40.0), box(1, 3, 0.0, 40.0), box(2, 2, 50.0, 80.0), box(2, 4, 50.0, 90.0),
+         box(3, 1, 100.0, 400.0)], "page int, row_no int, col_no int, x0 double, x1 double, top double, bottom double")
+    got = {(r.row_no, r.col_no): r.text for r in layout.recovered_cells(words, cells).collect()}
+    assert got == {(2, 1): "a\nc\nb\nedge", (2, 3): "", (3, 2): "", (3, 3): ""}
+    assert layout.recovered_cells(words, cells.where("row_no = 1")).count() == 0
+
+
 WORDS = "page int, text string, x0 double, x1 double, top double, bottom double, word_idx int"
 
 
@@ -370,12 +416,22 @@ def test_numbering_of_one_group_with_sparse_keys(spark):
     from routeledger.operators import ordered
 
     rows = spark.range(20_000).selectExpr("'u' as user", "id * 10000 + id % 7 as at")
-    segments = ordered._segmented(rows, ["user"], "at", 1000).groupBy("_seg").count().collect()
-    assert len(segments) == 20 and max(r["count"] for r in segments) <= 1001
-    got = ordered.numbered(rows, ["user"], "at", "n", 1000)
+    segments = ordered.segmented(rows, ["user"], "at", 20).groupBy("_seg").count().collect()
+    assert len(segments) == 20 and max(r["count"] for r in segments) <= 2000
+    got = ordered.numbered(rows, ["user"], "at", "n", 20)
     assert got.where("n = cast(at div 10000 as bigint) + 1").count() == 20_000
 
 
+def test_one_outlying_key_does_not_gather_a_group(spark):
+    rows = spark.range(100_000).selectExpr("'u' as user", "if(id = 99999, 9000000000000000, id) as at")
+    segments = [r["count"] for r in ordered.segmented(rows, ["user"], "at", 16).groupBy("_seg").count().collect()]
+    assert len(segments) == 16 and max(segments) < 2 * 100_000 / 16
+    got = ordered.numbered(rows, ["user"], "at", "n", 16)
+    assert got.where("n = if(at > 99999, 100000, at + 1)").count() == 100_000
+    last = ordered.running_max(rows, ["user"], "at", F.when(F.col("at") % 1000 == 0, F.col("at")), "last", 16)
+    assert last.where("last = at - at % 1000").count() == 100_000
+
+
 def test_vehicle_rows_from_cells(spark):
     from routeledger.plans import vehicle_rows as vr
 
