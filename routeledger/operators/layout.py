@@ -86,8 +86,12 @@ def label_value(
     return gap_join(row, ["page"], threshold)
 
 
+#: width of a tile of leader_rows, in tolerances
+TILES = 64
+
+
 def _successors(tolerance: float, keys: list[str]):
-    """Of values seen from their tile, with the tiles before and behind it: (keys, value, first, next)."""
+    """Of values as seen from tiles: (keys, value, first, next) of leaders and of values in runs over several tiles."""
     def rows(batches):
         import numpy as np
         import pyarrow as pa
@@ -113,11 +117,21 @@ def _successors(tolerance: float, keys: list[str]):
             closed[1:] &= v[1:] - v[:-1] < tolerance
             inner = np.minimum(low, len(v) - 1)
             has = (low < end) & closed[inner]
-            own = pa.array(np.flatnonzero(tile == seen))
-            out = table.take(own)
-            at = own.to_numpy()
+            # runs that lie in their tile from end to end are settled here, in at most TILES steps
+            own = tile == seen
+            run = np.cumsum(~closed) - 1
+            whole = np.bincount(run, ~own)[run] == 0
+            leader = whole & ~closed
+            at = np.flatnonzero(leader & has)
+            while len(at):
+                at = low[at]
+                leader[at] = True
+                at = at[has[at]]
+            at = np.flatnonzero(leader | own & ~whole)
+            out = table.take(pa.array(at))
+            has &= ~whole
             return pa.Table.from_arrays(
-                [*[out.column(k) for k in keys], out.column("_v"), pa.array(~closed[at]),
+                [*[out.column(k) for k in keys], out.column("_v"), pa.array(leader[at] | ~closed[at]),
                  pa.array(v[inner[at]], mask=~has[at])],
                 [*keys, "_v", "_first", "_next"]).combine_chunks().to_batches()
 
@@ -145,32 +159,37 @@ def leader_rows(df: DataFrame, by: list[str], value: str, tolerance: float) -> D
     """(by, leader): ascending values, a new cluster where a value is ``tolerance`` or more above the
     cluster's first value.
 
-    Values meet their neighbours in tiles as wide as the tolerance, so no page is gathered anywhere. A value
-    with nothing close below it is a leader. From each value leads an edge to the next leader it would have,
-    if their run of close values reaches that far; pointer doubling follows the edges from the leaders in
-    as many steps as the logarithm of the longest chain.
+    Values meet their neighbours in tiles of ``TILES`` tolerances, so no page is gathered anywhere. A value with
+    nothing close below it is a leader, and runs of close values that end in their tile are settled there. In
+    longer runs an edge leads from each value to the next leader it would have; pointer doubling follows the
+    edges from the leaders in as many steps as the logarithm of the longest chain.
     """
     spark = df.sparkSession
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
-    tile = F.floor(F.col("_v") / tolerance)
+    width = TILES * tolerance
+    inside = F.col("_v") - F.col("_tile") * width
+    # a tile sees what is close before it and, rounding allowed for, three tolerances behind it
+    views = F.array_compact(F.array(
+        F.col("_tile"), F.when(inside < 3 * tolerance, F.col("_tile") - 1),
+        F.when(inside >= width - 2 * tolerance, F.col("_tile") + 1)))
     seen = (
         df.select(*by, F.col(value).cast("double").alias("_v")).where("_v is not null").distinct()
-        .withColumn("_tile", tile)
-        # from its own tile a value sees the tile before and, rounding allowed for, three behind
-        .withColumn("_from", F.explode(F.sequence(F.col("_tile") - 3, F.col("_tile") + 1))))
+        .withColumn("_tile", F.floor(F.col("_v") / width)).withColumn("_from", F.explode(views)))
     path = shared_folder(spark, "successors")
     seen.repartition(*by, "_from").sortWithinPartitions(*by, "_from", "_v").mapInArrow(
         _successors(tolerance, by), f"{kinds}, _v double, _first boolean, _next double").write.parquet(path)
     values = spark.read.parquet(path)
-    marked = values.where("_first").select(*by, "_v")
+    alone = values.where("_first and _next is null").select(*by, "_v")
+    marked = values.where("_first and _next is not null").select(*by, "_v")
     jump = values.where("_next is not null").select(*by, "_v", "_next")
     while not jump.isEmpty():
         step, far = shared_folder(spark, "leaders"), shared_folder(spark, "jumps")
         reached = marked.join(jump, [*by, "_v"]).select(*by, F.col("_next").alias("_v"))
-        marked.unionByName(reached).distinct().write.parquet(step)
+        marked.unionByName(reached).write.parquet(step)
         jump.join(jump.select(*by, F.col("_v").alias("_next"), F.col("_next").alias("_far")), [*by, "_next"]).select(
             *by, "_v", F.col("_far").alias("_next")).write.parquet(far)
         marked, jump = spark.read.parquet(step), spark.read.parquet(far)
+    marked = alone.unionByName(marked)
     return marked.withColumnRenamed("_v", "leader")
 
 

@@ -171,7 +171,7 @@ def test_leader_clusters_compare_with_the_first_value(spark):
     assert layout.leader_clusters(df, ["page"], "x", 2.0).first().leaders == [1.0, 3.4]
 
 
-def test_leader_clusters_equal_a_sequential_pass(spark):
+def test_leader_clusters_equal_a_sequential_pass(spark, monkeypatch):
     """Runs of any length, values on both sides of zero, and groups that differ by one key only."""
     rng = random.Random(4)
     rows, want = [], []
@@ -186,8 +186,10 @@ def test_leader_clusters_equal_a_sequential_pass(spark):
                     want.append((page, kind, v))
                     last = v
     df = spark.createDataFrame(rows, "page int, kind string, x double").repartition(6)
-    got = layout.leader_rows(df, ["page", "kind"], "x", 2.0)
-    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    for tiles in (64, 4):
+        monkeypatch.setattr(layout, "TILES", tiles)
+        got = layout.leader_rows(df, ["page", "kind"], "x", 2.0)
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
 
 def test_leaders_of_one_page_of_a_million_coordinates(spark):
