@@ -8,7 +8,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from routeledger import vocab as V
 
@@ -23,10 +23,17 @@ def name_key(names: pd.Series) -> pd.Series:
         lambda s: None if s is None else unicodedata.normalize("NFKC", s).casefold())
 
 
-@F.pandas_udf(StringType())
-def nfkc(texts: pd.Series) -> pd.Series:
-    """Compatibility-normalised text."""
-    return texts.map(lambda s: s if s is None or s.isascii() else unicodedata.normalize("NFKC", s))
+def is_compatible(c: Column) -> Column:
+    """Whether a text has only characters that compatibility normalisation keeps, whatever stands beside them:
+    ASCII, composed Latin letters, kana and unified ideographs. Other texts may still be normal."""
+    return c.rlike(r"^[\x00-\x7F\u00C0-\u00FF\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FFF]*$")
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def nfkc_each(texts: pd.Series) -> pd.Series:
+    """The compatibility-normalised texts of each array; NULL arrays stay."""
+    return texts.map(lambda a: None if a is None else [
+        None if s is None else unicodedata.normalize("NFKC", s) for s in a])
 
 
 def url_reason(url: Column, hosts: Iterable[str]) -> Column:

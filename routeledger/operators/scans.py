@@ -6,42 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from routeledger.functions import text as T
-from routeledger.functions.policy import nfkc
+from routeledger.functions.policy import is_compatible, nfkc_each
 
-# A needle of GRAM + WINDOW - 1 characters or more holds a whole window of WINDOW grams, and its
-# smallest gram there is one of the grams that the text has chosen; fixed at every size.
+# A needle of SHORT characters or more holds a whole window of WINDOW grams, and its smallest gram there is
+# one of the grams that the text has chosen; a shorter needle is a gram of its own length. Fixed at every size.
 GRAM, WINDOW = 4, 5
 SHORT = GRAM + WINDOW - 1
+_PORTION, _SLOT_BITS = 1 << 20, 20
 
 
-def leak_scan(
-    texts: DataFrame, text_id: str, text: str,
-    candidates: DataFrame, candidate_id: str, candidate: str,
-) -> DataFrame:
-    """(text_id, candidate_id) wherever a blank-free candidate occurs in a blank-free text.
+def _letters(texts):
+    """The code points of a column of texts behind each other, and where each text begins (one entry more)."""
+    import numpy as np
 
-    Only ids leave the scan, never the found value. Texts and candidates meet in an equi join on
-    pieces that both choose by content: of each window of grams the smallest hash. Candidates
-    shorter than a window meet texts on their first two characters. What meets is verified.
-    """
-    clean = candidates.select(
-        F.col(candidate_id), T.without_spaces(F.col(candidate)).alias("_needle")
-    ).where(F.col("_needle") != "")
-    hay = texts.select(F.col(text_id), T.without_spaces(F.col(text)).alias("_hay"))
-    id_type = texts.schema[text_id].dataType.simpleString()
-    pieces = hay.mapInPandas(_hay_pieces(text_id), f"{text_id} {id_type}, _piece bigint")
-    needles = clean.select("_needle").distinct().mapInPandas(
-        _needle_pieces, "_needle string, _piece bigint")
-    pairs = pieces.join(needles, "_piece").select(text_id, "_needle").distinct()
-    found = hay.join(pairs, text_id).where(F.contains("_hay", F.col("_needle")))
-    return found.join(clean, "_needle").select(text_id, candidate_id).distinct()
+    at = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64), at
 
 
-def _gram_hashes(text: str, k: int):
-    """A hash of every k characters of a text, different for each k."""
+def _grams(letters, k: int):
+    """A hash of every k characters, different for each k."""
     import numpy as np
 
-    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     out = np.full(max(len(letters) - k + 1, 0), k, np.uint64)
     for j in range(k if len(out) else 0):
         out = (out ^ letters[j:j + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
@@ -49,64 +34,133 @@ def _gram_hashes(text: str, k: int):
     return out
 
 
-def _window_choices(text: str):
-    """The smallest gram hash of each window of a text."""
+def _row_pieces(texts, lengths, chosen: bool):
+    """(row, piece): exact grams of the given lengths, and with ``chosen`` the smallest gram of each window."""
     import numpy as np
 
-    grams = _gram_hashes(text, GRAM)
-    n = len(grams) - WINDOW + 1
-    if n <= 0:
-        return grams[:0]
-    return np.minimum.reduce([grams[j:j + n] for j in range(WINDOW)])
-
-
-def _hay_pieces(text_id: str):
+    letters, at = _letters(texts)
+    size = np.diff(at)
+    rows, pieces = [], []
+
+    def add(values, span: int) -> None:
+        count = np.maximum(size - span + 1, 0)
+        row = np.repeat(np.arange(len(size)), count)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(at[:-1], count)
+        values = values[place]
+        new = np.ones(len(row), bool)  # neighbouring windows mostly choose the same gram
+        new[1:] = (row[1:] != row[:-1]) | (values[1:] != values[:-1])
+        rows.append(row[new])
+        pieces.append(values[new])
+
+    for k in lengths:
+        add(_grams(letters, k), k)
+    if chosen and len(letters) >= SHORT:
+        grams = _grams(letters, GRAM)
+        n = len(grams) - WINDOW + 1
+        add(np.minimum.reduce([grams[j:j + n] for j in range(WINDOW)]), SHORT)
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(rows), np.concatenate(pieces).view(np.int64)
+
+
+def _piece_rows(column: str, lengths: list[int], chosen: bool, own_length: bool = False, wanted=None):
+    """The batches' other columns with a ``_piece`` a row; with own_length a short text has its own length only.
+
+    ``wanted`` is a bit map of slots that pieces of needles fall in; others are left out.
+    """
     def run(batches):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
         for batch in batches:
-            ids, pieces = [], []
-            for key, hay in zip(batch[text_id], batch["_hay"]):
-                if hay:
-                    own = np.unique(np.concatenate(
-                        [_window_choices(hay), _gram_hashes(hay, 1), _gram_hashes(hay, 2)]))
-                    ids.append(np.full(len(own), key, dtype=batch[text_id].dtype))
-                    pieces.append(own.view(np.int64))
-            yield pd.DataFrame({
-                text_id: pd.Series(np.concatenate(ids) if ids else [], dtype=batch[text_id].dtype),
-                "_piece": np.concatenate(pieces) if pieces else np.zeros(0, np.int64)})
+            texts = batch.column(column).to_pylist()
+            rest = batch if own_length else batch.drop_columns([column])
+            ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+            a = 0
+            while a < len(texts):
+                b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _PORTION)))
+                part = texts[a:b]
+                if own_length:
+                    # a text of SHORT or more has choices only, a shorter one its whole self
+                    row, piece = _row_pieces(part, [], True)
+                    for k in lengths:
+                        short = [i for i, t in enumerate(part) if len(t) == k]
+                        r, p = _row_pieces([part[i] for i in short], [k], False)
+                        row, piece = np.concatenate([row, np.array(short, np.int64)[r]]), np.concatenate([piece, p])
+                else:
+                    row, piece = _row_pieces(part, lengths, chosen)
+                if wanted is not None:
+                    slot = piece.view(np.uint64) >> np.uint64(64 - _SLOT_BITS)
+                    some = wanted[slot]
+                    row, piece = row[some], piece[some]
+                out = rest.slice(a, b - a).take(pa.array(row, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(piece)], [*out.schema.names, "_piece"])
+                a = b
     return run
 
 
-def _needle_pieces(batches):
+def _slots_of(pieces: DataFrame):
+    """The bit map of the slots of ``_piece``: one row of at most 2**15 numbers, however many pieces there are."""
     import numpy as np
-    import pandas as pd
 
-    for batch in batches:
-        keys = [_window_choices(n[:SHORT])[0] if len(n) >= SHORT else _gram_hashes(n[:2], min(len(n), 2))[0]
-                for n in batch["_needle"]]
-        yield pd.DataFrame({"_needle": batch["_needle"], "_piece": np.array(keys, np.uint64).view(np.int64)})
+    slot = F.shiftrightunsigned("_piece", 64 - _SLOT_BITS)
+    words = pieces.select(slot.alias("s")).groupBy(F.shiftright("s", 5).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s & 31 as int))")).alias("bits"))
+    row = words.agg(F.collect_list("word").alias("word"), F.collect_list("bits").alias("bits")).first()
+    out = np.zeros((1 << (_SLOT_BITS - 5), 32), bool)
+    bits = np.array(row["bits"], np.uint64)
+    out[np.array(row["word"], np.int64)] = (bits[:, None] >> np.arange(32, dtype=np.uint64)) & np.uint64(1) == 1
+    return out.ravel()
 
 
-# -- roster -----------------------------------------------------------------------------------
+def _kinds(df: DataFrame, columns: list[str]) -> str:
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+
+
+def occurrences(hay: DataFrame, keys: list[str], text: str, needles: DataFrame, needle: str) -> DataFrame:
+    """(keys, needle) wherever a needle occurs in a text: an equi join on pieces, then verification.
+
+    Texts give their grams of each length below SHORT that a needle has, so a short needle meets only the
+    texts that hold it; and the smallest gram hash of each of their windows. A longer needle meets texts on
+    the one of its own choices that fewest needles share, so needles with a common beginning do not meet alike.
+    """
+    names = needles.select(F.col(needle).alias("_needle")).where("_needle != ''").distinct()
+    size = F.char_length("_needle")
+    bits = names.agg(F.bit_or(F.when(size < SHORT, F.expr("shiftleft(1, char_length(_needle))")).otherwise(1))).first()[0] or 0
+    lengths = [k for k in range(1, SHORT) if bits >> k & 1]
+    every = names.mapInArrow(_piece_rows("_needle", lengths, True, own_length=True), "_needle string, _piece bigint")
+    shared = every.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    met = every.join(shared, "_piece").groupBy("_needle").agg(F.min(F.struct("_n", "_piece")).alias("_p")).select(
+        "_needle", F.col("_p._piece").alias("_piece"))
+    pieces = hay.select(*keys, F.col(text).alias("_hay")).where("_hay != ''").mapInArrow(
+        _piece_rows("_hay", lengths, bits & 1 == 1, wanted=_slots_of(met)), f"{_kinds(hay, keys)}, _piece bigint")
+    pairs = pieces.join(met, "_piece").select(*keys, "_needle").distinct()
+    return hay.select(*keys, F.col(text).alias("_hay")).join(pairs, keys).where(
+        F.contains("_hay", F.col("_needle")))
 
-def roster_hits(areas: DataFrame, keys: list[str], area: str, roster: DataFrame) -> DataFrame:
-    """(keys, pos, name): roster names and their first position in each text.
 
-    One plan at every size: names and texts meet on the names' first two characters (all of a
-    one-character name), and what meets is verified.
+def leak_scan(
+    texts: DataFrame, text_id: str, text: str,
+    candidates: DataFrame, candidate_id: str, candidate: str,
+) -> DataFrame:
+    """(text_id, candidate_id) wherever a blank-free candidate occurs in a blank-free text.
+
+    Only ids leave the scan, never the found value.
     """
-    names = roster.select(F.col("municipality").alias("name")).where(F.col("name") != "").distinct()
-    names = names.withColumn("_piece", F.substring("name", 1, 2))
-    letters = F.split(F.col(area), "")
-    pieces = F.array_distinct(F.concat(letters, F.zip_with(
-        F.slice(letters, F.lit(1), F.greatest(F.size(letters) - 1, F.lit(0))),
-        F.slice(letters, F.lit(2), F.greatest(F.size(letters) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, b))))
-    return areas.select(*keys, area, F.explode(pieces).alias("_piece")).join(names, "_piece").where(
-        F.contains(F.col(area), F.col("name"))
-    ).select(*keys, F.call_function("instr", F.col(area), F.col("name")).alias("pos"), "name")
+    clean = candidates.select(
+        F.col(candidate_id), T.without_spaces(F.col(candidate)).alias("_needle")
+    ).where(F.col("_needle") != "")
+    hay = texts.select(F.col(text_id), T.without_spaces(F.col(text)).alias("_text"))
+    found = occurrences(hay, [text_id], "_text", clean, "_needle")
+    return found.join(clean, "_needle").select(text_id, candidate_id).distinct()
+
+
+# -- roster -----------------------------------------------------------------------------------
+
+def roster_hits(areas: DataFrame, keys: list[str], area: str, roster: DataFrame) -> DataFrame:
+    """(keys, pos, name): roster names and their first position in each text."""
+    return occurrences(areas, keys, area, roster, "municipality").select(
+        *keys, F.call_function("instr", F.col("_hay"), F.col("_needle")).alias("pos"), F.col("_needle").alias("name"))
 
 
 def area_roster(
@@ -127,32 +181,25 @@ TOKEN_KINDS = ("heading", "identifier", "table_first_column", "code_line")
 # fixed values: heading levels, and the lengths that quoted names and code lines must have
 HEADING_LEVELS, NAME_CHARS, CODE_CHARS = (2, 4), (2, 80), 4
 
-_JOINER = "\x00"
+def _parts(c: Column) -> Column:
+    """A Markdown text cut at its fence lines: every second part is code."""
+    return F.split(c, r"(?m)^[ \t]*```[^\n]*$")
 
 
-def _nfkc_each(tokens: Column) -> Column:
-    """Normalise an array of tokens as one text; nothing composes across the joiner."""
-    joined = nfkc(F.array_join(tokens, _JOINER))
-    return F.when(joined == "", F.array().cast("array<string>")).otherwise(
-        F.split(joined, _JOINER))
+def _lines(parts: Column, inside: int) -> Column:
+    """Lines outside (0) or inside (1) code of a text in parts; a fence that is never closed opens none."""
+    closed = F.size(parts) - F.when(F.size(parts) % 2 == 0, 1).otherwise(0)
+    own = F.filter(parts, lambda p, i: (i % 2 == inside) & (i < closed) | (
+        (i >= closed) if inside == 0 else F.lit(False)))
+    return F.flatten(F.transform(own, lambda p: F.split(p, "\n")))
 
 
-def document_tokens(c: Column, ignore: tuple[str, ...] = ()) -> dict[str, Column]:
-    """Tokens of a Markdown text that a revision must not lose, by kind.
+def document_tokens(plain: Column, code: Column, ignore: tuple[str, ...] = ()) -> dict[str, Column]:
+    """Tokens of a Markdown text that a revision must not lose, by kind, from its lines outside and inside code.
 
-    Fence lines cut the text into parts; every second part is code, a fence that is never closed
-    opens none. Outside code, a line is a heading by its leading marks, a table row by its first
-    character, and may hold quoted names. First cells named in ``ignore`` do not count.
+    A line outside is a heading by its leading marks, a table row by its first character, and may hold
+    quoted names. First cells named in ``ignore`` do not count.
     """
-    parts = F.split(c, r"(?m)^[ \t]*```[^\n]*$")
-    closed = F.size(parts) - F.when(F.size(parts) % 2 == 0, 1).otherwise(0)
-
-    def lines(inside: int) -> Column:
-        own = F.filter(parts, lambda p, i: (i % 2 == inside) & (i < closed) | (
-            (i >= closed) if inside == 0 else F.lit(False)))
-        return F.flatten(F.transform(own, lambda p: F.split(p, "\n")))
-
-    plain, code = lines(0), F.transform(lines(1), T.strip)
     marks = lambda x: F.length(F.regexp_extract(x, "^(#+)[ \t]", 1))
     headings = F.filter(plain, lambda x: marks(x).between(*HEADING_LEVELS))
     rows = F.filter(plain, lambda x: F.startswith(x, F.lit("|")) & (F.size(F.split(x, r"\|")) > 2))
@@ -165,7 +212,7 @@ def document_tokens(c: Column, ignore: tuple[str, ...] = ()) -> dict[str, Column
         "identifier": F.array_distinct(quoted),
         "table_first_column": F.array_except(
             F.filter(cells, lambda x: ~x.rlike("^[-:]*$")), dropped),
-        "code_line": F.array_distinct(F.filter(code, lambda x: F.length(x) >= CODE_CHARS)),
+        "code_line": F.array_distinct(F.filter(F.transform(code, T.strip), lambda x: F.length(x) >= CODE_CHARS)),
     }
 
 
@@ -177,21 +224,34 @@ def token_coverage(
     All work on a pair stays in its row; only four counters per pair are aggregated.
     """
     notes = F.regexp_extract(F.col(new), rf"(?ms)^#{{1,3}}[^\n]*\Q{notes_heading}\E.*", 0)
-    tokens = document_tokens(F.col(old), ignore)
-    keyed = pairs.select(
-        T.remove_blanks(nfkc(F.col(new))).alias("_new"),
-        T.remove_blanks(nfkc(notes)).alias("_notes"),
-        *[_nfkc_each(tokens[k]).alias(k) for k in TOKEN_KINDS],
-    )
+    # a select each, so that no text is cut or normalised twice
+    cut = pairs.select(_parts(F.col(old)).alias("_parts"), F.col(new).alias("_new"), notes.alias("_notes"))
+    lined = cut.select(_lines(F.col("_parts"), 0).alias("_plain"), _lines(F.col("_parts"), 1).alias("_code"), "_new", "_notes")
+    tokens = document_tokens(F.col("_plain"), F.col("_code"), ignore)
+    found = lined.select("_new", "_notes", *[tokens[k].alias(k) for k in TOKEN_KINDS])
+    sized = found.select(
+        *[F.size(k).alias(f"_n_{k}") for k in TOKEN_KINDS],
+        F.concat(F.array("_new", "_notes"), *TOKEN_KINDS).alias("_all"))
+    # normalised once a row, and outside the JVM only where normalising may change anything
+    settled = ~F.exists("_all", lambda x: ~is_compatible(x))
+    clean = sized.select(*[f"_n_{k}" for k in TOKEN_KINDS], F.coalesce(
+        nfkc_each(F.when(~settled, F.col("_all"))), F.col("_all")).alias("_all"))
+    clean = clean.withColumn("_all", F.transform("_all", T.remove_blanks))
+    start, slices = F.lit(3), []
+    for k in TOKEN_KINDS:
+        slices.append(F.slice("_all", start, F.col(f"_n_{k}")).alias(k))
+        start = start + F.col(f"_n_{k}")
+    keyed = clean.select(F.col("_all")[0].alias("_new"), F.col("_all")[1].alias("_notes"), *slices)
+
+    lost = lambda k: F.filter(k, lambda x: (x != "") & ~F.contains(F.col("_new"), x))
+    keyed = keyed.select("_notes", *TOKEN_KINDS, *[lost(k).alias(f"_lost_{k}") for k in TOKEN_KINDS])
 
     def counts(kind: str) -> Column:
-        keys = F.transform(F.col(kind), T.remove_blanks)
-        gone = F.filter(keys, lambda x: (x != "") & ~F.contains(F.col("_new"), x))
+        gone = F.col(f"_lost_{kind}")
         explained = F.size(F.filter(gone, lambda x: F.contains(F.col("_notes"), x)))
         return F.struct(
-            F.lit(kind).alias("kind"), F.size(keys).alias("total"),
-            F.size(F.filter(keys, lambda x: (x != "") & F.contains(F.col("_new"), x)))
-            .alias("present"),
+            F.lit(kind).alias("kind"), F.size(kind).alias("total"),
+            (F.size(F.filter(kind, lambda x: x != "")) - F.size(gone)).alias("present"),
             explained.alias("explained"), (F.size(gone) - explained).alias("missing"))
 
     return (

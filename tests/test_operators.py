@@ -279,6 +279,22 @@ def test_leak_scan_finds_short_and_long_needles(spark):
     assert set(rows) == expected and len(rows) == len(expected)
 
 
+def test_needles_with_one_beginning_meet_only_what_holds_them(spark):
+    """Short and long needles of a common prefix that every text holds: pairs are matches, not all pairs."""
+    texts = spark.createDataFrame([(i, f"xx common prefix {i} ab{i % 7}c") for i in range(200)], "t int, text string")
+    names = [f"ab{i}" for i in range(2000)] + [f"common prefix {i}" for i in range(2000)]
+    needles = spark.createDataFrame([(n,) for n in names], "n string")
+    pairs = scans.occurrences(texts, ["t"], "text", needles, "n")
+    got = {(r.t, r["_needle"]) for r in pairs.collect()}
+    assert got == {(i, n) for i in range(200) for n in names if n in f"xx common prefix {i} ab{i % 7}c"}
+    lengths = sorted({len(n) for n in names if len(n) < scans.SHORT})
+    pieces = texts.select("t", "text").mapInArrow(scans._piece_rows("text", lengths, True), "t int, _piece bigint")
+    keys = spark.createDataFrame([(n,) for n in names if len(n) < scans.SHORT], "n string").mapInArrow(
+        scans._piece_rows("n", lengths, True, own_length=True), "n string, _piece bigint")
+    met = pieces.join(keys, "_piece").count()
+    assert met == sum(n in f"xx common prefix {i} ab{i % 7}c" for i in range(200) for n in names if len(n) < scans.SHORT)
+
+
 def test_roster_names_in_order_of_position(spark):
     areas = spark.createDataFrame(
         [(1, "萩市と阿武町、萩市", "団体"), (2, "向津具地区", "団体"), (3, "山口市", "光市"),
