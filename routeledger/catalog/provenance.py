@@ -235,6 +235,9 @@ PROVENANCE = {
             CASE WHEN reason IS NOT NULL OR o IN (0, 2) THEN NULL WHEN o = 3 THEN b * 9 + 99
                  WHEN o = 4 THEN b * 9 + 88 WHEN o = 1 THEN b + 1 ELSE b END AS fetched_bytes
             FROM man_checked)""",
+    "lvl": """
+        SELECT (SELECT count(*) FROM labels) <> (SELECT count(*) FROM documents)
+               OR (SELECT max(quality) FROM labels) IS DISTINCT FROM 1 AS refused""",
     "repro": r"""
         SELECT path, e <> 3 AS recreated, e <> 5 AS expected, expected_bytes, actual_bytes,
                e NOT IN (1, 2, 3, 5) AS byte_match,
@@ -310,6 +313,46 @@ def freshness_report(spark, sf_dir):
     return provenance.freshness_report(*_checked(Lens(spark, sf_dir)))
 
 
+def _header(lens):
+    """What the labels declare: a source each, in a schema that names its version by the best label."""
+    return lens.table("labels").agg(
+        F.concat(F.lit("v"), F.max("quality").cast("string")).alias("schema_version"),
+        F.count(F.lit(1)).alias("expected_source_count"))
+
+
+@R.add("manifest_rejection", _psql("""
+    SELECT 'labelled' AS manifest, CASE WHEN s.refused IS NULL THEN source_id ELSE '<manifest>' END AS source_id,
+           CASE WHEN s.refused IS NULL THEN status ELSE 'invalid_baseline' END AS status,
+           coalesce(s.refused, error_category) AS error_category
+    FROM (SELECT CASE WHEN v <> 'v1' THEN 'invalid_manifest_schema' WHEN n = 0 OR n <> found THEN 'invalid_source_count' END AS refused
+          FROM (SELECT 'v' || max(quality) AS v, count(*) AS n,
+                       (SELECT count(*) FROM documents SEMI JOIN labels USING (doc_id)) AS found FROM labels)) s
+    JOIN (SELECT * FROM fresh SEMI JOIN (SELECT 'raw/doc' || doc_id AS p FROM labels
+          UNION ALL SELECT '../raw/x' || doc_id FROM labels) ON local_path = p) ON TRUE
+    UNION ALL
+    SELECT 'all', CASE WHEN NOT refused THEN source_id ELSE '<manifest>' END,
+           CASE WHEN NOT refused THEN status ELSE 'invalid_baseline' END,
+           CASE WHEN NOT refused THEN error_category ELSE 'invalid_source_count' END
+    FROM lvl JOIN fresh ON TRUE
+    QUALIFY NOT refused OR row_number() OVER () = 1"""))
+def manifest_rejection(spark, sf_dir):
+    """The labelled documents are the sources that the labels declare; all documents are more than that."""
+    lens = Lens(spark, sf_dir)
+    checked, observations = _checked(lens)
+    docs, labels = lens.table("documents"), lens.table("labels").select("doc_id")
+    known = docs.join(labels, "doc_id", "left_semi")
+    paths = labels.select(F.explode(F.array(*[
+        F.concat(F.lit(p), F.col("doc_id").cast("string")) for p in ("raw/doc", "../raw/x")])).alias("local_path"))
+    out = None
+    for name, rows, sources in (
+            ("labelled", checked.join(paths, "local_path", "left_semi"), known), ("all", checked, docs)):
+        level = provenance.manifest_level(_header(lens), sources, "v1")
+        part = provenance.freshness_report(rows, observations, level).select(
+            F.lit(name).alias("manifest"), "source_id", "status", "error_category")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @R.add("freshness_summary", _psql("""
     SELECT s AS status, count(source_id) AS n, (SELECT max(exit_code) FROM fresh) AS worst_exit
     FROM (SELECT unnest(['unchanged', 'changed', 'unavailable', 'oversize', 'invalid_baseline']) AS s)
@@ -421,19 +464,17 @@ def scorecard_contract(spark, sf_dir):
           UNION ALL SELECT 'no_unexpected_files',
                  (SELECT count(*) FROM repro WHERE NOT expected)
           UNION ALL SELECT 'sources_available',
-                 (SELECT count(*) FROM fresh WHERE exit_code > 1)
-          UNION ALL SELECT 'manifest_accepted', 0
+                 (SELECT CASE WHEN refused THEN 1 ELSE (SELECT count(*) FROM fresh WHERE exit_code > 1) END FROM lvl)
+          UNION ALL SELECT 'manifest_accepted', (SELECT CAST(refused AS BIGINT) FROM lvl)
           UNION ALL SELECT 'scorecard_accepted', (SELECT count(*) FROM ({R.sql["scorecard_contract"]})))"""))
 def release_decision(spark, sf_dir):
     lens = Lens(spark, sf_dir)
     checked, observations = _checked(lens)
-    manifest = lens.table("documents").select("doc_id")
-    header = manifest.agg(
-        F.lit("v1").alias("schema_version"), F.count(F.lit(1)).alias("expected_source_count"))
+    level = provenance.manifest_level(_header(lens), lens.table("documents"), "v1")
     return provenance.release_decision(
         checked, provenance.reproduction_diff(*_repro(lens)),
-        provenance.freshness_report(checked, observations),
-        findings={"manifest_accepted": provenance.manifest_level(header, manifest, "v1"),
+        provenance.freshness_report(checked, observations, level),
+        findings={"manifest_accepted": level,
                   "scorecard_accepted": scorecard_contract(spark, sf_dir)})
 
 

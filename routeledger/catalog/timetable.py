@@ -216,7 +216,7 @@ _ANCHORS = {"anchors": """
     FROM part""",
     "anchor_result": """
     SELECT feed_id, route_id, expected_name, route_long_name AS actual_name,
-           CASE WHEN route_long_name IS NULL THEN 'missing_route'
+           CASE WHEN row_idx IS NULL THEN 'missing_route' WHEN route_long_name IS NULL THEN 'missing_name'
                 WHEN route_long_name <> expected_name THEN 'name_mismatch' END AS reason
     FROM anchors LEFT JOIN routes USING (feed_id, route_id)"""}
 

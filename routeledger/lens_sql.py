@@ -56,7 +56,8 @@ CTES = {
         FROM li WHERE feed_id = 'F1'""",
     "routes": """
         SELECT DISTINCT 'F' || (l_suppkey % 4) AS feed_id, l_partkey AS row_idx,
-               CAST(l_partkey AS VARCHAR) AS route_id, 'Line ' || l_partkey AS route_long_name
+               CAST(l_partkey AS VARCHAR) AS route_id,
+               CASE WHEN l_partkey % 450 <> 0 THEN 'Line ' || l_partkey END AS route_long_name
         FROM lineitem""",
     "stops": """
         SELECT 'F' || (c_nationkey % 4) AS feed_id, c_custkey AS row_idx,
@@ -92,7 +93,11 @@ CTES = {
                max(CASE WHEN l_linenumber = 1 THEN CAST(l_quantity AS BIGINT) ELSE 1 END)
                    AS departures, min(row_idx) AS row_idx, feed_id = 'F3' AS inexact
         FROM li GROUP BY feed_id, short_id || '-' || service_id""",
-    "freq_dirty": "SELECT * FROM freq WHERE feed_id <> 'F1'",
+    "freq_dirty": """
+        SELECT feed_id, CASE WHEN feed_id = 'F1' THEN short_id ELSE short_id || '-' || service_id END AS trip_id,
+               max(CASE WHEN l_linenumber = 1 THEN CAST(l_quantity AS BIGINT) ELSE 1 END)
+                   AS departures, min(row_idx) AS row_idx, feed_id = 'F3' AS inexact
+        FROM li GROUP BY ALL""",
     "known_services": """
         SELECT feed_id, service_id FROM cal UNION SELECT feed_id, service_id FROM cd""",
     "active": """

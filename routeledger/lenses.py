@@ -136,7 +136,8 @@ class Lens:
         li = self.table("lineitem")
         return li.select(_feed("l_suppkey").alias("feed_id"), "l_partkey").distinct().select(
             "feed_id", F.col("l_partkey").alias("row_idx"), _text("l_partkey").alias("route_id"),
-            F.concat(F.lit("Line "), _text("l_partkey")).alias("route_long_name"),
+            # some routes have a short row, without its last column
+            F.when(F.col("l_partkey") % 450 != 0, F.concat(F.lit("Line "), _text("l_partkey"))).alias("route_long_name"),
         )
 
     def stops(self) -> DataFrame:
@@ -194,13 +195,17 @@ class Lens:
             F.col("n_name").alias("municipality"),
         )
 
-    def frequencies(self) -> DataFrame:
-        """Text windows, one per trip: line-1 trips leave often, others once; F3 is inexact."""
+    def frequencies(self, short: str | None = None) -> DataFrame:
+        """Text windows, one per trip: line-1 trips leave often, others once; F3 is inexact.
+
+        Feed ``short`` has trip ids without their service, as in ``trips_dirty``.
+        """
         q = F.max(F.when(F.col("l_linenumber") == 1, F.col("l_quantity").cast("bigint")).otherwise(1))
         end = F.lit(21600) + F.col("q") * 600
+        full = F.concat_ws("-", "short_id", "service_id")
+        trip = full if short is None else F.when(F.col("feed_id") == short, F.col("short_id")).otherwise(full)
         return (
-            self._lineitem_trips()
-            .withColumn("trip_id", F.concat_ws("-", "short_id", "service_id"))
+            self._lineitem_trips().withColumn("trip_id", trip)
             .groupBy("trip_id", "feed_id").agg(q.alias("q"), F.min("row_idx").alias("row_idx"))
             .select(
                 "feed_id", "trip_id", "row_idx", F.lit("06:00:00").alias("start_time"),
@@ -249,5 +254,5 @@ class Lens:
         )
 
     def frequencies_for_dirty(self) -> DataFrame:
-        """Windows for ``trips_dirty``: feed F1, whose trip ids are broken, has none."""
-        return self.frequencies().where(F.col("feed_id") != "F1")
+        """Windows for ``trips_dirty``, those of feed F1 under its short trip ids."""
+        return self.frequencies("F1")

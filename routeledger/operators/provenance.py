@@ -82,12 +82,21 @@ def exit_code(status: Column) -> Column:
     return out
 
 
-def freshness_report(checked: DataFrame, observations: DataFrame) -> DataFrame:
+def freshness_report(
+    checked: DataFrame, observations: DataFrame, level: DataFrame | None = None
+) -> DataFrame:
     """Status of every manifest row against its latest fetch.
 
-    A row that breaks the manifest contract is never compared. A declared or received size over
+    With ``level``, the findings of ``manifest_level``, a manifest that is refused as a whole gives one row
+    of its own and none of its sources is compared. A row that breaks the manifest contract is never compared. A declared or received size over
     the limit wins over the digest; a row nobody fetched is unavailable.
     """
+    refused = level.first() if level is not None else None
+    if refused is not None:
+        return checked.sparkSession.range(1).select(
+            F.lit("<manifest>").alias("source_id"), F.lit(None).cast("string").alias("local_path"),
+            F.lit("invalid_baseline").alias("status"), F.lit(refused["reason"]).alias("error_category"),
+            F.lit(None).cast("bigint").alias("fetched_bytes"), exit_code(F.lit("invalid_baseline")).alias("exit_code"))
     over = F.col("declared_bytes") > F.col("max_download_bytes")
     streamed = F.col("fetched_bytes") > F.col("max_download_bytes")
     invalid = F.col("reason").isNotNull()

@@ -220,10 +220,12 @@ def stops_by_area(stops: DataFrame, stop_area: DataFrame) -> DataFrame:
     )
 
 
-def anchor_check(routes: DataFrame, anchors: DataFrame) -> DataFrame:
+def anchor_check(routes: DataFrame, anchors: DataFrame, file_status: DataFrame | None = None) -> DataFrame:
     """Required (feed, route_id, name) pairs against the route table, compared stripped.
 
-    A feed whose route table has a blank or a repeated id anywhere fails all of its pairs.
+    A feed whose route table has a blank or a repeated id anywhere fails all of its pairs, and, where
+    ``file_status`` gives the headers, so does a feed whose routes lack one of the two columns. A route
+    without a name is not the required one.
     """
     found = routes.groupBy("feed_id", gtfs.strip(F.col("route_id")).alias("route_id")).agg(
         F.min(gtfs.strip(F.col("route_long_name"))).alias("actual_name"),
@@ -232,10 +234,19 @@ def anchor_check(routes: DataFrame, anchors: DataFrame) -> DataFrame:
     no_id = F.coalesce("route_id", F.lit("")) == ""
     whole = found.groupBy("feed_id").agg(
         F.bool_or(no_id).alias("blank"), F.bool_or(~no_id & (F.col("n") > 1)).alias("repeated"))
+    if file_status is not None:
+        lacks = ~(F.array_contains("header", "route_id") & F.array_contains("header", "route_long_name"))
+        headers = file_status.where((F.col("file_name") == "routes.txt") & F.col("present")).select(
+            "feed_id", F.coalesce(lacks, F.lit(True)).alias("short"))
+        whole = whole.join(headers, "feed_id", "full_outer")
+    else:
+        whole = whole.withColumn("short", F.lit(False))
     reason = (
-        F.when(F.col("blank"), "blank_route_id")
+        F.when(F.col("short"), "missing_column")
+        .when(F.col("blank"), "blank_route_id")
         .when(F.col("repeated"), "duplicate_route")
         .when(F.col("n").isNull(), "missing_route")
+        .when(F.col("actual_name").isNull(), "missing_name")
         .when(F.col("actual_name") != F.col("expected_name"), "name_mismatch")
     )
     return anchors.join(found, ["feed_id", "route_id"], "left").join(whole, "feed_id", "left").select(

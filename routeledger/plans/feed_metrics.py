@@ -451,7 +451,7 @@ def independent_feed_metrics(
 
     A feed whose anchor routes are missing or renamed gets no numbers at all.
     """
-    gate = quality.anchor_check(t.routes, anchors).groupBy("feed_id").agg(
+    gate = quality.anchor_check(t.routes, anchors, t.file_status).groupBy("feed_id").agg(
         F.min(F.when(F.col("reason").isNotNull(), F.col("reason"))).alias("anchor_reason"),
         F.count(F.lit(1)).alias("anchor_count"),
     )

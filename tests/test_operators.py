@@ -471,3 +471,31 @@ def test_vehicle_rows_from_cells(spark):
     bad = {(r.doc, r.office_seq, r.reason) for r in vr.vehicle_problems(read, "doc").collect()}
     assert bad == {("d", 2, "office_total_mismatch"), ("e", 1, "value_without_heading"),
                    ("e", 1, "office_without_location"), ("e", None, "printed_total_mismatch")}
+
+
+def test_a_route_without_a_name_is_not_the_required_one(spark):
+    routes = spark.createDataFrame(
+        [("A", 0, "1", None), ("B", 0, "1", " Line "), ("C", 0, "1", "Line"), ("D", 0, "2", "Line")],
+        "feed_id string, row_idx int, route_id string, route_long_name string")
+    anchors = spark.createDataFrame([(f, "1", "Line") for f in "ABCD"], "feed_id string, route_id string, expected_name string")
+    reasons = lambda df: {r.feed_id: r.reason for r in df.collect()}
+    assert reasons(quality.anchor_check(routes, anchors)) == {"A": "missing_name", "B": None, "C": None, "D": "missing_route"}
+    status = spark.createDataFrame(
+        [("A", "routes.txt", True, ["route_id"]), ("B", "routes.txt", True, ["route_id", "route_long_name"]),
+         ("C", "trips.txt", True, ["trip_id"]), ("D", "routes.txt", True, ["route_long_name"])],
+        "feed_id string, file_name string, present boolean, header array<string>")
+    assert reasons(quality.anchor_check(routes, anchors, status)) == {
+        "A": "missing_column", "B": None, "C": None, "D": "missing_column"}
+
+
+def test_a_refused_manifest_is_one_row_of_the_report(spark):
+    checked = spark.createDataFrame([("a", "raw/a", "x", 9, None)], "source_id string, local_path string, "
+                                    "baseline_sha256 string, max_download_bytes long, reason string")
+    seen = spark.createDataFrame([("a", "2024-01-01", "x", 3, None, None)], "source_id string, checked_at string, "
+                                 "fetched_sha256 string, fetched_bytes long, declared_bytes long, error_category string")
+    header = lambda v, n: spark.createDataFrame([(v, n)], "schema_version string, expected_source_count long")
+    for v, n, want in (("v1", 1, ("a", "unchanged", None, 0)), ("v1", 2, ("<manifest>", "invalid_baseline", "invalid_source_count", 3)),
+                       ("v2", 1, ("<manifest>", "invalid_baseline", "invalid_manifest_schema", 3))):
+        level = provenance.manifest_level(header(v, n), checked, "v1")
+        got = provenance.freshness_report(checked, seen, level).collect()
+        assert [(r.source_id, r.status, r.error_category, r.exit_code) for r in got] == [want]
