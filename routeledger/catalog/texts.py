@@ -10,6 +10,8 @@ from routeledger.functions import gtfs, policy
 from routeledger.functions import text as T
 from routeledger.lenses import Lens
 from routeledger.operators import compare, scans
+from routeledger.session import shared_folder
+from routeledger.sources import sinks, tables
 
 R = Registry()
 
@@ -463,6 +465,46 @@ def publish_readback_diff(spark, sf_dir):
     return compare.multiset_diff(o, copy)
 
 
+@R.add("csv_roundtrip", """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(coalesce(text, '')) AS digest, coalesce(source, '') AS source,
+           coalesce(lang, '') AS lang FROM documents""")
+def csv_roundtrip(spark, sf_dir):
+    """Whole texts, line ends and quotes included, written as ordered CSV and read back in splits."""
+    path, columns = shared_folder(spark, "csv"), ["doc_id", "text", "source", "lang"]
+    sinks.write_csv(Lens(spark, sf_dir).table("documents"), path, columns, ["doc_id"])
+    back = tables.read_quoted_csv(spark, path, columns)
+    return back.select("doc_id", _digest(F.col("text")).alias("digest"), "source", "lang")
+
+
+@R.add("json_roundtrip", """
+    SELECT page_id, md5(html) AS digest, CASE WHEN page_id % 3 <> 0 THEN url END AS url FROM pages""")
+def json_roundtrip(spark, sf_dir):
+    path = shared_folder(spark, "json")
+    url = F.when(F.col("page_id") % 3 != 0, F.col("url")).alias("url")
+    sinks.write_json(Lens(spark, sf_dir).table("pages").select("page_id", "html", url), path,
+                     ["page_id", "html", "url"], ["page_id"])
+    back = tables.read_json_records(spark, path, "page_id bigint, html string, url string", lines=True)
+    return back.select("page_id", _digest(F.col("html")).alias("digest"), "url")
+
+
+@R.add("publish_versions", """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders
+    WHERE o_orderkey % 5 <> 4""")
+def publish_versions(spark, sf_dir):
+    """Two versions published one after the other, and a third that is refused: the second is what readers see."""
+    path = shared_folder(spark, "published")
+    o = Lens(spark, sf_dir).table("orders").select("o_orderkey", "o_orderstatus")
+    none = o.where("o_orderkey < 0")
+    sinks.publish(o, path, none)
+    status = F.when(F.col("o_orderkey") % 2 == 0, "X").otherwise(F.col("o_orderstatus"))
+    sinks.publish(o.where("o_orderkey % 5 <> 4").withColumn("o_orderstatus", status), path, none)
+    try:
+        sinks.publish(o, path, none, "0:0")
+    except sinks.PublishError:
+        pass
+    return sinks.published(spark, path)
+
+
 _MD = "'## ' || source || ' part\n`' || lang || '_x` and `y`\n| n' || doc_id || ' | v |\n|---|---|\n```\n' || text || '\n```\n'"
 
 

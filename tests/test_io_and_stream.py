@@ -139,3 +139,61 @@ def test_line_wise_inputs_give_the_same_rows(spark, tmp_path):
     one = tables.read_json_records(spark, str(tmp_path / "a.jsonl"), "k int", lines=True)
     two = tables.read_json_records(spark, str(tmp_path / "b.json"), "k int")
     assert sorted(r.k for r in one.collect()) == sorted(r.k for r in two.collect()) == [1, 2]
+
+
+def test_quoted_csv_is_read_in_splits(spark, tmp_path):
+    """Cells with line ends, quotes, commas and blanks, a byte order mark, CRLF ends: as the whole-file reader has them."""
+    import csv
+    import random
+
+    rng = random.Random(6)
+    columns = ["id", "a", "b"]
+    pieces = ["x", "long text " * 9, "\n", "\r\n", '"', '""', ",", "", " ", "é漢", "\n\n"]
+    for name, end, mark in (("one.csv", "\n", ""), ("two.csv", "\r\n", "\ufeff")):
+        with open(tmp_path / name, "w", newline="", encoding="utf-8") as f:
+            f.write(mark)
+            w = csv.writer(f, lineterminator=end, quoting=csv.QUOTE_ALL)
+            w.writerow(columns)
+            for i in range(3000):
+                w.writerow([f"{name}{i}", *["".join(rng.choices(pieces, k=rng.randint(0, 6))) for _ in "ab"]])
+            w.writerow([f"{name}-long", "line\n" * 20_000, ""])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        path = str(tmp_path / "*.csv")
+        assert spark.read.text(path).rdd.getNumPartitions() > 10
+        got = sorted(tuple(r) for r in tables.read_quoted_csv(spark, path, columns).collect())
+        with pytest.raises(Exception, match="header"):
+            tables.read_quoted_csv(spark, path, ["id", "b", "a"]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    want = []
+    for name in ("one.csv", "two.csv"):
+        with open(tmp_path / name, newline="", encoding="utf-8-sig") as f:
+            want += [tuple(r) for r in list(csv.reader(f))[1:]]
+    assert got == sorted(want)
+
+
+@pytest.mark.parametrize("step", ["_stage", "_verify", "_point", "_commit"])
+@pytest.mark.parametrize("after", [False, True])
+def test_publication_that_stops_anywhere_leaves_the_old_version(spark, tmp_path, monkeypatch, step, after):
+    path, none = str(tmp_path / "t"), spark.range(0)
+    sinks.publish(spark.range(3), path, none)
+    old = sinks.current_version(spark, path)
+    real = getattr(sinks, step)
+
+    def stop(*args):
+        if after:
+            real(*args)
+        raise KeyboardInterrupt if step == "_point" else RuntimeError("stopped")
+
+    monkeypatch.setattr(sinks, step, stop)
+    with pytest.raises((RuntimeError, KeyboardInterrupt)):
+        sinks.publish(spark.range(5), path, none)
+    monkeypatch.undo()
+    done = step == "_commit" and after
+    assert sinks.published(spark, path).count() == (5 if done else 3)
+    assert (sinks.current_version(spark, path) == old) != done
+    assert sinks.publish(spark.range(7), path, none).count() == 7
