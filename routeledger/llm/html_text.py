@@ -8,8 +8,10 @@ two clusters of ratios are content. The article or main element around most of t
 smallest element that holds all of it, is the content region: its lines, short ones as well, are the text.
 
 A class or id condemns by the thing that it names (`sidebar`, `site-header`, `cookie-notice`), not by a word in it
-(`has-sidebar`, `share-enabled`). An element that holds most of the content is not condemned by class or id, unless
-there is an article or main element with content beside it.
+(`has-sidebar`, `share-enabled`). Names that may as well be a subject (`market-share`, an id `login`) condemn only
+what is no prose: less than half of its text is over the threshold. Headings, table cells and inline elements are
+not judged by name, paragraphs and list items by class only. A form, and an element condemned by name, that holds
+most of the content is kept, unless there is an article or main element with content beside it.
 
 A page is one row and is worked on by itself; there is no shuffle.
 
@@ -38,7 +40,7 @@ _BLOCK = frozenset(
     "summary table tbody td tfoot th thead title tr ul".split())
 _HOLDER = frozenset("html body main article section div td center blockquote".split())
 _NEVER = frozenset(
-    "aside button canvas datalist dialog footer form head header iframe input menu nav noscript object select "
+    "aside button canvas datalist dialog footer head header iframe input label menu nav noscript object select "
     "script style svg template textarea".split())
 _NEVER_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 _NEVER_WORDS = frozenset(
@@ -65,14 +67,36 @@ _PARTS = frozenset(
     "wrapper zone".split())
 
 
-def _names_never(token: str) -> bool:
-    """Whether a class or id names what is never article text, by its last word or the first before a mere part."""
+#: last words that may as well name a subject, first words that say they do not, and wrappers of an article's title
+_WEAK = frozenset(
+    "ad banner consent header login menu modal popup promotion related reply replies share sharing social subscription "
+    "toolbar widget".split())
+_SITES = frozenset("article entry global main mobile nav page post site sticky story top user".split())
+_TITLED = frozenset("article card chapter content entry heading post section story table title".split())
+#: not judged by class or id, and judged by class only
+_UNNAMED = frozenset(
+    "h1 h2 h3 h4 h5 h6 td th a abbr b bdi bdo cite code data del dfn em font i ins kbd mark q s samp small span strong "
+    "sub sup time tt u var".split())
+_BY_CLASS = frozenset("p li dd dt pre blockquote figcaption".split())
+
+
+def _condemns(token: str, attribute: str) -> int:
+    """Whether a class or id names what is never article text, by its last word or the first before a mere part:
+    0 no, 1 only if it is no prose, 2 yes."""
     words = _NAME.findall(token)
     if not words or len(words) > 1 and words[0] in _STATES:
-        return False
+        return 0
     while len(words) > 1 and words[-1] in _PARTS and words[-1] not in _NEVER_WORDS:
         words.pop()
-    return words[-1] in _NEVER_WORDS
+    last, before = words[-1], words[:-1]
+    if last not in _NEVER_WORDS:
+        return 0
+    if last == "header" and before and before[-1] in _TITLED:
+        return 0
+    if last not in _WEAK:
+        return 2
+    known = any(w in _NEVER_WORDS or w in _SITES for w in before)
+    return 2 if known or not before and attribute == "class" else 1
 
 
 class _Lines(HTMLParser):
@@ -81,9 +105,9 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # tag, holder, never
-        self.named: list[int] = []  # of each open element: the outermost one condemned by class or id, or -1
+        self.named: list[int] = []  # of each open element: the innermost mark around it, or -1
         self.marks: list[int] = []  # the same of each line
-        self.n_named = 0
+        self.marked: list[tuple[int, int]] = []  # of each mark: the mark around it, and how much it condemns
         self.holders: list[tuple[int, str]] = [(-1, "html")]
         self.lines: list[tuple[str, int, int, bool]] = []
         self.parts: list[str] = []
@@ -104,11 +128,15 @@ class _Lines(HTMLParser):
         return False
 
     @staticmethod
-    def _named(tag: str, attrs) -> bool:
-        """Condemned by class or id."""
-        return tag not in ("html", "body", "main", "article") and any(
-            _names_never(token) for name, value in attrs if value and name in ("class", "id")
-            for token in value.lower().split())
+    def _named(tag: str, attrs) -> int:
+        """How much the tag form, or else a class or id, condemns."""
+        if tag == "form":
+            return 2
+        if tag in ("html", "body", "main", "article") or tag in _UNNAMED:
+            return 0
+        judged = ("class",) if tag in _BY_CLASS else ("class", "id")
+        return max((_condemns(token, name) for name, value in attrs if value and name in judged
+                    for token in value.lower().split()), default=0)
 
     def _line(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -151,8 +179,10 @@ class _Lines(HTMLParser):
             self.holders.append((holder, tag))
             holder = len(self.holders) - 1
         mark = self.named[-1] if self.open else -1
-        if mark < 0 and self._named(tag, attrs):
-            mark, self.n_named = self.n_named, self.n_named + 1
+        level = self._named(tag, attrs)
+        if level:
+            self.marked.append((mark, level))
+            mark = len(self.marked) - 1
         self.named.append(mark)
         self.open.append((tag, holder, never or self._never(tag, attrs)))
 
@@ -174,7 +204,8 @@ class _Lines(HTMLParser):
         for i in range(len(self.open) - 1, -1, -1):
             name = self.open[i][0]
             if name == tag:
-                if self.open[i][2] or self.named[i] >= 0:  # text of a never element is no part of the line around it
+                outside = self.named[i - 1] if i else -1
+                if self.open[i][2] or self.named[i] != outside:  # text of a never element is no part of the line around it
                     self._line()
                 del self.open[i:], self.named[i:]
                 return
@@ -216,23 +247,40 @@ def _ratios(lines: list[tuple[str, int, int, bool]]) -> tuple[list[float], float
 
 
 def _judged(page: _Lines) -> list[tuple[str, int, int, bool]]:
-    """The lines less those condemned by class or id; what holds most of the content is not condemned."""
-    if not any(good for *_, good in page.lines):
+    """The lines less those condemned by name or as forms; what holds most of the content is not condemned."""
+    if not page.marked or not any(good for *_, good in page.lines):
         return page.lines
     smooth, border = _ratios(page.lines)
     inside = [False] * len(page.holders)  # an article or main element
     for h, (parent, tag) in enumerate(page.holders):
         inside[h] = tag in ("article", "main") or parent >= 0 and inside[parent]
-    weight, total, beside = [0] * page.n_named, 0, False
-    for (text, _, holder, good), value, mark in zip(page.lines, smooth, page.marks):
-        if good and value >= border:
-            total += len(text)
-            if mark >= 0:
-                weight[mark] += len(text)
-            else:
-                beside = beside or inside[holder]
-    most = {m for m, w in enumerate(weight) if 2 * w > total and not beside}
-    return [(text, tags, holder, good and (mark < 0 or mark in most))
+    weight, everything = [0] * len(page.marked), [0] * len(page.marked)
+    for (text, _, _, good), value, mark in zip(page.lines, smooth, page.marks):
+        if good and mark >= 0:
+            everything[mark] += len(text)
+            weight[mark] += len(text) if value >= border else 0
+    for m in range(len(page.marked) - 1, -1, -1):  # marks come before those inside them
+        around = page.marked[m][0]
+        if around >= 0:
+            weight[around] += weight[m]
+            everything[around] += everything[m]
+    # of each mark: condemned by itself; prose under a name that may be a subject is not
+    bad = [level == 2 or 2 * weight[m] < everything[m] for m, (_, level) in enumerate(page.marked)]
+
+    def condemned() -> list[bool]:
+        out: list[bool] = []
+        for m, (around, _) in enumerate(page.marked):
+            out.append(bad[m] or around >= 0 and out[around])
+        return out
+
+    out = condemned()
+    over = [(len(text), holder, mark) for (text, _, holder, good), value, mark in zip(page.lines, smooth, page.marks)
+            if good and value >= border]
+    total = sum(n for n, _, _ in over)
+    if not any(inside[holder] and (mark < 0 or not out[mark]) for _, holder, mark in over):
+        bad = [b and 2 * weight[m] <= total for m, b in enumerate(bad)]
+        out = condemned()
+    return [(text, tags, holder, good and (mark < 0 or not out[mark]))
             for (text, tags, holder, good), mark in zip(page.lines, page.marks)]
 
 

@@ -51,6 +51,28 @@ def test_article_in_several_parts_and_under_telling_classes(page, want):
     assert html_text.main_text(page).split("\n\n") == [" ".join(w.split()) for w in want]
 
 
+@pytest.mark.parametrize("page, want", [
+    # content in one page-wide form, with and without an article element, beside buttons and labels
+    (f"<body><form><div><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><label>Name</label><button>Go</button></form></body>",
+     ["T", LONG, LONG]),
+    (f"<body><form id=aspnet><nav>x</nav><article><h1>T</h1><p>{LONG}</p></article><footer>f</footer></form></body>", ["T", LONG]),
+    (f"<article><p>{LONG}</p><form><p>{LONG}</p></form></article>", [LONG]),
+    # names that may be subjects, around prose and around links
+    (f"<article><p>{LONG}</p><section class='market-share'><h2>Share</h2><p>{LONG}</p></section></article>", [LONG, "Share", LONG]),
+    (f"<article><p>{LONG}</p><section id=login><h2>Login</h2><p>{LONG}</p></section></article>", [LONG, "Login", LONG]),
+    (f"<article><p>{LONG}</p><div class='fancy-share'><a>a</a> <a>b</a> <a>c</a> <a>d</a></div><p>{LONG}</p></article>", [LONG, LONG]),
+    (f"<article><p>{LONG}</p><div class='post-share'><p>{LONG}</p></div><div class=related><p>{LONG}</p></div></article>", [LONG]),
+    # an advert inside a part under such a name still goes
+    (f"<article><section class='market-share'><p>{LONG}</p><div class=advert>{LONG}</div></section><p>{LONG}</p></article>", [LONG, LONG]),
+    # headings, cells and inline elements have any id
+    *((f"<article><h2 id='{i}' class='{i}'>Part</h2><p id='{i}'>{LONG} <span class='{i}'>in</span></p></article>", ["Part", LONG + "in"])
+      for i in ("login", "social", "comments", "market-share", "cookie", "menu")),
+    (f"<article><div class='entry-header'><h1>T</h1></div><p>{LONG}</p><p class=advert>{LONG}</p></article>", ["T", LONG]),
+])
+def test_forms_subjects_and_slugs(page, want):
+    assert html_text.main_text(page).split("\n\n") == [" ".join(w.split()) for w in want]
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None, 1), (2, None, "", 1), (None, "u", "<p>x", 1), (3, "u", "plain", 1), (3, "u", "plain", 1),
             (4, "u", "<<<&&& <!-- <p", 1), (5, "u", "<script>x", 1), (6, "u", "<p>" * 3000 + "deep", 1),
