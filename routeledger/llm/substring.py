@@ -151,7 +151,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     rows = _keyed(docs)
     anchors = rows.mapInArrow(
         _anchor_rows(length, seed), "anchor long, reach long, doc_id long, at long, form int")
-    # landed, as is `first`: a join can be split at a hot key only if no grouping stands between it and its shuffles
+    # landed, as are `first` and `earliest`: a join can be split at a hot key only if no grouping stands between it and its shuffles
     often = shared.landed(
         anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "substring-often")
     seeds = shared.landed(anchors.join(often, "anchor", "left_semi"), "substring-seeds")
@@ -170,11 +170,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     windows = rows.join(edges, ["doc_id", "ver"]).dropDuplicates(["doc_id", "ver"]).mapInArrow(
         _window_rows(length, seed), "key1 long, key2 long, doc_id long, at long")
     windows = shared.landed(windows, "substring-edges")
-    earliest = (
+    earliest = shared.landed(
         windows.groupBy("key1", "key2")
         .agg(F.min(F.struct("doc_id", "at")).alias("one"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select("key1", "key2", "one")
-    )
+        .where("n > 1").select("key1", "key2", "one"), "substring-earliest")
     late = (
         windows.join(earliest, ["key1", "key2"]).where("struct(doc_id, at) != one")
         .selectExpr("doc_id", *_PLACE).selectExpr("doc_id", "ver", "pos as start", "1 as count")
