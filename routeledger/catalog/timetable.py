@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from routeledger.catalog import Registry
@@ -334,6 +336,73 @@ def comparison_week(spark, sf_dir):
     return service.comparison_week(bounds)
 
 
+def _broken_ranges(lens):
+    """Suppliers as feeds of six ranges with holes or overlaps, some with an info range, some unconfirmed."""
+    k = F.col("s_suppkey")
+    start = F.lit(date(1995, 1, 1))
+    feeds = lens.table("supplier").select(k.cast("string").alias("feed_id"), k.alias("k"))
+    days = lambda first, n: F.date_add(first, n.cast("int"))
+    references = feeds.select(
+        "feed_id", F.when(F.col("k") % 5 == 4, "unconfirmed").otherwise("confirmed").alias("reference_status"),
+        F.when(F.col("k") % 7 != 6, days(start, 120 + (F.col("k") % 13) * 9)).alias("reference_date"),
+        F.when(F.col("k") % 3 == 0, days(start, 150 + F.col("k") % 10)).alias("info_start"),
+        F.when(F.col("k") % 2 == 0, days(start, 700 - F.col("k") % 30)).alias("info_end"))
+    first = days(start, F.col("i") * 120 + (F.col("k") * 7) % 20)
+    ranges = feeds.where("k % 11 <> 10").select("feed_id", "k", F.explode(F.array(*map(F.lit, range(6)))).alias("i")).select(
+        "feed_id", first.alias("start_date"), days(first, 92 + (F.col("k") * 11) % 40).alias("end_date"))
+    return references, ranges
+
+
+_RANGES = {
+    "refs": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS feed_id,
+               CASE WHEN s_suppkey % 7 <> 6 THEN DATE '1995-01-01' + CAST(120 + (s_suppkey % 13) * 9 AS INTEGER) END AS reference_date,
+               CASE WHEN s_suppkey % 3 = 0 THEN DATE '1995-01-01' + CAST(150 + s_suppkey % 10 AS INTEGER) END AS info_start,
+               CASE WHEN s_suppkey % 2 = 0 THEN DATE '1995-01-01' + CAST(700 - s_suppkey % 30 AS INTEGER) END AS info_end
+        FROM supplier WHERE s_suppkey % 5 <> 4 AND s_suppkey % 7 <> 6""",
+    "rng": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS feed_id, a AS start_date, a + CAST(92 + (s_suppkey * 11) % 40 AS INTEGER) AS end_date
+        FROM (SELECT s_suppkey, DATE '1995-01-01' + CAST(i * 120 + (s_suppkey * 7) % 20 AS INTEGER) AS a
+              FROM supplier, (SELECT unnest(range(6)) AS i) WHERE s_suppkey % 11 <> 10)""",
+    "lim": """
+        SELECT feed_id, reference_date, info_start, coalesce(info_end, e) AS upper, info_end
+        FROM refs LEFT JOIN (SELECT feed_id, max(end_date) AS e FROM rng GROUP BY feed_id) USING (feed_id)""",
+    "weeks": """
+        SELECT feed_id, monday FROM (
+            SELECT feed_id, monday, d FROM lim, (SELECT DATE '1995-01-02' + CAST(7 * unnest(range(130)) AS INTEGER) AS monday),
+                   (SELECT CAST(unnest(range(7)) AS INTEGER) AS d)
+            WHERE (info_start IS NULL OR monday + d >= info_start) AND (info_end IS NULL OR monday + d <= info_end))
+        SEMI JOIN rng ON rng.feed_id = feed_id AND monday + d BETWEEN start_date AND end_date
+        GROUP BY feed_id, monday HAVING count(*) = 7""".replace("rng.feed_id = feed_id", "rng.feed_id = unnamed_subquery.feed_id"),
+}
+
+
+@R.add("own_weeks", with_lenses("""
+    SELECT feed_id, w AS week_start, CASE WHEN upper IS NULL THEN 'not_calculable' WHEN w IS NULL THEN 'no_week_in_range'
+           ELSE 'measured' END AS metric_status
+    FROM lim LEFT JOIN (SELECT feed_id, CAST(min(monday) AS DATE) AS w FROM weeks JOIN lim USING (feed_id)
+                        WHERE monday >= reference_date AND monday + 6 <= upper GROUP BY feed_id) USING (feed_id)""", _RANGES))
+def own_weeks(spark, sf_dir):
+    return service.own_weeks(*_broken_ranges(Lens(spark, sf_dir)))
+
+
+@R.add("common_week", with_lenses("""
+    SELECT n_feeds, base_date, w AS week_start, CAST(w + 6 AS DATE) AS week_end,
+           CASE WHEN w IS NULL THEN 'not_comparable_no_common_week' ELSE 'measured' END AS metric_status
+    FROM (SELECT count(*) AS n_feeds, max(reference_date) AS base_date FROM lim SEMI JOIN rng USING (feed_id)),
+         (SELECT CAST(min(monday) AS DATE) AS w FROM (
+              SELECT monday, count(*) AS n FROM weeks SEMI JOIN (SELECT feed_id FROM lim SEMI JOIN rng USING (feed_id)) USING (feed_id)
+              GROUP BY monday)
+          WHERE n = (SELECT count(*) FROM lim SEMI JOIN rng USING (feed_id))
+            AND monday >= (SELECT max(reference_date) FROM lim SEMI JOIN rng USING (feed_id))
+            AND monday + 6 <= (SELECT min(upper) FROM lim SEMI JOIN rng USING (feed_id)))""", _RANGES))
+def common_week(spark, sf_dir):
+    """Over the feeds that have ranges; one without makes the week incalculable (see the tests)."""
+    references, ranges = _broken_ranges(Lens(spark, sf_dir))
+    known = ranges.select("feed_id").distinct()
+    return service.common_week(references.join(known, "feed_id", "left_semi"), ranges)
+
+
 # -- feed verdict and metrics -----------------------------------------------------------------
 
 _VERDICT = {

@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from routeledger.functions import gtfs
 from routeledger.vocab import WEEKDAYS
@@ -261,3 +262,96 @@ def comparison_week(bounds: DataFrame) -> DataFrame:
             "metric_status",
         )
     )
+
+
+# -- weeks of feeds whose evaluable days have holes --------------------------------------------
+
+def _confirmed(references: DataFrame) -> DataFrame:
+    return references.where((F.col("reference_status") == "confirmed") & F.col("reference_date").isNotNull())
+
+
+def _plateaus(events: DataFrame, by: list[str], level: Column) -> DataFrame:
+    """(by, day, last): the days from one event to the next on which the running sum of ``delta`` is at ``level``."""
+    order = Window.partitionBy(*by).orderBy("day")
+    return (
+        events.groupBy(*by, "day").agg(F.sum("delta").alias("delta")).where("delta <> 0")
+        .withColumn("_n", F.sum("delta").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("last", F.date_sub(F.lead("day").over(order), 1))
+        .where(F.col("_n") == level).drop("_n", "delta"))
+
+
+def evaluable_days(references: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(feed_id, day, last): the maximal runs of days on which a confirmed feed can be evaluated.
+
+    ``references``: feed_id, reference_date, reference_status, info_start, info_end. ``ranges``: feed_id,
+    start_date, end_date, any number a feed, overlapping or not. A day outside the feed's info range, where
+    it has one, does not count.
+    """
+    own = ranges.join(_confirmed(references).select("feed_id", "info_start", "info_end"), "feed_id").select(
+        "feed_id", F.greatest("start_date", "info_start").alias("first"), F.least("end_date", "info_end").alias("end"))
+    events = own.where("first <= end").select("feed_id", F.explode(F.array(
+        F.struct(F.col("first").alias("day"), F.lit(1).alias("delta")),
+        F.struct(F.date_add("end", 1).alias("day"), F.lit(-1).alias("delta")))).alias("e")).select("feed_id", "e.*")
+    # ranges that overlap or touch are one run: an event counts where the number of open ranges leaves or reaches 0
+    order = Window.partitionBy("feed_id").orderBy("day")
+    open_ = events.groupBy("feed_id", "day").agg(F.sum("delta").alias("delta")).withColumn(
+        "n", F.sum("delta").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    edges = open_.select("feed_id", "day", (
+        F.when(F.col("n") > 0, 1).otherwise(0) - F.when(F.col("n") - F.col("delta") > 0, 1).otherwise(0)).alias("delta"))
+    return _plateaus(edges, ["feed_id"], F.lit(1))
+
+
+def _limits(references: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(feed_id, reference_date, upper): the last day a confirmed feed's week is looked for."""
+    last = ranges.groupBy("feed_id").agg(F.max("end_date").alias("cal_end"))
+    return _confirmed(references).join(last, "feed_id", "left").select(
+        "feed_id", "reference_date", F.coalesce("info_end", "cal_end").alias("upper"))
+
+
+def _week(first: Column, last: Column) -> Column:
+    """The first Monday from a day on, where its Sunday is not after the last day."""
+    monday = F.next_day(F.date_sub(first, 1), "MO")
+    return F.when(F.date_add(monday, 6) <= last, monday)
+
+
+def own_weeks(references: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(feed_id, week_start, metric_status) of each confirmed feed measured by itself."""
+    limits = _limits(references, ranges)
+    weeks = evaluable_days(references, ranges).join(limits, "feed_id").groupBy("feed_id").agg(F.min(_week(
+        F.greatest("day", "reference_date"), F.least("last", "upper"))).alias("week_start"))
+    return limits.join(weeks, "feed_id", "left").select(
+        "feed_id", "week_start",
+        F.when(F.col("upper").isNull(), "not_calculable").when(F.col("week_start").isNull(), "no_week_in_range")
+        .otherwise("measured").alias("metric_status"))
+
+
+def common_week(references: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The first Monday-Sunday week, from the latest reference date on, that all confirmed feeds can be evaluated on.
+
+    Runs of evaluable days become +1 and -1 events, added up per day first; where their running count is the
+    number of feeds all feeds are open, and weeks are taken from these plateaus. Only days are ordered as a
+    whole, never feeds. Nothing past the smallest search limit counts; a feed without one makes it incalculable.
+    """
+    limits = _limits(references, ranges).agg(
+        F.count(F.lit(1)).alias("n_feeds"), F.count_if(F.col("upper").isNull()).alias("n_unbounded"),
+        F.max("reference_date").alias("base_date"), F.min("upper").alias("upper")).withColumn("k", F.lit(0))
+    events = evaluable_days(references, ranges).select(F.explode(F.array(
+        F.struct(F.col("day"), F.lit(1).alias("delta")),
+        F.struct(F.date_add("last", 1).alias("day"), F.lit(-1).alias("delta")))).alias("e")).select("e.*")
+    total = limits.select("k", F.lit(None).cast("date").alias("day"), F.lit(0).cast("bigint").alias("delta"), F.col("n_feeds"))
+    # the number of feeds joins the days as a row of its own, so there is no product
+    daily = events.groupBy("day").agg(F.sum("delta").alias("delta")).select(
+        F.lit(0).alias("k"), "day", "delta", F.lit(None).cast("bigint").alias("n_feeds")).unionByName(total)
+    order = Window.partitionBy("k").orderBy("day")
+    open_ = daily.withColumn("n_open", F.sum("delta").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
+        "last", F.date_sub(F.lead("day").over(order), 1)).withColumn("n_feeds", F.max("n_feeds").over(Window.partitionBy("k")))
+    plateaus = open_.where(F.col("day").isNotNull() & (F.col("n_open") == F.col("n_feeds"))).select("k", "day", "last")
+    week = plateaus.join(limits, "k").groupBy("k").agg(F.min(_week(
+        F.greatest("day", "base_date"), F.least("last", "upper"))).alias("week_start"))
+    out = limits.join(week, "k", "left")
+    calculable = (F.col("n_feeds") > 0) & (F.col("n_unbounded") == 0)
+    start = F.when(calculable, F.col("week_start"))
+    return out.select(
+        "n_feeds", "base_date", start.alias("week_start"), F.date_add(start, 6).alias("week_end"),
+        F.when(~calculable, "not_calculable").when(start.isNull(), "not_comparable_no_common_week")
+        .otherwise("measured").alias("metric_status"))

@@ -499,3 +499,50 @@ def test_a_refused_manifest_is_one_row_of_the_report(spark):
         level = provenance.manifest_level(header(v, n), checked, "v1")
         got = provenance.freshness_report(checked, seen, level).collect()
         assert [(r.source_id, r.status, r.error_category, r.exit_code) for r in got] == [want]
+
+
+def test_common_and_own_weeks_equal_a_search_day_by_day(spark):
+    """Holes, overlaps, touching ranges, info ranges, unconfirmed feeds, feeds without a limit."""
+    from datetime import timedelta
+
+    rng = random.Random(9)
+    day0 = date(2024, 1, 1)
+    at = lambda n: day0 + timedelta(days=n)
+    refs_kind = "feed_id string, reference_status string, reference_date date, info_start date, info_end date"
+    for trial in range(8):
+        refs, ranges = [], []
+        for f in range(rng.randint(1, 4)):
+            own, n = [], rng.randint(0, 10)
+            for _ in range(rng.randint(0 if trial == 7 else 1, 6)):
+                own.append((at(n), at(n + rng.randint(3, 60))))
+                n = (own[-1][1] - day0).days + rng.choice([-5, 1, 2, 9])
+            refs.append((str(f), rng.choice(["confirmed"] * 4 + ["unconfirmed"]), rng.choice([at(rng.randint(0, 30)), at(5), None]),
+                         rng.choice([None, at(rng.randint(0, 40))]), rng.choice([None, at(rng.randint(40, 200))])))
+            ranges += [(str(f), a, b) for a, b in own]
+        part = [r for r in refs if r[1] == "confirmed" and r[2]]
+
+        def open_on(r, d):
+            return any(a <= d <= b for f, a, b in ranges if f == r[0]) and (not r[3] or d >= r[3]) and (not r[4] or d <= r[4])
+
+        def upper(r):
+            return r[4] or max((b for f, _, b in ranges if f == r[0]), default=None)
+
+        def first(feeds):
+            base, end = max(r[2] for r in feeds), min(upper(r) for r in feeds)
+            monday = base + timedelta(days=-base.weekday() % 7)
+            while monday + timedelta(days=6) <= end:
+                if all(open_on(r, monday + timedelta(days=i)) for r in feeds for i in range(7)):
+                    return monday
+                monday += timedelta(days=7)
+
+        r_df = spark.createDataFrame(refs, refs_kind)
+        g_df = spark.createDataFrame(ranges, "feed_id string, start_date date, end_date date")
+        got = service.common_week(r_df, g_df).first()
+        if not part or any(upper(r) is None for r in part):
+            assert got.metric_status == "not_calculable" and got.week_start is None
+        else:
+            want = first(part)
+            assert (got.n_feeds, got.week_start) == (len(part), want)
+            assert got.metric_status == ("measured" if want else "not_comparable_no_common_week")
+        own = {r.feed_id: r.week_start for r in service.own_weeks(r_df, g_df).collect()}
+        assert own == {r[0]: first([r]) if upper(r) else None for r in part}
