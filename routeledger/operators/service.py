@@ -332,23 +332,27 @@ def common_week(references: DataFrame, ranges: DataFrame) -> DataFrame:
     number of feeds all feeds are open, and weeks are taken from these plateaus. Only days are ordered as a
     whole, never feeds. Nothing past the smallest search limit counts; a feed without one makes it incalculable.
     """
+    n, bounds = F.count(F.lit(1)), {"n_feeds": "bigint", "n_unbounded": "bigint", "base_date": "date", "upper": "date"}
     limits = _limits(references, ranges).agg(
-        F.count(F.lit(1)).alias("n_feeds"), F.count_if(F.col("upper").isNull()).alias("n_unbounded"),
-        F.max("reference_date").alias("base_date"), F.min("upper").alias("upper")).withColumn("k", F.lit(0))
+        n.alias("n_feeds"), F.count_if(F.col("upper").isNull()).alias("n_unbounded"),
+        F.max("reference_date").alias("base_date"), F.min("upper").alias("upper"))
     events = evaluable_days(references, ranges).select(F.explode(F.array(
         F.struct(F.col("day"), F.lit(1).alias("delta")),
         F.struct(F.date_add("last", 1).alias("day"), F.lit(-1).alias("delta")))).alias("e")).select("e.*")
-    total = limits.select("k", F.lit(None).cast("date").alias("day"), F.lit(0).cast("bigint").alias("delta"), F.col("n_feeds"))
-    # the number of feeds joins the days as a row of its own, so there is no product
+    # what holds for all feeds is a row among the days, so nothing is multiplied
     daily = events.groupBy("day").agg(F.sum("delta").alias("delta")).select(
-        F.lit(0).alias("k"), "day", "delta", F.lit(None).cast("bigint").alias("n_feeds")).unionByName(total)
-    order = Window.partitionBy("k").orderBy("day")
-    open_ = daily.withColumn("n_open", F.sum("delta").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "last", F.date_sub(F.lead("day").over(order), 1)).withColumn("n_feeds", F.max("n_feeds").over(Window.partitionBy("k")))
-    plateaus = open_.where(F.col("day").isNotNull() & (F.col("n_open") == F.col("n_feeds"))).select("k", "day", "last")
-    week = plateaus.join(limits, "k").groupBy("k").agg(F.min(_week(
-        F.greatest("day", "base_date"), F.least("last", "upper"))).alias("week_start"))
-    out = limits.join(week, "k", "left")
+        "day", "delta", *[F.lit(None).cast(t).alias(c) for c, t in bounds.items()]).unionByName(
+        limits.select(F.lit(None).cast("date").alias("day"), F.lit(0).cast("bigint").alias("delta"), *bounds))
+    order, whole = Window.partitionBy("k").orderBy("day"), Window.partitionBy("k")
+    open_ = (
+        daily.withColumn("k", F.lit(0))
+        .withColumn("n_open", F.sum("delta").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("last", F.date_sub(F.lead("day").over(order), 1))
+        .withColumns({c: F.max(c).over(whole) for c in bounds}))
+    plateau = F.col("day").isNotNull() & (F.col("n_open") == F.col("n_feeds"))
+    out = open_.groupBy("k").agg(
+        F.min(F.when(plateau, _week(F.greatest("day", "base_date"), F.least("last", "upper")))).alias("week_start"),
+        *[F.max(c).alias(c) for c in bounds])
     calculable = (F.col("n_feeds") > 0) & (F.col("n_unbounded") == 0)
     start = F.when(calculable, F.col("week_start"))
     return out.select(
