@@ -297,3 +297,71 @@ def test_any_number_of_dates(spark):
     want = {("s", d) for d in days if d.weekday() < 5 and d != days[149]} | {("t", days[100])}
     got = {(r.service_id, r.service_date) for r in service.active_services(cal, cd, days).collect()}
     assert got == want
+
+
+def read_alone(path, files):
+    """The readers' own rows, without Spark."""
+    import pandas as pd
+    import pyarrow as pa
+
+    entries = pd.concat(archives._list_entries([pd.DataFrame({"feed_id": ["f"], "path": [path]})]))
+    entries = entries[entries["row_idx"] >= 0].assign(refusal=None)
+    checked = pd.concat([pd.DataFrame(), *archives._check_members([entries])])
+    wanted = entries[entries["name"].isin(list(files))]
+    batch = pa.RecordBatch.from_pylist(wanted[["feed_id", "path", "name", "row_idx", "refusal"]].to_dict("records"))
+    got = [r for b in archives._line_reader(files)([batch] if len(wanted) else []) for r in b.to_pylist()]
+    return checked, got
+
+
+def test_a_damaged_byte_anywhere_stops_no_reader(tmp_path):
+    raw = zip_bytes({"a.txt": "x,y\n1,2\n", "b.txt": "x\n" * 40})
+    for at in range(len(raw)):
+        damaged = bytearray(raw)
+        damaged[at] ^= 0xFF
+        (tmp_path / "d.zip").write_bytes(bytes(damaged))
+        read_alone(str(tmp_path / "d.zip"), {"a.txt": ("x", "y")})
+
+
+@pytest.mark.parametrize("content, want", [
+    (b"", (False, None, [])),
+    (b"\xef\xbb\xbf", (True, None, [])),
+    (b"\xef\xbb\xbfx,y\n1", (True, None, [("1", "")])),
+    (b"x,y,x\n1,2,3,4\n\n", (False, None, [("1", "2"), ("", "")])),
+    (b"x,z\r\n1,2\r\n", (False, None, [("1", None)])),
+    (b'x,y\n"1\r2","a\n""b"""\n', (False, None, [("1\r2", 'a\n"b"')])),
+    (b"x,y\n1\r2,3\n", (False, "not_csv", [])),
+    (b"x\nab\xe8\xb7", (False, "unexpected end of data at byte 4", [])),
+    (b"x\n" + b"a" * (archives.CHUNK - 3) + "路".encode() + b"\n", (False, None, [("a" * (archives.CHUNK - 3) + "路", None)])),
+    (b"x\n" + b"a" * (archives.CHUNK - 3) + b"\xe8\x41", (False, f"invalid continuation byte at byte {archives.CHUNK - 1}", [])),
+    (b"x\n" + b"a" * (archives.CHUNK - 3) + b"\r\nb\n", (False, None, [("a" * (archives.CHUNK - 3), None), ("b", None)])),
+    (b"x\n" + b"a" * (archives.CHUNK - 3) + b"\rb\n", (False, "not_csv", [])),
+])
+def test_members_are_read_as_streams(tmp_path, content, want):
+    (tmp_path / "s.zip").write_bytes(zip_bytes({"t.txt": content}))
+    checked, got = read_alone(str(tmp_path / "s.zip"), {"t.txt": ("x", "y")})
+    assert list(checked["crc_ok"]) == [True]
+    head, *rows = got
+    assert (head["had_bom"], head["decode_error"], [(r["x"], r["y"]) for r in rows]) == want
+    assert [r["row_idx"] for r in got] == list(range(-1, len(rows)))
+
+
+def test_the_last_member_of_a_name_counts(spark, tmp_path):
+    buffer = io.BytesIO()
+    with pytest.warns(UserWarning), zipfile.ZipFile(buffer, "w") as z:
+        z.writestr("t.txt", "x\nold\n")
+        z.writestr("t.txt", "x\nnew\n")
+    (tmp_path / "äß 1%.zip").write_bytes(buffer.getvalue())
+    got = archives.archive_lines(spark, str(tmp_path), {"t.txt": ("x",)}).where("row_idx >= 0").collect()
+    assert [(r.feed_id, r.x) for r in got] == [("äß 1%", "new")]
+
+
+def test_members_of_one_archive_are_read_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    names = [f"{i}.txt" for i in range(40)]
+    (tmp_path / "one.zip").write_bytes(zip_bytes({n: "x\n1\n" for n in names}))
+    lines = archives.archive_lines(spark, str(tmp_path), {n: ("x",) for n in names}).where("row_idx >= 0")
+    tasks = lines.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in tasks) == 40 and len(tasks) >= 3
+    assert "map<" not in lines.schema.simpleString()
+    assert archives.archive_lines(spark, str(tmp_path), {"none.txt": ("x",)}).isEmpty()
