@@ -130,7 +130,8 @@ def _file_violations(files: DataFrame) -> DataFrame:
 
 
 def _route_violations(routes: DataFrame) -> DataFrame:
-    keys = quality.key_counts(routes, ["feed_id"], ["route_id"])
+    # a feed whose file lacks the column is refused for that; its cells are not blank
+    keys = quality.key_counts(routes.where(F.col("route_id").isNotNull()), ["feed_id"], ["route_id"])
     return _violation_rows(keys, {
         "routes:blank_route_id": F.col("blank"),
         "routes:duplicate_route_id": ~F.col("blank") & (F.col("n") > 1),
