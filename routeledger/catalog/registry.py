@@ -11,7 +11,7 @@ from routeledger.catalog import Registry
 from routeledger.lens_sql import with_lenses
 from routeledger.lenses import Lens
 from routeledger.operators import layout, ordered, registry
-from routeledger.plans import registry_text, vehicle_rows
+from routeledger.plans import operator_rows, registry_text, vehicle_rows
 
 R = Registry()
 _WELFARE, _GAP = V.TRANSPORT_TYPES
@@ -524,7 +524,7 @@ def _registry_pages(lens: Lens):
 _MARKER = "輸送人員実績報告提出状況"
 
 
-@R.add("registry_from_text", with_lenses("""
+_OPERATORS = """
     SELECT a.doc_id AS source_pdf, a.page_no AS source_page, page_count,
            '中山市交第' || a.k || '号' AS registration_no,
            '中山市交第 ' || a.k || ' 号' AS registration_no_raw, '中山' AS authority_code,
@@ -543,7 +543,10 @@ _MARKER = "輸送人員実績報告提出状況"
         FROM st WHERE block_start IS NOT NULL GROUP BY doc_id, block_start) b
       ON b.doc_id = a.doc_id AND b.block_start = a.page_no
     JOIN LATERAL (SELECT bool_or(c.place = a.org) AS own FROM st c
-                  WHERE c.doc_id = a.doc_id AND c.block_start = a.page_no) ON true""", _PAGES))
+                  WHERE c.doc_id = a.doc_id AND c.block_start = a.page_no) ON true"""
+
+
+@R.add("registry_from_text", with_lenses(_OPERATORS, _PAGES))
 def registry_from_text(spark, sf_dir):
     lens = Lens(spark, sf_dir)
     pages = _registry_pages(lens)
@@ -620,3 +623,67 @@ def vehicle_problems_query(spark, sf_dir):
     cells, documents = _vehicle_cells(Lens(spark, sf_dir))
     return vehicle_rows.vehicle_problems(
         vehicle_rows.read_cells(cells, "doc", documents, header_row=-1), "doc")
+
+
+# -- the whole operator row -------------------------------------------------------------------
+
+_OFFICES = {
+    **_PAGES, **_VEHICLES, "op": _OPERATORS,
+    "top_office": """
+    SELECT o_custkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS seq,
+           CASE WHEN o_orderkey % 11 = 0 THEN 'Branch ' ELSE 'Office ' END || o_orderkey AS name,
+           CASE WHEN o_orderkey % 7 = 0 THEN 'Village' ELSE 'Town ' || (o_orderkey % 50) END AS place
+    FROM orders WHERE o_orderkey % 23 <> 0""",
+    "top": """
+    SELECT k, count(*) AS n, string_agg(name, ';' ORDER BY seq) AS names, string_agg(place, ';' ORDER BY seq) AS places,
+           min(seq) FILTER (WHERE name LIKE 'Branch%') AS first_name,
+           min(seq) FILTER (WHERE name LIKE 'Office%' AND place = 'Village') AS first_place
+    FROM top_office GROUP BY k""",
+    "car": """
+    SELECT CAST(substr(doc, 2) AS BIGINT) AS k, count(*) AS n, CAST(sum(a + b) AS BIGINT) AS cars,
+           CAST(sum(CASE WHEN a > 0 THEN ka ELSE 0 END) AS BIGINT) AS kei FROM vo GROUP BY doc""",
+    "area": """
+    SELECT doc_id, block_start, string_agg('本郷線 起点 ' || place || '一丁目～終点 県道', chr(10) ORDER BY page_no) AS raw
+    FROM st WHERE block_start IS NOT NULL GROUP BY doc_id, block_start"""}
+
+
+@R.add("operator_rows", with_lenses("""
+    SELECT op.* EXCLUDE (k, page_count, problem), 'P' AS pref, replace(raw, '～', '~') AS service_area,
+           raw AS service_area_raw, """ + ", ".join(
+    f"CAST((k >> {i}) & 1 AS INTEGER) AS {c}" for i, c in enumerate(list(V.SCOPE_COLUMNS.values())[:6])) + """,
+           CASE WHEN k % 3 = 0 THEN 0 ELSE CAST((k >> 6) & 1 AS INTEGER) END AS scope_to_other,
+           coalesce(names, '') AS office_name, coalesce(places, '') AS office_location,
+           '' AS partner_operator_name, '' AS partner_operator_address, coalesce(cars, 0) AS vehicles_total,
+           coalesce(kei, 0) AS vehicles_total_kei,
+           CASE WHEN coalesce(top.n, 0) <> coalesce(car.n, 0) THEN 'office_mismatch'
+                WHEN first_name < first_place THEN 'office_mismatch;office_notation_diff'
+                WHEN first_place < first_name THEN 'office_notation_diff;office_mismatch'
+                WHEN first_name IS NOT NULL THEN 'office_mismatch'
+                WHEN first_place IS NOT NULL THEN 'office_notation_diff' ELSE '' END AS flags
+    FROM (SELECT *, CAST(serial_no AS BIGINT) AS k FROM op) op LEFT JOIN top USING (k) LEFT JOIN car USING (k)
+    JOIN area ON doc_id = source_pdf AND block_start = source_page""", _OFFICES))
+def operator_rows_query(spark, sf_dir):
+    """Page texts, passenger box, offices and vehicle table of every operator; a customer is a form, an order an office."""
+    lens = Lens(spark, sf_dir)
+    states = registry_text.page_states(registry_text.page_fields(_registry_pages(lens), _MARKER))
+
+    def keyed(df, k):
+        number = F.concat(F.lit("中山市交第"), k.cast("string"), F.lit("号"))
+        doc = F.concat(F.lit("D"), F.call_function("div", k, F.lit(8)).cast("string"))
+        return df.withColumns({"source_pdf": doc, "registration_no": number})
+
+    k = F.col("c_custkey")
+    words = F.array_compact(F.concat(
+        F.array(*[F.when(k.bitwiseAND(1 << i) != 0, g) for i, g in enumerate("イロハ二ホヘト")]),
+        F.array(F.lit("（イ．身体障害者"), F.when(k % 3 == 0, "その他）"))))
+    boxes = keyed(lens.table("customer").withColumn("words", words), k)
+    o = F.col("o_orderkey")
+    top = ordered.numbered(lens.table("orders").where(o % 23 != 0), ["o_custkey"], "o_orderkey", "office_seq").select(
+        "o_custkey", "office_seq",
+        F.concat(F.when(o % 11 == 0, "Branch ").otherwise("Office "), o.cast("string")).alias("office_name"),
+        F.when(o % 7 == 0, "Village").otherwise(F.concat(F.lit("Town "), (o % 50).cast("string"))).alias("office_location"))
+    cells, documents = _vehicle_cells(lens)
+    read = vehicle_rows.read_cells(cells, "doc", documents, header_row=-1)
+    return operator_rows.operator_rows(
+        registry_from_text(spark, sf_dir), operator_rows.service_areas(states), boxes,
+        keyed(top, F.col("o_custkey")), keyed(read, F.expr("substring(doc, 2)").cast("bigint")), "P")

@@ -44,7 +44,7 @@ def page_fields(pages: DataFrame, appendix_marker: str) -> DataFrame:
         T.registration_dates(dates).alias("dates"),
         line(rf"(?:^|\n)名{_GAP}*称{_GAP}+([^\n]+)").alias("org_name"),
         line(rf"(?:^|\n)住{_GAP}*所{_GAP}+([^\n]+)").alias("org_address_raw"),
-        kind.alias("transport_type"), T.halfwidth(area).alias("area"))
+        kind.alias("transport_type"), T.halfwidth(area).alias("area"), area.alias("area_raw"))
 
 
 def redacted_pages(pages: DataFrame) -> DataFrame:
