@@ -12,6 +12,7 @@ from routeledger.lens_sql import with_lenses
 from routeledger.lenses import Lens
 from routeledger.operators import layout, ordered, registry
 from routeledger.plans import operator_rows, registry_text, vehicle_rows
+from routeledger.session import shared_folder
 
 R = Registry()
 _WELFARE, _GAP = V.TRANSPORT_TYPES
@@ -665,7 +666,15 @@ _OFFICES = {
 def operator_rows_query(spark, sf_dir):
     """Page texts, passenger box, offices and vehicle table of every operator; a customer is a form, an order an office."""
     lens = Lens(spark, sf_dir)
-    states = registry_text.page_states(registry_text.page_fields(_registry_pages(lens), _MARKER))
+
+    def landed(df, name):
+        # what several branches read is computed once
+        folder = shared_folder(spark, name)
+        df.write.parquet(folder)
+        return spark.read.parquet(folder)
+
+    pages = _registry_pages(lens)
+    states = landed(registry_text.page_states(registry_text.page_fields(pages, _MARKER)), "states")
 
     def keyed(df, k):
         number = F.concat(F.lit("中山市交第"), k.cast("string"), F.lit("号"))
@@ -682,8 +691,10 @@ def operator_rows_query(spark, sf_dir):
         "o_custkey", "office_seq",
         F.concat(F.when(o % 11 == 0, "Branch ").otherwise("Office "), o.cast("string")).alias("office_name"),
         F.when(o % 7 == 0, "Village").otherwise(F.concat(F.lit("Town "), (o % 50).cast("string"))).alias("office_location"))
+    places = lens.table("nation").select(F.concat("n_name", F.lit("市")).alias("municipality"))
+    kinds = pages.select("doc_id").distinct().withColumn("operator_type", F.lit("T"))
     cells, documents = _vehicle_cells(lens)
-    read = vehicle_rows.read_cells(cells, "doc", documents, header_row=-1)
+    read = landed(vehicle_rows.read_cells(cells, "doc", documents, header_row=-1), "vehicles")
     return operator_rows.operator_rows(
-        registry_from_text(spark, sf_dir), operator_rows.service_areas(states), boxes,
+        registry_text.registry_from_text(states, places, kinds), operator_rows.service_areas(states), boxes,
         keyed(top, F.col("o_custkey")), keyed(read, F.expr("substring(doc, 2)").cast("bigint")), "P")
