@@ -122,15 +122,27 @@ class Lens:
         )
 
     def trips_dirty(self) -> DataFrame:
-        """Feed F1 repeats trip ids, feed F2 names an unknown route; the others are clean."""
-        clean = self.trips().where(F.col("feed_id") != "F1")
+        """Feed F1 repeats trip ids, feed F2 names an unknown route; the others are clean.
+
+        One read: the rows of F1 are counted where they are alike and told out again.
+        """
+        is_short = F.col("feed_id") == "F1"
         rogue = (F.col("feed_id") == "F2") & (F.col("row_idx") % 4000 == 17)
-        clean = clean.withColumn("route_id", F.when(rogue, "X").otherwise(F.col("route_id")))
-        raw = self._lineitem_trips().where(F.col("feed_id") == "F1").select(
-            "feed_id", F.col("short_id").alias("trip_id"), "row_idx", "service_id",
-            _text("l_partkey").alias("route_id"),
+        short_id = F.concat_ws(
+            "-", _text(F.call_function("div", F.col("row_idx"), F.lit(8))), _text(F.col("row_idx") % 8))
+        route = F.when(is_short, F.col("apart")).otherwise(F.col("p"))
+        return (
+            self._lineitem_trips().withColumn("apart", F.when(is_short, F.col("l_partkey")))
+            .groupBy("row_idx", "l_suppkey", "feed_id", "apart")
+            .agg(F.min("l_partkey").alias("p"), F.count(F.lit(1)).alias("n"))
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(is_short, F.col("n")).otherwise(1))))
+            .select(
+                "feed_id",
+                F.when(is_short, short_id).otherwise(F.concat_ws("-", short_id, _text("l_suppkey")))
+                .alias("trip_id"),
+                "row_idx", _text("l_suppkey").alias("service_id"),
+                F.when(rogue, "X").otherwise(_text(route)).alias("route_id"))
         )
-        return clean.unionByName(raw)
 
     def routes(self) -> DataFrame:
         li = self.table("lineitem")

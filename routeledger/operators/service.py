@@ -7,6 +7,7 @@ bitwise aggregate that combines map-side.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -57,16 +58,33 @@ def typed_calendar_dates(calendar_dates: DataFrame) -> DataFrame:
     )
 
 
-def target_calendar_dates(calendar_dates: DataFrame, dates: list[date]) -> DataFrame:
-    """Text exception rows with ``date`` set only where it names a target date, by comparison of
-    the text: no date is parsed. Other rows stay, since they make their service known."""
-    text = F.col("date")
-    day = F.lit(None).cast("date")
-    for d in dates:
-        day = F.when(text == d.strftime("%Y%m%d"), F.lit(d)).otherwise(day)
-    return calendar_dates.select(
-        "feed_id", "service_id", day.alias("date"),
-        F.col("exception_type").try_cast("int").alias("exception_type"))
+def base_words(dates: list[date]) -> list[Column]:
+    """Mask words of the days on which a typed calendar row runs by range and weekday."""
+    zero = F.lit(0).cast("bigint")
+    words = [zero for _ in range(-(-len(dates) // DAYS_PER_WORD))]
+    for i, d in enumerate(dates):
+        runs = (
+            (F.col("start_date") <= F.lit(d)) & (F.col("end_date") >= F.lit(d))
+            & (F.col("mask").bitwiseAND(1 << d.weekday()) != 0)
+        )
+        words[i // DAYS_PER_WORD] = words[i // DAYS_PER_WORD] + F.when(runs, _bit(i)).otherwise(zero)
+    return words
+
+
+def hit_words(dates: list[date], names: Callable[[date], Column]) -> list[Column]:
+    """Mask words with the bit of the target date that a row names, if any."""
+    words = [F.lit(0).cast("bigint") for _ in range(-(-len(dates) // DAYS_PER_WORD))]
+    for i, d in enumerate(dates):
+        w = i // DAYS_PER_WORD
+        words[w] = F.when(names(d), _bit(i)).otherwise(words[w])
+    return words
+
+
+def mask_of(n_words: int) -> Column:
+    """Day mask of merged words: base days, then added ones, without removed ones."""
+    return F.array(*[
+        F.col(f"base{w}").bitwiseOR(F.col(f"added{w}")).bitwiseAND(F.bitwise_not(f"removed{w}"))
+        for w in range(n_words)])
 
 
 def service_days(
@@ -78,16 +96,9 @@ def service_days(
     """
     check_dates(dates)
     zero = F.lit(0).cast("bigint")
-    words = range(-(-len(dates) // DAYS_PER_WORD))
-    base, hit = [zero for _ in words], [zero for _ in words]
-    for i, d in enumerate(dates):
-        runs = (
-            (F.col("start_date") <= F.lit(d)) & (F.col("end_date") >= F.lit(d))
-            & (F.col("mask").bitwiseAND(1 << d.weekday()) != 0)
-        )
-        w = i // DAYS_PER_WORD
-        base[w] = base[w] + F.when(runs, _bit(i)).otherwise(zero)
-        hit[w] = F.when(F.col("date") == F.lit(d), _bit(i)).otherwise(hit[w])
+    base = base_words(dates)
+    hit = hit_words(dates, lambda d: F.col("date") == F.lit(d))
+    words = range(len(base))
     kinds = {1: "added", 2: "removed"}
     parts = calendar.select(
         "feed_id", "service_id", *[base[w].alias(f"base{w}") for w in words],
@@ -100,9 +111,7 @@ def service_days(
     every = [f"{k}{w}" for k in ("base", *kinds.values()) for w in words]
     return parts.groupBy("feed_id", "service_id").agg(
         *[F.bit_or(c).alias(c) for c in every]
-    ).select("feed_id", "service_id", F.array(*[
-        F.col(f"base{w}").bitwiseOR(F.col(f"added{w}")).bitwiseAND(F.bitwise_not(f"removed{w}"))
-        for w in words]).alias("day_mask"))
+    ).select("feed_id", "service_id", mask_of(len(base)).alias("day_mask"))
 
 
 def active_services(

@@ -1,14 +1,13 @@
 """Feed supply metrics: ordered preconditions, structure counts and trips per real date.
 
-One job serves all feeds. Trips are shuffled once, by (feed, trip): that exchange serves the
-duplicate check, the frequency join and the unknown-trip check. What follows runs on one row per
-service and per route of a feed, and then on one row per feed. The first broken precondition, in fixed
-order, names the reason for the feed's whole week.
+One job serves all feeds and reads every table of theirs once (``feed_facts``); what follows runs on
+one row per feed. The first broken precondition, in fixed order, names the reason for the feed's
+whole week.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -17,8 +16,7 @@ from pyspark.sql import functions as F
 from routeledger import vocab as V
 from routeledger.functions import gtfs
 from routeledger.operators import quality, service
-
-FILE_LEVEL = -1
+from routeledger.plans import feed_facts as facts
 
 # Fixed order of preconditions: rule -> (table rank, check rank). Rules of table 1 and 2 and all
 # presence, decoding and column rules speak for a whole file; the others carry a row index.
@@ -51,6 +49,10 @@ REQUIRED_COLUMNS = {
     "trips": ("route_id", "service_id", "trip_id"),
     "frequencies": ("trip_id", "start_time", "end_time", "headway_secs"),
 }
+# what else the facts read, where a feed has it
+OPTIONAL_COLUMNS = {
+    "frequencies": ("exact_times",), "stops": ("stop_id", "location_type"), "agency": (),
+}
 
 
 @dataclass(frozen=True)
@@ -78,14 +80,6 @@ def with_columns(df: DataFrame, names) -> DataFrame:
     return df.withColumns({n: F.lit(None).cast("string") for n in missing}) if missing else df
 
 
-def _rule(name: str) -> str:
-    return "v_" + name.replace(":", "_")
-
-
-def _first(rule: str, cond: Column, row: Column | None = None) -> Column:
-    return F.min(F.when(cond, F.col("row_idx") if row is None else row)).alias(_rule(rule))
-
-
 def files_wide(feeds: DataFrame, file_status: DataFrame) -> DataFrame:
     """One row per feed: p_/e_/h_ (present, decode error, header) for each input file."""
     cols = []
@@ -108,14 +102,8 @@ def _violation(rule: str, cond: Column, row: Column) -> Column:
         F.lit(check).alias("check_rank"), F.lit(rule).alias("reason")))
 
 
-def _violation_rows(df: DataFrame, rules: dict[str, Column], row: Column) -> DataFrame:
-    """(feed_id, v) for every rule a row breaks; a clean row gives nothing."""
-    # exploding a plain array and dropping NULLs keeps the planner from evaluating it twice
-    broken = F.array(*[_violation(r, c, row) for r, c in rules.items()])
-    return df.select("feed_id", F.explode(broken).alias("v")).where(F.col("v").isNotNull())
-
-
-def _file_violations(files: DataFrame) -> DataFrame:
+def _file_rules() -> dict[str, Column]:
+    """Rules that the presence, decoding and header of a file decide."""
     rules = {}
     for t, required in REQUIRED_COLUMNS.items():
         here = F.col(f"p_{t}")
@@ -126,209 +114,49 @@ def _file_violations(files: DataFrame) -> DataFrame:
     for t in ("routes", "trips"):
         rules[f"{t}:absent"] = ~F.col(f"p_{t}")
     rules["calendars:both_absent"] = ~F.col("p_calendar") & ~F.col("p_calendar_dates")
-    return _violation_rows(files, rules, F.lit(FILE_LEVEL))
-
+    return rules
 
-def _route_violations(routes: DataFrame) -> DataFrame:
-    # a feed whose file lacks the column is refused for that; its cells are not blank
-    keys = quality.key_counts(routes.where(F.col("route_id").isNotNull()), ["feed_id"], ["route_id"])
-    return _violation_rows(keys, {
-        "routes:blank_route_id": F.col("blank"),
-        "routes:duplicate_route_id": ~F.col("blank") & (F.col("n") > 1),
-    }, F.lit(FILE_LEVEL))
 
+def _wide(t: FeedTables, dates: list[date], files: tuple[str, ...]) -> DataFrame:
+    """One row per feed: its files and the facts of the tables named."""
+    tables = {
+        f: with_columns(getattr(t, f), REQUIRED_COLUMNS.get(f, ()) + OPTIONAL_COLUMNS.get(f, ()))
+        for f in files}
+    return files_wide(t.feeds, t.file_status).join(
+        facts.feed_facts(tables, dates), "feed_id", "left")
 
-def _calendar_violations(calendar: DataFrame) -> DataFrame:
-    start, end = gtfs.gtfs_date(F.col("start_date")), gtfs.gtfs_date(F.col("end_date"))
-    rows = quality.second_occurrence(
-        calendar.select("feed_id", "row_idx", "service_id", start.alias("s"), end.alias("e"),
-                        F.forall(F.array(*V.WEEKDAYS), lambda x: x.isin("0", "1")).alias("ok")),
-        ["service_id", "feed_id"],
-    )
-    first, blank = F.col("rn") == 1, gtfs.is_blank(F.col("service_id"))
-    plain = first & ~blank
-    return _violation_rows(rows, {
-        "calendar:blank_service_id": first & blank,
-        "calendar:duplicate_service_id": ~first & ~blank,
-        "calendar:invalid_date": plain & (F.col("s").isNull() | F.col("e").isNull()),
-        "calendar:start_after_end": plain & (F.col("s") > F.col("e")),
-        "calendar:invalid_weekday_flag": plain & ~F.col("ok"),
-    }, F.col("row_idx"))
-
-
-def _calendar_dates_violations(calendar_dates: DataFrame) -> DataFrame:
-    rows = quality.second_occurrence(
-        calendar_dates.select("feed_id", "row_idx", "service_id", "date", "exception_type"),
-        ["service_id", "date", "feed_id"],
-    )
-    # checks that come before the key's also hold on a row that repeats a key
-    first, blank = F.col("rn") == 1, gtfs.is_blank(F.col("service_id"))
-    return _violation_rows(rows, {
-        "calendar_dates:blank_service_id": first & blank,
-        "calendar_dates:invalid_date": ~blank & gtfs.gtfs_date(F.col("date")).isNull(),
-        "calendar_dates:invalid_exception_type":
-            ~blank & ~F.col("exception_type").isin("1", "2"),
-        "calendar_dates:duplicate_key": ~first & ~blank,
-    }, F.col("row_idx"))
-
-
-def _frequency_per_trip(frequencies: DataFrame) -> DataFrame:
-    """One row per (feed, trip) of frequencies: departures, inexactness, first broken rows."""
-    exact = F.coalesce("exact_times", F.lit(""))
-    w = quality.second_occurrence(
-        service.frequency_windows(frequencies).withColumn("exact", exact),
-        ["trip_id", "start_time", "feed_id"],
-    )
-    first = F.col("rn") == 1
-    timed = F.col("start_sec").isNotNull() & F.col("end_sec").isNotNull()
-    return w.groupBy("trip_id", "feed_id").agg(
-        F.min("row_idx").alias("freq_row"),
-        F.sum(F.when(first & (F.col("exact") == "1"), F.col("departures"))).alias("departures"),
-        F.max(first & F.col("exact").isin("", "0")).alias("inexact"),
-        # checks that come before the key's also hold on a row that repeats a key
-        _first("frequencies:invalid_time", ~timed),
-        _first("frequencies:invalid_headway", F.col("headway").isNull()),
-        _first("frequencies:end_not_after_start",
-               timed & (F.col("end_sec") <= F.col("start_sec"))),
-        _first("frequencies:invalid_exact_times", ~F.col("exact").isin("", "0", "1")),
-        _first("frequencies:not_divisible", (F.col("exact") == "1") & ~F.col("divides")),
-        _first("frequencies:duplicate_key", ~first),
-    )
 
-
-_FREQUENCY_ROW_RULES = (
-    "frequencies:invalid_time", "frequencies:invalid_headway", "frequencies:end_not_after_start",
-    "frequencies:invalid_exact_times", "frequencies:not_divisible", "frequencies:duplicate_key",
-)
-
-
-_TRIP_RULES = (
-    "trips:blank_trip_id", "trips:duplicate_trip_id", "trips:blank_service_id",
-    "trips:blank_route_id", "trips:unknown_route", "trips:unknown_service",
-    "frequencies:unknown_trip", *_FREQUENCY_ROW_RULES,
-)
-
-
-def _trip_flow(t: FeedTables, dates: list[date]) -> DataFrame:
-    """One row per feed: broken trip and frequency rules, and n<i>/x<i> for each target date.
-
-    Every trip contributes to its service ('S') and to its route ('R'). Grouping by these keys,
-    not by their combination, keeps the result as small as the two key sets and lets one join
-    settle both references.
-    """
-    ranked = quality.second_occurrence(
-        t.trips.select("feed_id", "trip_id", "row_idx", "service_id", "route_id"),
-        ["trip_id", "feed_id"],
-    )
-    freq = _frequency_per_trip(t.frequencies)
-    joined = ranked.join(freq, ["trip_id", "feed_id"], "full_outer")
-    is_trip, first = F.col("rn").isNotNull(), F.col("rn") == 1
-    blank = gtfs.is_blank(F.col("trip_id"))
-    counted = is_trip & first
-    row = F.col("row_idx")
-    inexact = F.coalesce("inexact", F.lit(False))
-    facts = joined.select(
-        "feed_id",
-        F.explode(F.array(
-            F.struct(F.lit("S").alias("kind"), F.col("service_id").alias("key")),
-            F.struct(F.lit("R").alias("kind"), F.col("route_id").alias("key")))).alias("k"),
-        F.when(counted & ~inexact, F.coalesce("departures", F.lit(1))).alias("n"),
-        (counted & inexact).alias("inexact"),
-        F.when(counted & ~blank, row).alias("first_row"),
-        F.when(counted & blank, row).alias(_rule("trips:blank_trip_id")),
-        F.when(is_trip & ~first & ~blank, row).alias(_rule("trips:duplicate_trip_id")),
-        F.when(~is_trip, F.col("freq_row")).alias(_rule("frequencies:unknown_trip")),
-        *[F.col(_rule(r)) for r in _FREQUENCY_ROW_RULES],
-    )
-    carried = ("trips:blank_trip_id", "trips:duplicate_trip_id", "frequencies:unknown_trip",
-               *_FREQUENCY_ROW_RULES)
-    groups = facts.groupBy("k.key", "feed_id", "k.kind").agg(
-        F.sum("n").alias("n"), F.bool_or("inexact").alias("inexact"),
-        F.min("first_row").alias("first_row"),
-        *[F.min(_rule(r)).alias(_rule(r)) for r in carried],
-    )
-    days = service.service_days(
-        service.typed_calendar(t.calendar), service.target_calendar_dates(t.calendar_dates, dates),
-        dates)
-    known = days.select(
-        F.col("service_id").alias("key"), "feed_id", F.lit("S").alias("kind"), "day_mask"
-    ).unionByName(t.routes.select(
-        F.col("route_id").alias("key"), "feed_id", F.lit("R").alias("kind")
-    ).distinct().withColumn("day_mask", F.array().cast("array<bigint>")))
-    full = groups.join(known, ["key", "feed_id", "kind"], "left")
-    first_row, no_key = F.col("first_row"), gtfs.is_blank(F.col("key"))
-    unknown = ~no_key & F.col("day_mask").isNull()
-    is_service, is_route = F.col("kind") == "S", F.col("kind") == "R"
-    per_day = []
-    for i in range(len(dates)):
-        on = is_service & F.coalesce(service.day_bit(F.col("day_mask"), i), F.lit(False))
-        per_day.append(F.sum(F.when(on, F.coalesce("n", F.lit(0))).otherwise(0)).alias(f"n{i}"))
-        per_day.append(F.max(on & F.coalesce("inexact", F.lit(False))).alias(f"x{i}"))
-    return full.groupBy("feed_id").agg(
-        *[F.min(_rule(r)).alias(_rule(r)) for r in carried],
-        _first("trips:blank_service_id", is_service & no_key, first_row),
-        _first("trips:blank_route_id", is_route & no_key, first_row),
-        _first("trips:unknown_route", is_route & unknown, first_row),
-        _first("trips:unknown_service", is_service & unknown, first_row),
-        *per_day,
-    )
-
-
-@dataclass(frozen=True)
-class FeedChecks:
-    """Broken rules of the small tables as rows, and one wide row per feed from its trips."""
-
-    files: DataFrame
-    violations: DataFrame
-    trips: DataFrame
-
-
-def feed_checks(t: FeedTables, dates: list[date]) -> FeedChecks:
-    """Evaluate every precondition and the daily sums of all feeds."""
-    service.check_dates(dates)
-    calendar = with_columns(t.calendar, REQUIRED_COLUMNS["calendar"])
-    calendar_dates = with_columns(t.calendar_dates, REQUIRED_COLUMNS["calendar_dates"])
-    routes = with_columns(t.routes, REQUIRED_COLUMNS["routes"])
-    full = replace(
-        t, routes=routes, calendar=calendar, calendar_dates=calendar_dates,
-        trips=with_columns(t.trips, REQUIRED_COLUMNS["trips"]),
-        frequencies=with_columns(
-            t.frequencies, (*REQUIRED_COLUMNS["frequencies"], "exact_times")),
-    )
-    files = files_wide(t.feeds, t.file_status)
-    violations = (
-        _file_violations(files).unionByName(_route_violations(routes))
-        .unionByName(_calendar_violations(calendar))
-        .unionByName(_calendar_dates_violations(calendar_dates)))
-    return FeedChecks(files, violations, _trip_flow(full, dates))
+def feed_checks(
+    t: FeedTables, dates: list[date], files: tuple[str, ...] = facts.CHECKED
+) -> DataFrame:
+    """Every precondition and the daily sums of all feeds, one wide row per feed."""
+    return _wide(t, service.check_dates(dates), files)
 
 
-def _trip_violations() -> list[Column]:
-    return [_violation(r, F.col(_rule(r)).isNotNull(), F.col(_rule(r))) for r in _TRIP_RULES]
+def _violations() -> Column:
+    """The broken rules of a feed, in no order; NULL for each rule that holds."""
+    file_level = F.lit(facts.FILE_LEVEL)
+    rows = {r: F.col(facts.rule_column(r)) for r in facts.ROW_RULES}
+    return F.array(
+        *[_violation(r, c, file_level) for r, c in _file_rules().items()],
+        *[_violation(r, c.isNotNull(), c) for r, c in rows.items()])
 
 
-def feed_violations(c: FeedChecks) -> DataFrame:
+def feed_violations(checks: DataFrame) -> DataFrame:
     """(feed_id, reason, table_rank, check_rank, row_idx): first row of every broken rule."""
-    trips = c.trips.select(
-        "feed_id", F.explode(F.array(*_trip_violations())).alias("v")).where(
-        F.col("v").isNotNull())
-    return c.violations.unionByName(trips).groupBy(
-        "feed_id", "v.reason", "v.table_rank", "v.check_rank"
-    ).agg(F.min("v.row_idx").alias("row_idx"))
+    return checks.select("feed_id", F.explode(_violations()).alias("v")).where(
+        F.col("v").isNotNull()
+    ).select("feed_id", "v.reason", "v.table_rank", "v.check_rank", "v.row_idx")
 
 
-def _judged(c: FeedChecks) -> DataFrame:
-    """Files and trip sums of each feed with ``verdict``, its first broken rule or NULL."""
-    small = c.violations.groupBy("feed_id").agg(F.min("v").alias("v"))
-    verdict = F.array_min(F.array_compact(F.array(F.col("v"), *_trip_violations())))
-    return (
-        c.files.select("feed_id").join(small, "feed_id", "left").join(c.trips, "feed_id", "left")
-        .withColumn("verdict", verdict))
+def _judged(checks: DataFrame) -> DataFrame:
+    """The wide row of each feed with ``verdict``, its first broken rule or NULL."""
+    return checks.withColumn("verdict", F.array_min(F.array_compact(_violations())))
 
 
-def feed_verdict(c: FeedChecks) -> DataFrame:
+def feed_verdict(checks: DataFrame) -> DataFrame:
     """(feed_id, is_valid, reason, row_idx): the first broken precondition of each feed."""
-    return _judged(c).select(
+    return _judged(checks).select(
         "feed_id", F.col("verdict").isNull().alias("is_valid"), "verdict.reason",
         "verdict.row_idx")
 
@@ -343,35 +171,10 @@ def _triple(status: Column, value: Column, reason: Column) -> list[Column]:
     ]
 
 
-def structure_metrics(t: FeedTables) -> DataFrame:
-    """Agency rows, route ids and boarding locations: (feed_id, metric_id, value, status, reason)."""
-    files = files_wide(t.feeds, t.file_status)
-    routes = with_columns(t.routes, ("route_id",))
-    stops = with_columns(t.stops, ("stop_id", "location_type"))
-    boarding = gtfs.strip(F.coalesce("location_type", F.lit(""))).isin("", "0")
-    route_keys = quality.key_counts(routes, ["feed_id"], ["route_id"])
-    stop_keys = stops.groupBy("feed_id", "stop_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(boarding).alias("b")
-    ).withColumn("blank", gtfs.is_blank(F.col("stop_id")))
-
-    def facts(df: DataFrame, name: str, value: Column, n: Column, blank: Column) -> DataFrame:
-        return df.select(
-            "feed_id", F.lit(name).alias("t"), F.when(~blank, value).otherwise(0).alias("value"),
-            F.when(blank, n).otherwise(0).alias("blank"),
-            F.when(~blank, n - 1).otherwise(0).alias("dup"))
-
-    one, no = F.lit(1).cast("bigint"), F.lit(False)
-    keys = (
-        facts(t.agency, "agency", one, one, no)
-        .unionByName(facts(route_keys, "route", one, F.col("n"), F.col("blank")))
-        .unionByName(facts(stop_keys, "stop", F.col("b"), F.col("n"), F.col("blank"))))
-    stats = keys.groupBy("feed_id").agg(*[
-        F.sum(F.when(F.col("t") == p, F.col(c)).otherwise(0)).alias(f"{p}_{c}")
-        for p in ("agency", "route", "stop") for c in ("value", "blank", "dup")])
-    wide = files.join(stats, "feed_id", "left")
-    zero = F.lit(0)
-
-    def ladder(file: str, key: str | None, prefix: str) -> list[Column]:
+def _structure_rows() -> list[Column]:
+    """Agency rows, route ids and boarding locations of a wide row."""
+
+    def ladder(file: str, key: str | None) -> list[Column]:
         status = F.when(~F.col(f"p_{file}"), V.NOT_CALCULABLE).when(
             F.col(f"e_{file}").isNotNull(), V.INVALID_INPUT
         )
@@ -380,47 +183,58 @@ def structure_metrics(t: FeedTables) -> DataFrame:
         )
         if key:
             lacks = ~F.coalesce(F.array_contains(F.col(f"h_{file}"), key), F.lit(False))
-            blank = F.coalesce(F.col(f"{prefix}_blank"), zero) > 0
-            dup = F.coalesce(F.col(f"{prefix}_dup"), zero) > 0
+            blank = F.coalesce(f"{file}_blank", F.lit(False))
+            dup = F.coalesce(f"{file}_repeated", F.lit(False))
             status = status.when(lacks, V.NOT_CALCULABLE).when(blank | dup, V.INVALID_INPUT)
             reason = reason.when(lacks, f"{file}:missing_column").when(
                 blank, f"{file}:blank_{key}"
             ).when(dup, f"{file}:duplicate_{key}")
         status = status.otherwise(V.MEASURED)
-        return _triple(status, F.coalesce(F.col(f"{prefix}_value"), zero), reason)
+        return _triple(status, F.coalesce(f"{file}_value", F.lit(0)), reason)
 
     specs = (
-        (V.AGENCY_COUNT, ladder("agency", None, "agency")),
-        (V.ROUTE_COUNT, ladder("routes", "route_id", "route")),
-        (V.BOARDING_COUNT, ladder("stops", "stop_id", "stop")),
+        (V.AGENCY_COUNT, ladder("agency", None)), (V.ROUTE_COUNT, ladder("routes", "route_id")),
+        (V.BOARDING_COUNT, ladder("stops", "stop_id")),
     )
-    rows = F.array(*[F.struct(F.lit(m).alias("metric_id"), *cols) for m, cols in specs])
-    return wide.select("feed_id", F.explode(rows).alias("m")).select("feed_id", "m.*")
+    return [_metric(m, F.lit(None), cols) for m, cols in specs]
 
 
-def daily_metrics(checks: FeedChecks, dates: list[date]) -> DataFrame:
-    """(feed_id, service_date, value, metric_status, reason) for each feed and target date."""
-    judged = _judged(checks)
-    bad = F.col("verdict").isNotNull()
+def _metric(metric: str, day: Column, triple: list[Column]) -> Column:
+    return F.struct(
+        F.lit(metric).alias("metric_id"), day.cast("date").alias("service_date"), *triple)
+
 
-    def value(i: int) -> list[Column]:
+def _daily_rows(dates: list[date]) -> list[Column]:
+    """Trips on each date of a judged wide row."""
+    bad = F.col("verdict").isNotNull()
+    rows = []
+    for i, d in enumerate(dates):
         inexact = F.coalesce(f"x{i}", F.lit(False))
         status = F.when(bad, V.INVALID_INPUT).when(inexact, V.NOT_EXACT).otherwise(V.MEASURED)
         reason = F.when(bad, F.col("verdict.reason")).otherwise(F.lit("frequencies:inexact_times"))
-        return _triple(status, F.coalesce(f"n{i}", F.lit(0)), reason)
+        rows.append(_metric(
+            V.TRIP_COUNT, F.lit(d), _triple(status, F.coalesce(f"n{i}", F.lit(0)), reason)))
+    return rows
+
+
+def _long(wide: DataFrame, rows: list[Column]) -> DataFrame:
+    return wide.select("feed_id", F.explode(F.array(*rows)).alias("m")).select("feed_id", "m.*")
 
-    rows = F.array(*[
-        F.struct(F.lit(d).alias("service_date"), *value(i)) for i, d in enumerate(dates)
-    ])
-    return judged.select("feed_id", F.explode(rows).alias("x")).select("feed_id", "x.*")
+
+def structure_metrics(t: FeedTables) -> DataFrame:
+    """Agency rows, route ids and boarding locations: (feed_id, metric_id, value, status, reason)."""
+    return _long(_wide(t, [], facts.COUNTED), _structure_rows()).drop("service_date")
+
+
+def daily_metrics(checks: DataFrame, dates: list[date]) -> DataFrame:
+    """(feed_id, service_date, value, metric_status, reason) for each feed and target date."""
+    return _long(_judged(checks), _daily_rows(dates)).drop("metric_id")
 
 
 def feed_supply_metrics(t: FeedTables, dates: list[date]) -> DataFrame:
     """The long metric table: structure counts (no date) and trips per date for every feed."""
-    daily = daily_metrics(feed_checks(t, dates), dates).withColumn("metric_id", F.lit(V.TRIP_COUNT))
-    structure = structure_metrics(t).withColumn("service_date", F.lit(None).cast("date"))
-    cols = ["feed_id", "metric_id", "service_date", "value", "metric_status", "reason"]
-    return structure.select(cols).unionByName(daily.select(cols))
+    checks = feed_checks(t, dates, tuple(dict.fromkeys(facts.CHECKED + facts.COUNTED)))
+    return _long(_judged(checks), [*_structure_rows(), *_daily_rows(dates)])
 
 
 def date_basis(
