@@ -39,6 +39,7 @@ SLOTS = {
 KINDS = {"trips": "trip", "frequencies": "trip", "calendar": "service", "calendar_dates": "service",
          "routes": "route", "stops": "stop", "agency": "agency"}
 N_SLOTS = max(map(len, SLOTS.values()))
+BLANK = 1 << N_SLOTS
 # rules decided once trips have met their windows, services and routes
 MERGED_RULES = ("trips:blank_service_id", "trips:blank_route_id", "trips:unknown_route",
                 "trips:unknown_service", "frequencies:unknown_trip")
@@ -53,8 +54,9 @@ def rule_column(rule: str) -> str:
 
 def _lines(df: DataFrame, file: str, key: Column, broken: dict[str, Column] | None = None,
            **payload: Column) -> DataFrame:
-    """Rows of a file as lines; ``broken`` are the rules that a row alone decides, kept as bits."""
-    bits = F.lit(0)
+    """Rows of a file as lines; the rules that a row alone decides (``broken``) and whether its key
+    is blank are kept as bits, found once, before anything is sorted."""
+    bits = F.when(gtfs.is_blank(key), BLANK).otherwise(0)
     for rule, cond in (broken or {}).items():
         slot = SLOTS[KINDS[file]].index(f"{file}:{rule}")
         bits = bits + F.when(cond, 1 << slot).otherwise(0)
@@ -124,36 +126,33 @@ _READERS = {"agency": _agency, "routes": _routes, "stops": _stops, "calendar": _
             "calendar_dates": _calendar_dates, "trips": _trips, "frequencies": _frequencies}
 
 
-def _slot_rows(first: Column, blank: Column) -> list[Column]:
-    """The row that breaks the rule of each slot, whichever kind of key it is."""
-    slots = []
-    for i in range(N_SLOTS):
-        found = F.lit(None).cast("bigint")
-        for rules in SLOTS.values():
-            if i >= len(rules):
-                continue
-            file, check = rules[i].split(":")
-            bit = F.col("bits").bitwiseAND(1 << i) != 0
-            # checks that come before the key's also hold on a row that repeats a key
-            if check.startswith("blank"):
-                broken = first & blank
-            elif check.startswith("duplicate"):
-                broken = ~first if file == "frequencies" else ~first & ~blank
-            else:
-                broken = {"frequencies": bit, "calendar_dates": ~blank & bit}.get(file, first & ~blank & bit)
-            row = F.lit(FILE_LEVEL).cast("bigint") if file == "routes" else F.col("row_idx").cast("bigint")
-            found = F.when((F.col("file") == file) & broken, row).otherwise(found)
-        slots.append(found)
-    return slots
-
-
-def _item(kind: str, key: Column, words: list[str], **cols: Column) -> Column:
-    """A line of step 3; what a kind does not carry is NULL."""
+def _slot_row(i: int) -> str:
+    """SQL of the row that breaks the rule of slot ``i``, whichever kind of key it is."""
+    cases = []
+    for rules in SLOTS.values():
+        if i >= len(rules):
+            continue
+        file, check = rules[i].split(":")
+        bit = f"bits & {1 << i} != 0"
+        # checks that come before the key's also hold on a row that repeats a key
+        if check.startswith("blank"):
+            broken = "is_first AND blank"
+        elif check.startswith("duplicate"):
+            broken = "NOT is_first" if file == "frequencies" else "NOT is_first AND NOT blank"
+        else:
+            gate = {"frequencies": "", "calendar_dates": "NOT blank AND "}
+            broken = gate.get(file, "is_first AND NOT blank AND ") + bit
+        row = FILE_LEVEL if file == "routes" else "row_idx"
+        cases.append(f"WHEN file = '{file}' AND {broken} THEN {row}")
+    return f"CASE {' '.join(cases)} END"
+
+
+def _item(kind: str, key: str, words: list[str], **cols: str) -> str:
+    """SQL of a line of step 3; what a kind does not carry is NULL."""
     types = {"n": "bigint", "inexact": "boolean", "first_row": "bigint", "known": "boolean",
              "blank": "boolean", "repeated": "boolean", **{w: "bigint" for w in words}}
-    return F.struct(
-        F.lit(kind).alias("kind"), key.alias("key"),
-        *[cols.get(c, F.lit(None)).cast(t).alias(c) for c, t in types.items()])
+    cells = ", ".join(f"'{c}', CAST({cols.get(c, 'NULL')} AS {t})" for c, t in types.items())
+    return f"named_struct('kind', '{kind}', 'key', {key}, {cells})"
 
 
 def feed_facts(tables: dict[str, DataFrame], dates: list[date]) -> DataFrame:
@@ -173,76 +172,74 @@ def feed_facts(tables: dict[str, DataFrame], dates: list[date]) -> DataFrame:
             c: F.lit(None).cast(t) for c, t in blanks.items() if c not in part.columns}))
     lines = reduce(DataFrame.unionByName, parts)
 
-    ranked = quality.second_occurrence(lines, ["key", "feed_id", "kind", "file", "sub"])
-    file, row, first = F.col("file"), F.col("row_idx").cast("bigint"), F.col("rn") == 1
-    is_trip, is_window = file == "trips", file == "frequencies"
-    keys = ranked.groupBy("key", "feed_id", "kind").agg(
-        F.min(F.when(is_trip, row)).alias("trip_row"), F.min(F.when(is_window, row)).alias("freq_row"),
-        F.max(F.when(is_trip & first, F.col("service_id"))).alias("service_id"),
-        F.max(F.when(is_trip & first, F.col("route_id"))).alias("route_id"),
-        F.sum(F.when(first | ~is_window, F.col("n"))).alias("n"),
-        F.max(first & F.col("inexact")).alias("inexact"), F.max(F.col("rn") > 1).alias("repeated"),
-        *[F.bit_or(w).alias(w) for w in words],
-        *[F.min(c).alias(f"slot{i}") for i, c in enumerate(_slot_rows(first, gtfs.is_blank(F.col("key"))))])
+    ranked = quality.second_occurrence(lines, ["key", "feed_id", "kind", "file", "sub"]).withColumns({
+        "row_idx": F.col("row_idx").cast("bigint"), "is_first": F.col("rn") == 1,
+        "blank": F.when(F.col("key").isNotNull(), F.col("bits") >= BLANK)})
+    keys = ranked.groupBy("key", "feed_id", "kind").agg(*map(F.expr, (
+        "min(row_idx) FILTER (WHERE file = 'trips') AS trip_row",
+        "min(row_idx) FILTER (WHERE file = 'frequencies') AS freq_row",
+        "max(service_id) FILTER (WHERE file = 'trips' AND is_first) AS service_id",
+        "max(route_id) FILTER (WHERE file = 'trips' AND is_first) AS route_id",
+        "sum(n) FILTER (WHERE file != 'frequencies' OR is_first) AS n",
+        "max(is_first AND inexact) AS inexact", "max(NOT is_first) AS repeated", "max(blank) AS blank",
+        *[f"bit_or({w}) AS {w}" for w in words],
+        *[f"min({_slot_row(i)}) AS slot{i}" for i in range(N_SLOTS)])))
     lines = keys.select("feed_id", F.explode(_items(words)).alias("x")).where(F.col("x").isNotNull())
-    merged = lines.groupBy("x.key", "feed_id", "x.kind").agg(
-        F.sum("x.n").alias("n"), F.min("x.first_row").alias("first_row"),
-        *[F.max(f"x.{c}").alias(c) for c in ("inexact", "known", "blank", "repeated")],
-        *[F.bit_or(f"x.{w}").alias(w) for w in words])
+    merged = lines.groupBy("x.key", "feed_id", "x.kind").agg(*map(F.expr, (
+        "sum(x.n) AS n", "min(x.first_row) AS first_row",
+        *[f"max(x.{c}) AS {c}" for c in ("inexact", "known", "blank", "repeated")],
+        *[f"bit_or(x.{w}) AS {w}" for w in words])))
     return _per_feed(merged.na.fill(0, words), dates, n_words)
 
 
 def _items(words: list[str]) -> Column:
     """Lines of step 3 from a row per key: its service and route, or itself, its count, its broken rules."""
-    kind, n, key = F.col("kind"), F.col("n"), F.col("key")
-    has_trip = (kind == "trip") & F.col("trip_row").isNotNull()
-    blank, inexact = gtfs.is_blank(key), F.coalesce("inexact", F.lit(False))
-    trip_row = F.when(~blank, F.col("trip_row"))
-    no_key, yes = F.coalesce(blank, F.lit(True)), F.lit(True)
-    count = F.when(~no_key, n).otherwise(0)
-    problems = {"blank": no_key, "repeated": ~no_key & F.col("repeated")}
-    # exploding a plain array and dropping NULLs keeps the planner from evaluating it twice
+    trip_row = "CASE WHEN NOT blank THEN trip_row END"
+    no_key = "coalesce(blank, true)"
+    problems = {"blank": no_key, "repeated": f"NOT {no_key} AND repeated"}
+    own = {w: w for w in words}
+    trip_service = _item(
+        "service", "service_id", words, inexact="coalesce(inexact, false)", first_row=trip_row,
+        n="CASE WHEN NOT coalesce(inexact, false) THEN coalesce(n, 1) END")
+    stop = _item("count", "'stops'", words, n=f"CASE WHEN {no_key} THEN 0 ELSE n END", **problems)
     items = [
-        F.when(has_trip, _item(
-            "service", F.col("service_id"), words, n=F.when(~inexact, F.coalesce(n, F.lit(1))),
-            inexact=inexact, first_row=trip_row))
-        .when(kind == "service", _item("service", key, words, known=yes, **{w: F.col(w) for w in words}))
-        .when(kind == "route", _item("count", F.lit("routes"), words, n=(~no_key).cast("bigint"), **problems))
-        .when(kind == "stop", _item("count", F.lit("stops"), words, n=count, **problems))
-        .when(kind == "agency", _item("count", F.lit("agency"), words, n=n)),
-        F.when(has_trip, _item("route", F.col("route_id"), words, first_row=trip_row))
-        .when(kind == "route", _item("route", key, words, known=yes)),
+        f"""CASE WHEN kind = 'trip' AND trip_row IS NOT NULL THEN {trip_service}
+            WHEN kind = 'service' THEN {_item("service", "key", words, known="true", **own)}
+            WHEN kind = 'route' THEN {_item("count", "'routes'", words, n=f"NOT {no_key}", **problems)}
+            WHEN kind = 'stop' THEN {stop}
+            WHEN kind = 'agency' THEN {_item("count", "'agency'", words, n="n")} END""",
+        f"""CASE WHEN kind = 'trip' AND trip_row IS NOT NULL
+            THEN {_item("route", "route_id", words, first_row=trip_row)}
+            WHEN kind = 'route' THEN {_item("route", "key", words, known="true")} END""",
     ]
     for i in range(N_SLOTS):
-        rule = F.lit(None).cast("string")
-        for k, rules in SLOTS.items():
-            if i < len(rules):
-                rule = F.when(kind == k, rules[i]).otherwise(rule)
-        slot = F.col(f"slot{i}")
-        items.append(F.when(slot.isNotNull(), _item("rule", rule, words, first_row=slot)))
-    alone = F.col("freq_row").isNotNull() & (F.col("trip_row").isNull() | key.isNull())
-    items.append(F.when(alone, _item(
-        "rule", F.lit("frequencies:unknown_trip"), words, first_row=F.col("freq_row"))))
-    return F.array(*items)
+        names = " ".join(f"WHEN '{k}' THEN '{r[i]}'" for k, r in SLOTS.items() if i < len(r))
+        rule = _item("rule", f"CASE kind {names} END", words, first_row=f"slot{i}")
+        items.append(f"CASE WHEN slot{i} IS NOT NULL THEN {rule} END")
+    alone = _item("rule", "'frequencies:unknown_trip'", words, first_row="freq_row")
+    items.append(f"CASE WHEN freq_row IS NOT NULL AND (trip_row IS NULL OR key IS NULL) THEN {alone} END")
+    # exploding a plain array and dropping NULLs keeps the planner from evaluating it twice
+    return F.expr(f"array({', '.join(items)})")
 
 
 def _per_feed(merged: DataFrame, dates: list[date], n_words: int) -> DataFrame:
-    kind, key, n, first_row = (F.col(c) for c in ("kind", "key", "n", "first_row"))
-    no_key, is_service, is_route = gtfs.is_blank(key), kind == "service", kind == "route"
-    unknown = ~no_key & F.col("known").isNull()
     conditions = {
-        **{r: (kind == "rule") & (key == r) for r in ROW_RULES},
-        "trips:blank_service_id": is_service & no_key, "trips:blank_route_id": is_route & no_key,
-        "trips:unknown_service": is_service & unknown, "trips:unknown_route": is_route & unknown,
+        **{r: f"kind = 'rule' AND key = '{r}'" for r in ROW_RULES},
+        "trips:blank_service_id": "kind = 'service' AND no_key",
+        "trips:blank_route_id": "kind = 'route' AND no_key",
+        "trips:unknown_service": "kind = 'service' AND NOT no_key AND known IS NULL",
+        "trips:unknown_route": "kind = 'route' AND NOT no_key AND known IS NULL",
     }
-    zero = F.lit(0)
-    cols = [F.min(F.when(c, first_row)).alias(rule_column(r)) for r, c in conditions.items()]
+    cols = [f"min(first_row) FILTER (WHERE {c}) AS {rule_column(r)}" for r, c in conditions.items()]
     for i in range(len(dates)):
-        on = is_service & F.coalesce(service.day_bit(F.col("day_mask"), i), F.lit(False))
-        cols.append(F.sum(F.when(on, F.coalesce(n, zero)).otherwise(zero)).alias(f"n{i}"))
-        cols.append(F.max(on & F.coalesce("inexact", F.lit(False))).alias(f"x{i}"))
+        w, bit = i // service.DAYS_PER_WORD, 1 << (i % service.DAYS_PER_WORD)
+        on = f"kind = 'service' AND coalesce(day_mask[{w}] & {bit}L != 0, false)"
+        cols.append(f"coalesce(sum(n) FILTER (WHERE {on}), 0) AS n{i}")
+        cols.append(f"max({on} AND coalesce(inexact, false)) AS x{i}")
     for f in COUNTED:
-        here = (kind == "count") & (key == f)
-        cols += [F.sum(F.when(here, n)).alias(f"{f}_value"), F.max(here & F.col("blank")).alias(f"{f}_blank"),
-                 F.max(here & F.col("repeated")).alias(f"{f}_repeated")]
-    return merged.withColumn("day_mask", service.mask_of(n_words)).groupBy("feed_id").agg(*cols)
+        here = f"kind = 'count' AND key = '{f}'"
+        cols += [f"sum(n) FILTER (WHERE {here}) AS {f}_value",
+                 *[f"max({here} AND {c}) AS {f}_{c}" for c in ("blank", "repeated")]]
+    return merged.withColumns(
+        {"day_mask": service.mask_of(n_words), "no_key": gtfs.is_blank(F.col("key"))}
+    ).groupBy("feed_id").agg(*map(F.expr, cols))

@@ -95,25 +95,23 @@ def files_wide(feeds: DataFrame, file_status: DataFrame) -> DataFrame:
     return feeds.select("feed_id").join(wide, "feed_id", "left").na.fill(known)
 
 
-def _violation(rule: str, cond: Column, row: Column) -> Column:
+def _violation(rule: str, cond: str, row) -> str:
     table, check = RULES[rule]
-    return F.when(cond, F.struct(
-        F.lit(table).alias("table_rank"), row.cast("bigint").alias("row_idx"),
-        F.lit(check).alias("check_rank"), F.lit(rule).alias("reason")))
+    return (f"CASE WHEN {cond} THEN named_struct('table_rank', {table}, 'row_idx', CAST({row} AS bigint), "
+            f"'check_rank', {check}, 'reason', '{rule}') END")
 
 
-def _file_rules() -> dict[str, Column]:
+def _file_rules() -> dict[str, str]:
     """Rules that the presence, decoding and header of a file decide."""
     rules = {}
     for t, required in REQUIRED_COLUMNS.items():
-        here = F.col(f"p_{t}")
-        broken = F.col(f"e_{t}").isNotNull()
-        lacks = F.size(F.array_except(F.array(*map(F.lit, required)), F.col(f"h_{t}"))) > 0
-        rules[f"{t}:undecodable"] = here & broken
-        rules[f"{t}:missing_column"] = here & ~broken & lacks
+        names = ", ".join(f"'{c}'" for c in required)
+        rules[f"{t}:undecodable"] = f"p_{t} AND e_{t} IS NOT NULL"
+        rules[f"{t}:missing_column"] = (
+            f"p_{t} AND e_{t} IS NULL AND size(array_except(array({names}), h_{t})) > 0")
     for t in ("routes", "trips"):
-        rules[f"{t}:absent"] = ~F.col(f"p_{t}")
-    rules["calendars:both_absent"] = ~F.col("p_calendar") & ~F.col("p_calendar_dates")
+        rules[f"{t}:absent"] = f"NOT p_{t}"
+    rules["calendars:both_absent"] = "NOT p_calendar AND NOT p_calendar_dates"
     return rules
 
 
@@ -135,11 +133,10 @@ def feed_checks(
 
 def _violations() -> Column:
     """The broken rules of a feed, in no order; NULL for each rule that holds."""
-    file_level = F.lit(facts.FILE_LEVEL)
-    rows = {r: F.col(facts.rule_column(r)) for r in facts.ROW_RULES}
-    return F.array(
-        *[_violation(r, c, file_level) for r, c in _file_rules().items()],
-        *[_violation(r, c.isNotNull(), c) for r, c in rows.items()])
+    rows = {r: facts.rule_column(r) for r in facts.ROW_RULES}
+    return F.expr("array({})".format(", ".join([
+        *[_violation(r, c, facts.FILE_LEVEL) for r, c in _file_rules().items()],
+        *[_violation(r, f"{c} IS NOT NULL", c) for r, c in rows.items()]])))
 
 
 def feed_violations(checks: DataFrame) -> DataFrame:
