@@ -74,3 +74,10 @@ def test_library_does_not_collect_tables():
         text = path.read_text(encoding="utf-8")
         assert len(re.findall(r"\.collect\(\)", text)) == bounded.get(path.name, 0), path
         assert not re.search(r"toPandas\(|toLocalIterator|MAX_INLINE|localCheckpoint|crossJoin|\.rdd\b|F\.udf\(", text), path
+
+
+def test_metrics_read_every_feed_table_once(spark):
+    plan = QUERIES["feed_supply_metrics"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    # trips, windows, routes and exceptions are each cut from lineitem
+    assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plan)) == 4
+    assert len(re.findall(r"- Window ", plan)) == 1
