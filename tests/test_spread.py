@@ -22,6 +22,13 @@ def test_scores_are_dealt_before_they_grow(spark, tmp_path):
     assert sum(r.n for r in got) == 120_000 * len(provenance._PAIRS)
 
 
+def test_days_of_weeks_are_dealt_before_they_grow(spark, tmp_path):
+    got = provenance.week_contract(spark, folder(spark, tmp_path, 120_000))
+    assert got.count() == 120_000 and got.where("n_dates = 6").count() == 20_000
+    # the aggregates follow the dealing by feed: no second exchange
+    assert got._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") == 2
+
+
 def test_small_tables_stay_as_they_are(spark, tmp_path):
     lens = Lens(spark, folder(spark, tmp_path, 1_000))
     assert lens.spread("customer", "c_custkey").rdd.getNumPartitions() == lens.table("customer").rdd.getNumPartitions()
