@@ -32,3 +32,15 @@ def test_days_of_weeks_are_dealt_before_they_grow(spark, tmp_path):
 def test_small_tables_stay_as_they_are(spark, tmp_path):
     lens = Lens(spark, folder(spark, tmp_path, 1_000))
     assert lens.spread("customer", "c_custkey").rdd.getNumPartitions() == lens.table("customer").rdd.getNumPartitions()
+
+
+def test_trips_are_dealt_by_lines(spark, tmp_path):
+    n = 250_000
+    spark.range(n).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), (F.col("id") % 40).alias("l_suppkey"),
+        (F.col("id") % 7).alias("l_partkey"), F.lit(6.0).alias("l_quantity"),
+    ).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    lens = Lens(spark, str(tmp_path))
+    for trips in (lens.frequencies(), lens.trips()):
+        got = [r.n for r in trips.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert len(got) == 3 and sum(got) == n and max(got) < 100_000
