@@ -3,6 +3,9 @@
 Rows are range partitioned over (group, order), so a group's rows spread evenly whatever its size and
 however far apart its keys are. What a partition holds of a group is a segment; counts and carries of
 segments are a small table, and only that table is ordered as a whole per group.
+
+Landed rows look small by their compressed files, so the joins name the merge join: broadcast, the wide rows
+would all be held by every task, and one task would do what follows.
 """
 
 from __future__ import annotations
@@ -43,8 +46,8 @@ def running_max(
         .withColumn("_carry", F.max("_m").over(_before(by))).drop("_m"))
     inside = Window.partitionBy(*by, "_seg").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        rows.join(carry, [*by, "_seg"])
-        .withColumn(name, F.coalesce(F.max("_v").over(inside), F.col("_carry")))
+        rows.withColumn(name, F.max("_v").over(inside)).join(carry.hint("merge"), [*by, "_seg"])
+        .withColumn(name, F.coalesce(name, "_carry"))
         .drop("_v", "_seg", "_at", "_carry"))
 
 
@@ -58,7 +61,7 @@ def numbered(
         .withColumn("_off", F.coalesce(F.sum("_n").over(_before(by)), F.lit(0)) - F.col("_low"))
         .drop("_n", "_low"))
     return (
-        rows.join(offset, [*by, "_seg"])
+        rows.join(offset.hint("merge"), [*by, "_seg"])
         .withColumn(name, F.col("_at") + F.col("_off") + 1).drop("_seg", "_at", "_off"))
 
 

@@ -135,7 +135,8 @@ def occurrences(hay: DataFrame, keys: list[str], text: str, needles: DataFrame,
     pieces = hay.select(*keys, F.col(text).alias("_hay")).where("_hay != ''").mapInArrow(
         _piece_rows("_hay", lengths, bits & 1 == 1, wanted=_slots_of(met)), f"{_kinds(hay, keys)}, _piece bigint")
     pairs = pieces.join(met, "_piece").select(*keys, "_needle").distinct()
-    return hay.select(*keys, F.col(text).alias("_hay")).join(pairs, keys).where(
+    # texts that come from compressed files look small enough to broadcast; they are not
+    return hay.select(*keys, F.col(text).alias("_hay")).join(pairs.hint("merge"), keys).where(
         F.contains("_hay", F.col("_needle")))
 
 

@@ -91,8 +91,9 @@ def registry_from_text(
     number = T.registration_parts(F.col("registration_no_raw"))
     none = F.array().cast("array<struct<pos:bigint,name:string>>")
     out = (
-        start.join(size, block).join(places, block, "left")
-        .join(operator_types, "doc_id", "left")
+        # by their compressed files the landed pages look small enough to broadcast; they are not
+        start.join(size.hint("merge"), block).join(places.hint("merge"), block, "left")
+        .join(operator_types.hint("merge"), "doc_id", "left")
         .withColumn("r", number).withColumn("hits", F.coalesce("hits", none)))
     named = F.exists("hits", lambda h: h["name"] == F.col("org_name"))
     first = F.when(own & ~named, F.array(F.struct(

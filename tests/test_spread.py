@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from routeledger.catalog import provenance
+from routeledger.catalog import provenance, registry
 from routeledger.lenses import Lens
+from routeledger.operators import ordered
+from routeledger.plans import registry_text
 
 
 def folder(spark, tmp_path, n):
@@ -44,3 +46,32 @@ def test_trips_are_dealt_by_lines(spark, tmp_path):
     for trips in (lens.frequencies(), lens.trips()):
         got = [r.n for r in trips.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
         assert len(got) == 3 and sum(got) == n and max(got) < 100_000
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_are_dealt_before_their_fields_are_found(spark, tmp_path):
+    lens = Lens(spark, folder(spark, tmp_path, 45_000))
+    got = [r.n for r in registry._registry_pages(lens).groupBy(F.spark_partition_id()).agg(
+        F.count(F.lit(1)).alias("n")).collect()]
+    assert len(got) == 5 and sum(got) == 45_000 and max(got) < 12_000
+
+
+def test_landed_pages_are_never_broadcast(spark):
+    # alike texts compress to files far below the limit of a broadcast
+    pages = spark.range(20_000).select(
+        F.call_function("div", "id", F.lit(4)).alias("doc_id"), (F.col("id") % 4).alias("page_no"),
+        F.repeat(F.lit("a line of a form\n"), 40).alias("text"))
+    last = F.when(F.col("page_no") % 2 == 0, F.col("page_no"))
+    for df in (ordered.running_max(pages, ["doc_id"], "page_no", last, "last"),
+               ordered.numbered(pages, ["doc_id"], "page_no", "no")):
+        assert "BroadcastExchange" not in plan(df) and df.count() == 20_000
+    fields = registry_text.page_fields(pages, "no such mark")
+    states = registry_text.page_states(fields)
+    roster = spark.createDataFrame([("a line",)], "municipality string")
+    kinds = pages.select("doc_id").distinct().withColumn("operator_type", F.lit("T"))
+    out = plan(registry_text.registry_from_text(states, roster, kinds))
+    # only names of the roster and their pieces may be broadcast
+    assert [x for x in out.split("\n") if "BroadcastHashJoin" in x and "_needle" not in x and "_piece" not in x] == []
