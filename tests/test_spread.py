@@ -75,3 +75,8 @@ def test_landed_pages_are_never_broadcast(spark):
     out = plan(registry_text.registry_from_text(states, roster, kinds))
     # only names of the roster and their pieces may be broadcast
     assert [x for x in out.split("\n") if "BroadcastHashJoin" in x and "_needle" not in x and "_piece" not in x] == []
+
+
+def test_page_problems_land_only_what_they_read(spark, tmp_path):
+    got = registry.registry_page_problems(spark, folder(spark, tmp_path, 800))
+    assert "org_name" not in got._jdf.queryExecution().analyzed().toString() and got.count() > 0
