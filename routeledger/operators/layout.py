@@ -260,16 +260,22 @@ def recovered_cells(words: DataFrame, cells: DataFrame, header_row: int = 1, til
     return missing.select(*keys).join(texts, keys, "left").select(*keys, F.coalesce("text", F.lit("")).alias("text"))
 
 
-def cell_split(cell: Column, top_name: Column, top_location: Column) -> Column:
+def cell_split(cell: Column, top_name: Column | None = None, top_location: Column | None = None) -> Column:
     """Struct (name, location) of a wrapped office cell.
 
     The first boundary at which both halves equal the reference pair wins; otherwise the first
-    line is the name.
+    line is the name, as it is without a reference pair.
     """
     from routeledger.functions import text as T
 
     lines = F.filter(F.transform(F.split(cell, "\n"), T.strip), lambda x: x != "")
 
+    fallback = F.struct(
+        F.coalesce(F.get(lines, F.lit(0)), F.lit("")).alias("name"),
+        F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "").alias("location"))
+    if top_name is None:
+        return fallback
+
     def halves(k: Column) -> Column:
         return F.struct(
             F.array_join(F.slice(lines, F.lit(1), k), "").alias("name"),
@@ -280,7 +286,4 @@ def cell_split(cell: Column, top_name: Column, top_location: Column) -> Column:
         .otherwise(F.array().cast("array<int>")), halves)
     exact = F.filter(options, lambda o: (T.compare_key(o["name"]) == T.compare_key(top_name))
                      & (T.compare_key(o["location"]) == T.compare_key(top_location)))
-    fallback = F.struct(
-        F.coalesce(F.get(lines, F.lit(0)), F.lit("")).alias("name"),
-        F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "").alias("location"))
     return F.coalesce(F.get(exact, F.lit(0)), fallback)

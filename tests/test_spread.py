@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from routeledger.catalog import provenance, registry
 from routeledger.lenses import Lens
-from routeledger.operators import ordered
-from routeledger.plans import registry_text
+from routeledger.operators import layout, ordered
+from routeledger.plans import registry_text, vehicle_rows
 
 
 def folder(spark, tmp_path, n):
@@ -80,3 +80,20 @@ def test_landed_pages_are_never_broadcast(spark):
 def test_page_problems_land_only_what_they_read(spark, tmp_path):
     got = registry.registry_page_problems(spark, folder(spark, tmp_path, 800))
     assert "org_name" not in got._jdf.queryExecution().analyzed().toString() and got.count() > 0
+
+
+def test_vehicle_cells_meet_once_a_row_in_as_many_tasks_as_asked_for(spark, monkeypatch):
+    n = 400
+    row = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col_no"), F.lit(t).alias("text")) for c, t in ((1, "Office\nTown"), (2, "3"), (3, ""))]))
+    heads = spark.createDataFrame([("V", -1, 2, "寝台車"), ("V", -1, 3, "合計")], "doc string, row_no bigint, col_no int, text string")
+    cells = heads.unionByName(spark.range(n).select(
+        F.lit("V").alias("doc"), F.col("id").alias("row_no"), row.alias("x")).select("doc", "row_no", "x.*"))
+    documents = spark.createDataFrame([("V", "x")], "doc string, transport_type string")
+    monkeypatch.setattr(vehicle_rows, "PORTION", 50)
+    read = vehicle_rows.read_cells(cells, "doc", documents, header_row=-1, parts=16)
+    assert {(r.doc, r.row_no, r.office_seq, r.vehicle_type, r["count"]) for r in read.collect()} == {
+        ("V", i, i + 1, kind, value) for i in range(n) for kind, value in (("寝台車", 3), ("合計", 0))}
+    # one document, yet no task has most of it
+    assert read.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < n
+    assert "REPARTITION_BY_NUM" in plan(read)
