@@ -238,7 +238,7 @@ def recovered_cells(words: DataFrame, cells: DataFrame, header_row: int = 1, til
     box is expected to have one under each header box; what is missing spans the header box's width and the
     height of the row's boxes. Its words, by (top, x0), are joined by line ends; no words give an empty text.
     Only missing boxes meet words, in tiles of both axes, so that neither a tall row nor a wide column gathers
-    a page.
+    a page; a box that no word lies in is kept by the same join, so that missing boxes are found once.
     """
     heads = cells.where(F.col("row_no") == header_row).select("page", "col_no", "x0", "x1")
     rows = cells.where(F.col("row_no") > header_row).groupBy("page", "row_no").agg(
@@ -250,14 +250,13 @@ def recovered_cells(words: DataFrame, cells: DataFrame, header_row: int = 1, til
     placed = placed.withColumn("_tx", at("cx")).withColumn("_ty", at("cy"))
     tiles = (
         missing.withColumnsRenamed({"x0": "_x0", "x1": "_x1", "top": "_top", "bottom": "_bottom"})
-        .withColumn("_tx", F.explode(F.sequence(at("_x0"), at("_x1"))))
-        .withColumn("_ty", F.explode(F.sequence(at("_top"), at("_bottom")))))
+        .withColumn("_tx", F.explode_outer(F.sequence(at("_x0"), at("_x1"))))
+        .withColumn("_ty", F.explode_outer(F.sequence(at("_top"), at("_bottom")))))
     inside = F.col("cx").between(F.col("_x0"), F.col("_x1")) & F.col("cy").between(F.col("_top"), F.col("_bottom"))
     keys = ["page", "row_no", "col_no"]
-    order = F.array_sort(F.collect_list(F.struct("top", "x0", "word_idx", "text")))
-    texts = tiles.join(placed, ["page", "_tx", "_ty"]).where(inside).groupBy(*keys).agg(
+    order = F.array_sort(F.collect_list(F.when(inside, F.struct("top", "x0", "word_idx", "text"))))
+    return tiles.join(placed, ["page", "_tx", "_ty"], "left").groupBy(*keys).agg(
         F.array_join(F.transform(order, lambda w: w["text"]), "\n").alias("text"))
-    return missing.select(*keys).join(texts, keys, "left").select(*keys, F.coalesce("text", F.lit("")).alias("text"))
 
 
 def cell_split(cell: Column, top_name: Column | None = None, top_location: Column | None = None) -> Column:

@@ -97,3 +97,15 @@ def test_vehicle_cells_meet_once_a_row_in_as_many_tasks_as_asked_for(spark, monk
     # one document, yet no task has most of it
     assert read.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < n
     assert "REPARTITION_BY_NUM" in plan(read)
+
+
+def test_missing_boxes_are_found_once(spark):
+    words = spark.createDataFrame([(1, "a", 1.0, 5.0, 13.0, 17.0, 1)], (
+        "page bigint, text string, x0 double, x1 double, top double, bottom double, word_idx bigint"))
+    boxes = spark.createDataFrame(
+        [(1, 1, 1, 0.0, 10.0, 0.0, 10.0), (1, 1, 2, 10.0, 20.0, 0.0, 10.0), (1, 1, 3, 20.0, 30.0, 0.0, 10.0),
+         (1, 2, 3, 20.0, 30.0, 12.0, 20.0)],
+        "page bigint, row_no int, col_no int, x0 double, x1 double, top double, bottom double")
+    got = layout.recovered_cells(words, boxes)
+    assert plan(got).count("LeftAnti") == 1
+    assert {tuple(r) for r in got.collect()} == {(1, 2, 1, "a"), (1, 2, 2, "")}
