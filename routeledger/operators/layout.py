@@ -205,17 +205,24 @@ def grid_boxes(edges: DataFrame, columns: int = 7, tolerance: float = 2.0) -> Da
     rules = leader_rows(
         edges.where(F.col("orientation").isin("v", "h")).select("page", "orientation", place.alias("p")),
         ["page", "orientation"], "p", tolerance)
-    rules = ordered.numbered(rules, ["page", "orientation"], "leader", "no")
-    next_rule = rules.select("page", "orientation", (F.col("no") - 1).alias("no"), F.col("leader").alias("high"))
-    spans = rules.join(next_rule, ["page", "orientation", "no"])
-    last = spans.where("orientation = 'v'").groupBy("page").agg(F.max("no").alias("last")).where(
-        F.col("last") >= columns)
-    cols = spans.where("orientation = 'v'").join(last, "page").where(F.col("no") > F.col("last") - columns).select(
-        "page", (F.col("no") - F.col("last") + columns).cast("int").alias("col_no"),
-        F.col("leader").alias("x0"), F.col("high").alias("x1"))
+    # column rules are counted from the right, so that none has to wait for the number of them
+    at = F.when(F.col("orientation") == "v", 0 - F.col("leader")).otherwise(F.col("leader"))
+    rules = ordered.numbered(rules.withColumn("_at_rule", at), ["page", "orientation"], "_at_rule", "no")
+    # a rule opens a span and closes the one before: both meet by number, in one pass over the rules
+    rule, none = F.col("leader"), F.lit(None).cast("double")
+    sides = F.array(
+        F.struct(F.col("no").alias("no"), rule.alias("opens"), none.alias("closes")),
+        F.struct((F.col("no") - 1).alias("no"), none.alias("opens"), rule.alias("closes")))
+    spans = rules.select("page", "orientation", F.explode(sides).alias("s")).groupBy("page", "orientation", "s.no").agg(
+        F.max("s.opens").alias("opens"), F.max("s.closes").alias("closes")).where(
+        "opens is not null and closes is not null")
+    cols = spans.where("orientation = 'v'").where(F.col("no") <= columns).groupBy("page").agg(F.collect_list(F.struct(
+        (columns + 1 - F.col("no")).cast("int").alias("col_no"), F.col("closes").alias("x0"),
+        F.col("opens").alias("x1"))).alias("cols")).where(F.size("cols") == columns)
     rows = spans.where("orientation = 'h'").select(
-        "page", F.col("no").cast("int").alias("row_no"), F.col("leader").alias("top"), F.col("high").alias("bottom"))
-    return rows.join(cols, "page").select("page", "row_no", "col_no", "x0", "x1", "top", "bottom")
+        "page", F.col("no").cast("int").alias("row_no"), F.col("opens").alias("top"), F.col("closes").alias("bottom"))
+    return rows.join(cols, "page").select("page", "row_no", "top", "bottom", F.explode("cols").alias("c")).select(
+        "page", "row_no", "c.col_no", "c.x0", "c.x1", "top", "bottom")
 
 
 def grid_cells(words: DataFrame, edges: DataFrame, columns: int = 7,

@@ -109,3 +109,17 @@ def test_missing_boxes_are_found_once(spark):
     got = layout.recovered_cells(words, boxes)
     assert plan(got).count("LeftAnti") == 1
     assert {tuple(r) for r in got.collect()} == {(1, 2, 1, "a"), (1, 2, 2, "")}
+
+
+def test_span_sides_meet_in_one_pass_over_the_rules(spark):
+    edges = spark.createDataFrame(
+        [(1, "v", x, 0.0) for x in (0.0, 10.0, 20.0, 21.5, 30.0)] + [(1, "h", 0.0, y) for y in (5.0, 0.0, 9.0)]
+        + [(2, "v", x, 0.0) for x in (0.0, 10.0)] + [(2, "h", 0.0, y) for y in (0.0, 5.0)] + [(3, "h", 0.0, 1.0)],
+        "page bigint, orientation string, x0 double, top double")
+    got = layout.grid_boxes(edges, columns=2)
+    # one join for the rows' numbers, one for those of the columns, one of both
+    assert plan(got).count("Join ") == 3
+    # the two right-most columns; page 2 has only one
+    assert {tuple(r) for r in got.collect()} == {
+        (1, 1, 1, 10.0, 20.0, 0.0, 5.0), (1, 1, 2, 20.0, 30.0, 0.0, 5.0),
+        (1, 2, 1, 10.0, 20.0, 5.0, 9.0), (1, 2, 2, 20.0, 30.0, 5.0, 9.0)}
