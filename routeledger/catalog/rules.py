@@ -32,6 +32,13 @@ _BASE = {
         "pos": "l_suppkey * 100000000 + year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate)",
         "bad": "day(l_shipdate) % 5 = 3"},
 }
+# the numbers that all cells of such a row follow from: rows are told apart by these alone
+_NUMBERS = {
+    "calls": {c: c for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")},
+    "lines": {"l_partkey": "l_partkey"},
+    "services": {"l_partkey": "l_partkey % 40", "l_suppkey": "l_suppkey"},
+    "days": {"l_partkey": "l_partkey % 40", "l_suppkey": "l_suppkey", "l_shipdate": "CAST(l_shipdate AS DATE)"},
+}
 _AS_POS = "CAST(pos AS STRING)"
 _FLAGS = {d: f"CASE WHEN pos % {i + 2} = 0 THEN '0' ELSE '1' END" for i, d in enumerate(V.WEEKDAYS)}
 _FLAGS["wednesday"] = "CASE WHEN k = 13 AND bad THEN '2' ELSE '1' END"
@@ -80,18 +87,20 @@ _LACKING = {3: ("routes", "route_id"), 8: ("calendar", "sunday"), 15: ("calendar
 def rule_feeds(lens: Lens) -> fm.FeedTables:
     """The tables of feeds G0 to G39 over all rows of lineitem."""
     li = lens.table("lineitem")
-    base = {n: li.selectExpr(*[f"{e} AS {c}" for c, e in cols.items()]).distinct() for n, cols in _BASE.items()}
+    base = {n: li.selectExpr(*[f"{e} AS {c}" for c, e in _NUMBERS[n].items()]).distinct().selectExpr("*", *[
+        f"{e} AS {c}" for c, e in cols.items() if c not in _NUMBERS[n]]) for n, cols in _BASE.items()}
 
     def table(name):
+        """Rows and their copies from one read."""
         source, cols, kept, twice = _TABLES[name]
-        cells = [f"{e} AS {c}" for c, e in cols.items()]
-        return base[source].where(kept).selectExpr("feed_id", "pos AS row_idx", *cells).unionByName(
-            base[source].where(twice).selectExpr("feed_id", f"pos + {_COPY} AS row_idx", *cells))
+        copies = F.expr(f"explode(array(CASE WHEN {kept} THEN 0L END, CASE WHEN {twice} THEN {_COPY} END))")
+        return base[source].where(f"{kept} OR {twice}").withColumn("copy", copies).where("copy IS NOT NULL").selectExpr(
+            "feed_id", "pos + copy AS row_idx", *[f"{e} AS {c}" for c, e in cols.items()])
 
     def known(names):
         return F.array(*[F.struct(F.lit(k).alias("k"), F.lit(f"{f}.txt").alias("f")) for k, f in names])
 
-    feeds = li.selectExpr(*[f"{e} AS {c}" for c, e in _FEED.items()]).distinct()
+    feeds = li.selectExpr("l_partkey % 40 AS l_partkey").distinct().selectExpr(*[f"{e} AS {c}" for c, e in _FEED.items()])
     rows = F.array(*[
         F.struct(F.lit(f"{t}.txt").alias("file_name"), F.array(*map(F.lit, _TABLES[t][1])).alias("header"))
         for t in _TABLES])
