@@ -10,7 +10,7 @@ import pytest
 from routeledger.operators import quality, safety
 from routeledger.plans import archive_feeds
 from routeledger.plans import feed_metrics as fm
-from routeledger.sources import archives
+from routeledger.sources import archives, sinks
 
 WEEK = [date(2026, 5, 4) + timedelta(days=i) for i in range(7)]
 MON, TUE, SUN = WEEK[0], WEEK[1], WEEK[6]
@@ -365,3 +365,38 @@ def test_members_of_one_archive_are_read_by_many_tasks(spark, tmp_path):
     assert sum(r["count"] for r in tasks) == 40 and len(tasks) >= 3
     assert "map<" not in lines.schema.simpleString()
     assert archives.archive_lines(spark, str(tmp_path), {"none.txt": ("x",)}).isEmpty()
+
+
+def test_small_members_share_batches_and_listing_tasks(spark, tmp_path):
+    """Thousands of small archives cost neither a batch a member nor a task a few dozen files."""
+    import pyarrow as pa
+
+    for i in range(300):
+        with zipfile.ZipFile(tmp_path / f"f{i}.zip", "w") as z:
+            z.writestr("trips.txt", f"route_id,trip_id\nr{i},t{i}\n" + ("" if i % 3 else "short\n"))
+            z.writestr("routes.txt", b"\xef\xbb\xbfroute_id\nr" if i != 7 else b"\xff")
+    members = [(f"f{i}", f"{tmp_path}/f{i}.zip", n, k, None) for k, n in enumerate(("trips.txt", "routes.txt")) for i in range(300)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(c) for c in zip(*members)], ["feed_id", "path", "name", "row_idx", "refusal"])
+    files = {"trips.txt": ("route_id", "service_id", "trip_id"), "routes.txt": ("route_id",)}
+    batches = list(archives._line_reader(files)(iter([batch])))
+    assert len(batches) == 2
+    got = pa.Table.from_batches(batches).to_pylist()
+    assert len(got) == 300 * 4 + 100 - 1
+    at = {(r["feed_id"], r["file_name"], r["row_idx"]): r for r in got}
+    assert at["f3", "trips.txt", 1]["route_id"] == "short" and at["f3", "trips.txt", 1]["trip_id"] == ""
+    assert at["f4", "trips.txt", 0]["service_id"] is None and at["f4", "trips.txt", -1]["header"] == ["route_id", "trip_id"]
+    assert at["f4", "routes.txt", 0]["had_bom"] and at["f4", "routes.txt", 0]["header"] is None
+    assert at["f7", "routes.txt", -1]["decode_error"] and ("f7", "routes.txt", 0) not in at
+    assert len(list(archives._list_entries(iter([batch.slice(0, 300).to_pandas()])))) == 1
+    landed = archive_feeds.land(spark, str(tmp_path), str(tmp_path / "lines"))
+    assert landed.count() == len(got)
+
+
+def test_lines_of_a_member_go_on_over_batches(spark, tmp_path):
+    rows = [(f, "trips.txt", i, f'"{f},{i}"é') for f in ("a", "b", "c") for i in range(25_000)]
+    df = spark.createDataFrame(rows, "feed_id string, file_name string, row_idx long, line string")
+    sinks.write_archives(df.repartition(5), str(tmp_path / "z"), 2)
+    for f in ("a", "b", "c"):
+        with zipfile.ZipFile(tmp_path / "z" / f"{f}.zip") as z:
+            assert z.read("trips.txt").decode() == "".join(f'"{f},{i}"é\n' for i in range(25_000))
