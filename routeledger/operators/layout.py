@@ -238,32 +238,51 @@ def grid_cells(words: DataFrame, edges: DataFrame, columns: int = 7,
     return gap_join(placed, ["page", "row_no", "col_no"], threshold)
 
 
+#: words of a page that boxes meet without tiles
+CROWD = 500
+
+
 def recovered_cells(words: DataFrame, cells: DataFrame, header_row: int = 1, tile: int = TILE) -> DataFrame:
     """(page, row_no, col_no, text): the text of cells that a table's found boxes lack.
 
     ``cells``: page, row_no, col_no, x0, x1, top, bottom of the boxes found. A row below the header with any
     box is expected to have one under each header box; what is missing spans the header box's width and the
     height of the row's boxes. Its words, by (top, x0), are joined by line ends; no words give an empty text.
-    Only missing boxes meet words, in tiles of both axes, so that neither a tall row nor a wide column gathers
-    a page; a box that no word lies in is kept by the same join, so that missing boxes are found once.
+    A row meets its header as a whole, so that only missing boxes are ever rows. They meet the words of their
+    page; where these are more than ``CROWD``, in tiles of both axes, so that neither a tall row nor a wide
+    column gathers a page. Crowded pages are landed first: where there are none, no box is put into tiles.
     """
-    heads = cells.where(F.col("row_no") == header_row).select("page", "col_no", "x0", "x1")
+    heads = cells.where(F.col("row_no") == header_row).groupBy("page").agg(
+        F.collect_list(F.struct("col_no", "x0", "x1")).alias("heads"))
     rows = cells.where(F.col("row_no") > header_row).groupBy("page", "row_no").agg(
-        F.min("top").alias("top"), F.max("bottom").alias("bottom"))
-    missing = rows.join(heads, "page").join(
-        cells.select("page", "row_no", "col_no"), ["page", "row_no", "col_no"], "left_anti")
+        F.min("top").alias("_top"), F.max("bottom").alias("_bottom"), F.collect_set("col_no").alias("_have"))
+    lacks = F.filter("heads", lambda h: ~F.coalesce(F.array_contains("_have", h["col_no"]), F.lit(False)))
     placed = words.select("page", "text", "x0", "top", "word_idx", centre_x().alias("cx"), centre_y().alias("cy"))
+
+    def missing(heads: DataFrame) -> DataFrame:
+        return rows.join(heads, "page").select("page", "row_no", "_top", "_bottom", F.explode(lacks).alias("h")).select(
+            "page", "row_no", "h.col_no", F.col("h.x0").alias("_x0"), F.col("h.x1").alias("_x1"), "_top", "_bottom")
+
+    def texts(boxes: DataFrame, words: DataFrame, by: list[str]) -> DataFrame:
+        inside = F.col("cx").between(F.col("_x0"), F.col("_x1")) & F.col("cy").between(F.col("_top"), F.col("_bottom"))
+        order = F.array_sort(F.collect_list(F.when(inside, F.struct("top", "x0", "word_idx", "text"))))
+        return boxes.join(words, by, "left").groupBy("page", "row_no", "col_no").agg(
+            F.array_join(F.transform(order, lambda w: w["text"]), "\n").alias("text"))
+
+    path = shared_folder(words.sparkSession, "crowded")
+    words.groupBy("page").count().where(F.col("count") > CROWD).select("page").write.parquet(path)
+    crowded = words.sparkSession.read.parquet(path)
+    if crowded.isEmpty():
+        return texts(missing(heads), placed, ["page"])
     at = lambda c: F.floor(F.col(c) / tile)
-    placed = placed.withColumn("_tx", at("cx")).withColumn("_ty", at("cy"))
     tiles = (
-        missing.withColumnsRenamed({"x0": "_x0", "x1": "_x1", "top": "_top", "bottom": "_bottom"})
+        missing(heads.join(crowded, "page", "left_semi"))
         .withColumn("_tx", F.explode_outer(F.sequence(at("_x0"), at("_x1"))))
         .withColumn("_ty", F.explode_outer(F.sequence(at("_top"), at("_bottom")))))
-    inside = F.col("cx").between(F.col("_x0"), F.col("_x1")) & F.col("cy").between(F.col("_top"), F.col("_bottom"))
-    keys = ["page", "row_no", "col_no"]
-    order = F.array_sort(F.collect_list(F.when(inside, F.struct("top", "x0", "word_idx", "text"))))
-    return tiles.join(placed, ["page", "_tx", "_ty"], "left").groupBy(*keys).agg(
-        F.array_join(F.transform(order, lambda w: w["text"]), "\n").alias("text"))
+    in_tiles = placed.join(crowded, "page", "left_semi").withColumn("_tx", at("cx")).withColumn("_ty", at("cy"))
+    few = placed.join(crowded, "page", "left_anti")
+    return texts(missing(heads.join(crowded, "page", "left_anti")), few, ["page"]).unionByName(
+        texts(tiles, in_tiles, ["page", "_tx", "_ty"]))
 
 
 def cell_split(cell: Column, top_name: Column | None = None, top_location: Column | None = None) -> Column:

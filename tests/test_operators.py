@@ -219,6 +219,31 @@ def test_missing_cells_are_read_from_their_rectangles(spark):
     assert layout.recovered_cells(words, cells.where("row_no = 1")).count() == 0
 
 
+def test_missing_cells_of_crowded_pages_meet_in_tiles(spark, rows, monkeypatch):
+    """Whatever counts as crowded, the cells are those of a brute force; a header box without a number is always missing."""
+    rng = random.Random(5)
+    words = [(rng.randrange(4), f"w{i}", float(x := rng.randrange(400)), x + 6.0, float(y := rng.randrange(300)), y + 8.0, i)
+             for i in range(300)] + [(5, "lone", 1.0, 2.0, 1.0, 2.0, 300)]
+    heads = [(p, 1, c, 100.0 * (c - 1), 100.0 * c, 0.0, 10.0) for p in range(6) for c in range(1, 5)]
+    heads += [(0, 1, None, 50.0, 150.0, 0.0, 10.0), (1, 1, 2, 100.0, 120.0, 0.0, 10.0)]
+    found = [(p, r, c, 0.0, 1.0, 40.0 * r, 40.0 * r + rng.choice([30.0, 90.0])) for p in range(6) for r in range(2, 8)
+             for c in range(1, 5) if rng.random() < 0.4]
+    want = {}
+    for p, r in {(c[0], c[1]) for c in found}:
+        own = [c for c in found if c[:2] == (p, r)]
+        top, bottom = min(c[5] for c in own), max(c[6] for c in own)
+        for _, _, col, x0, x1, _, _ in [h for h in heads if h[0] == p and h[2] not in [c[2] for c in own]]:
+            want.setdefault((p, r, col), []).extend(
+                (w[4], w[2], w[6], w[1]) for w in words
+                if w[0] == p and x0 <= (w[2] + w[3]) / 2 <= x1 and top <= (w[4] + w[5]) / 2 <= bottom)
+    want = sorted(((*k, "\n".join(w[3] for w in sorted(v))) for k, v in want.items()), key=repr)
+    table = spark.createDataFrame(words, WORDS)
+    cells = spark.createDataFrame(heads + found, "page int, row_no int, col_no int, x0 double, x1 double, top double, bottom double")
+    for crowd in (500, 75, 0):
+        monkeypatch.setattr(layout, "CROWD", crowd)
+        assert rows(layout.recovered_cells(table, cells)) == want
+
+
 WORDS = "page int, text string, x0 double, x1 double, top double, bottom double, word_idx int"
 
 
