@@ -1,5 +1,7 @@
 import collections
 import math
+import random
+import types
 import zlib
 
 import numpy as np
@@ -116,3 +118,55 @@ def test_draws_do_not_depend_on_company():
 def test_counts_keep_any_width():
     for x in ([], [0], [255, 256], [1 << 40, 3]):
         assert M._longs(M._pack(np.array(x, np.int64))).tolist() == x
+
+
+def plain_scores(rows):
+    """score and spelled_score of each row, and how often a repeated pair's tables changed: all pairs in one table, redrawn in every sweep."""
+    texts = [(i, WORD.findall((t or "").translate(FOLD)) + [""]) for i, t in rows]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    both = lambda ws: list(zip(["", *ws[:-1]], ws))
+    names = sorted({w for _, ws in texts for w in ws})
+    at = {w: i for i, w in enumerate(names)}
+    hashes = np.concatenate([np.zeros(1, np.uint64), M.W.split(M.pa.array([" ".join(names[1:])]), M.W.SPACE, False).hash])
+    counted = collections.Counter(p for i, ws in texts if not held(i) for p in both(ws))
+    u, w, c = (np.array(x) for x in zip(*((at[a], at[b], n) for (a, b), n in counted.items())))
+    count = np.bincount(w, c, len(names)).astype(int)
+    key = M._keys(M.W.mix(M.W.mix(hashes[u] + np.uint64(0x9E3779B97F4A7C15)) + hashes[w]))
+    d, strength = M._discount((c == 1).sum(), (c == 2).sum()), M.PAIR_STRENGTH
+    seats, share, t, changed, below, now, kept = M._average_tables(count, d), count / count.sum(), None, 0, None, None, []
+    for sweep in range(1, M.SWEEPS + 1):
+        new = M.tables(c, (strength + d * seats[u]) * share[w], d, key, sweep - 1)
+        changed, t = changed + (0 if t is None else int((new != t).sum())), new
+        n, seats = (np.bincount(x, t, len(names)).astype(int) for x in (w, u))
+        batch = M.pa.RecordBatch.from_arrays([M.pa.array(names), M.pa.array(n)], ["word", "n"])
+        below = below or M._discount((n == 1).sum(), (n == 2).sum())
+
+        def state(start, number):
+            got = dict(zip(*(x.to_numpy() for x in next(M._sweep_rows(start, below, number)(iter([batch]))).columns)))
+            tables, known = got.pop(-1), got.pop(-2)
+            return M.Sweep(tables, known, M._spelling(np.array(list(got)), np.array(list(got.values())), number))
+
+        now = now or state(None, 0)
+        after = state(types.SimpleNamespace(value=now), sweep)
+        _, logp, spelled = next(M._probabilities(iter([batch]), [(now, after, sweep)], below, n.sum()))
+        share = 10 ** spelled.astype("<f4").astype(float)
+        unknown = 10 ** logp[n == 0][0] if (n == 0).any() else 0.0
+        kept, now = [*kept, (dict(zip(counted, t)), seats, share, unknown)], after
+    def log(pair, spell):
+        a, b = at[pair[0]], at[pair[1]]
+        return math.log10(sum(
+            (max(counted[pair] - d * t.get(pair, 0), 0) + (strength + d * s[a]) * (p[b] if spell or count[b] else u))
+            / (strength + count[a]) for t, s, p, u in kept[-M.KEPT:]) / M.KEPT)
+    return sorted((i, *(sum(log(p, spell) for p in both(ws)) for spell in (False, True))) for i, ws in texts), changed
+
+
+def test_scores_are_those_of_pairs_redrawn_in_every_sweep(docs):
+    rnd = random.Random(3)
+    rows = [(i, " ".join(f"w{int(rnd.paretovariate(0.8)) % 97}" for _ in range(rnd.randrange(60)))) for i in range(150)]
+    rows.append((next(i for i in range(200, 400) if zlib.crc32(str(i).encode()) % 7 == 2), "w1 never w2 seen"))
+    want, changed = plain_scores(rows)
+    assert changed > 50
+    for parts in (1, 4):
+        got = sorted((r.doc_id, r.score, r.spelled_score) for r in M.scored(docs(rows).repartition(parts)).collect())
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert np.allclose([g[1:] for g in got], [w[1:] for w in want], rtol=1e-6, atol=1e-6)
